@@ -96,12 +96,15 @@ def contact_fanout(src: DataFrame, platform: str, null_token: str = "null",
     """
     u_phone = clean_phone("u_phone", null_token)
     c_phone = clean_phone("c_phone", null_token)
+    # Ids use NULL for a missing phone: a bad phone gives a NULL key (a reject),
+    # never one key shared by every bad phone.
+    u_pid, c_pid = clean_phone("u_phone"), clean_phone("c_phone")
     if phone_ids:
-        userid, contactid = u_phone, c_phone
+        userid, contactid = u_pid, c_pid
         u_is, c_is = F.lit(1), F.lit(0)
     else:
-        userid = F.when(F.col("u_is") == 1, F.col("u_uid")).otherwise(u_phone)
-        contactid = F.when(F.col("c_is") == 1, F.col("c_uid")).otherwise(c_phone)
+        userid = F.when(F.col("u_is") == 1, F.col("u_uid")).otherwise(u_pid)
+        contactid = F.when(F.col("c_is") == 1, F.col("c_uid")).otherwise(c_pid)
         u_is, c_is = F.col("u_is"), F.col("c_is")
     rows = src.select(
         make_rowkey(userid, platform).alias("u_key"), make_rowkey(contactid, platform).alias("c_key"),

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaners as C
 from ..functions import ids as I
-from ..operators import counts
+from ..functions.codec import decode_value, encode_value
+from ..operators import conform, counts, dedup, enrich, match, merge, profiles, resolve, setops
+from ..schemas import Catalog, CellColumn
+from ..sources import cells as cellio
 from . import pipelines, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+NULL = "null"
 
 
 def query(name: str):
@@ -29,7 +33,7 @@ def query(name: str):
     return register
 
 
-# ---------------------------------------------------------------- messages
+# ======================================================================= shared
 def messages(spark: SparkSession, base: str) -> DataFrame:
     return pipelines.clean_messages(views.raw_messages(spark, base))
 
@@ -38,6 +42,196 @@ def group_messages(spark: SparkSession, base: str) -> DataFrame:
     return pipelines.clean_group_messages(views.raw_group_messages(spark, base))
 
 
+def conformed_users(spark: SparkSession, base: str) -> DataFrame:
+    """T1 + T3 + T4 specs applied to the dirty customer view."""
+    d = views.dirty(spark, base)
+    a = conform.conform_users(d, conform.spec_basic("tango", "c_custkey", "raw_name", "raw_phone", "raw_mail"))
+    c = conform.conform_users(d, conform.spec_profile(
+        "hike", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender", "raw_birth",
+        reg_time="c_mktsegment"))
+    v = conform.conform_users(d, conform.spec_phone_id("viber", "raw_phone"))
+    return a.unionByName(c).unionByName(v)
+
+
+def resolved_users(spark: SparkSession, base: str) -> DataFrame:
+    return resolve.resolve_column(conformed_users(spark, base), views.links(spark, base), "rowkey")
+
+
+def match_tokens(spark: SparkSession, base: str) -> DataFrame:
+    """Set attributes of customers: phone = nation code, names = {name,
+    segment}, mail = cleaned mail, contacts = suppliers ordered from."""
+    d = views.dirty(spark, base).select(
+        "rowkey", F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("phone"),
+        F.col("c_name").alias("name1"), F.col("c_mktsegment").alias("name2"),
+        C.clean_mail("raw_mail").alias("mail"))
+    t = match.tokens_from_columns(d, "rowkey", {"phone": "phone", "name": "name1"}, None) \
+        .unionByName(match.tokens_from_columns(d, "rowkey", {"name": "name2", "mail": "mail"}, None))
+    e = views.contacts(spark, base).select(F.col("u_uid").alias("rowkey"), F.lit("contacts").alias("attr"),
+                                           F.col("c_uid").alias("value"))
+    return t.unionByName(e).distinct()
+
+
+# ===================================================================== cleaners
+@query("clean_phone")
+def q_clean_phone(spark, base):
+    """F3 on every customer's raw phone text."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", "raw_phone", C.clean_phone("raw_phone", NULL).alias("phone"))
+
+
+@query("clean_name")
+def q_clean_name(spark, base):
+    """F4."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", "raw_name", C.clean_name("raw_name", NULL).alias("name"))
+
+
+@query("clean_mail")
+def q_clean_mail(spark, base):
+    """F5."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", "raw_mail", C.clean_mail("raw_mail", NULL).alias("mail"))
+
+
+@query("clean_birth")
+def q_clean_birth(spark, base):
+    """F6 (UTC epoch seconds as text)."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", "raw_birth", C.clean_birth("raw_birth", NULL).alias("birthday"))
+
+
+@query("clean_gender")
+def q_clean_gender(spark, base):
+    """F8."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", "raw_gender", C.clean_gender("raw_gender").alias("gender"))
+
+
+@query("clean_platforms")
+def q_clean_platforms(spark, base):
+    """F7."""
+    d = views.dirty(spark, base)
+    return d.select("c_custkey", C.clean_platforms("raw_platforms", NULL).alias("platforms"))
+
+
+@query("pad_millis")
+def q_pad_millis(spark, base):
+    """F9 on message times given in seconds (type 0) or milliseconds (type 1)."""
+    m = views.raw_messages(spark, base)
+    t = F.when(F.col("msgtype") == 0, F.col("timesent")).otherwise(F.col("timesent") * 1000)
+    return m.select("mid", C.pad_millis(t).alias("millis"))
+
+
+@query("mail_from_documents")
+def q_mail_from_documents(spark, base):
+    """F5 on every mail-like token found anywhere in the whole document texts."""
+    docs = views.read_table(spark, base, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", F.explode(F.regexp_extract_all(
+        "text", F.lit("[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"), F.lit(0))).alias("raw_mail"))
+    return found.select("doc_id", "raw_mail", C.clean_mail("raw_mail", NULL).alias("mail"))
+
+
+@query("signin_name")
+def q_signin_name(spark, base):
+    """F10 + F11 on conversation text with planted sign-in phrases."""
+    t = views.signin_texts(spark, base)
+    return t.select("conv_id", "turn", C.signin_name("msg", NULL).alias("name"),
+                    C.signin_filter("msg", NULL).alias("content"))
+
+
+@query("rowkey_md5")
+def q_rowkey_md5(spark, base):
+    """F1 + F2."""
+    u = views.users(spark, base)
+    return u.select("userid", "platform", I.rowkey("userid", F.col("platform")).alias("rowkey"))
+
+
+@query("msg_id_parts")
+def q_msg_id_parts(spark, base):
+    """F15 + F16: parts of the dash-joined message id."""
+    m = views.raw_messages(spark, base)
+    return m.select("mid", *[I.key_part("mid", i).alias(f"part{i}") for i in range(4)])
+
+
+@query("day_millis")
+def q_day_millis(spark, base):
+    """yyyyMMdd -> epoch milliseconds text."""
+    e = views.events_by_day(spark, base).select("day").distinct()
+    return e.select("day", I.day_to_epoch_millis("day").alias("millis"))
+
+
+@query("typed_codec")
+def q_typed_codec(spark, base):
+    """F17 + F18: typed values -> cell text -> typed values again."""
+    e = views.read_table(spark, base, "events").select("event_id", "ts", "value", "user_id")
+    enc = e.select("event_id",
+                   encode_value(F.col("ts").cast("timestamp"), "datetime").alias("ts_text"),
+                   encode_value(F.to_date("ts"), "date").alias("day_text"),
+                   encode_value(F.col("value"), "float").alias("value_text"),
+                   encode_value(F.col("value") > 50, "boolean").alias("big_text"),
+                   encode_value(F.col("user_id"), "long").alias("user_text"))
+    return enc.select("event_id", "ts_text", "day_text", "big_text",
+                      F.date_format(decode_value("ts_text", "datetime"), "yyyy-MM-dd HH:mm:ss").alias("ts_back"),
+                      decode_value("value_text", "float").alias("value_back"),
+                      decode_value("big_text", "boolean").cast("int").alias("big_back"),
+                      decode_value("user_text", "long").alias("user_back"))
+
+
+# ===================================================================== conform
+@query("conform_users")
+def q_conform_users(spark, base):
+    """T1 + T3 + T4 (P2): three platform specs over the dirty customers."""
+    return conformed_users(spark, base)
+
+
+def _fanout(spark, base):
+    return conform.contact_fanout(views.fanout_source(spark, base), "hike")
+
+
+@query("contact_fanout_edges")
+def q_contact_fanout_edges(spark, base):
+    """T6 (P10): ids or cleaned phones -> hashed contact edges."""
+    return _fanout(spark, base)[0]
+
+
+@query("contact_fanout_users")
+def q_contact_fanout_users(spark, base):
+    """T6 (P12 + A4): owner and contact user rows, de-duplicated."""
+    return _fanout(spark, base)[1]
+
+
+@query("contact_edges_named")
+def q_contact_edges_named(spark, base):
+    """T5: hashed edges with a cleaned contact name."""
+    src = views.fanout_source(spark, base)
+    return conform.contact_edges(src, "tango", "u_uid", "c_uid", "c_name")
+
+
+# ==================================================================== messages
+@query("msg_dedup")
+def q_msg_dedup(spark, base):
+    """T8 (A3 + F16): de-duplicated messages."""
+    return messages(spark, base)
+
+
+@query("gmsg_dedup")
+def q_gmsg_dedup(spark, base):
+    """T9 (A3 + F16): de-duplicated group messages."""
+    return group_messages(spark, base)
+
+
+@query("msg_contacts")
+def q_msg_contacts(spark, base):
+    """T8 (A5): edges implied by messages."""
+    return pipelines.message_contacts(messages(spark, base))
+
+
+@query("msg_named_users")
+def q_msg_named_users(spark, base):
+    """T8 (P4 + A4): user rows named by sign-in messages."""
+    return pipelines.message_named_users(messages(spark, base))
+
+
 @query("pair_count_latest")
 def q_pair_count_latest(spark, base):
     """Flagship: count + latest type-0 message per pair, ties kept."""
@@ -50,13 +244,403 @@ def q_pair_count_latest_any_type(spark, base):
     return counts.pair_count_latest(messages(spark, base), join_back=True)
 
 
-@query("msg_dedup")
-def q_msg_dedup(spark, base):
-    return messages(spark, base)
+@query("pair_with_user")
+def q_pair_with_user(spark, base):
+    """T14 part 2 (J7): party attributes attached by a left join."""
+    u = views.users(spark, base).select("rowkey", "name", F.lit(None).cast("string").alias("phone"),
+                                        F.lit(None).cast("string").alias("mail"))
+    named = pipelines.message_named_users(messages(spark, base)).select("rowkey", "name", "phone", "mail")
+    return counts.pair_with_party(counts.pair_count_latest(messages(spark, base)), u.unionByName(named))
 
 
-# ---------------------------------------------------------------- cleaners
-@query("clean_phone")
-def q_clean_phone(spark, base):
-    d = views.dirty(spark, base)
-    return d.select("c_custkey", "raw_phone", C.clean_phone("raw_phone", "null").alias("phone"))
+@query("total_msgs_per_user")
+def q_total_msgs_per_user(spark, base):
+    """T14 part 3 (A2 + O1)."""
+    return counts.total_per_person(messages(spark, base))
+
+
+@query("group_count_latest")
+def q_group_count_latest(spark, base):
+    """T15 part 1 (A8 + J6)."""
+    return counts.group_count_latest(group_messages(spark, base))
+
+
+@query("group_with_name")
+def q_group_with_name(spark, base):
+    """T15 part 2 (J8): inner join with group info."""
+    return counts.group_with_name(counts.group_count_latest(group_messages(spark, base)),
+                                  views.group_info(spark, base))
+
+
+@query("group_total")
+def q_group_total(spark, base):
+    """A9."""
+    return counts.group_totals(group_messages(spark, base))
+
+
+# ================================================================= resolution
+@query("resolve_ids")
+def q_resolve_ids(spark, base):
+    """Canonical ids of the user table."""
+    u = views.users(spark, base)
+    return resolve.resolve_column(u, views.links(spark, base), "rowkey")
+
+
+@query("resolve_edges")
+def q_resolve_edges(spark, base):
+    """Both ends of every contact edge."""
+    return resolve.resolve_columns(views.contacts(spark, base), views.links(spark, base), ["u_uid", "c_uid"])
+
+
+@query("resolve_messages")
+def q_resolve_messages(spark, base):
+    """Sender and receiver resolved, mid rebuilt from the resolved sender."""
+    return resolve.resolve_messages(messages(spark, base), views.links(spark, base))
+
+
+@query("resolve_group_messages")
+def q_resolve_group_messages(spark, base):
+    """J4."""
+    return resolve.resolve_group_messages(group_messages(spark, base), views.links(spark, base))
+
+
+@query("region_lookup")
+def q_region_lookup(spark, base):
+    """T12 (J11 + F21): longest phone prefix -> region; 'Unknown' otherwise."""
+    return enrich.region_lookup(conformed_users(spark, base), views.prefixes(spark, base))
+
+
+# ==================================================================== profiles
+def _flat(ev: DataFrame, fields: list[str]) -> DataFrame:
+    s = profiles.score(ev)
+    return s.select("rowkey", "attr", "value", *[F.col(f"ev.{f}").alias(f) for f in fields], "score")
+
+
+@query("profile_generic")
+def q_profile_generic(spark, base):
+    """T16 (J1 + A17): value -> platforms for every generic attribute."""
+    return _flat(profiles.generic_evidence(resolved_users(spark, base)), ["platform"])
+
+
+@query("profile_name")
+def q_profile_name(spark, base):
+    """Name -> (source_id, platform)."""
+    return _flat(profiles.name_evidence(resolved_users(spark, base)), ["source_id", "platform"])
+
+
+@query("profile_accounts")
+def q_profile_accounts(spark, base):
+    """Platform -> (userid, reg_time)."""
+    return _flat(profiles.account_evidence(resolved_users(spark, base)), ["userid", "reg_time"])
+
+
+@query("profile_region")
+def q_profile_region(spark, base):
+    """T17 (J1 + A20)."""
+    reg = enrich.region_lookup(conformed_users(spark, base), views.prefixes(spark, base))
+    reg = resolve.resolve_column(reg, views.links(spark, base), "rowkey")
+    return _flat(profiles.region_evidence(reg), ["country", "province", "city", "code", "platform"])
+
+
+def _resolved_edges(spark, base):
+    return resolve.resolve_columns(views.contacts(spark, base), views.links(spark, base), ["u_uid", "c_uid"])
+
+
+@query("profile_contacts")
+def q_profile_contacts(spark, base):
+    """T18 (J2 + A21)."""
+    return _flat(profiles.contact_evidence(_resolved_edges(spark, base)), ["name", "platform"])
+
+
+@query("profile_be_contacts")
+def q_profile_be_contacts(spark, base):
+    """T18 (J2 + A22)."""
+    return _flat(profiles.contact_evidence(_resolved_edges(spark, base), reverse=True), ["name", "platform"])
+
+
+@query("contact_counts")
+def q_contact_counts(spark, base):
+    """contact_count / be_contact_count per profile (map sizes)."""
+    e = _resolved_edges(spark, base)
+    ev = profiles.contact_evidence(e).unionByName(profiles.contact_evidence(e, reverse=True))
+    a = profiles.value_counts(ev, "contacts", "contact_count")
+    b = profiles.value_counts(ev, "be_contacts", "be_contact_count")
+    return a.join(b, "rowkey", "full_outer").select(
+        "rowkey", F.coalesce("contact_count", F.lit(0)).alias("contact_count"),
+        F.coalesce("be_contact_count", F.lit(0)).alias("be_contact_count"))
+
+
+# Stored vs incoming profile evidence: messages before / after a date, overlapping.
+STORED_BEFORE = 883612800    # 1998-01-01 UTC, epoch seconds
+INCOMING_FROM = 852076800    # 1997-01-01 UTC
+
+
+def _msg_evidence(msgs: DataFrame) -> DataFrame:
+    src = msgs.select(F.col("user").alias("rowkey"), F.col("direction").alias("platform"),
+                      "media", F.col("partyuid").alias("partner"))
+    return profiles.generic_evidence(src, ["media", "partner"])
+
+
+@query("profile_merge")
+def q_profile_merge(spark, base):
+    """N4 (J12): incoming profiles merged with what was stored for them."""
+    m = messages(spark, base)
+    stored = _msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE))
+    incoming = _msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM))
+    return _flat(profiles.merge_evidence(stored, incoming, snapshot=False), ["platform"])
+
+
+@query("profile_snapshot")
+def q_profile_snapshot(spark, base):
+    """The new stored state (stored-only profiles persist)."""
+    m = messages(spark, base)
+    stored = _msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE))
+    incoming = _msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM))
+    return _flat(profiles.merge_evidence(stored, incoming, snapshot=True), ["platform"])
+
+
+@query("profile_merge_maps")
+def q_profile_merge_maps(spark, base):
+    """N2 + N3 + N4 on the map form, flattened back to rows for comparison.
+
+    Stored and incoming maps (one per profile and attribute) are merged with
+    ``map_zip_with``; the output lists value, sorted evidence text and score.
+    """
+    m = messages(spark, base)
+    st = profiles.to_nested(_msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE)))
+    inc = profiles.to_nested(_msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM)))
+    st = st.select("rowkey", "attr", F.col("profile").alias("stored"))
+    j = inc.join(st, ["rowkey", "attr"], "left")
+    vt = inc.schema["profile"].dataType.valueType
+    merged = j.select("rowkey", "attr", profiles.merge_maps(profiles.coalesce_map(F.col("stored"), vt),
+                                                             profiles.coalesce_map(F.col("profile"), vt)).alias("m"))
+    ex = merged.select("rowkey", "attr", F.explode("m").alias("value", "e"))
+    return ex.select("rowkey", "attr", "value",
+                     F.array_join(F.array_sort(F.transform("e.evidence", lambda x: x["platform"])), ",")
+                     .alias("evidence"), F.col("e.score").alias("score"))
+
+
+@query("profile_json_roundtrip")
+def q_profile_json_roundtrip(spark, base):
+    """nested profile -> JSON cell text -> nested again, flattened."""
+    nested = profiles.to_nested(profiles.generic_evidence(resolved_users(spark, base)))
+    schema = nested.schema["profile"].dataType
+    back = nested.select("rowkey", "attr", F.from_json(F.to_json("profile"), schema).alias("p"))
+    ex = back.select("rowkey", "attr", F.explode("p").alias("value", "e"))
+    return ex.select("rowkey", "attr", "value",
+                     F.array_join(F.transform("e.evidence", lambda x: x["platform"]), ",").alias("evidence"),
+                     F.col("e.score").alias("score"))
+
+
+# ==================================================================== matching
+@query("block_keys")
+def q_block_keys(spark, base):
+    """I1 (A7 + N1): ids grouped by a shared phone."""
+    return match.block_keys(match_tokens(spark, base))
+
+
+@query("comparison_records")
+def q_comparison_records(spark, base):
+    """I2 (A6 + J9), long form: the set values of every blocked id."""
+    t = match_tokens(spark, base)
+    return match.comparison_records(t, match.block_keys(t))
+
+
+@query("pair_scores")
+def q_pair_scores(spark, base):
+    """I3 + I4: weighted-Jaccard pairs sharing a phone, score >= 50."""
+    return match.pair_scores(match_tokens(spark, base), threshold=50.0)
+
+
+# ======================================================================= merge
+@query("merge_profiles")
+def q_merge_profiles(spark, base):
+    """I6 (A24 + A25 + J15): policy merge of packed profiles into nation ids."""
+    return merge.merge_profiles(views.packed_profiles(spark, base), views.links_nation(spark, base))
+
+
+@query("rekey_messages")
+def q_rekey_messages(spark, base):
+    """Messages of linked senders / receivers re-keyed."""
+    return merge.rekey_messages(messages(spark, base), views.links(spark, base))
+
+
+@query("rekey_edges")
+def q_rekey_edges(spark, base):
+    """I10 + I11: both edge directions re-keyed at once."""
+    return merge.rekey_edges(views.contacts(spark, base), views.links_nation(spark, base))
+
+
+@query("link_flatten")
+def q_link_flatten(spark, base):
+    """Stored links + second generation, chains followed to the end."""
+    out, _ = merge.flatten_links(views.links(spark, base), views.links_next(spark, base))
+    return out
+
+
+@query("split_identity")
+def q_split_identity(spark, base):
+    """Split every canonical id of the BUILDING segment back into its
+    archived originals."""
+    links = views.links(spark, base)
+    archive = merge.archive_originals(views.packed_profiles(spark, base), links)
+    targets = (views.read_table(spark, base, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+               .select(F.expr(views.LINK_CONNECT).alias("connect_id")))
+    restored, _ = merge.split_identity(archive, links, targets)
+    return restored
+
+
+@query("split_identity_links")
+def q_split_identity_links(spark, base):
+    """The links that remain after the split."""
+    links = views.links(spark, base)
+    targets = (views.read_table(spark, base, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+               .select(F.expr(views.LINK_CONNECT).alias("connect_id")))
+    return merge.split_identity(links.select(F.col("org_id").alias("rowkey")), links, targets)[1]
+
+
+@query("id_list_concat")
+def q_id_list_concat(spark, base):
+    """Canonical id -> its original ids, sorted and tab-joined."""
+    return merge.connect_to_orgs(views.links(spark, base))
+
+
+@query("phone_platform_lists")
+def q_phone_platform_lists(spark, base):
+    """Per id, the sorted list of (phone, platform) entries as text."""
+    u = conformed_users(spark, base).filter(C.is_present("phone"))
+    return (u.groupBy("userid").agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat_ws(":", "phone", "platform"))), ",").alias("phones")))
+
+
+# ==================================================================== counters
+def _counter_inputs(e: DataFrame):
+    users_a = e.filter(F.col("event_type") == "signup").select("day", F.col("user_id").alias("uid"))
+    users_b = e.filter(F.col("event_type") == "purchase").select("day", F.col("user_id").alias("uid"))
+    contacts_ = e.select("day", "user_id", "event_type")
+    msgs = e.filter(F.col("event_type") == "click").select("day", F.col("event_id").alias("mid"))
+    gmsgs = e.filter(F.col("event_type") == "view").select("day", F.col("event_id").alias("mid"))
+    return [users_a, users_b], contacts_, msgs, gmsgs
+
+
+def _daily(e: DataFrame) -> DataFrame:
+    u, c, m, g = _counter_inputs(e)
+    return counts.daily_counters(u, c, m, g)
+
+
+@query("daily_counters")
+def q_daily_counters(spark, base):
+    """T23 (A12-A14 + F20): per-day distinct users, contacts, messages."""
+    return _daily(views.events_by_day(spark, base))
+
+
+# Cumulative bases and constant counters of the weekly report.
+BASE_USERS = 2055131992
+BASE_CONTACTS = 12140402832
+WEEKLY_CONSTANTS = {"txt_count": 2657456 + 591828, "pic_count": 1754450 + 232048,
+                    "video_count": 71146 + 8816, "wav_count": 388313 + 75634}
+
+
+@query("cumulative_counters")
+def q_cumulative_counters(spark, base):
+    """T24 (A10 + A11): base + increments after 2024-01-15."""
+    return counts.cumulative_counters(_daily(views.events_by_day(spark, base)), "1705276800000",
+                                      BASE_USERS, BASE_CONTACTS, WEEKLY_CONSTANTS, at_day="20240131")
+
+
+@query("running_counters")
+def q_running_counters(spark, base):
+    """A11 general form: running totals over days."""
+    return counts.running_counters(_daily(views.events_by_day(spark, base)),
+                                   {"user_count": BASE_USERS, "contact_count": BASE_CONTACTS})
+
+
+@query("detail_count")
+def q_detail_count(spark, base):
+    """T25 (A15): rows after a partition value."""
+    return counts.detail_count(views.events_by_day(spark, base), "day", "20240120", "events", "click",
+                               "events", "20240131")
+
+
+@query("count_by_type")
+def q_count_by_type(spark, base):
+    """A16."""
+    return counts.count_by(views.read_table(spark, base, "events"), "event_type")
+
+
+@query("counter_upsert")
+def q_counter_upsert(spark, base):
+    """U1 + K5: stored daily counters replaced by a newer overlapping batch."""
+    e = views.events_by_day(spark, base)
+    stored = _daily(e.filter(F.col("day") < "20240116"))
+    incoming = _daily(e.filter(F.col("day") >= "20240110"))
+    from ..sources.sinks import upsert
+    return upsert(stored, incoming, ["time"])
+
+
+# ==================================================================== sources
+CELL_CATALOG = Catalog.for_columns("USER", "rowkey", "INFO",
+                                   ["rowkey", "userid", "name", "mail", "phone", "gender", "birthday", "is_user"],
+                                   {"is_user": "int"})
+
+
+@query("to_cells")
+def q_to_cells(spark, base):
+    """K4 (N8 + F17): wide user rows -> (rowkey, family, qualifier, value) cells."""
+    u = conformed_users(spark, base).filter(F.col("platform") == "hike")
+    return cellio.to_cells(u, CELL_CATALOG)
+
+
+@query("from_cells")
+def q_from_cells(spark, base):
+    """S3 (N8 + N9 + F18 + P7): cells -> typed wide rows, domain filter applied."""
+    u = conformed_users(spark, base).filter(F.col("platform") == "hike")
+    cat = Catalog(CELL_CATALOG.table, "rowkey", dict(CELL_CATALOG.columns), domain="is_user = 1")
+    return cellio.from_cells(cellio.to_cells(u, cat), cat)
+
+
+@query("cell_records")
+def q_cell_records(spark, base):
+    """Newline-separated JSON cell records per row -> cells (last write wins)."""
+    u = views.users(spark, base)
+    recs = u.select("rowkey", F.concat_ws("\n",
+                    F.to_json(F.struct(F.lit("INFO").alias("columnFamily"), F.lit("NAME").alias("qualifier"),
+                                       F.col("name").alias("value"))),
+                    F.to_json(F.struct(F.lit("INFO").alias("columnFamily"), F.lit("NATION").alias("qualifier"),
+                                       F.col("nation").alias("value"))),
+                    F.to_json(F.struct(F.lit("INFO").alias("columnFamily"), F.lit("NAME").alias("qualifier"),
+                                       F.upper("name").alias("value")))).alias("cells"))
+    cells = cellio.decode_cell_records(recs)
+    cat = Catalog("USER", "rowkey", {"name": CellColumn("INFO", "NAME"), "nation": CellColumn("INFO", "NATION", "int")})
+    return cellio.from_cells(cells, cat, seq_col="seq")
+
+
+@query("lines_to_cells")
+def q_lines_to_cells(spark, base):
+    """Comma text lines -> cells."""
+    u = views.users(spark, base)
+    lines = u.select(F.concat_ws(",", "rowkey", F.lit("INFO"), F.lit("name"), "name").alias("value"))
+    return cellio.lines_to_cells(lines)
+
+
+@query("subtract_by_key")
+def q_subtract_by_key(spark, base):
+    """Users without a link."""
+    u = views.users(spark, base)
+    lk = views.links(spark, base).select(F.col("org_id").alias("rowkey"))
+    return setops.subtract_by_key(u, lk, ["rowkey"])
+
+
+@query("subtract_rows")
+def q_subtract_rows(spark, base):
+    """Bag difference keeping left duplicates."""
+    m = views.raw_messages(spark, base)
+    left = m.select("user", "party", "media")
+    right = m.filter(F.col("msgtype") == 1).select("user", "party", "media")
+    return setops.subtract_rows(left, right)
+
+
+@query("distinct_users")
+def q_distinct_users(spark, base):
+    """A4 + A5: row distinct over the conformed model rows."""
+    return dedup.distinct_rows(conformed_users(spark, base).select("rowkey", "userid", "phone", "platform"))

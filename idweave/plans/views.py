@@ -95,6 +95,22 @@ MSG_CONTENT = ("CASE WHEN l_linenumber = 4 THEN 'S' || CAST(l_suppkey AS STRING)
 MSG_TOKEN = "CAST(l_orderkey AS STRING) || '.' || CAST(l_linenumber AS STRING)"
 GMSG_SENDER = "md5(role || '@' || CAST(conv_id AS STRING)) || '-conv'"
 LINK_CONNECT = "'C' || CAST(c_nationkey AS STRING) || '-' || c_mktsegment"
+# Conversation text with planted sign-in phrases in three languages.
+CONV_SIGNIN = """CASE role
+    WHEN 'system' THEN 'Ann' || CAST(conv_id AS STRING) || '也登入 Tangooo, ' || text
+    WHEN 'user' THEN role || CAST(turn AS STRING) || '님이 Tango ' || text
+    ELSE text END"""
+SENDER_CONNECT = "'R-' || role"
+# Contact rows of the platform-C shape (ids or phones, registered flags).
+FANOUT_EXPRS = {
+    "u_uid": "CAST(c_custkey AS STRING)",
+    "u_phone": DIRTY_EXPRS["raw_phone"],
+    "u_is": "CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END",
+    "c_uid": "CAST(s_suppkey AS STRING)",
+    "c_phone": "'9' || lpad(CAST(s_suppkey AS STRING), 9, '0')",
+    "c_is": "CASE WHEN s_acctbal >= 0 THEN 1 ELSE 0 END",
+    "c_name": "s_name",
+}
 
 
 def users(spark: SparkSession, base: str) -> DataFrame:
@@ -178,8 +194,28 @@ def contacts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def links(spark: SparkSession, base: str) -> DataFrame:
+    """Customers -> 'C<nation>-<segment>'; conversation senders -> 'R-<role>'."""
     c = read_table(spark, base, "customer")
-    return c.select(F.expr(CUST_ROWKEY).alias("org_id"), F.expr(LINK_CONNECT).alias("connect_id"))
+    cust = c.select(F.expr(CUST_ROWKEY).alias("org_id"), F.expr(LINK_CONNECT).alias("connect_id"))
+    conv = read_table(spark, base, "conversations").select(
+        F.expr(GMSG_SENDER).alias("org_id"), F.expr(SENDER_CONNECT).alias("connect_id")).distinct()
+    return cust.unionByName(conv)
+
+
+def signin_texts(spark: SparkSession, base: str) -> DataFrame:
+    conv = read_table(spark, base, "conversations")
+    return conv.select("conv_id", "turn", F.expr(CONV_SIGNIN).alias("msg"))
+
+
+def fanout_source(spark: SparkSession, base: str) -> DataFrame:
+    """Platform-C contact rows: one per distinct (customer, supplier) of an order."""
+    li = read_table(spark, base, "lineitem").select("l_orderkey", "l_suppkey")
+    o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey")
+    pairs = li.join(o, li.l_orderkey == o.o_orderkey).select("o_custkey", "l_suppkey").distinct()
+    c = read_table(spark, base, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    s = read_table(spark, base, "supplier").select("s_suppkey", "s_acctbal", "s_name")
+    j = pairs.join(c, pairs.o_custkey == c.c_custkey).join(s, pairs.l_suppkey == s.s_suppkey)
+    return j.select(*[F.expr(e).alias(n) for n, e in FANOUT_EXPRS.items()])
 
 
 def links_next(spark: SparkSession, base: str) -> DataFrame:
@@ -211,3 +247,57 @@ def prefixes(spark: SparkSession, base: str) -> DataFrame:
 def events_by_day(spark: SparkSession, base: str) -> DataFrame:
     e = read_table(spark, base, "events")
     return e.withColumn("day", F.date_format("ts", "yyyyMMdd"))
+
+
+def links_nation(spark: SparkSession, base: str) -> DataFrame:
+    """Customers and suppliers -> 'N<nation>' (the closure of links + links_next)."""
+    c = read_table(spark, base, "customer").select(
+        F.expr(CUST_ROWKEY).alias("org_id"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("connect_id"))
+    s = read_table(spark, base, "supplier").select(
+        F.expr(SUPP_ROWKEY).alias("org_id"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("connect_id"))
+    return c.unionByName(s)
+
+
+def packed_profiles(spark: SparkSession, base: str) -> DataFrame:
+    """Stored profiles in the packed-text cell form: (rowkey, field, value).
+
+    Customers: PHONE, MAIL, NAME (own key as source), CONTACT, CONTACT_COUNT,
+    MSG_COUNT, RELATION. Suppliers: NAME (the customers that know them as
+    sources), BE_CONTACT, BE_CONTACT_COUNT, MSG_COUNT, NOTE.
+    """
+    from ..functions.cleaners import clean_mail, clean_phone
+    from ..operators.merge import packed_contacts
+
+    d = dirty(spark, base)
+    edges = contacts(spark, base)
+    msgs = raw_messages(spark, base)
+    cust_cells = d.select("rowkey", F.explode(F.array(
+        F.struct(F.lit("PHONE").alias("field"), clean_phone("raw_phone").alias("value")),
+        F.struct(F.lit("MAIL").alias("field"), clean_mail("raw_mail").alias("value")),
+        F.struct(F.lit("NAME").alias("field"),
+                 F.concat(F.lit("name:"), F.col("c_name"), F.lit("|platforms:"), F.col("rowkey"),
+                          F.lit("-cust|score:1")).alias("value")),
+        F.struct(F.lit("RELATION").alias("field"), F.col("c_mktsegment").alias("value")),
+    )).alias("c")).select("rowkey", "c.field", "c.value")
+    sources = (edges.select(F.col("c_uid").alias("rowkey"), F.concat(F.col("u_uid"), F.lit("-cust")).alias("s"))
+               .distinct().groupBy("rowkey")
+               .agg(F.array_join(F.array_sort(F.collect_list("s")), ",").alias("plats"),
+                    F.count(F.lit(1)).alias("n")))
+    s = read_table(spark, base, "supplier").select(F.expr(SUPP_ROWKEY).alias("rowkey"), "s_name")
+    supp_names = s.join(sources, "rowkey").select(
+        "rowkey", F.lit("NAME").alias("field"),
+        F.concat(F.lit("name:"), F.col("s_name"), F.lit("|platforms:"), F.col("plats"), F.lit("|score:"),
+                 F.col("n").cast("string")).alias("value"))
+    notes = s.select("rowkey", F.lit("NOTE").alias("field"), F.col("s_name").alias("value"))
+    contact_cells = packed_contacts(edges).unionByName(packed_contacts(edges, reverse=True))
+    counts_c = (edges.groupBy("u_uid").agg(F.countDistinct("c_uid").cast("string").alias("value"))
+                .select(F.col("u_uid").alias("rowkey"), F.lit("CONTACT_COUNT").alias("field"), "value"))
+    counts_b = (edges.groupBy("c_uid").agg(F.countDistinct("u_uid").cast("string").alias("value"))
+                .select(F.col("c_uid").alias("rowkey"), F.lit("BE_CONTACT_COUNT").alias("field"), "value"))
+    mc_u = (msgs.groupBy("user").agg(F.count(F.lit(1)).cast("string").alias("value"))
+            .select(F.col("user").alias("rowkey"), F.lit("MSG_COUNT").alias("field"), "value"))
+    mc_p = (msgs.groupBy("party").agg(F.count(F.lit(1)).cast("string").alias("value"))
+            .select(F.col("party").alias("rowkey"), F.lit("MSG_COUNT").alias("field"), "value"))
+    out = (cust_cells.unionByName(supp_names).unionByName(notes).unionByName(contact_cells)
+           .unionByName(counts_c).unionByName(counts_b).unionByName(mc_u).unionByName(mc_p))
+    return out.filter(F.col("value").isNotNull())
