@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import DEFAULT_WEIGHTS
+from ..session import checkpoint_dir
 
 EPS = 1e-9
 
@@ -79,13 +80,17 @@ def candidate_bounds(threshold: float, weights: dict[str, float], block_attr: st
     return bounds
 
 
-def _prefix_tokens(tokens: DataFrame, sizes: DataFrame, bounds: dict[str, float]) -> DataFrame:
-    """Tokens inside each set's prefix (rarest first) for candidate attributes."""
+def _prefix_tokens(tokn: DataFrame, bounds: dict[str, float]) -> DataFrame:
+    """Tokens inside each set's prefix (rarest first) for candidate attributes.
+
+    ``tokn`` carries the set size ``n`` of (rowkey, attr). Token order is
+    global: ascending frequency, then value.
+    """
     usable = [k for k, t in bounds.items() if t <= 1.0]
-    tok = tokens.filter(F.col("attr").isin(usable))
+    tok = tokn.filter(F.col("attr").isin(usable))
     freq = tok.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("f"))
     theta = F.create_map(*[x for k in usable for x in (F.lit(k), F.lit(float(bounds[k])))])
-    ranked = (tok.join(freq, on=["attr", "value"]).join(sizes, on=["rowkey", "attr"])
+    ranked = (tok.join(freq, on=["attr", "value"])
               .withColumn("theta", theta[F.col("attr")])
               .withColumn("pos", F.row_number().over(
                   Window.partitionBy("rowkey", "attr").orderBy("f", "value"))))
@@ -93,48 +98,129 @@ def _prefix_tokens(tokens: DataFrame, sizes: DataFrame, bounds: dict[str, float]
     return ranked.filter(F.col("pos") <= plen).select("rowkey", "attr", "value", "n", "theta")
 
 
+def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+    """Inner equi self-join on ``keys`` with ``a.rowkey < b.rowkey``."""
+    a, b = df.alias("a"), df.alias("b")
+    cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+    cond.append(F.col("a.rowkey") < F.col("b.rowkey"))
+    j = a.join(b, reduce(lambda x, y: x & y, cond))
+    return j.select(F.col("a.rowkey").alias("ra"), F.col("b.rowkey").alias("rb"),
+                    *[F.col(f"a.{c}").alias(c) for c in ("attr", "value")], *extra)
+
+
 def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, float] | None = None,
-                block_attr: str = "phone", decimals: int = 6) -> DataFrame:
+                block_attr: str = "phone", hot_postings: int = 64, decimals: int = 6) -> DataFrame:
     """I3 + I4: pairs (rowkey_a < rowkey_b) that share a block value and score
     ``100 * Σ w_k J_k >= threshold``. Each pair appears once, however many
-    blocks it shares."""
+    blocks it shares.
+
+    Exact, in three parts (see the module doc for the bounds):
+
+    * rare tokens — a (block, attr, value) posting list of at most
+      ``hot_postings`` ids — are self-joined inside their block: this
+      enumerates the pairs sharing them and their shared values at once,
+      at a cost bounded by ``hot_postings`` times the token rows;
+    * hot tokens are never self-joined unless they sit in a prefix
+      (candidate bound); their share in each candidate pair's intersection
+      is found by a membership join from the candidate, not by expanding
+      the hot posting list;
+    * the blocking attribute, when it cannot qualify a pair by itself, is
+      only looked up for candidates (it is always "hot" in a big block).
+    """
     weights = weights or DEFAULT_WEIGHTS
-    tok = tokens.filter(F.col("attr").isin(list(weights))).select("rowkey", "attr", "value").distinct()
+    src = tokens.filter(F.col("attr").isin(list(weights))).select("rowkey", "attr", "value").distinct()
+    # Dictionary-encode row keys and values to dense longs: every join and
+    # shuffle below moves 8-byte ids instead of long text keys. The token
+    # table feeds six branches of the plan, so it is materialised once in the
+    # cluster's checkpoint folder (stable ids, lineage cut).
+    checkpoint_dir(src.sparkSession)
+    src = src.checkpoint()
+    keys = src.select("rowkey").distinct().withColumn("rid", F.monotonically_increasing_id()).checkpoint()
+    vals = src.select("attr", "value").distinct().withColumn("vid", F.monotonically_increasing_id())
+    tok = (src.join(keys, "rowkey").join(vals, ["attr", "value"])
+           .select(F.col("rid").alias("rowkey"), "attr", F.col("vid").alias("value")).checkpoint())
+    pairs = _pair_scores_encoded(tok, threshold, weights, block_attr, hot_postings, decimals)
+    ka = keys.select(F.col("rid").alias("ra"), F.col("rowkey").alias("ka"))
+    kb = keys.select(F.col("rid").alias("rb"), F.col("rowkey").alias("kb"))
+    dec = pairs.join(ka, "ra").join(kb, "rb")
+    return dec.select(F.least("ka", "kb").alias("rowkey_a"), F.greatest("ka", "kb").alias("rowkey_b"), "score")
+
+
+def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, float], block_attr: str,
+                         hot_postings: int, decimals: int) -> DataFrame:
     sizes = tok.groupBy("rowkey", "attr").agg(F.count(F.lit(1)).alias("n"))
+    tokn = tok.join(sizes, on=["rowkey", "attr"])           # every token carries its set size
     blocks = block_keys(tok, block_attr)
     bounds = candidate_bounds(threshold, weights, block_attr)
-
-    pre = _prefix_tokens(tok, sizes, bounds)
-    pb = pre.join(blocks, on="rowkey", how="inner")
-    a, b = pb.alias("a"), pb.alias("b")
-    cand = (a.join(b, (F.col("a.gid") == F.col("b.gid")) & (F.col("a.attr") == F.col("b.attr"))
-                   & (F.col("a.value") == F.col("b.value")) & (F.col("a.rowkey") < F.col("b.rowkey")))
-            .filter(F.col("a.theta") * F.greatest(F.col("a.n"), F.col("b.n"))
-                    <= F.least(F.col("a.n"), F.col("b.n")) + F.lit(EPS))
-            .select(F.col("a.rowkey").alias("ra"), F.col("b.rowkey").alias("rb"))
-            .distinct())
-    return score_pairs(cand, tok, sizes, weights, block_attr, threshold, decimals)
+    cand_attrs = [k for k, t in bounds.items() if t <= 1.0]
+
+    tb = tokn.filter(F.col("attr").isin(cand_attrs)).join(blocks, on="rowkey", how="inner")
+    post = tb.groupBy("gid", "attr", "value").agg(F.count(F.lit(1)).alias("f"))
+    tbf = tb.join(post, on=["gid", "attr", "value"], how="inner")
+    cols = ["gid", "rowkey", "attr", "value", "n"]
+    rare = tbf.filter(F.col("f") <= hot_postings).select(*cols)
+    hot = tbf.filter(F.col("f") > hot_postings).select(*cols)
+    sizes_ab = [F.col("a.n").alias("na"), F.col("b.n").alias("nb")]
+
+    # Pairs sharing rare tokens, with the shared values (exact, bounded cost).
+    shared_rare = _self_pairs(rare, ["gid", "attr", "value"], sizes_ab)
+    # Pairs that may qualify only through a hot token: hot tokens in a prefix.
+    pre = _prefix_tokens(tokn, bounds).select("rowkey", "attr", "value", "theta")
+    hot_pre = hot.join(pre, on=["rowkey", "attr", "value"], how="inner")
+    hot_cand = (_self_pairs(hot_pre, ["gid", "attr", "value"], [F.col("a.theta").alias("theta"), *sizes_ab])
+                .filter(F.col("theta") * F.greatest("na", "nb") <= F.least("na", "nb") + F.lit(EPS))
+                .select("ra", "rb"))
+    cand = shared_rare.select("ra", "rb").unionByName(hot_cand).distinct()
+
+    # Shared values through hot tokens and the blocking attribute: membership.
+    lookup = (hot.select("rowkey", "attr", "value", "n")
+              .unionByName(tokn.filter(~F.col("attr").isin(cand_attrs)).select("rowkey", "attr", "value", "n"))
+              .distinct())
+    ta = lookup.select(F.col("rowkey").alias("ra"), "attr", "value", F.col("n").alias("na"))
+    tbk = tokn.select(F.col("rowkey").alias("rb"), "attr", "value", F.col("n").alias("nb"))
+    shared_other = cand.join(ta, on="ra").join(tbk, on=["rb", "attr", "value"])
+    shared = shared_rare.unionByName(shared_other.select("ra", "rb", "attr", "value", "na", "nb"))
+    # A value can be reached twice (two shared blocks, or rare in one and hot
+    # in another), so values are de-duplicated per pair. One shuffle on the
+    # pair serves the de-duplication and both aggregations after it.
+    inter = (shared.repartition("ra", "rb").dropDuplicates(["ra", "rb", "attr", "value"])
+             .groupBy("ra", "rb", "attr")
+             .agg(F.count(F.lit(1)).alias("i"), F.first("na").alias("na"), F.first("nb").alias("nb")))
+    return _score_inter(inter, weights, block_attr, threshold, decimals)
 
 
 def score_pairs(cand: DataFrame, tok: DataFrame, sizes: DataFrame, weights: dict[str, float],
                 block_attr: str, threshold: float | None, decimals: int = 6) -> DataFrame:
-    """Exact weighted Jaccard of candidate pairs (ra, rb) from intersection counts."""
+    """Exact weighted Jaccard of given candidate pairs (ra, rb) by membership
+    joins (use when the candidate list is small)."""
     ta = tok.select(F.col("rowkey").alias("ra"), "attr", "value")
     tb = tok.select(F.col("rowkey").alias("rb"), "attr", "value")
     inter = (cand.join(ta, on="ra").join(tb, on=["rb", "attr", "value"])
              .groupBy("ra", "rb", "attr").agg(F.count(F.lit(1)).alias("i")))
+    out = _score(inter, sizes, weights, block_attr, threshold, decimals)
+    return out.select(F.col("ra").alias("rowkey_a"), F.col("rb").alias("rowkey_b"), "score")
+
+
+def _score(inter: DataFrame, sizes: DataFrame, weights: dict[str, float], block_attr: str,
+           threshold: float | None, decimals: int) -> DataFrame:
     sa = sizes.select(F.col("rowkey").alias("ra"), "attr", F.col("n").alias("na"))
     sb = sizes.select(F.col("rowkey").alias("rb"), "attr", F.col("n").alias("nb"))
+    return _score_inter(inter.join(sa, on=["ra", "attr"]).join(sb, on=["rb", "attr"]),
+                        weights, block_attr, threshold, decimals)
+
+
+def _score_inter(inter: DataFrame, weights: dict[str, float], block_attr: str,
+                 threshold: float | None, decimals: int) -> DataFrame:
+    """(ra, rb, attr, i, na, nb) -> (ra, rb, score) for qualifying blocked pairs."""
     w = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v) * 100.0))])
-    per = (inter.join(sa, on=["ra", "attr"]).join(sb, on=["rb", "attr"])
-           .withColumn("part", w[F.col("attr")] * F.col("i") / (F.col("na") + F.col("nb") - F.col("i"))))
+    per = inter.withColumn("part", w[F.col("attr")] * F.col("i") / (F.col("na") + F.col("nb") - F.col("i")))
     scored = per.groupBy("ra", "rb").agg(
         F.round(F.sum("part"), decimals).alias("score"),
         F.max((F.col("attr") == F.lit(block_attr)).cast("int")).alias("blocked"))
     out = scored.filter(F.col("blocked") == 1)
     if threshold is not None:
         out = out.filter(F.col("score") >= F.lit(float(threshold)))
-    return out.select(F.col("ra").alias("rowkey_a"), F.col("rb").alias("rowkey_b"), "score")
+    return out.select("ra", "rb", "score")
 
 
 def links_from_pairs(pairs: DataFrame) -> DataFrame:
