@@ -644,3 +644,48 @@ def q_subtract_rows(spark, base):
 def q_distinct_users(spark, base):
     """A4 + A5: row distinct over the conformed model rows."""
     return dedup.distinct_rows(conformed_users(spark, base).select("rowkey", "userid", "phone", "platform"))
+
+
+# ============================================================ write / read back
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/idweave-io/{name}-{uuid.uuid4().hex}"
+
+
+@query("partition_roundtrip")
+def q_partition_roundtrip(spark, base):
+    """K1 + K3 + S1: write the user model partitioned by (time, platform) with
+    dynamic overwrite, then scan one partition back (pruned at the scan)."""
+    from pyspark.sql import types as T
+
+    from ..schemas import USER_SCHEMA
+    from ..sources.sinks import write_partitions
+    from ..sources.tables import read_partition
+    path = _scratch(spark, "users")
+    write_partitions(conformed_users(spark, base).withColumn("time", F.lit("20240101")), path)
+    schema = T.StructType(USER_SCHEMA.fields + [T.StructField("time", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    return df.filter((F.col("time") == "20240101") & (F.col("platform") == "hike"))
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, base):
+    """CSV with header read back with a fixed schema (bad lines kept aside)."""
+    from ..sources.tables import read_csv
+    u = views.users(spark, base)
+    path = _scratch(spark, "users_csv")
+    u.write.mode("overwrite").option("header", "true").csv(path)
+    return read_csv(spark, path, u.schema).select(*u.columns)
+
+
+@query("json_roundtrip")
+def q_json_roundtrip(spark, base):
+    """JSON lines read back with a fixed schema."""
+    from ..sources.tables import read_json
+    u = views.users(spark, base)
+    path = _scratch(spark, "users_json")
+    u.write.mode("overwrite").json(path)
+    return read_json(spark, path, u.schema).select(*u.columns)

@@ -522,3 +522,8 @@ sql("subtract_rows", with_(RAW_MSG) + """
 SELECT l."user", l.party, l.media FROM raw_msg l WHERE NOT EXISTS (
   SELECT 1 FROM raw_msg r WHERE r.msgtype = 1 AND r."user" IS NOT DISTINCT FROM l."user"
     AND r.party IS NOT DISTINCT FROM l.party AND r.media IS NOT DISTINCT FROM l.media)""")
+
+# ---- write / read back ------------------------------------------------------------
+sql("partition_roundtrip", with_(*CONF_CTES) + "SELECT *, '20240101' AS time FROM conformed WHERE platform = 'hike'")
+sql("csv_roundtrip", with_(USERS) + "SELECT * FROM users")
+sql("json_roundtrip", with_(USERS) + "SELECT * FROM users")

@@ -1,0 +1,5 @@
+"""Structured Streaming: micro-batch merge of profile evidence."""
+
+from .profile_stream import (  # noqa: F401
+    batch_evidence, compact, read_profiles, start_profile_merge, user_rows_stream, write_batch,
+)
