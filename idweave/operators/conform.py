@@ -158,6 +158,30 @@ def spec_phone_id(platform: str, phone: str, update_time: str | None = None,
     return PlatformSpec(platform, cleaned, cols)
 
 
+def group_members(src: DataFrame, platform: str, group_col: str = "groupid", uid_col: str = "uid",
+                  role_col: str = "role") -> DataFrame:
+    """Group member rows: ``groupuid = platform-groupid``, member key
+    ``uuid = md5(uid)-platform``."""
+    gid = F.col(group_col).cast("string")
+    return src.select(F.concat(F.lit(platform + "-"), gid).alias("groupuid"), gid.alias("groupid"),
+                      F.col(uid_col).cast("string").alias("uid"), F.col(role_col).alias("role"),
+                      make_rowkey(F.col(uid_col).cast("string"), platform).alias("uuid"),
+                      F.lit(platform).alias("platform"))
+
+
+def group_info(src: DataFrame, platform: str) -> DataFrame:
+    """Group info rows with ``groupuid`` and the creator's key ``createruuid``.
+
+    Input columns: groupid, groupname, createruid, created, grouptype.
+    """
+    gid = F.col("groupid").cast("string")
+    return src.select(F.concat(F.lit(platform + "-"), gid).alias("groupuid"), gid.alias("groupid"),
+                      "groupname", F.col("createruid").cast("string").alias("createruid"),
+                      F.col("created").cast("string").alias("created"), "grouptype",
+                      make_rowkey(F.col("createruid").cast("string"), platform).alias("createruuid"),
+                      F.lit(platform).alias("platform"))
+
+
 def split_rejects(users: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows without a row key go to a rejects output instead of sharing one key."""
     return users.filter(F.col("rowkey").isNotNull()), users.filter(F.col("rowkey").isNull())

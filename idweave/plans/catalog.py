@@ -35,7 +35,7 @@ def query(name: str):
 
 # ======================================================================= shared
 def messages(spark: SparkSession, base: str) -> DataFrame:
-    return pipelines.clean_messages(views.raw_messages(spark, base))
+    return pipelines.clean_messages_from_source(views.message_source(spark, base), "cust", "supp", "cust")
 
 
 def group_messages(spark: SparkSession, base: str) -> DataFrame:
@@ -689,3 +689,76 @@ def q_json_roundtrip(spark, base):
     path = _scratch(spark, "users_json")
     u.write.mode("overwrite").json(path)
     return read_json(spark, path, u.schema).select(*u.columns)
+
+
+# ======================================================= groups, links, one day
+def _members(spark, base):
+    conv = views.read_table(spark, base, "conversations").select("conv_id", "role").distinct()
+    src = conv.select(F.col("conv_id").alias("groupid"),
+                      F.concat(F.col("role"), F.lit("@"), F.col("conv_id").cast("string")).alias("uid"), "role")
+    return conform.group_members(src, "conv")
+
+
+@query("group_members")
+def q_group_members(spark, base):
+    """Group member rows of every conversation."""
+    return _members(spark, base)
+
+
+@query("group_info_rows")
+def q_group_info_rows(spark, base):
+    """Group info rows (one per system turn) with the creator's key."""
+    sysr = views.read_table(spark, base, "conversations").filter(F.col("role") == "system")
+    src = sysr.select(F.col("conv_id").alias("groupid"), F.col("text").alias("groupname"),
+                      F.concat(F.lit("system@"), F.col("conv_id").cast("string")).alias("createruid"),
+                      F.col("turn").alias("created"), F.lit("conv").alias("grouptype"))
+    return conform.group_info(src, "conv")
+
+
+@query("resolve_group_members")
+def q_resolve_group_members(spark, base):
+    """T21 (J1 on T10): member keys resolved to canonical ids."""
+    lk = views.links(spark, base)
+    m = _members(spark, base).withColumn(
+        "uuid", F.concat(F.md5(F.col("uid")), F.lit("-conv")))
+    return resolve.resolve_column(m, lk, "uuid")
+
+
+@query("rekey_group_messages")
+def q_rekey_group_messages(spark, base):
+    """I8: group-message senders re-keyed to canonical ids."""
+    return merge.rekey_group_messages(group_messages(spark, base), views.links(spark, base))
+
+
+@query("contact_fanout_phone_ids")
+def q_contact_fanout_phone_ids(spark, base):
+    """Contact rows where the cleaned phone is the id (edges)."""
+    return conform.contact_fanout(views.fanout_source(spark, base), "viber", phone_ids=True)[0]
+
+
+def _link_requests(spark, base):
+    c = views.read_table(spark, base, "customer")
+    return c.select(F.expr(views.CUST_ROWKEY).alias("org_id"), F.expr(views.LINK_CONNECT).alias("connect_id"),
+                    F.when(F.col("c_acctbal") >= 0, 1).otherwise(0).alias("status"),
+                    F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "20240101")
+                    .otherwise("20240102").alias("insert_time"))
+
+
+@query("pending_links")
+def q_pending_links(spark, base):
+    """S9 (I5): pending link requests of one insert time."""
+    return merge.pending_links(_link_requests(spark, base), "20240101")
+
+
+@query("clear_pending")
+def q_clear_pending(spark, base):
+    """K7: link requests left after the processed ones are deleted."""
+    return merge.clear_pending(_link_requests(spark, base), "20240101")
+
+
+@query("daily_counters_one_day")
+def q_daily_counters_one_day(spark, base):
+    """T23 as the reference runs it: one day chosen by ``time LIKE 'yyyymmdd%'`` (P5)."""
+    from ..sources.tables import day_prefix
+    e = views.events_by_day(spark, base).withColumn("tstext", F.date_format("ts", "yyyyMMddHHmmss"))
+    return _daily(e.filter(day_prefix("tstext", "20240105")))

@@ -527,3 +527,33 @@ SELECT l."user", l.party, l.media FROM raw_msg l WHERE NOT EXISTS (
 sql("partition_roundtrip", with_(*CONF_CTES) + "SELECT *, '20240101' AS time FROM conformed WHERE platform = 'hike'")
 sql("csv_roundtrip", with_(USERS) + "SELECT * FROM users")
 sql("json_roundtrip", with_(USERS) + "SELECT * FROM users")
+
+# ---- groups, links, one day -----------------------------------------------------
+MEMBERS = """members AS (
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS groupuid, CAST(conv_id AS VARCHAR) AS groupid,
+         role || '@' || CAST(conv_id AS VARCHAR) AS uid, role,
+         md5(role || '@' || CAST(conv_id AS VARCHAR)) || '-conv' AS uuid, 'conv' AS platform
+  FROM (SELECT DISTINCT conv_id, role FROM conversations))"""
+sql("group_members", with_(MEMBERS) + "SELECT * FROM members")
+sql("group_info_rows", """
+SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS groupuid, CAST(conv_id AS VARCHAR) AS groupid, text AS groupname,
+       'system@' || CAST(conv_id AS VARCHAR) AS createruid, CAST(turn AS VARCHAR) AS created, 'conv' AS grouptype,
+       md5('system@' || CAST(conv_id AS VARCHAR)) || '-conv' AS createruuid, 'conv' AS platform
+FROM conversations WHERE role = 'system'""")
+sql("resolve_group_members", with_(MEMBERS, LINKS) + "SELECT * FROM " + resolved(
+    "members", "uuid", ["groupuid", "groupid", "uid", "role", "uuid", "platform"]))
+sql("rekey_group_messages", with_(RAW_GMSG, LINKS) + "SELECT * FROM " + resolved("gmsg", "sender", GMSG_COLS))
+sql("contact_fanout_phone_ids", with_(FAN) + f"""
+SELECT md5({phone_sql('u_phone', 'NULL')}) || '-viber' AS u_uid, md5({phone_sql('c_phone', 'NULL')}) || '-viber' AS c_uid,
+       {name_sql('c_name')} AS name FROM fan""")
+REQUESTS = f"""requests AS (
+  SELECT {CUST_KEY} AS org_id, {LINK_CONNECT} AS connect_id, CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END AS status,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '20240101' ELSE '20240102' END AS insert_time
+  FROM customer)"""
+sql("pending_links", with_(REQUESTS) + """
+SELECT DISTINCT org_id, connect_id FROM requests WHERE status = 1 AND insert_time = '20240101'""")
+sql("clear_pending", with_(REQUESTS) + """
+SELECT * FROM requests WHERE NOT coalesce(status = 1 AND insert_time = '20240101', false)""")
+sql("daily_counters_one_day", with_(
+    "ev AS (SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE strftime(ts, '%Y%m%d%H%M%S') LIKE '20240105%')",
+    daily("all")) + "SELECT * FROM daily_all")

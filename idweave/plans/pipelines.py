@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaners import is_present
+from ..functions.cleaners import is_present, signin_name
+from ..functions.ids import rowkey
 from ..functions.ids import key_part
 from ..operators.conform import to_user_model
 from ..operators.dedup import dedup_keep_min, distinct_rows
@@ -20,6 +21,21 @@ MSG_DEDUP_BY = ["content", "platform", "partyuid", "useruid", "user", "party", "
 GMSG_DEDUP_BY = ["content", "gid", "useruid", "timesent", "media", "msgtype", "platform"]
 
 
+SOURCE_DEDUP_BY = ["useruid", "partyuid", "timesent", "mtext", "media", "direction", "msgtype"]
+
+
+def message_rows(src: DataFrame, user_platform: str, party_platform: str, platform: str,
+                 null_token: str = "null") -> DataFrame:
+    """T8 map step: source rows -> message rows with hashed ends, the message
+    id ``user-timesent-token`` and the sign-in name."""
+    user = rowkey("useruid", user_platform)
+    return src.select(
+        F.concat_ws("-", user, F.col("timesent").cast("string"), "messagetoken").alias("mid"),
+        F.col("mtext").alias("content"), "partyuid", "useruid",
+        rowkey("partyuid", party_platform).alias("party"), user.alias("user"), "timesent", "media",
+        "direction", "msgtype", signin_name("mtext", null_token).alias("name"), F.lit(platform).alias("platform"))
+
+
 def clean_messages(raw: DataFrame) -> DataFrame:
     """T8 (A3 + F16): one message per distinct content/ends/time, smallest
     mid kept; ``platform_msg_id`` is the 4th dash part of the mid."""
@@ -28,6 +44,22 @@ def clean_messages(raw: DataFrame) -> DataFrame:
                       for c in MESSAGE_COLUMNS], "platform")
 
 
+def clean_messages_from_source(src: DataFrame, user_platform: str, party_platform: str, platform: str,
+                               null_token: str = "null") -> DataFrame:
+    """T8 from the platform's source rows, de-duplicated *before* deriving keys.
+
+    ``user``, ``party``, ``name`` and ``platform`` are functions of the raw
+    columns, and within a group ``min(mid) = user-timesent-min(token)``, so
+    grouping on the narrow raw columns gives exactly the groups and ids of
+    ``clean_messages`` while the shuffle carries short ids instead of two
+    hashed keys, a name and a message id per row. Tokens must be non-NULL.
+    """
+    d = src.groupBy(*SOURCE_DEDUP_BY).agg(F.min("messagetoken").alias("messagetoken"))
+    rows_ = message_rows(d, user_platform, party_platform, platform, null_token)
+    return rows_.select(*[key_part("mid", 3).alias(c) if c == "platform_msg_id" else F.col(c)
+                          for c in MESSAGE_COLUMNS], "platform")
+
+
 def message_contacts(messages: DataFrame) -> DataFrame:
     """T8 (A5): contact edges implied by messages: receiver knows sender."""
     return distinct_rows(messages.select(F.col("party").alias("u_uid"), F.col("user").alias("c_uid"), "name"))

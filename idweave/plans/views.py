@@ -132,31 +132,30 @@ def dirty(spark: SparkSession, base: str) -> DataFrame:
                     *[F.expr(e).alias(n) for n, e in DIRTY_EXPRS.items()])
 
 
-def raw_messages(spark: SparkSession, base: str) -> DataFrame:
-    """Direct messages before de-duplication, with the reference's columns."""
+def message_source(spark: SparkSession, base: str) -> DataFrame:
+    """Direct messages as a platform's source table (raw ids, text, token)."""
     li = read_table(spark, base, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     o = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
     m = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-    ts = epoch_seconds("l_shipdate")
-    user = F.concat(F.md5(F.col("o_custkey").cast("string")), F.lit("-cust"))
-    content = F.expr(MSG_CONTENT)
     return m.select(
-        F.concat_ws("-", user, ts.cast("string"), F.expr(MSG_TOKEN)).alias("mid"),
-        content.alias("content"),
-        F.col("l_suppkey").cast("string").alias("partyuid"),
         F.col("o_custkey").cast("string").alias("useruid"),
-        F.concat(F.md5(F.col("l_suppkey").cast("string")), F.lit("-supp")).alias("party"),
-        user.alias("user"),
-        ts.alias("timesent"),
+        F.col("l_suppkey").cast("string").alias("partyuid"),
+        epoch_seconds("l_shipdate").alias("timesent"),
+        F.expr(MSG_TOKEN).alias("messagetoken"),
+        F.expr(MSG_CONTENT).alias("mtext"),
         F.col("o_orderpriority").alias("media"),
         F.col("o_orderstatus").alias("direction"),
         (F.col("l_linenumber") % 2).cast("int").alias("msgtype"),
-        signin_name(content, "null").alias("name"),
-        F.lit("cust").alias("platform"),
     )
 
 
+def raw_messages(spark: SparkSession, base: str) -> DataFrame:
+    """Direct messages before de-duplication, with the reference's columns."""
+    from .pipelines import message_rows
+    return message_rows(message_source(spark, base), "cust", "supp", "cust")
+
+
 def raw_group_messages(spark: SparkSession, base: str) -> DataFrame:
     conv = read_table(spark, base, "conversations")
     token = F.concat(F.col("role"), F.col("turn").cast("string"))
