@@ -80,22 +80,27 @@ def candidate_bounds(threshold: float, weights: dict[str, float], block_attr: st
     return bounds
 
 
-def _prefix_tokens(tokn: DataFrame, bounds: dict[str, float]) -> DataFrame:
+def _prefix_tokens(tokn: DataFrame, bounds: dict[str, float], max_ranked_set: int = 100_000) -> DataFrame:
     """Tokens inside each set's prefix (rarest first) for candidate attributes.
 
     ``tokn`` carries the set size ``n`` of (rowkey, attr). Token order is
     global: ascending frequency, then value.
     """
     usable = [k for k, t in bounds.items() if t <= 1.0]
-    tok = tokn.filter(F.col("attr").isin(usable))
-    freq = tok.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("f"))
     theta = F.create_map(*[x for k in usable for x in (F.lit(k), F.lit(float(bounds[k])))])
-    ranked = (tok.join(freq, on=["attr", "value"])
-              .withColumn("theta", theta[F.col("attr")])
+    tok = tokn.filter(F.col("attr").isin(usable)).withColumn("theta", theta[F.col("attr")])
+    # Sets above the window bound keep all their tokens: a superset of the
+    # prefix is still a valid prefix (more candidates, none lost), and no
+    # single task has to rank an unbounded set.
+    big = tok.filter(F.col("n") > F.lit(max_ranked_set))
+    small = tok.filter(F.col("n") <= F.lit(max_ranked_set))
+    freq = small.groupBy("attr", "value").agg(F.count(F.lit(1)).alias("f"))
+    ranked = (small.join(freq, on=["attr", "value"])
               .withColumn("pos", F.row_number().over(
                   Window.partitionBy("rowkey", "attr").orderBy("f", "value"))))
     plen = F.col("n") - F.ceil(F.col("theta") * F.col("n") - F.lit(EPS)) + F.lit(1)
-    return ranked.filter(F.col("pos") <= plen).select("rowkey", "attr", "value", "n", "theta")
+    cols = ["rowkey", "attr", "value", "n", "theta"]
+    return ranked.filter(F.col("pos") <= plen).select(*cols).unionByName(big.select(*cols))
 
 
 def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
@@ -109,7 +114,8 @@ def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFr
 
 
 def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, float] | None = None,
-                block_attr: str = "phone", hot_postings: int = 64, decimals: int = 6) -> DataFrame:
+                block_attr: str = "phone", hot_postings: int = 64, decimals: int = 6,
+                max_ranked_set: int = 100_000) -> DataFrame:
     """I3 + I4: pairs (rowkey_a < rowkey_b) that share a block value and score
     ``100 * Σ w_k J_k >= threshold``. Each pair appears once, however many
     blocks it shares.
@@ -139,7 +145,7 @@ def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, f
     vals = src.select("attr", "value").distinct().withColumn("vid", F.monotonically_increasing_id())
     tok = (src.join(keys, "rowkey").join(vals, ["attr", "value"])
            .select(F.col("rid").alias("rowkey"), "attr", F.col("vid").alias("value")).checkpoint())
-    pairs = _pair_scores_encoded(tok, threshold, weights, block_attr, hot_postings, decimals)
+    pairs = _pair_scores_encoded(tok, threshold, weights, block_attr, hot_postings, decimals, max_ranked_set)
     ka = keys.select(F.col("rid").alias("ra"), F.col("rowkey").alias("ka"))
     kb = keys.select(F.col("rid").alias("rb"), F.col("rowkey").alias("kb"))
     dec = pairs.join(ka, "ra").join(kb, "rb")
@@ -147,7 +153,7 @@ def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, f
 
 
 def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, float], block_attr: str,
-                         hot_postings: int, decimals: int) -> DataFrame:
+                         hot_postings: int, decimals: int, max_ranked_set: int = 100_000) -> DataFrame:
     sizes = tok.groupBy("rowkey", "attr").agg(F.count(F.lit(1)).alias("n"))
     tokn = tok.join(sizes, on=["rowkey", "attr"])           # every token carries its set size
     blocks = block_keys(tok, block_attr)
@@ -165,7 +171,7 @@ def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, fl
     # Pairs sharing rare tokens, with the shared values (exact, bounded cost).
     shared_rare = _self_pairs(rare, ["gid", "attr", "value"], sizes_ab)
     # Pairs that may qualify only through a hot token: hot tokens in a prefix.
-    pre = _prefix_tokens(tokn, bounds).select("rowkey", "attr", "value", "theta")
+    pre = _prefix_tokens(tokn, bounds, max_ranked_set).select("rowkey", "attr", "value", "theta")
     hot_pre = hot.join(pre, on=["rowkey", "attr", "value"], how="inner")
     hot_cand = (_self_pairs(hot_pre, ["gid", "attr", "value"], [F.col("a.theta").alias("theta"), *sizes_ab])
                 .filter(F.col("theta") * F.greatest("na", "nb") <= F.least("na", "nb") + F.lit(EPS))

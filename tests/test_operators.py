@@ -133,9 +133,9 @@ def _brute_scores(tok_rows, weights, threshold, block_attr="phone"):
     return out
 
 
-@pytest.mark.parametrize("seed,threshold,hot", [(1, 50.0, 3), (2, 35.0, 2), (3, 70.0, 64), (4, 20.0, 2),
-                                                 (5, 60.0, 1)])
-def test_pair_scores_equal_brute_force(spark, seed, threshold, hot):
+@pytest.mark.parametrize("seed,threshold,hot,ranked", [(1, 50.0, 3, 100), (2, 35.0, 2, 100), (3, 70.0, 64, 100),
+                                                        (4, 20.0, 2, 100), (5, 60.0, 1, 100), (6, 45.0, 2, 2)])
+def test_pair_scores_equal_brute_force(spark, seed, threshold, hot, ranked):
     """The pruned scorer returns exactly the brute-force pairs, with hot
     blocks, hot tokens and multi-phone ids present."""
     rnd = random.Random(seed)
@@ -153,7 +153,7 @@ def test_pair_scores_equal_brute_force(spark, seed, threshold, hot):
             toks.add((r, "contacts", f"c{rnd.randint(0, 12)}"))
     df = spark.createDataFrame(sorted(toks), "rowkey string, attr string, value string")
     got = {(r.rowkey_a, r.rowkey_b): r.score for r in
-           match.pair_scores(df, threshold, weights, hot_postings=hot).collect()}
+           match.pair_scores(df, threshold, weights, hot_postings=hot, max_ranked_set=ranked).collect()}
     want = _brute_scores(toks, weights, threshold)
     assert got.keys() == want.keys()
     for k in want:
