@@ -756,6 +756,38 @@ def q_clear_pending(spark, base):
     return merge.clear_pending(_link_requests(spark, base), "20240101")
 
 
+@query("platform_day_users")
+def q_platform_day_users(spark, base):
+    """All user rows of one platform-day (conformed users, contact fan-out
+    users, users named by sign-in messages), ready for the (time, platform) write."""
+    spec = conform.spec_basic("tango", "c_custkey", "raw_name", "raw_phone", "raw_mail")
+    out = pipelines.platform_day(views.dirty(spark, base), spec, views.fanout_source(spark, base),
+                                 views.message_source(spark, base), time="20240101")
+    return out["users"]
+
+
+def _merge_job(spark, base):
+    c = views.read_table(spark, base, "customer")
+    requests = c.select(F.expr(views.LINK_CONNECT).alias("org_id"),
+                        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("connect_id"),
+                        F.lit(1).alias("status"), F.lit("20240101").alias("insert_time")).distinct()
+    return pipelines.identity_merge_job(views.packed_profiles(spark, base), messages(spark, base),
+                                        group_messages(spark, base), views.contacts(spark, base),
+                                        views.links(spark, base), requests, "20240101")
+
+
+@query("merge_job_links")
+def q_merge_job_links(spark, base):
+    """Stored links after merging every canonical id into its nation id."""
+    return _merge_job(spark, base)["links"]
+
+
+@query("merge_job_messages")
+def q_merge_job_messages(spark, base):
+    """Messages re-keyed with the flattened links of the job."""
+    return _merge_job(spark, base)["messages"]
+
+
 @query("daily_counters_one_day")
 def q_daily_counters_one_day(spark, base):
     """T23 as the reference runs it: one day chosen by ``time LIKE 'yyyymmdd%'`` (P5)."""

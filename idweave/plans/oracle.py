@@ -554,6 +554,31 @@ sql("pending_links", with_(REQUESTS) + """
 SELECT DISTINCT org_id, connect_id FROM requests WHERE status = 1 AND insert_time = '20240101'""")
 sql("clear_pending", with_(REQUESTS) + """
 SELECT * FROM requests WHERE NOT coalesce(status = 1 AND insert_time = '20240101', false)""")
+TANGO_MSG = RAW_MSG.replace("'-cust'", "'-tango'").replace("'-supp'", "'-tango'").replace("'cust' AS platform",
+                                                                                        "'tango' AS platform")
+TANGO_NAMED = NAMED.replace("'tango_message'", "'tango_message'")
+TANGO_FAN = FAN_ROWS.replace("'-hike'", "'-tango'")
+sql("platform_day_users", with_(DIRTY, TANGO_MSG, TANGO_NAMED, FAN, TANGO_FAN) + f"""
+SELECT DISTINCT *, '20240101' AS time FROM (
+  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-tango'", userid="CAST(c_custkey AS VARCHAR)",
+                   name=name_sql('raw_name'), name_source="'Unknown'", mail=mail_sql('raw_mail'),
+                   phone=phone_sql('raw_phone'), platform="'tango'", is_user="1")} FROM dirty
+  UNION ALL
+  SELECT {user_row(rowkey='u_key', userid='userid', phone='u_phone_c', is_user='u_is', platform="'tango'")} FROM fanrows
+  UNION ALL
+  SELECT {user_row(rowkey='c_key', userid='contactid', phone='c_phone_c', is_user='c_is', name='name',
+                   name_source='u_key', platform="'tango'")} FROM fanrows
+  UNION ALL SELECT * FROM named)""")
+JOB_LINKS = f"""job_links AS (
+  SELECT {CUST_KEY} AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id FROM customer
+  UNION SELECT md5(role || '@' || CAST(conv_id AS VARCHAR)) || '-conv', {SENDER_CONNECT} FROM conversations)"""
+sql("merge_job_links", with_(JOB_LINKS) + "SELECT * FROM job_links")
+sql("merge_job_messages", with_(RAW_MSG, JOB_LINKS) + """
+SELECT CASE WHEN l1.connect_id IS NOT NULL AND l1.connect_id <> m."user"
+            THEN l1.connect_id || '-' || CAST(m.timesent AS VARCHAR) || '-' || m.platform_msg_id ELSE m.mid END AS mid,
+       m.content, m.platform_msg_id, m.partyuid, m.useruid, coalesce(l2.connect_id, m.party) AS party,
+       coalesce(l1.connect_id, m."user") AS "user", m.timesent, m.media, m.direction, m.msgtype, m.name, m.platform
+FROM msg m LEFT JOIN job_links l1 ON l1.org_id = m."user" LEFT JOIN job_links l2 ON l2.org_id = m.party""")
 sql("daily_counters_one_day", with_(
     "ev AS (SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE strftime(ts, '%Y%m%d%H%M%S') LIKE '20240105%')",
     daily("all")) + "SELECT * FROM daily_all")

@@ -74,6 +74,98 @@ def message_named_users(messages: DataFrame, platform: str = "tango_message",
     return distinct_rows(to_user_model(named, platform=platform, is_user=1))
 
 
+def platform_day(users_src: DataFrame, spec, contacts_src: DataFrame | None = None,
+                 message_src: DataFrame | None = None, prefixes: DataFrame | None = None,
+                 time: str | None = None, platform_suffixes: tuple[str, str] = ("", ""),
+                 null_token: str = "null") -> dict[str, DataFrame]:
+    """Every output of one platform's day, as lazy DataFrames.
+
+    ``users`` gathers all user rows written for the day (conformed users,
+    the two fan-out user sets of contact rows, users named by sign-in
+    messages); ``contacts`` all edges; ``messages`` the cleaned messages;
+    ``region`` the phone enrichment. Each gets ``time`` when given, ready
+    for ``sources.sinks.write_partitions``. Nothing runs until written.
+    """
+    from ..operators.conform import conform_users, contact_fanout
+    from ..operators.enrich import region_lookup
+
+    out: dict[str, DataFrame] = {}
+    users = conform_users(users_src, spec)
+    contacts = None
+    if contacts_src is not None:
+        edges, fan_users = contact_fanout(contacts_src, spec.platform, null_token)
+        users = users.unionByName(fan_users)
+        contacts = edges
+    if message_src is not None:
+        up, pp = platform_suffixes
+        msgs = clean_messages_from_source(message_src, up or spec.platform, pp or spec.platform, spec.platform,
+                                          null_token)
+        out["messages"] = msgs
+        users = users.unionByName(message_named_users(msgs, spec.platform + "_message", null_token))
+        mc = message_contacts(msgs).select("u_uid", "c_uid", "name")
+        contacts = mc if contacts is None else contacts.unionByName(mc)
+    out["users"] = users.distinct()
+    if contacts is not None:
+        out["contacts"] = contacts.distinct()
+    if prefixes is not None:
+        out["region"] = region_lookup(out["users"], prefixes, null_token=null_token)
+    if time is not None:
+        out = {k: v.withColumn("time", F.lit(time)) for k, v in out.items()}
+    return out
+
+
+def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links: DataFrame,
+                  stored: DataFrame | None = None, null_token: str = "null") -> DataFrame:
+    """T16-T18 + T22: resolve ids (J1, J2), build all evidence (A17-A22) and,
+    given the stored evidence, merge into the new stored state (N5).
+
+    Returns scored long evidence (rowkey, attr, value, ev, score) where ``ev``
+    is JSON text, so every attribute shares one schema.
+    """
+    from ..operators import profiles as P
+    from ..operators.resolve import resolve_column, resolve_columns
+
+    ru = resolve_column(users, links, "rowkey")
+    rr = resolve_column(regions, links, "rowkey")
+    re_ = resolve_columns(edges, links, ["u_uid", "c_uid"])
+    parts = [P.generic_evidence(ru, null_token=null_token), P.name_evidence(ru, null_token),
+             P.account_evidence(ru, null_token=null_token), P.region_evidence(rr, null_token),
+             P.contact_evidence(re_, null_token=null_token), P.contact_evidence(re_, True, null_token)]
+    ev = parts[0].select("rowkey", "attr", "value", F.to_json("ev").alias("ev"))
+    for p in parts[1:]:
+        ev = ev.unionByName(p.select("rowkey", "attr", "value", F.to_json("ev").alias("ev")))
+    ev = ev.distinct()
+    if stored is not None:
+        ev = P.merge_evidence(stored.select("rowkey", "attr", "value", "ev"), ev, snapshot=True)
+    return P.score(ev)
+
+
+def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_messages: DataFrame,
+                       edges: DataFrame, stored_links: DataFrame, link_requests: DataFrame,
+                       insert_time: str) -> dict[str, DataFrame]:
+    """T26 (I5-I12, K7): process every pending link of ``insert_time`` in one
+    plan. Returns the merged profiles (long form), re-keyed messages, group
+    messages and edges, the new stored links (flattened) and the link
+    request table without the processed rows. Re-keying uses the full
+    closure of old and new links, so ids carried by old canonical ids move
+    too.
+    """
+    from ..operators import merge as M
+
+    pending = M.pending_links(link_requests, insert_time)
+    links, cycles = M.flatten_links(stored_links, pending)
+    return {
+        "profiles": M.merge_profiles(profiles_cells, links),
+        "archive": M.archive_originals(profiles_cells, pending),
+        "messages": M.rekey_messages(messages, links),
+        "group_messages": M.rekey_group_messages(group_messages, links),
+        "edges": M.rekey_edges(edges, links),
+        "links": links,
+        "link_cycles": cycles,
+        "requests": M.clear_pending(link_requests, insert_time),
+    }
+
+
 def clean_group_messages(raw: DataFrame) -> DataFrame:
     """T9 (A3 + F16) on group messages; ``sender`` is the resolved sender id."""
     d = dedup_keep_min(raw, "mid", GMSG_DEDUP_BY)

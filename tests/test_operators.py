@@ -174,3 +174,23 @@ def test_region_longest_prefix(spark):
                                 "prefix string, country string, province string, city string, code string")
     got = sorted(rows(region_lookup(users, pre), "rowkey", "city", "code"))
     assert got == [("r1", "city", "021"), ("r2", "Unknown", None), ("r3", "Unknown", None)]
+
+
+def test_load_profiles_composition(spark):
+    from idweave.operators.conform import to_user_model
+    from idweave.plans.pipelines import load_profiles
+    users = to_user_model(spark.createDataFrame(
+        [("a", "Ann", "s1", "a@x", "1", "tango"), ("b", "Bo", "s2", "a@x", "null", "hike")],
+        "rowkey string, name string, name_source string, mail string, phone string, platform string"), is_user=1)
+    edges = spark.createDataFrame([("a", "b", "Bo", "tango")], "u_uid string, c_uid string, name string, platform string")
+    regions = spark.createDataFrame([("a", "C", "P", "Unknown", None, "1", "tango")],
+                                    "rowkey string, country string, province string, city string, code string, "
+                                    "phone string, platform string")
+    links = spark.createDataFrame([("b", "a")], "org_id string, connect_id string")
+    ev = load_profiles(users, edges, regions, links)
+    got = {(r.rowkey, r.attr, r.value, r.score) for r in ev.collect()}
+    assert ("a", "mail", "a@x", 2) in got            # two platforms after b -> a
+    assert ("a", "contacts", "a", 1) in got and ("a", "be_contacts", "a", 1) in got
+    assert not any(r[0] == "b" for r in got)
+    again = load_profiles(users, edges, regions, links, stored=ev)
+    assert {(r.rowkey, r.attr, r.value, r.score) for r in again.collect()} == got
