@@ -45,11 +45,11 @@ def group_messages(spark: SparkSession, base: str) -> DataFrame:
 def conformed_users(spark: SparkSession, base: str) -> DataFrame:
     """T1 + T3 + T4 specs applied to the dirty customer view."""
     d = views.dirty(spark, base)
-    a = conform.conform_users(d, conform.spec_basic("tango", "c_custkey", "raw_name", "raw_phone", "raw_mail"))
+    a = conform.conform_users(d, conform.spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail"))
     c = conform.conform_users(d, conform.spec_profile(
-        "hike", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender", "raw_birth",
+        "pc", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender", "raw_birth",
         reg_time="c_mktsegment"))
-    v = conform.conform_users(d, conform.spec_phone_id("viber", "raw_phone"))
+    v = conform.conform_users(d, conform.spec_phone_id("pd", "raw_phone"))
     return a.unionByName(c).unionByName(v)
 
 
@@ -185,7 +185,7 @@ def q_conform_users(spark, base):
 
 
 def _fanout(spark, base):
-    return conform.contact_fanout(views.fanout_source(spark, base), "hike")
+    return conform.contact_fanout(views.fanout_source(spark, base), "pc")
 
 
 @query("contact_fanout_edges")
@@ -204,7 +204,7 @@ def q_contact_fanout_users(spark, base):
 def q_contact_edges_named(spark, base):
     """T5: hashed edges with a cleaned contact name."""
     src = views.fanout_source(spark, base)
-    return conform.contact_edges(src, "tango", "u_uid", "c_uid", "c_name")
+    return conform.contact_edges(src, "pa", "u_uid", "c_uid", "c_name")
 
 
 # ==================================================================== messages
@@ -587,14 +587,14 @@ CELL_CATALOG = Catalog.for_columns("USER", "rowkey", "INFO",
 @query("to_cells")
 def q_to_cells(spark, base):
     """K4 (N8 + F17): wide user rows -> (rowkey, family, qualifier, value) cells."""
-    u = conformed_users(spark, base).filter(F.col("platform") == "hike")
+    u = conformed_users(spark, base).filter(F.col("platform") == "pc")
     return cellio.to_cells(u, CELL_CATALOG)
 
 
 @query("from_cells")
 def q_from_cells(spark, base):
     """S3 (N8 + N9 + F18 + P7): cells -> typed wide rows, domain filter applied."""
-    u = conformed_users(spark, base).filter(F.col("platform") == "hike")
+    u = conformed_users(spark, base).filter(F.col("platform") == "pc")
     cat = Catalog(CELL_CATALOG.table, "rowkey", dict(CELL_CATALOG.columns), domain="is_user = 1")
     return cellio.from_cells(cellio.to_cells(u, cat), cat)
 
@@ -668,7 +668,7 @@ def q_partition_roundtrip(spark, base):
     write_partitions(conformed_users(spark, base).withColumn("time", F.lit("20240101")), path)
     schema = T.StructType(USER_SCHEMA.fields + [T.StructField("time", T.StringType())])
     df = spark.read.schema(schema).parquet(path)
-    return df.filter((F.col("time") == "20240101") & (F.col("platform") == "hike"))
+    return df.filter((F.col("time") == "20240101") & (F.col("platform") == "pc"))
 
 
 @query("csv_roundtrip")
@@ -733,7 +733,7 @@ def q_rekey_group_messages(spark, base):
 @query("contact_fanout_phone_ids")
 def q_contact_fanout_phone_ids(spark, base):
     """Contact rows where the cleaned phone is the id (edges)."""
-    return conform.contact_fanout(views.fanout_source(spark, base), "viber", phone_ids=True)[0]
+    return conform.contact_fanout(views.fanout_source(spark, base), "pd", phone_ids=True)[0]
 
 
 def _link_requests(spark, base):
@@ -760,7 +760,7 @@ def q_clear_pending(spark, base):
 def q_platform_day_users(spark, base):
     """All user rows of one platform-day (conformed users, contact fan-out
     users, users named by sign-in messages), ready for the (time, platform) write."""
-    spec = conform.spec_basic("tango", "c_custkey", "raw_name", "raw_phone", "raw_mail")
+    spec = conform.spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail")
     out = pipelines.platform_day(views.dirty(spark, base), spec, views.fanout_source(spark, base),
                                  views.message_source(spark, base), time="20240101")
     return out["users"]

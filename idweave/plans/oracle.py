@@ -198,18 +198,18 @@ def user_row(**cols: str) -> str:
 
 
 CONFORMED = f"""conformed AS (
-  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-tango'", userid="CAST(c_custkey AS VARCHAR)",
+  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-pa'", userid="CAST(c_custkey AS VARCHAR)",
                    name=name_sql('raw_name'), name_source="'Unknown'", mail=mail_sql('raw_mail'),
-                   phone=phone_sql('raw_phone'), platform="'tango'", is_user="1")} FROM dirty
+                   phone=phone_sql('raw_phone'), platform="'pa'", is_user="1")} FROM dirty
   UNION ALL
-  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-hike'", userid="CAST(c_custkey AS VARCHAR)",
+  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-pc'", userid="CAST(c_custkey AS VARCHAR)",
                    name=name_sql('raw_name'), name_source="'Unknown'", mail=mail_sql('raw_mail'),
-                   phone=phone_sql('raw_phone'), platform="'hike'", reg_time="c_mktsegment",
+                   phone=phone_sql('raw_phone'), platform="'pc'", reg_time="c_mktsegment",
                    gender=gender_sql('raw_gender'), birthday="birth.birthday", is_user="1")}
   FROM dirty JOIN birth USING (c_custkey)
   UNION ALL
-  SELECT {user_row(rowkey=f"md5({phone_sql('raw_phone', 'NULL')}) || '-viber'", userid=phone_sql('raw_phone', 'NULL'),
-                   phone=f"coalesce({phone_sql('raw_phone', 'NULL')}, 'null')", platform="'viber'", is_user="1")}
+  SELECT {user_row(rowkey=f"md5({phone_sql('raw_phone', 'NULL')}) || '-pd'", userid=phone_sql('raw_phone', 'NULL'),
+                   phone=f"coalesce({phone_sql('raw_phone', 'NULL')}, 'null')", platform="'pd'", is_user="1")}
   FROM dirty)"""
 CONF_CTES = (DIRTY, birth_cte("dirty", "c_custkey", "raw_birth"), CONFORMED)
 sql("conform_users", with_(*CONF_CTES) + "SELECT * FROM conformed")
@@ -219,25 +219,25 @@ FAN = ("fan AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in FANOUT_EXPRS.item
        " FROM (SELECT DISTINCT o_custkey, l_suppkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey) p "
        "JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey)")
 FAN_ROWS = f"""fanrows AS (
-  SELECT md5(uid) || '-hike' AS u_key, md5(cid) || '-hike' AS c_key, uid AS userid, cid AS contactid, u_is, c_is,
+  SELECT md5(uid) || '-pc' AS u_key, md5(cid) || '-pc' AS c_key, uid AS userid, cid AS contactid, u_is, c_is,
          {name_sql('c_name')} AS name, {phone_sql('u_phone')} AS u_phone_c, {phone_sql('c_phone')} AS c_phone_c
   FROM (SELECT *, CASE WHEN u_is = 1 THEN u_uid ELSE {phone_sql('u_phone', 'NULL')} END AS uid,
                CASE WHEN c_is = 1 THEN c_uid ELSE {phone_sql('c_phone', 'NULL')} END AS cid FROM fan))"""
 sql("contact_fanout_edges", with_(FAN, FAN_ROWS) + "SELECT u_key AS u_uid, c_key AS c_uid, name FROM fanrows")
 sql("contact_fanout_users", with_(FAN, FAN_ROWS) + f"""
 SELECT DISTINCT * FROM (
-  SELECT {user_row(rowkey='u_key', userid='userid', phone='u_phone_c', is_user='u_is', platform="'hike'")} FROM fanrows
+  SELECT {user_row(rowkey='u_key', userid='userid', phone='u_phone_c', is_user='u_is', platform="'pc'")} FROM fanrows
   UNION ALL
   SELECT {user_row(rowkey='c_key', userid='contactid', phone='c_phone_c', is_user='c_is', name='name',
-                   name_source='u_key', platform="'hike'")} FROM fanrows)""")
+                   name_source='u_key', platform="'pc'")} FROM fanrows)""")
 sql("contact_edges_named", with_(FAN) + f"""
-SELECT md5(u_uid) || '-tango' AS u_uid, md5(c_uid) || '-tango' AS c_uid, {name_sql('c_name')} AS name FROM fan""")
+SELECT md5(u_uid) || '-pa' AS u_uid, md5(c_uid) || '-pa' AS c_uid, {name_sql('c_name')} AS name FROM fan""")
 
 # ---- messages -----------------------------------------------------------------
 sql("gmsg_dedup", with_(RAW_GMSG) + "SELECT * FROM gmsg")
 sql("msg_contacts", with_(RAW_MSG) + 'SELECT DISTINCT party AS u_uid, "user" AS c_uid, name FROM msg')
 NAMED = f"""named AS (SELECT DISTINCT {user_row(rowkey='"user"', userid='useruid', name='name', name_source='party',
-                                              platform="'tango_message'", is_user='1')}
+                                              platform="'pa_message'", is_user='1')}
   FROM msg WHERE name IS NOT NULL AND name <> 'null')"""
 sql("msg_named_users", with_(RAW_MSG, NAMED) + "SELECT * FROM named")
 PAIR_LATEST = "pl AS (" + PAIR_LATEST_BODY.format(
@@ -508,13 +508,13 @@ sql("counter_upsert", with_(EV, daily("old", "day < '20240116'"), daily("new", "
 SELECT * FROM daily_old WHERE time NOT IN (SELECT time FROM daily_new) UNION ALL SELECT * FROM daily_new""")
 
 # ---- sources --------------------------------------------------------------------
-HIKE = "hike AS (SELECT * FROM conformed WHERE platform = 'hike')"
+PC = "pc AS (SELECT * FROM conformed WHERE platform = 'pc')"
 CELL_COLS = ["userid", "name", "mail", "phone", "gender", "birthday", "is_user"]
-sql("to_cells", with_(*CONF_CTES, HIKE) + "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT rowkey, 'INFO' AS family, '{c.upper()}' AS qualifier, CAST({c} AS VARCHAR) AS value FROM hike"
+sql("to_cells", with_(*CONF_CTES, PC) + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT rowkey, 'INFO' AS family, '{c.upper()}' AS qualifier, CAST({c} AS VARCHAR) AS value FROM pc"
     for c in CELL_COLS) + ") WHERE value IS NOT NULL")
-sql("from_cells", with_(*CONF_CTES, HIKE) +
-    "SELECT rowkey, " + ", ".join(CELL_COLS) + " FROM hike WHERE is_user = 1")
+sql("from_cells", with_(*CONF_CTES, PC) +
+    "SELECT rowkey, " + ", ".join(CELL_COLS) + " FROM pc WHERE is_user = 1")
 sql("cell_records", with_(USERS) + "SELECT rowkey, upper(name) AS name, CAST(nation AS INTEGER) AS nation FROM users")
 sql("lines_to_cells", with_(USERS) + "SELECT rowkey, 'INFO' AS family, 'name' AS qualifier, name AS value FROM users")
 sql("subtract_by_key", with_(USERS, LINKS) + "SELECT * FROM users WHERE rowkey NOT IN (SELECT org_id FROM links)")
@@ -524,7 +524,7 @@ SELECT l."user", l.party, l.media FROM raw_msg l WHERE NOT EXISTS (
     AND r.party IS NOT DISTINCT FROM l.party AND r.media IS NOT DISTINCT FROM l.media)""")
 
 # ---- write / read back ------------------------------------------------------------
-sql("partition_roundtrip", with_(*CONF_CTES) + "SELECT *, '20240101' AS time FROM conformed WHERE platform = 'hike'")
+sql("partition_roundtrip", with_(*CONF_CTES) + "SELECT *, '20240101' AS time FROM conformed WHERE platform = 'pc'")
 sql("csv_roundtrip", with_(USERS) + "SELECT * FROM users")
 sql("json_roundtrip", with_(USERS) + "SELECT * FROM users")
 
@@ -544,7 +544,7 @@ sql("resolve_group_members", with_(MEMBERS, LINKS) + "SELECT * FROM " + resolved
     "members", "uuid", ["groupuid", "groupid", "uid", "role", "uuid", "platform"]))
 sql("rekey_group_messages", with_(RAW_GMSG, LINKS) + "SELECT * FROM " + resolved("gmsg", "sender", GMSG_COLS))
 sql("contact_fanout_phone_ids", with_(FAN) + f"""
-SELECT md5({phone_sql('u_phone', 'NULL')}) || '-viber' AS u_uid, md5({phone_sql('c_phone', 'NULL')}) || '-viber' AS c_uid,
+SELECT md5({phone_sql('u_phone', 'NULL')}) || '-pd' AS u_uid, md5({phone_sql('c_phone', 'NULL')}) || '-pd' AS c_uid,
        {name_sql('c_name')} AS name FROM fan""")
 REQUESTS = f"""requests AS (
   SELECT {CUST_KEY} AS org_id, {LINK_CONNECT} AS connect_id, CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END AS status,
@@ -554,20 +554,20 @@ sql("pending_links", with_(REQUESTS) + """
 SELECT DISTINCT org_id, connect_id FROM requests WHERE status = 1 AND insert_time = '20240101'""")
 sql("clear_pending", with_(REQUESTS) + """
 SELECT * FROM requests WHERE NOT coalesce(status = 1 AND insert_time = '20240101', false)""")
-TANGO_MSG = RAW_MSG.replace("'-cust'", "'-tango'").replace("'-supp'", "'-tango'").replace("'cust' AS platform",
-                                                                                        "'tango' AS platform")
-TANGO_NAMED = NAMED.replace("'tango_message'", "'tango_message'")
-TANGO_FAN = FAN_ROWS.replace("'-hike'", "'-tango'")
-sql("platform_day_users", with_(DIRTY, TANGO_MSG, TANGO_NAMED, FAN, TANGO_FAN) + f"""
+PA_MSG = RAW_MSG.replace("'-cust'", "'-pa'").replace("'-supp'", "'-pa'").replace("'cust' AS platform",
+                                                                                        "'pa' AS platform")
+PA_NAMED = NAMED.replace("'pa_message'", "'pa_message'")
+PA_FAN = FAN_ROWS.replace("'-pc'", "'-pa'")
+sql("platform_day_users", with_(DIRTY, PA_MSG, PA_NAMED, FAN, PA_FAN) + f"""
 SELECT DISTINCT *, '20240101' AS time FROM (
-  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-tango'", userid="CAST(c_custkey AS VARCHAR)",
+  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-pa'", userid="CAST(c_custkey AS VARCHAR)",
                    name=name_sql('raw_name'), name_source="'Unknown'", mail=mail_sql('raw_mail'),
-                   phone=phone_sql('raw_phone'), platform="'tango'", is_user="1")} FROM dirty
+                   phone=phone_sql('raw_phone'), platform="'pa'", is_user="1")} FROM dirty
   UNION ALL
-  SELECT {user_row(rowkey='u_key', userid='userid', phone='u_phone_c', is_user='u_is', platform="'tango'")} FROM fanrows
+  SELECT {user_row(rowkey='u_key', userid='userid', phone='u_phone_c', is_user='u_is', platform="'pa'")} FROM fanrows
   UNION ALL
   SELECT {user_row(rowkey='c_key', userid='contactid', phone='c_phone_c', is_user='c_is', name='name',
-                   name_source='u_key', platform="'tango'")} FROM fanrows
+                   name_source='u_key', platform="'pa'")} FROM fanrows
   UNION ALL SELECT * FROM named)""")
 JOB_LINKS = f"""job_links AS (
   SELECT {CUST_KEY} AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id FROM customer

@@ -65,7 +65,7 @@ def message_contacts(messages: DataFrame) -> DataFrame:
     return distinct_rows(messages.select(F.col("party").alias("u_uid"), F.col("user").alias("c_uid"), "name"))
 
 
-def message_named_users(messages: DataFrame, platform: str = "tango_message",
+def message_named_users(messages: DataFrame, platform: str = "pa_message",
                         null_token: str = "null") -> DataFrame:
     """T8 (P4 + A4): a user row for each name seen in a sign-in message."""
     named = messages.filter(is_present("name", null_token)).select(

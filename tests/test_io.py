@@ -86,9 +86,9 @@ def test_streaming_merge_equals_batch_merge(spark):
         r.update(rowkey=rowkey, mail=mail, phone=phone, platform=platform, name=name, name_source="s", is_user=1)
         return tuple(r[c] for c in cols)
 
-    b1 = spark.createDataFrame([user("r1", "a@x", "1", "tango", "Ann"), user("r2", "b@x", "null", "hike", "Bo")],
+    b1 = spark.createDataFrame([user("r1", "a@x", "1", "pa", "Ann"), user("r2", "b@x", "null", "pc", "Bo")],
                                USER_SCHEMA)
-    b2 = spark.createDataFrame([user("r1", "a@x", "2", "hike", "Ann"), user("r3", None, "3", "tango", "null")],
+    b2 = spark.createDataFrame([user("r1", "a@x", "2", "pc", "Ann"), user("r3", None, "3", "pa", "null")],
                                USER_SCHEMA)
     b1.write.mode("append").parquet(src)
     q = profile_stream.start_profile_merge(profile_stream.user_rows_stream(spark, src), store, ckpt,

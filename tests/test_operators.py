@@ -49,8 +49,8 @@ def test_map_merge(spark):
 
 
 def test_evidence_merge_idempotent_and_scored(spark):
-    ev = spark.createDataFrame([("r1", "mail", "a@x", ("tango",)), ("r1", "mail", "a@x", ("hike",)),
-                                ("r2", "mail", "b@x", ("tango",))],
+    ev = spark.createDataFrame([("r1", "mail", "a@x", ("pa",)), ("r1", "mail", "a@x", ("pc",)),
+                                ("r2", "mail", "b@x", ("pa",))],
                                "rowkey string, attr string, value string, ev struct<platform:string>")
     once = profiles.merge_evidence(ev, ev)
     assert sorted(rows(once)) == sorted(rows(ev.distinct()))
@@ -105,12 +105,12 @@ def test_resolve_keeps_unlinked(spark):
 def test_merge_profiles_policy(spark):
     prof = spark.createDataFrame([
         ("a", "PHONE", "1\x022"), ("b", "PHONE", "3"), ("a", "MSG_COUNT", "2"), ("b", "MSG_COUNT", "5"),
-        ("a", "CONTACT", "b|tango"), ("b", "NAME", "name:Bo|platforms:a-tango,x-hike|score:2"),
+        ("a", "CONTACT", "b|pa"), ("b", "NAME", "name:Bo|platforms:a-pa,x-pc|score:2"),
         ("a", "RELATION", "r"), ("a", "OTHER", "o")], "rowkey string, field string, value string")
     links = spark.createDataFrame([("a", "C"), ("b", "C")], "org_id string, connect_id string")
     packed_ = {r.field: r.value for r in merge.pack_entries(merge.merge_profiles(prof, links)).collect()}
-    assert packed_ == {"PHONE": "1\x022\x023", "MSG_COUNT": "7", "CONTACT": "C|tango",
-                       "NAME": "name:Bo|platforms:C-tango,x-hike|score:2"}
+    assert packed_ == {"PHONE": "1\x022\x023", "MSG_COUNT": "7", "CONTACT": "C|pa",
+                       "NAME": "name:Bo|platforms:C-pa,x-pc|score:2"}
 
 
 def _brute_scores(tok_rows, weights, threshold, block_attr="phone"):
@@ -180,10 +180,10 @@ def test_load_profiles_composition(spark):
     from idweave.operators.conform import to_user_model
     from idweave.plans.pipelines import load_profiles
     users = to_user_model(spark.createDataFrame(
-        [("a", "Ann", "s1", "a@x", "1", "tango"), ("b", "Bo", "s2", "a@x", "null", "hike")],
+        [("a", "Ann", "s1", "a@x", "1", "pa"), ("b", "Bo", "s2", "a@x", "null", "pc")],
         "rowkey string, name string, name_source string, mail string, phone string, platform string"), is_user=1)
-    edges = spark.createDataFrame([("a", "b", "Bo", "tango")], "u_uid string, c_uid string, name string, platform string")
-    regions = spark.createDataFrame([("a", "C", "P", "Unknown", None, "1", "tango")],
+    edges = spark.createDataFrame([("a", "b", "Bo", "pa")], "u_uid string, c_uid string, name string, platform string")
+    regions = spark.createDataFrame([("a", "C", "P", "Unknown", None, "1", "pa")],
                                     "rowkey string, country string, province string, city string, code string, "
                                     "phone string, platform string")
     links = spark.createDataFrame([("b", "a")], "org_id string, connect_id string")
