@@ -17,11 +17,13 @@ def write_partitions(df: DataFrame, path: str, partition_cols=("time", "platform
 
     Only the (time, platform) partitions present in ``df`` are replaced; other
     partitions of the table survive (``partitionOverwriteMode=dynamic``).
-    Rows are clustered by the partition columns first so each task writes few
-    files per partition instead of one file per task per partition.
+    Rows are clustered by the partition columns (few files per partition),
+    through a ``rebalance`` hint rather than a plain repartition: AQE splits a
+    partition value that holds a large share of the rows over several tasks
+    and merges small ones, so one hot platform-day is not written by one task.
     """
     cols = list(partition_cols)
-    (df.repartition(*[F.col(c) for c in cols])
+    (df.hint("rebalance", *cols)
        .write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*cols)
