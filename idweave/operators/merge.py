@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import join_key, stable_group_id
 from ..functions.packed import ENTRY_SEP, NAME_ENTRY_RE, entries
 from ..session import checkpoint_dir
+from .lists import bounded_concat
 from .resolve import resolve_column
 
 # Merge policy per packed profile field.
@@ -111,12 +112,13 @@ def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int]
     return plain.unionByName(remapped).unionByName(sums)
 
 
-def pack_entries(merged: DataFrame) -> DataFrame:
-    """Output edge: long merged rows -> one packed cell per (connect_id, field),
-    entries in (org_id, pos) order joined by \\x02."""
-    return (merged.groupBy("connect_id", "field")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("org_id", "pos", "entry"))),
-                                          lambda x: x["entry"]), ENTRY_SEP).alias("value")))
+def pack_entries(merged: DataFrame, max_entries: int = 100_000) -> DataFrame:
+    """Output edge: long merged rows -> packed cells per (connect_id, field),
+    entries in (org_id, pos) order joined by \\x02. A cell with more than
+    ``max_entries`` entries is split into parts (all entries of one original
+    id stay in one part, in order)."""
+    return bounded_concat(merged, ["connect_id", "field"], "entry", ENTRY_SEP, max_entries,
+                          order=["org_id", "pos"], part_by="org_id", out="value")
 
 
 def rekey_messages(messages: DataFrame, links: DataFrame) -> DataFrame:
@@ -145,13 +147,12 @@ def rekey_edges(edges: DataFrame, links: DataFrame, drop_self: bool = False) ->
     return r.filter(F.col("u_uid") != F.col("c_uid")) if drop_self else r
 
 
-def packed_contacts(edges: DataFrame, reverse: bool = False) -> DataFrame:
+def packed_contacts(edges: DataFrame, reverse: bool = False, max_entries: int = 100_000) -> DataFrame:
     """Derive CONTACT (or BE_CONTACT) cells from edges: ``id|platform`` entries."""
     own, other, field = ("c_uid", "u_uid", "BE_CONTACT") if reverse else ("u_uid", "c_uid", "CONTACT")
     e = edges.select(F.col(own).alias("rowkey"), F.concat(F.col(other), F.lit("|"), F.col("platform")).alias("entry"))
-    return (e.distinct().groupBy("rowkey")
-            .agg(F.array_join(F.array_sort(F.collect_list("entry")), ENTRY_SEP).alias("value"))
-            .select("rowkey", F.lit(field).alias("field"), "value"))
+    cells = bounded_concat(e.distinct(), ["rowkey"], "entry", ENTRY_SEP, max_entries)
+    return cells.select("rowkey", F.lit(field).alias("field"), "value")
 
 
 def flatten_links(stored: DataFrame, new: DataFrame, max_rounds: int = 32) -> tuple[DataFrame, DataFrame]:
@@ -184,13 +185,14 @@ def flatten_links(stored: DataFrame, new: DataFrame, max_rounds: int = 32) -> tu
     return out.filter(F.col("org_id") != F.col("connect_id")), cycles
 
 
-def connect_to_orgs(links: DataFrame, sep: str = "\t") -> DataFrame:
+def connect_to_orgs(links: DataFrame, sep: str = "\t", max_entries: int = 100_000) -> DataFrame:
     """A23 / I12 output edge: canonical id -> its originals as sorted text.
 
     The long (connect_id, org_id) link table is what every join uses; this
-    text form is only the stored cell format."""
-    return (links.groupBy("connect_id")
-            .agg(F.array_join(F.array_sort(F.collect_set("org_id")), sep).alias("org_ids")))
+    text form is only the stored cell format. A canonical id with more than
+    ``max_entries`` originals gets several parts instead of one cell."""
+    return bounded_concat(links.select("connect_id", "org_id").distinct(), ["connect_id"], "org_id", sep,
+                          max_entries, out="org_ids")
 
 
 def merge_ids(spark, ids: list[str]) -> DataFrame:

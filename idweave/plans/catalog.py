@@ -17,6 +17,7 @@ from ..functions import cleaners as C
 from ..functions import ids as I
 from ..functions.codec import decode_value, encode_value
 from ..operators import conform, counts, dedup, enrich, match, merge, profiles, resolve, setops
+from ..operators.lists import bounded_concat
 from ..schemas import Catalog, CellColumn
 from ..sources import cells as cellio
 from . import pipelines, views
@@ -509,8 +510,7 @@ def q_id_list_concat(spark, base):
 def q_phone_platform_lists(spark, base):
     """Per id, the sorted list of (phone, platform) entries as text."""
     u = conformed_users(spark, base).filter(C.is_present("phone"))
-    return (u.groupBy("userid").agg(F.array_join(F.array_sort(F.collect_list(
-        F.concat_ws(":", "phone", "platform"))), ",").alias("phones")))
+    return bounded_concat(u, ["userid"], F.concat_ws(":", "phone", "platform"), ",", out="phones")
 
 
 # ==================================================================== counters

@@ -463,10 +463,10 @@ SELECT * FROM cust_cells WHERE rowkey IN (SELECT org_id FROM links WHERE connect
 sql("split_identity_links", with_(LINKS, SPLIT_TARGETS) + """
 SELECT * FROM links WHERE connect_id NOT IN (SELECT connect_id FROM targets)""")
 sql("id_list_concat", with_(LINKS) + """
-SELECT connect_id, string_agg(org_id, chr(9) ORDER BY org_id) AS org_ids FROM (SELECT DISTINCT * FROM links)
-GROUP BY connect_id""")
+SELECT connect_id, CAST(0 AS INTEGER) AS part, string_agg(org_id, chr(9) ORDER BY org_id) AS org_ids
+FROM (SELECT DISTINCT * FROM links) GROUP BY connect_id""")
 sql("phone_platform_lists", with_(*CONF_CTES) + """
-SELECT userid, string_agg(phone || ':' || platform, ',' ORDER BY phone || ':' || platform) AS phones
+SELECT userid, CAST(0 AS INTEGER) AS part, string_agg(phone || ':' || platform, ',' ORDER BY phone || ':' || platform) AS phones
 FROM conformed WHERE phone IS NOT NULL AND phone <> 'null' GROUP BY userid""")
 
 # ---- counters -------------------------------------------------------------------
