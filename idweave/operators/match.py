@@ -142,7 +142,10 @@ def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, f
     checkpoint_dir(src.sparkSession)
     src = src.checkpoint()
     keys = src.select("rowkey").distinct().withColumn("rid", F.monotonically_increasing_id()).checkpoint()
-    vals = src.select("attr", "value").distinct().withColumn("vid", F.monotonically_increasing_id())
+    # Ids come from monotonically_increasing_id, so each dictionary is written
+    # once (checkpoint) before any join reads it: a retried task after an
+    # executor loss reads the same ids instead of recomputing them.
+    vals = src.select("attr", "value").distinct().withColumn("vid", F.monotonically_increasing_id()).checkpoint()
     tok = (src.join(keys, "rowkey").join(vals, ["attr", "value"])
            .select(F.col("rid").alias("rowkey"), "attr", F.col("vid").alias("value")).checkpoint())
     pairs = _pair_scores_encoded(tok, threshold, weights, block_attr, hot_postings, decimals, max_ranked_set)
