@@ -114,7 +114,7 @@ def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFr
 
 
 def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, float] | None = None,
-                block_attr: str = "phone", hot_postings: int = 64, decimals: int = 6,
+                block_attr: str = "phone", hot_postings: int = 256, decimals: int = 6,
                 max_ranked_set: int = 100_000) -> DataFrame:
     """I3 + I4: pairs (rowkey_a < rowkey_b) that share a block value and score
     ``100 * Σ w_k J_k >= threshold``. Each pair appears once, however many
