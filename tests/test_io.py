@@ -104,3 +104,15 @@ def test_streaming_merge_equals_batch_merge(spark):
     key = ["rowkey", "attr", "value", "ev", "score"]
     assert sorted(rows(streamed, *key)) == sorted(rows(batch, *key))
     assert ("r1", "mail", "a@x", 2) in {(r.rowkey, r.attr, r.value, r.score) for r in streamed.collect()}
+
+
+def test_stream_compaction_and_import_table(spark):
+    d = _tmp()
+    store = os.path.join(d, "store")
+    ev = spark.createDataFrame([("r1", "mail", "a@x", "{}", 0), ("r1", "mail", "a@x", "{}", 1)],
+                               "rowkey string, attr string, value string, ev string, epoch int")
+    ev.write.partitionBy("epoch").parquet(store)
+    profile_stream.compact(spark, store, os.path.join(d, "compact"))
+    assert spark.read.parquet(os.path.join(d, "compact")).count() == 1
+    tables.import_table(spark, ev.drop("epoch"), "idweave_test_db", "ev", path=os.path.join(d, "tbl"))
+    assert spark.table("idweave_test_db.ev").count() == 2

@@ -206,3 +206,36 @@ def test_bounded_concat_splits_hot_keys(spark):
     hot = [r for r in out if r.k == "hot"]
     assert len(hot) == 3 and all(len(r.value.split(",")) < 200 for r in hot)
     assert sorted(x for r in hot for x in r.value.split(",")) == [f"v{i:03d}" for i in range(250)]
+
+
+def test_link_flatten_long_chain(spark):
+    new = spark.createDataFrame([(f"c{i}", f"c{i + 1}") for i in range(12)], "org_id string, connect_id string")
+    out, cycles = merge.flatten_links(new.limit(0), new)
+    assert sorted(rows(out)) == sorted((f"c{i}", "c12") for i in range(12)) and rows(cycles) == []
+
+
+def test_remap_in_array(spark):
+    links = spark.createDataFrame([("a", "C")], "org_id string, connect_id string")
+    df = spark.createDataFrame([("k", ["a", "b", "a"])], "key string, ids array<string>")
+    got = sorted(rows(resolve.remap_in_array(df, links, "key", "ids"), "pos", "element", "new_id"))
+    assert got == [(0, "a", "C"), (1, "b", "b"), (2, "a", "C")]
+
+
+def test_merge_profile_rows_and_pivot(spark):
+    vt = T.StructType([T.StructField("evidence", T.ArrayType(T.StringType())), T.StructField("score", T.IntegerType())])
+    mt = T.MapType(T.StringType(), vt)
+    schema = T.StructType([T.StructField("rowkey", T.StringType()), T.StructField("mail", mt),
+                           T.StructField("contacts", mt)])
+    stored = spark.createDataFrame([("r1", {"a@x": (["p1"], 1)}, {"u": (["n|p"], 1)}), ("r9", {"z@x": (["p"], 1)}, None)],
+                                   schema)
+    inc = spark.createDataFrame([("r1", {"a@x": (["p2"], 1)}, None), ("r2", None, {"v": (["n|p"], 1)})], schema)
+    left = {r.rowkey: r for r in profiles.merge_profile_rows(stored, inc, ["mail", "contacts"], vt).collect()}
+    assert set(left) == {"r1", "r2"}
+    assert (left["r1"].mail["a@x"].evidence, left["r1"].mail["a@x"].score) == (["p1", "p2"], 2)
+    assert left["r1"].contact_count == 1 and left["r2"].mail is None and left["r2"].contact_count == 1
+    snap = {r.rowkey for r in profiles.merge_profile_rows(stored, inc, ["mail", "contacts"], vt, snapshot=True).collect()}
+    assert snap == {"r1", "r2", "r9"}
+    ev = spark.createDataFrame([("r1", "mail", "a@x", ("p",)), ("r1", "phone", "1", ("p",))],
+                               "rowkey string, attr string, value string, ev struct<platform:string>")
+    wide = profiles.pivot_profiles(profiles.to_nested(ev), ["mail", "phone"]).first()
+    assert wide.mail["a@x"].score == 1 and wide.phone["1"].evidence[0].platform == "p"
