@@ -103,6 +103,10 @@ def _prefix_tokens(tokn: DataFrame, bounds: dict[str, float], max_ranked_set: in
     return ranked.filter(F.col("pos") <= plen).select(*cols).unionByName(big.select(*cols))
 
 
+def _id128(c):
+    return F.struct(F.xxhash64(c).alias("h1"), F.xxhash64(F.concat(F.lit("\u0001"), c)).alias("h2"))
+
+
 def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
     """Inner equi self-join on ``keys`` with ``a.rowkey < b.rowkey``."""
     a, b = df.alias("a"), df.alias("b")
@@ -135,19 +139,17 @@ def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, f
     """
     weights = weights or DEFAULT_WEIGHTS
     src = tokens.filter(F.col("attr").isin(list(weights))).select("rowkey", "attr", "value").distinct()
-    # Dictionary-encode row keys and values to dense longs: every join and
-    # shuffle below moves 8-byte ids instead of long text keys. The token
-    # table feeds six branches of the plan, so it is materialised once in the
-    # cluster's checkpoint folder (stable ids, lineage cut).
+    # Row keys and values become 128-bit ids (two 64-bit hashes in a struct):
+    # joins and shuffles move 16 bytes instead of long text, with no dictionary
+    # job. A collision needs two of n keys to agree on 128 bits (about n²/2^129,
+    # the same assumption as the md5 row keys of the data model). The token
+    # table feeds six branches, so it is materialised once in the cluster's
+    # checkpoint folder (also cuts the upstream lineage).
     checkpoint_dir(src.sparkSession)
     src = src.checkpoint()
-    keys = src.select("rowkey").distinct().withColumn("rid", F.monotonically_increasing_id()).checkpoint()
-    # Ids come from monotonically_increasing_id, so each dictionary is written
-    # once (checkpoint) before any join reads it: a retried task after an
-    # executor loss reads the same ids instead of recomputing them.
-    vals = src.select("attr", "value").distinct().withColumn("vid", F.monotonically_increasing_id()).checkpoint()
-    tok = (src.join(keys, "rowkey").join(vals, ["attr", "value"])
-           .select(F.col("rid").alias("rowkey"), "attr", F.col("vid").alias("value")).checkpoint())
+    tok = src.select(_id128(F.col("rowkey")).alias("rowkey"), "attr",
+                     _id128(F.concat_ws("\u0000", "attr", "value")).alias("value"))
+    keys = src.select("rowkey").distinct().select(_id128(F.col("rowkey")).alias("rid"), "rowkey")
     pairs = _pair_scores_encoded(tok, threshold, weights, block_attr, hot_postings, decimals, max_ranked_set)
     ka = keys.select(F.col("rid").alias("ra"), F.col("rowkey").alias("ka"))
     kb = keys.select(F.col("rid").alias("rb"), F.col("rowkey").alias("kb"))
