@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import join_key
+from .skew import salted_join
 
 
 def latest_links(links: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -25,12 +26,21 @@ def latest_links(links: DataFrame, order_col: str | None = None) -> DataFrame:
     return links.groupBy("org_id").agg(agg.alias("connect_id"))
 
 
-def resolve_column(df: DataFrame, links: DataFrame, column: str, out: str | None = None) -> DataFrame:
+def resolve_column(df: DataFrame, links: DataFrame, column: str, out: str | None = None,
+                   salt_buckets: int | None = None) -> DataFrame:
     """Replace ``column`` by its canonical id where a link exists
-    (``coalesce(connect_id, column)``); unlinked ids stay as they are."""
+    (``coalesce(connect_id, column)``); unlinked ids stay as they are.
+
+    ``salt_buckets`` spreads each id over that many tasks (``skew.salted_join``)
+    for inputs where one id holds a large share of the rows and AQE's skew
+    handling is not available.
+    """
     out = out or column
     lk = links.select(F.col("org_id").alias("__org"), F.col("connect_id").alias("__cid"))
-    joined = df.join(lk, df[column] == lk["__org"], "left")
+    if salt_buckets:
+        joined = salted_join(df, lk, [(column, "__org")], "left", salt_buckets)
+    else:
+        joined = df.join(lk, df[column] == lk["__org"], "left")
     cols = [F.coalesce(F.col("__cid"), F.col(column)).alias(out) if c == out else F.col(c)
             for c in df.columns]
     if out not in df.columns:

@@ -239,3 +239,11 @@ def test_merge_profile_rows_and_pivot(spark):
                                "rowkey string, attr string, value string, ev struct<platform:string>")
     wide = profiles.pivot_profiles(profiles.to_nested(ev), ["mail", "phone"]).first()
     assert wide.mail["a@x"].score == 1 and wide.phone["1"].evidence[0].platform == "p"
+
+
+def test_salted_resolution_equals_plain(spark):
+    links = spark.createDataFrame([("hot", "C"), ("x", "D")], "org_id string, connect_id string")
+    df = spark.createDataFrame([("hot", i) for i in range(500)] + [("x", 1), ("y", 2), (None, 3)], "rowkey string, v int")
+    plain = sorted(rows(resolve.resolve_column(df, links, "rowkey")), key=str)
+    salted = sorted(rows(resolve.resolve_column(df, links, "rowkey", salt_buckets=8)), key=str)
+    assert plain == salted and len(salted) == 503
