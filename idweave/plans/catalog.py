@@ -44,14 +44,19 @@ def group_messages(spark: SparkSession, base: str) -> DataFrame:
 
 
 def conformed_users(spark: SparkSession, base: str) -> DataFrame:
-    """T1 + T3 + T4 specs applied to the dirty customer view."""
+    """T1 + T2 + T3 + T4 specs applied to the dirty customer view."""
     d = views.dirty(spark, base)
     a = conform.conform_users(d, conform.spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail"))
     c = conform.conform_users(d, conform.spec_profile(
         "pc", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender", "raw_birth",
         reg_time="c_mktsegment"))
     v = conform.conform_users(d, conform.spec_phone_id("pd", "raw_phone"))
-    return a.unionByName(c).unionByName(v)
+    b = conform.conform_users(d.withColumn("reg", F.col("c_nationkey").cast("string"))
+                              .withColumn("acct", F.when(F.col("c_acctbal") >= 0, "active").otherwise("negative")),
+                              conform.spec_profile("pb", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender",
+                                                   "raw_birth", reg_time="reg", parse_birth=False,
+                                                   extra={"lives": "c_mktsegment", "status": "acct"}))
+    return a.unionByName(c).unionByName(v).unionByName(b)
 
 
 def resolved_users(spark: SparkSession, base: str) -> DataFrame:

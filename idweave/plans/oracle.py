@@ -210,6 +210,13 @@ CONFORMED = f"""conformed AS (
   UNION ALL
   SELECT {user_row(rowkey=f"md5({phone_sql('raw_phone', 'NULL')}) || '-pd'", userid=phone_sql('raw_phone', 'NULL'),
                    phone=f"coalesce({phone_sql('raw_phone', 'NULL')}, 'null')", platform="'pd'", is_user="1")}
+  FROM dirty
+  UNION ALL
+  SELECT {user_row(rowkey="md5(CAST(c_custkey AS VARCHAR)) || '-pb'", userid="CAST(c_custkey AS VARCHAR)",
+                   name=name_sql('raw_name'), name_source="'Unknown'", mail=mail_sql('raw_mail'),
+                   phone=phone_sql('raw_phone'), platform="'pb'", reg_time="CAST(c_nationkey AS VARCHAR)",
+                   gender=gender_sql('raw_gender'), birthday="raw_birth", lives="c_mktsegment",
+                   status="CASE WHEN c_acctbal >= 0 THEN 'active' ELSE 'negative' END", is_user="1")}
   FROM dirty)"""
 CONF_CTES = (DIRTY, birth_cte("dirty", "c_custkey", "raw_birth"), CONFORMED)
 sql("conform_users", with_(*CONF_CTES) + "SELECT * FROM conformed")

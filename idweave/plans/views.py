@@ -127,7 +127,7 @@ def users(spark: SparkSession, base: str) -> DataFrame:
 
 def dirty(spark: SparkSession, base: str) -> DataFrame:
     c = read_table(spark, base, "customer")
-    return c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment",
+    return c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal",
                     F.expr(CUST_ROWKEY).alias("rowkey"),
                     *[F.expr(e).alias(n) for n, e in DIRTY_EXPRS.items()])
 
