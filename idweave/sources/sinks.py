@@ -40,6 +40,16 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFra
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
+def upsert_paths(spark, incoming: DataFrame, keys: list[str], targets: list[tuple[str, str]]) -> None:
+    """K5: apply one keyed upsert to several stored tables.
+
+    ``targets`` lists (current snapshot path, new snapshot path); each new
+    snapshot is written whole, so no path is overwritten while it is read.
+    """
+    for current, new in targets:
+        upsert(spark.read.parquet(current), incoming, keys).write.mode("overwrite").parquet(new)
+
+
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     """K7: drop rows matching ``predicate`` (NULL counts as no match)."""
     return df.filter(~F.coalesce(predicate, F.lit(False)))

@@ -116,3 +116,19 @@ def test_stream_compaction_and_import_table(spark):
     assert spark.read.parquet(os.path.join(d, "compact")).count() == 1
     tables.import_table(spark, ev.drop("epoch"), "idweave_test_db", "ev", path=os.path.join(d, "tbl"))
     assert spark.table("idweave_test_db.ev").count() == 2
+
+
+def test_upsert_paths_and_catalog_schema(spark):
+    d = _tmp()
+    old = spark.createDataFrame([("t1", 1), ("t2", 2)], "time string, n int")
+    targets = []
+    for name in ("a", "b", "c"):
+        old.write.parquet(os.path.join(d, name, "v1"))
+        targets.append((os.path.join(d, name, "v1"), os.path.join(d, name, "v2")))
+    sinks.upsert_paths(spark, spark.createDataFrame([("t2", 20)], "time string, n int"), ["time"], targets)
+    for _, new in targets:
+        assert sorted(rows(spark.read.parquet(new))) == [("t1", 1), ("t2", 20)]
+    cat = Catalog.for_columns("T", "id", "INFO", ["id", "a", "b"], {"b": "float"})
+    assert [(f.name, f.dataType.simpleString()) for f in cat.schema().fields] == [
+        ("id", "string"), ("a", "string"), ("b", "double")]
+    assert cat.columns["a"].qualifier == "A"

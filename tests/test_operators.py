@@ -247,3 +247,10 @@ def test_salted_resolution_equals_plain(spark):
     plain = sorted(rows(resolve.resolve_column(df, links, "rowkey")), key=str)
     salted = sorted(rows(resolve.resolve_column(df, links, "rowkey", salt_buckets=8)), key=str)
     assert plain == salted and len(salted) == 503
+
+
+def test_merge_ids_repeatable(spark):
+    a = rows(merge.merge_ids(spark, ["u2", "u1"]))
+    b = rows(merge.merge_ids(spark, ["u1", "u2"]))
+    assert {x[1] for x in a} == {x[1] for x in b} and len({x[1] for x in a}) == 1
+    assert sorted(x[0] for x in a) == ["u1", "u2"]
