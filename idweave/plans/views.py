@@ -293,10 +293,11 @@ def packed_profiles(spark: SparkSession, base: str) -> DataFrame:
                 .select(F.col("u_uid").alias("rowkey"), F.lit("CONTACT_COUNT").alias("field"), "value"))
     counts_b = (edges.groupBy("c_uid").agg(F.countDistinct("u_uid").cast("string").alias("value"))
                 .select(F.col("c_uid").alias("rowkey"), F.lit("BE_CONTACT_COUNT").alias("field"), "value"))
-    mc_u = (msgs.groupBy("user").agg(F.count(F.lit(1)).cast("string").alias("value"))
-            .select(F.col("user").alias("rowkey"), F.lit("MSG_COUNT").alias("field"), "value"))
-    mc_p = (msgs.groupBy("party").agg(F.count(F.lit(1)).cast("string").alias("value"))
-            .select(F.col("party").alias("rowkey"), F.lit("MSG_COUNT").alias("field"), "value"))
+    # Messages per person as sender and as receiver, in one pass (the two
+    # ends are customer and supplier keys, which never coincide).
+    mc = (msgs.select(F.explode(F.array("user", "party")).alias("rowkey")).groupBy("rowkey")
+          .agg(F.count(F.lit(1)).cast("string").alias("value"))
+          .select("rowkey", F.lit("MSG_COUNT").alias("field"), "value"))
     out = (cust_cells.unionByName(supp_names).unionByName(notes).unionByName(contact_cells)
-           .unionByName(counts_c).unionByName(counts_b).unionByName(mc_u).unionByName(mc_p))
+           .unionByName(counts_c).unionByName(counts_b).unionByName(mc))
     return out.filter(F.col("value").isNotNull())
