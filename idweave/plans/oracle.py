@@ -7,6 +7,8 @@ expressions of ``views`` so both engines clean the very same inputs.
 
 from __future__ import annotations
 
+from ..functions import cleaners as _C
+from .catalog import BASE_CONTACTS, BASE_USERS, WEEKLY_CONSTANTS
 from .views import CONV_SIGNIN, DIRTY_EXPRS, FANOUT_EXPRS, LINK_CONNECT, MSG_CONTENT, SENDER_CONNECT
 
 SQL: dict[str, str] = {}
@@ -17,8 +19,10 @@ def sql(name: str, text: str) -> None:
 
 
 # ---- shared CTE pieces ------------------------------------------------------
-SIGNIN_ANY = "也登入 Tango*|is back on Tango*|也登录了 Tango*|님이 Tango*"
-SIGNIN_RM = "也登入 Tango*|is back on Tango*|也登录了 Tango*"
+# Fixed values (phrases, blacklist, rules) come from ``functions.cleaners``,
+# where they are stated once; the SQL below only re-expresses the rules.
+SIGNIN_ANY = "|".join(_C.SIGNIN_PHRASES)
+SIGNIN_RM = "|".join(_C.SIGNIN_REMOVED)
 
 
 def signin_name_sql(x: str) -> str:
@@ -95,8 +99,7 @@ sql("pair_count_latest_any_type", with_(RAW_MSG) + PAIR_LATEST_BODY.format(
 sql("msg_dedup", with_(RAW_MSG) + "SELECT * FROM msg")
 
 # ---- cleaners -----------------------------------------------------------------
-PHONE_BLACK = ("112233|789456123|147258369|987654|87654|123456|654321|54321|111|222|333|444|555|666|777|888|999|"
-               "147852369|87654321|7654321|1478963|3456|45678|13579")
+PHONE_BLACK = "|".join(_C.PHONE_BLACKLIST)
 WS = r" \t\n\x0B\f\r"
 
 
@@ -107,7 +110,8 @@ def phone_sql(x: str, missing: str = "'null'") -> str:
 
 
 def name_sql(x: str, missing: str = "'null'") -> str:
-    junk = "^[" + WS + "+.!/_,$%^*(\"''—！，。？、~@#￥…&（）]*$"
+    chars = "".join(dict.fromkeys(_C.NAME_PUNCT_ASCII + _C.NAME_PUNCT_WIDE)).replace("'", "''")
+    junk = "^[" + WS + chars + "]*$"
     return (f"CASE WHEN {x} IS NULL OR regexp_matches({x}, '{junk}') THEN {missing} "
             f"ELSE regexp_replace({x}, '^[{WS}]+|[{WS}]+$', '', 'g') END")
 
@@ -115,14 +119,14 @@ def name_sql(x: str, missing: str = "'null'") -> str:
 def mail_sql(x: str, missing: str = "'null'") -> str:
     loc, dom = f"split_part({x}, '@', 1)", f"split_part({x}, '@', 2)"
     return (f"CASE WHEN {x} IS NULL OR len(string_split({x}, '@')) <> 2 OR strlen({loc}) < 4 "
-            f"OR ({dom} = 'gmail.com' AND NOT regexp_matches({loc}, '^[a-z0-9.]{{6,30}}', 'i')) "
-            f"OR ({dom} = 'yahoo.com' AND NOT regexp_matches({loc}, '^(a-z)[a-z0-9._]{{4,32}}', 'i')) "
-            f"THEN {missing} ELSE regexp_replace({x}, '\\s+', '', 'g') END")
+            + "".join(f"OR ({dom} = '{d}' AND NOT regexp_matches({loc}, '^({p})', 'i')) "
+                      for d, p in _C.MAIL_DOMAIN_RULES.items())
+            + f"THEN {missing} ELSE regexp_replace({x}, '\\s+', '', 'g') END")
 
 
 def gender_sql(x: str) -> str:
-    return (f"CASE lower({x}) WHEN 'male' THEN 'true' WHEN 'female' THEN 'false' WHEN 'man' THEN 'true' "
-            f"WHEN 'woman' THEN 'false' WHEN 'fm' THEN 'false' WHEN 'm' THEN 'true' WHEN 'f' THEN 'false' END")
+    return (f"CASE lower({x}) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _C.GENDER_WORDS.items())
+            + " END")
 
 
 def birth_cte(src: str, key: str, raw: str, name: str = "birth") -> str:
@@ -497,15 +501,14 @@ def daily(n: str, where: str = "TRUE") -> str:
 
 sql("daily_counters", with_(EV, daily("all")) + "SELECT * FROM daily_all")
 sql("cumulative_counters", with_(EV, daily("all")) + f"""
-SELECT CAST(2055131992 + coalesce(sum(user_count), 0) AS BIGINT) AS user_count,
-       CAST(12140402832 + coalesce(sum(contact_count), 0) AS BIGINT) AS contact_count,
-       CAST({2657456 + 591828} AS BIGINT) AS txt_count, CAST({1754450 + 232048} AS BIGINT) AS pic_count,
-       CAST({71146 + 8816} AS BIGINT) AS video_count, CAST({388313 + 75634} AS BIGINT) AS wav_count,
+SELECT CAST({BASE_USERS} + coalesce(sum(user_count), 0) AS BIGINT) AS user_count,
+       CAST({BASE_CONTACTS} + coalesce(sum(contact_count), 0) AS BIGINT) AS contact_count,
+       """ + ", ".join(f"CAST({v} AS BIGINT) AS {k}" for k, v in WEEKLY_CONSTANTS.items()) + f""",
        {MILLIS.format(d="'20240131'")} AS time
 FROM daily_all WHERE CAST(time AS BIGINT) > 1705276800000""")
-sql("running_counters", with_(EV, daily("all")) + """
-SELECT *, CAST(2055131992 + sum(user_count) OVER w AS BIGINT) AS total_user_count,
-          CAST(12140402832 + sum(contact_count) OVER w AS BIGINT) AS total_contact_count
+sql("running_counters", with_(EV, daily("all")) + f"""
+SELECT *, CAST({BASE_USERS} + sum(user_count) OVER w AS BIGINT) AS total_user_count,
+          CAST({BASE_CONTACTS} + sum(contact_count) OVER w AS BIGINT) AS total_contact_count
 FROM daily_all WINDOW w AS (ORDER BY CAST(time AS BIGINT) ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 sql("detail_count", with_(EV) + """
 SELECT 'events' AS data_name, 'click' AS type, count(*) AS count, 'events' AS source, '20240131' AS insert_time
