@@ -387,21 +387,34 @@ def _msg_evidence(msgs: DataFrame) -> DataFrame:
     return profiles.generic_evidence(src, ["media", "partner"])
 
 
+def _stored_incoming(spark, base) -> tuple[DataFrame, DataFrame]:
+    """Stored and incoming evidence from one pass over the messages: each
+    evidence row is flagged by the message times behind it, and both sides
+    are filters of the same frame (so Spark reuses its exchange)."""
+    m = messages(spark, base)
+    src = m.select(F.col("user").alias("rowkey"), F.col("direction").alias("platform"), "media",
+                   F.col("partyuid").alias("partner"), "timesent")
+    ev = src.unpivot(["rowkey", "platform", "timesent"], ["media", "partner"], "attr", "value")
+    flagged = (ev.filter(C.is_present("value") & F.col("rowkey").isNotNull())
+               .groupBy("rowkey", "attr", "value", "platform")
+               .agg(F.max((F.col("timesent") < STORED_BEFORE).cast("int")).alias("st"),
+                    F.max((F.col("timesent") >= INCOMING_FROM).cast("int")).alias("inc"))
+               .withColumn("ev", F.struct(F.col("platform").alias("platform"))))
+    cols = ["rowkey", "attr", "value", "ev"]
+    return flagged.filter(F.col("st") == 1).select(*cols), flagged.filter(F.col("inc") == 1).select(*cols)
+
+
 @query("profile_merge")
 def q_profile_merge(spark, base):
     """N4 (J12): incoming profiles merged with what was stored for them."""
-    m = messages(spark, base)
-    stored = _msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE))
-    incoming = _msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM))
+    stored, incoming = _stored_incoming(spark, base)
     return _flat(profiles.merge_evidence(stored, incoming, snapshot=False), ["platform"])
 
 
 @query("profile_snapshot")
 def q_profile_snapshot(spark, base):
     """The new stored state (stored-only profiles persist)."""
-    m = messages(spark, base)
-    stored = _msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE))
-    incoming = _msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM))
+    stored, incoming = _stored_incoming(spark, base)
     return _flat(profiles.merge_evidence(stored, incoming, snapshot=True), ["platform"])
 
 
@@ -412,9 +425,8 @@ def q_profile_merge_maps(spark, base):
     Stored and incoming maps (one per profile and attribute) are merged with
     ``map_zip_with``; the output lists value, sorted evidence text and score.
     """
-    m = messages(spark, base)
-    st = profiles.to_nested(_msg_evidence(m.filter(F.col("timesent") < STORED_BEFORE)))
-    inc = profiles.to_nested(_msg_evidence(m.filter(F.col("timesent") >= INCOMING_FROM)))
+    stored, incoming = _stored_incoming(spark, base)
+    st, inc = profiles.to_nested(stored), profiles.to_nested(incoming)
     st = st.select("rowkey", "attr", F.col("profile").alias("stored"))
     j = inc.join(st, ["rowkey", "attr"], "left")
     vt = inc.schema["profile"].dataType.valueType
