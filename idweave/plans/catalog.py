@@ -381,12 +381,6 @@ STORED_BEFORE = 883612800    # 1998-01-01 UTC, epoch seconds
 INCOMING_FROM = 852076800    # 1997-01-01 UTC
 
 
-def _msg_evidence(msgs: DataFrame) -> DataFrame:
-    src = msgs.select(F.col("user").alias("rowkey"), F.col("direction").alias("platform"),
-                      "media", F.col("partyuid").alias("partner"))
-    return profiles.generic_evidence(src, ["media", "partner"])
-
-
 def _stored_incoming(spark, base) -> tuple[DataFrame, DataFrame]:
     """Stored and incoming evidence from one pass over the messages: each
     evidence row is flagged by the message times behind it, and both sides

@@ -254,3 +254,21 @@ def test_merge_ids_repeatable(spark):
     b = rows(merge.merge_ids(spark, ["u1", "u2"]))
     assert {x[1] for x in a} == {x[1] for x in b} and len({x[1] for x in a}) == 1
     assert sorted(x[0] for x in a) == ["u1", "u2"]
+
+
+def test_small_helpers(spark):
+    from idweave.operators.conform import split_rejects, to_user_model
+    links = spark.createDataFrame([("a", "C2", 2), ("a", "C1", 1), ("b", "C1", 5)], "org_id string, connect_id string, t int")
+    assert sorted(rows(resolve.latest_links(links, "t"))) == [("a", "C2"), ("b", "C1")]
+    assert sorted(rows(resolve.latest_links(links.drop("t")))) == [("a", "C1"), ("b", "C1")]
+    users = to_user_model(spark.createDataFrame([("k1", "1"), (None, "2")], "rowkey string, userid string"))
+    good, bad = split_rejects(users)
+    assert rows(good, "userid") == [("1",)] and rows(bad, "userid") == [("2",)]
+    pairs = spark.createDataFrame([("a", "b", 80.0)], "rowkey_a string, rowkey_b string, score double")
+    assert rows(match.links_from_pairs(pairs)) == [("b", "a")]
+    tok = spark.createDataFrame([("a", "phone", "1"), ("b", "phone", "1"), ("a", "name", "x"), ("b", "name", "y")],
+                                "rowkey string, attr string, value string")
+    sizes = tok.groupBy("rowkey", "attr").count().withColumnRenamed("count", "n")
+    cand = spark.createDataFrame([("a", "b")], "ra string, rb string")
+    got = rows(match.score_pairs(cand, tok, sizes, {"phone": 0.5, "name": 0.5}, "phone", None))
+    assert got == [("a", "b", 50.0)]
