@@ -272,3 +272,33 @@ def test_small_helpers(spark):
     cand = spark.createDataFrame([("a", "b")], "ra string, rb string")
     got = rows(match.score_pairs(cand, tok, sizes, {"phone": 0.5, "name": 0.5}, "phone", None))
     assert got == [("a", "b", 50.0)]
+
+
+def test_rekey_leaves_no_linked_ids(spark):
+    links = spark.createDataFrame([("a", "C"), ("b", "C"), ("d", "E")], "org_id string, connect_id string")
+    edges = spark.createDataFrame([("a", "b", "n", "p"), ("a", "x", "n", "p"), ("d", "a", "m", "q"), ("x", "y", "k", "p")],
+                                  "u_uid string, c_uid string, name string, platform string")
+    out = merge.rekey_edges(edges, links)
+    ids = {v for r in out.collect() for v in (r.u_uid, r.c_uid)}
+    assert not ids & {"a", "b", "d"}
+    assert ("C", "C") in {(r.u_uid, r.c_uid) for r in out.collect()}          # self edge kept by default
+    assert ("C", "C") not in {(r.u_uid, r.c_uid) for r in merge.rekey_edges(edges, links, drop_self=True).collect()}
+
+
+def test_weighted_jaccard_properties(spark):
+    from idweave.functions.similarity import weighted_jaccard
+    rnd = random.Random(11)
+    attrs = ["phone", "name", "mail", "contacts"]
+    data = []
+    for _ in range(200):
+        a = [rnd.sample("abcdef", rnd.randint(0, 4)) for _ in attrs]
+        b = [rnd.sample("abcdef", rnd.randint(0, 4)) for _ in attrs]
+        data.append(tuple(a + b))
+    data.append(tuple([["x"], ["y"], ["z"], ["w"]] * 2))                     # identical, all non-empty
+    schema = ", ".join(f"{s}_{k} array<string>" for s in "ab" for k in attrs)
+    df = spark.createDataFrame(data, schema)
+    ab = weighted_jaccard({k: (f"a_{k}", f"b_{k}") for k in attrs})
+    ba = weighted_jaccard({k: (f"b_{k}", f"a_{k}") for k in attrs})
+    got = df.select(ab.alias("ab"), ba.alias("ba")).collect()
+    assert all(abs(r.ab - r.ba) < 1e-9 and -1e-9 <= r.ab <= 100 + 1e-9 for r in got)
+    assert round(got[-1].ab, 6) == 100.0
