@@ -132,3 +132,21 @@ def test_upsert_paths_and_catalog_schema(spark):
     assert [(f.name, f.dataType.simpleString()) for f in cat.schema().fields] == [
         ("id", "string"), ("a", "string"), ("b", "double")]
     assert cat.columns["a"].qualifier == "A"
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from idweave.operators.resolve import resolve_column
+    d = _tmp()
+    msgs = spark.createDataFrame([(f"u{i % 50}", i) for i in range(2000)], "user string, v int")
+    links = spark.createDataFrame([(f"u{i}", f"C{i % 7}") for i in range(50)], "org_id string, connect_id string")
+    sinks.write_bucketed(msgs, "idweave_b_msgs", ["user"], 8, path=os.path.join(d, "m"))
+    sinks.write_bucketed(links, "idweave_b_links", ["org_id"], 8, path=os.path.join(d, "l"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = resolve_column(spark.table("idweave_b_msgs"), spark.table("idweave_b_links"), "user")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert out.count() == 2000 and out.filter("user like 'C%'").count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
