@@ -32,7 +32,9 @@ MAIL_MIN_LOCAL_BYTES = 4
 # start of the local part. The yahoo rule is the reference's own text, whose
 # "(a-z)" asks for the literal characters a-z.
 MAIL_DOMAIN_RULES = {"gmail.com": "[a-z0-9.]{6,30}", "yahoo.com": "(a-z)[a-z0-9._]{4,32}"}
-# Gender words (compared lower-cased) and the text they map to.
+# Gender words (compared lower-cased) and the text they map to. The
+# reference's table also lists "FM", "M" and "F"; the input is lower-cased
+# before the lookup, so those upper-case keys can never match.
 GENDER_WORDS = {
     "male": "true", "female": "false", "man": "true", "woman": "false", "fm": "false",
     "m": "true", "f": "false",
