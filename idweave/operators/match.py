@@ -107,6 +107,30 @@ def _id128(c):
     return F.struct(F.xxhash64(c).alias("h1"), F.xxhash64(F.concat(F.lit("\u0001"), c)).alias("h2"))
 
 
+def _hot_tokens_cannot_qualify(hot: DataFrame, sizes: DataFrame, weights: dict[str, float], block_attr: str,
+                               threshold: float) -> bool:
+    """True when no pair can reach the threshold through hot tokens alone.
+
+    A pair sharing only hot tokens of attribute k has J_k <= hot_a / n_a, so
+    J_k <= M_k = max over ids of (hot share of the set). Bounds
+    θ_k = M_k + ε are a valid pigeonhole allocation whenever
+    Σ w_k θ_k <= τ - w_block; then every qualifying pair has J_k >= θ_k for
+    some k, which forces a shared rare token — and the rare self-join
+    already finds all such pairs. M_k is one small aggregate (a row per
+    attribute).
+    """
+    tau = threshold / 100.0
+    wb = weights.get(block_attr, 0.0)
+    if tau <= wb:
+        return False
+    h = hot.select("rowkey", "attr", "value").distinct().groupBy("rowkey", "attr").agg(F.count(F.lit(1)).alias("h"))
+    shares = {r["attr"]: r["m"] for r in
+              h.join(sizes, on=["rowkey", "attr"]).groupBy("attr").agg(F.max(F.col("h") / F.col("n")).alias("m"))
+              .collect()}
+    need = sum(w * (shares.get(k, 0.0) + 1e-9) for k, w in weights.items() if k != block_attr)
+    return need <= tau - wb - 1e-12
+
+
 def _self_pairs(df: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
     """Inner equi self-join on ``keys`` with ``a.rowkey < b.rowkey``."""
     a, b = df.alias("a"), df.alias("b")
@@ -175,13 +199,17 @@ def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, fl
 
     # Pairs sharing rare tokens, with the shared values (exact, bounded cost).
     shared_rare = _self_pairs(rare, ["gid", "attr", "value"], sizes_ab)
-    # Pairs that may qualify only through a hot token: hot tokens in a prefix.
-    pre = _prefix_tokens(tokn, bounds, max_ranked_set).select("rowkey", "attr", "value", "theta")
-    hot_pre = hot.join(pre, on=["rowkey", "attr", "value"], how="inner")
-    hot_cand = (_self_pairs(hot_pre, ["gid", "attr", "value"], [F.col("a.theta").alias("theta"), *sizes_ab])
-                .filter(F.col("theta") * F.greatest("na", "nb") <= F.least("na", "nb") + F.lit(EPS))
-                .select("ra", "rb"))
-    cand = shared_rare.select("ra", "rb").unionByName(hot_cand).distinct()
+    if _hot_tokens_cannot_qualify(hot, sizes, weights, block_attr, threshold):
+        # Every qualifying pair shares a rare token: no hot token is self-joined.
+        cand = shared_rare.select("ra", "rb").distinct()
+    else:
+        # Pairs that may qualify only through a hot token: hot tokens in a prefix.
+        pre = _prefix_tokens(tokn, bounds, max_ranked_set).select("rowkey", "attr", "value", "theta")
+        hot_pre = hot.join(pre, on=["rowkey", "attr", "value"], how="inner")
+        hot_cand = (_self_pairs(hot_pre, ["gid", "attr", "value"], [F.col("a.theta").alias("theta"), *sizes_ab])
+                    .filter(F.col("theta") * F.greatest("na", "nb") <= F.least("na", "nb") + F.lit(EPS))
+                    .select("ra", "rb"))
+        cand = shared_rare.select("ra", "rb").unionByName(hot_cand).distinct()
 
     # Shared values through hot tokens and the blocking attribute: membership.
     lookup = (hot.select("rowkey", "attr", "value", "n")
