@@ -302,3 +302,32 @@ def test_weighted_jaccard_properties(spark):
     got = df.select(ab.alias("ab"), ba.alias("ba")).collect()
     assert all(abs(r.ab - r.ba) < 1e-9 and -1e-9 <= r.ab <= 100 + 1e-9 for r in got)
     assert round(got[-1].ab, 6) == 100.0
+
+
+@pytest.mark.parametrize("case", ["skip", "no_skip"])
+def test_pair_scores_hot_branches(spark, case):
+    rnd = random.Random(3)
+    weights = {"phone": 0.3, "name": 0.3, "mail": 0.2, "contacts": 0.2}
+    toks = set()
+    for i in range(40):
+        r = f"id{i:02d}"
+        toks.add((r, "phone", "P0" if i < 30 else "P1"))
+        if case == "skip":       # big contact sets, one hot contact: hot share 1/9
+            toks.add((r, "contacts", "HOTC"))
+            for c in rnd.sample(range(60), 8):
+                toks.add((r, "contacts", f"c{c}"))
+            toks.add((r, "name", f"n{i % 13}"))
+        else:                    # tiny name sets made only of a hot value: hot share 1
+            toks.add((r, "name", "HOTN"))
+            toks.add((r, "mail", f"m{i % 4}"))
+    df = spark.createDataFrame(sorted(toks), "rowkey string, attr string, value string")
+    tok = df.filter(F.col("attr").isin(list(weights)))
+    sizes = tok.groupBy("rowkey", "attr").agg(F.count(F.lit(1)).alias("n"))
+    blocks = match.block_keys(tok)
+    tb = tok.join(blocks, "rowkey")
+    post = tb.groupBy("gid", "attr", "value").agg(F.count(F.lit(1)).alias("f"))
+    hot = tb.join(post, ["gid", "attr", "value"]).filter(F.col("f") > 5)
+    assert match._hot_tokens_cannot_qualify(hot, sizes, weights, "phone", 50.0) == (case == "skip")
+    got = {(r.rowkey_a, r.rowkey_b): r.score for r in match.pair_scores(df, 50.0, weights, hot_postings=5).collect()}
+    want = _brute_scores(toks, weights, 50.0)
+    assert got.keys() == want.keys() and len(want) > 0
