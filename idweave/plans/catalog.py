@@ -767,6 +767,17 @@ def q_clear_pending(spark, base):
     return merge.clear_pending(_link_requests(spark, base), "20240101")
 
 
+@query("event_props")
+def q_event_props(spark, base):
+    """F19 on stored JSON text: event properties decoded with a fixed schema,
+    then summed per event type and property value."""
+    from ..functions.codec import from_json_text
+    e = views.read_table(spark, base, "events").select(
+        "event_type", "value", from_json_text("props", "k int").alias("p"))
+    return e.groupBy("event_type", F.col("p.k").alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 6).alias("total"))
+
+
 @query("platform_day_users")
 def q_platform_day_users(spark, base):
     """All user rows of one platform-day (conformed users, contact fan-out

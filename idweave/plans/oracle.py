@@ -579,6 +579,9 @@ SELECT DISTINCT *, '20240101' AS time FROM (
   SELECT {user_row(rowkey='c_key', userid='contactid', phone='c_phone_c', is_user='c_is', name='name',
                    name_source='u_key', platform="'pa'")} FROM fanrows
   UNION ALL SELECT * FROM named)""")
+sql("event_props", """
+SELECT event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k, count(*) AS n, round(sum(value), 6) AS total
+FROM events GROUP BY 1, 2""")
 JOB_LINKS = f"""job_links AS (
   SELECT {CUST_KEY} AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id FROM customer
   UNION SELECT md5(role || '@' || CAST(conv_id AS VARCHAR)) || '-conv', {SENDER_CONNECT} FROM conversations)"""
