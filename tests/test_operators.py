@@ -36,8 +36,8 @@ def test_pair_count_latest_filters_signin(spark):
 
 
 def test_map_merge(spark):
-    vt = profiles.EVIDENCE = T.StructType([T.StructField("evidence", T.ArrayType(T.StringType())),
-                                          T.StructField("score", T.IntegerType())])
+    vt = T.StructType([T.StructField("evidence", T.ArrayType(T.StringType())),
+                       T.StructField("score", T.IntegerType())])
     mt = T.MapType(T.StringType(), vt)
     df = spark.createDataFrame([({"k1": (["t"], 1), "k2": (["x"], 1)}, {"k1": (["h", "t"], 2), "k3": (["z"], 1)})],
                                T.StructType([T.StructField("s", mt), T.StructField("i", mt)]))
