@@ -1,5 +1,7 @@
-"""Structured Streaming: micro-batch merge of profile evidence."""
+"""Structured Streaming: micro-batch merge of profile evidence; daily counters
+with an event-time watermark."""
 
+from .counters import daily_id_counts, start_daily_counts  # noqa: F401
 from .profile_stream import (  # noqa: F401
     batch_evidence, compact, read_profiles, start_profile_merge, user_rows_stream, write_batch,
 )
