@@ -54,6 +54,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("IDWEAVE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete checkpoint files once their data is no longer referenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
