@@ -166,3 +166,61 @@ def test_streaming_daily_counts_equal_batch(spark):
              .agg(F.countDistinct("event_id").alias("count")))
     assert sorted(rows(streamed)) == sorted(rows(batch))
     assert sorted(rows(daily_id_counts(spark.read.parquet(base)))) == sorted(rows(batch))
+
+
+def test_jobs_end_to_end(spark):
+    from idweave import jobs
+    from idweave.operators.conform import spec_basic
+    from idweave.plans import catalog, views
+    d = _tmp()
+    sf = "/root/testdata/sf0.001"
+    views.dirty(spark, sf).write.parquet(os.path.join(d, "users_src"))
+    views.fanout_source(spark, sf).write.parquet(os.path.join(d, "contacts_src"))
+    views.message_source(spark, sf).write.parquet(os.path.join(d, "msgs_src"))
+    views.prefixes(spark, sf).write.parquet(os.path.join(d, "prefixes"))
+    spec = spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail")
+    written = jobs.run_platform_day(spark, spec, os.path.join(d, "users_src"), "20240101", os.path.join(d, "day"),
+                                    os.path.join(d, "contacts_src"), os.path.join(d, "msgs_src"),
+                                    os.path.join(d, "prefixes"))
+    assert set(written) == {"users", "contacts", "messages", "region"}
+    users = spark.read.parquet(os.path.join(d, "day", "users")).filter("time = '20240101'")
+    assert users.count() == catalog.q_platform_day_users(spark, sf).count()
+
+    # E2 on E1's outputs
+    views.links(spark, sf).write.parquet(os.path.join(d, "links"))
+    day = os.path.join(d, "day")
+    jobs.run_load_profiles(spark, f"{day}/users", f"{day}/contacts", f"{day}/region", os.path.join(d, "links"),
+                           os.path.join(d, "profiles_ev"))
+    ev_rows = spark.read.parquet(os.path.join(d, "profiles_ev"))
+    assert set(r.attr for r in ev_rows.select("attr").distinct().collect()) >= {"mail", "phone", "name", "platform"}
+    assert ev_rows.filter("score < 1").count() == 0
+
+    # E3 on the stored tables
+    catalog.messages(spark, sf).write.parquet(os.path.join(d, "msgs"))
+    catalog.group_messages(spark, sf).write.parquet(os.path.join(d, "gmsgs"))
+    views.contacts(spark, sf).write.parquet(os.path.join(d, "edges"))
+    views.packed_profiles(spark, sf).write.parquet(os.path.join(d, "profiles"))
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    c.select(F.expr(views.LINK_CONNECT).alias("org_id"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
+             .alias("connect_id"), F.lit(1).alias("status"), F.lit("20240101").alias("insert_time")).distinct() \
+        .write.parquet(os.path.join(d, "requests"))
+    outs = jobs.run_identity_merge(spark, *(os.path.join(d, x) for x in
+                                            ("profiles", "msgs", "gmsgs", "edges", "links", "requests")),
+                                   "20240101", os.path.join(d, "merge"))
+    assert "links" in outs
+    new_links = spark.read.parquet(os.path.join(d, "merge", "links"))
+    assert sorted(rows(new_links)) == sorted(rows(catalog.q_merge_job_links(spark, sf)))
+    assert spark.read.parquet(os.path.join(d, "merge", "requests")).count() == 0
+
+    # E4
+    ev = views.events_by_day(spark, sf)
+    for name, df in {"signup": ev.filter("event_type = 'signup'"), "purchase": ev.filter("event_type = 'purchase'")}.items():
+        df.select("day", F.col("user_id").alias("uid")).write.parquet(os.path.join(d, name))
+    ev.select("day", "user_id", "event_type").write.parquet(os.path.join(d, "contacts_ev"))
+    ev.filter("event_type = 'click'").select("day", F.col("event_id").alias("mid")).write.parquet(os.path.join(d, "m"))
+    ev.filter("event_type = 'view'").select("day", F.col("event_id").alias("mid")).write.parquet(os.path.join(d, "g"))
+    jobs.run_daily_counters(spark, [os.path.join(d, "signup"), os.path.join(d, "purchase")],
+                            os.path.join(d, "contacts_ev"), os.path.join(d, "m"), os.path.join(d, "g"),
+                            os.path.join(d, "daily"))
+    assert sorted(rows(spark.read.parquet(os.path.join(d, "daily")))) == \
+        sorted(rows(catalog.q_daily_counters(spark, sf)))
