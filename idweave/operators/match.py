@@ -184,7 +184,9 @@ def pair_scores(tokens: DataFrame, threshold: float = 50.0, weights: dict[str, f
 def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, float], block_attr: str,
                          hot_postings: int, decimals: int, max_ranked_set: int = 100_000) -> DataFrame:
     sizes = tok.groupBy("rowkey", "attr").agg(F.count(F.lit(1)).alias("n"))
-    tokn = tok.join(sizes, on=["rowkey", "attr"])           # every token carries its set size
+    # Every token carries its set size; this table feeds four branches, so it
+    # is written once (checkpoint) rather than re-joined in each.
+    tokn = tok.join(sizes, on=["rowkey", "attr"]).checkpoint()
     blocks = block_keys(tok, block_attr)
     bounds = candidate_bounds(threshold, weights, block_attr)
     cand_attrs = [k for k, t in bounds.items() if t <= 1.0]
