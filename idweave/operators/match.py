@@ -193,7 +193,7 @@ def _pair_scores_encoded(tok: DataFrame, threshold: float, weights: dict[str, fl
 
     tb = tokn.filter(F.col("attr").isin(cand_attrs)).join(blocks, on="rowkey", how="inner")
     post = tb.groupBy("gid", "attr", "value").agg(F.count(F.lit(1)).alias("f"))
-    tbf = tb.join(post, on=["gid", "attr", "value"], how="inner")
+    tbf = tb.join(post, on=["gid", "attr", "value"], how="inner").checkpoint()   # feeds four branches
     cols = ["gid", "rowkey", "attr", "value", "n"]
     rare = tbf.filter(F.col("f") <= hot_postings).select(*cols)
     hot = tbf.filter(F.col("f") > hot_postings).select(*cols)
