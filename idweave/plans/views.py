@@ -7,14 +7,19 @@ work grows with them:
 * ``users``      customer as platform ``cust`` ∪ supplier as platform ``supp``
 * ``dirty``      customer with raw phone/mail/name/gender/birth/platform text
                  spelled out from its columns, so every cleaner rule is hit
-* ``raw_messages`` lineitem ⋈ orders as direct messages (user = customer,
-                 party = supplier); a sign-in phrase is planted on line 4
+* ``message_source`` lineitem ⋈ orders as a platform's raw message rows
+                 (user = customer, party = supplier); a sign-in phrase is
+                 planted on line 4. ``raw_messages``: the same with ids,
+                 keys and names derived (before de-duplication)
 * ``raw_group_messages`` conversations as group messages
 * ``group_info`` one row per system turn of a conversation
+* ``signin_texts`` conversation text with planted sign-in phrases
 * ``contacts``   distinct (customer, supplier, supplier name, priority)
-* ``links``      customer -> canonical id by (nation, segment);
-  ``links_next`` a second generation re-pointing canonical ids (and
-  suppliers) to nation ids
+* ``fanout_source`` platform-C contact rows (ids or phones, registered flags)
+* ``links``      customer -> canonical id by (nation, segment), conversation
+  senders -> role ids; ``links_next`` a second generation re-pointing the
+  canonical ids (and suppliers) to nation ids; ``links_nation`` its closure
+* ``packed_profiles`` stored profiles in the packed text-cell form
 * ``prefixes``   phone prefix lookup built from nation ⋈ region
 * ``events_by_day`` events with a ``yyyyMMdd`` day
 
