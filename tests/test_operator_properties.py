@@ -140,3 +140,63 @@ def test_merge_profiles_rule(spark, seed):
         if counts:
             want[(c, "MSG_COUNT")] = str(sum(counts))
     assert got == want
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_narrow_key_dedup_equals_reference_shape(spark, seed):
+    """T8 on raw source rows (group by raw columns, min token, derive keys)
+    gives exactly the rows of the reference shape (derive keys, group by
+    all derived columns, min mid)."""
+    from idweave.plans import pipelines
+    rnd = random.Random(seed)
+    texts = ["hi", "Ann is back on Tango, x", "Bo也登入 Tangoo", "hey"]
+    src = [(str(rnd.randint(1, 4)), str(rnd.randint(1, 3)), rnd.randint(0, 3), f"t{rnd.randint(0, 30)}.{i % 3}",
+            rnd.choice(texts), rnd.choice(["m1", "m2"]), rnd.choice(["d"]), rnd.randint(0, 1)) for i in range(300)]
+    df = spark.createDataFrame(src, "useruid string, partyuid string, timesent long, messagetoken string, "
+                                    "mtext string, media string, direction string, msgtype int")
+    narrow = pipelines.clean_messages_from_source(df, "pa", "pa", "pa")
+    wide = pipelines.clean_messages(pipelines.message_rows(df, "pa", "pa", "pa"))
+    assert sorted(rows(narrow), key=str) == sorted(rows(wide.select(*narrow.columns)), key=str)
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_region_longest_prefix_rule(spark, seed):
+    from idweave.operators.enrich import region_lookup
+    rnd = random.Random(seed)
+    prefixes = {}
+    for _ in range(25):
+        p = "".join(rnd.choice("0123") for _ in range(rnd.randint(1, 4)))
+        prefixes[p] = (f"C{p}", "P", None, None)
+    phones = sorted({("r" + str(i), "".join(rnd.choice("0123") for _ in range(rnd.randint(3, 8))), "pa")
+                     for i in range(60)})
+    pre = spark.createDataFrame([(k, *v) for k, v in prefixes.items()],
+                                "prefix string, country string, province string, city string, code string")
+    got = {(r.rowkey, r.phone): r.country for r in
+           region_lookup(spark.createDataFrame(phones, "rowkey string, phone string, platform string"), pre).collect()}
+    for rk, ph, _ in phones:
+        best = max((p for p in prefixes if ph.startswith(p)), key=len, default=None)
+        assert got[(rk, ph)] == (prefixes[best][0] if best else "Unknown")
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_dedup_and_daily_counters_rules(spark, seed):
+    from idweave.operators.counts import daily_counters
+    from idweave.operators.dedup import dedup_keep_min
+    rnd = random.Random(seed)
+    data = [(f"id{rnd.randint(0, 50)}", rnd.choice(["a", "b", None]), rnd.randint(0, 2)) for _ in range(150)]
+    got = sorted(rows(dedup_keep_min(spark.createDataFrame(data, "mid string, c string, v int"), "mid")), key=str)
+    groups = collections.defaultdict(list)
+    for mid, c, v in data:
+        groups[(c, v)].append(mid)
+    assert got == sorted(((min(m), c, v) for (c, v), m in groups.items()), key=str)
+
+    days = ["20240101", "20240102"]
+    ev = [(rnd.choice(days), rnd.choice([1, 2, 3, None])) for _ in range(40)]
+    mids = [(rnd.choice(days), rnd.choice(["m1", "m2", None])) for _ in range(40)]
+    u = spark.createDataFrame(ev, "day string, uid int")
+    m = spark.createDataFrame(mids, "day string, mid string")
+    out = {r.day: r for r in daily_counters([u], u.select("day", "uid"), m, m).collect()}
+    for d in days:
+        assert out[d].user_count == len({x for (dd, x) in ev if dd == d})          # NULL is a group (D8)
+        assert out[d].message_count == len({x for (dd, x) in mids if dd == d})
+        assert out[d].contact_count == len({(dd, x) for (dd, x) in ev if dd == d})
