@@ -75,3 +75,65 @@ def run_daily_counters(spark: SparkSession, user_paths: list[str], contacts_path
     counts = daily_counters([rd(p) for p in user_paths], rd(contacts_path), rd(messages_path),
                             rd(group_messages_path))
     _write(counts, out_path)
+
+
+def _spec_from_json(text: str) -> PlatformSpec:
+    """Platform spec from JSON: {"platform", "id", "columns": {model: source},
+    "cleaners": {model: cleaner name}, "constants": {model: value}, "is_user"}."""
+    import json
+
+    from .functions import cleaners as C
+
+    names = {"phone": C.clean_phone, "name": C.clean_name, "mail": C.clean_mail, "birth": C.clean_birth,
+             "gender": lambda c, t=None: C.clean_gender(c)}
+    d = json.loads(text)
+    token = d.get("null_token", "null")
+    return PlatformSpec(d["platform"], d["id"], dict(d.get("columns", {})),
+                        {k: (lambda c, f=names[v]: f(c, token)) for k, v in d.get("cleaners", {}).items()},
+                        dict(d.get("constants", {})), int(d.get("is_user", 1)))
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    """Command line: ``python -m idweave.jobs <job> ...`` (see ``--help``)."""
+    import argparse
+
+    ap = argparse.ArgumentParser(prog="idweave.jobs")
+    sub = ap.add_subparsers(dest="job", required=True)
+    p = sub.add_parser("platform-day", help="E1: clean one platform's day")
+    p.add_argument("--spec", required=True, help="platform spec as JSON")
+    p.add_argument("--users", required=True)
+    p.add_argument("--day", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--contacts")
+    p.add_argument("--messages")
+    p.add_argument("--prefixes")
+    p = sub.add_parser("load-profiles", help="E2: evidence profiles merged with the stored state")
+    for a in ("users", "edges", "regions", "links", "out"):
+        p.add_argument(f"--{a}", required=True)
+    p.add_argument("--stored")
+    p = sub.add_parser("identity-merge", help="E3: process pending links")
+    for a in ("profiles", "messages", "group-messages", "edges", "links", "requests", "insert-time", "out"):
+        p.add_argument(f"--{a}", required=True)
+    p = sub.add_parser("daily-counters", help="E4: per-day counters")
+    p.add_argument("--users", required=True, nargs="+")
+    for a in ("contacts", "messages", "group-messages", "out"):
+        p.add_argument(f"--{a}", required=True)
+    p.add_argument("--day")
+    a = ap.parse_args(argv)
+
+    if spark is None:
+        from .session import configure
+        spark = configure(SparkSession.builder.getOrCreate())
+    if a.job == "platform-day":
+        run_platform_day(spark, _spec_from_json(a.spec), a.users, a.day, a.out, a.contacts, a.messages, a.prefixes)
+    elif a.job == "load-profiles":
+        run_load_profiles(spark, a.users, a.edges, a.regions, a.links, a.out, a.stored)
+    elif a.job == "identity-merge":
+        run_identity_merge(spark, a.profiles, a.messages, a.group_messages, a.edges, a.links, a.requests,
+                           a.insert_time, a.out)
+    else:
+        run_daily_counters(spark, a.users, a.contacts, a.messages, a.group_messages, a.out, a.day)
+
+
+if __name__ == "__main__":
+    main()
