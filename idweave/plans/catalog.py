@@ -678,8 +678,7 @@ def q_partition_roundtrip(spark, base):
     path = _scratch(spark, "users")
     write_partitions(conformed_users(spark, base).withColumn("time", F.lit("20240101")), path)
     schema = T.StructType(USER_SCHEMA.fields + [T.StructField("time", T.StringType())])
-    df = spark.read.schema(schema).parquet(path)
-    return df.filter((F.col("time") == "20240101") & (F.col("platform") == "pc"))
+    return read_partition(spark, path, "platform", "pc", schema=schema).filter(F.col("time") == "20240101")
 
 
 @query("csv_roundtrip")

@@ -32,7 +32,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaners import signin_name
 from ..functions.ids import epoch_seconds
 from ..sources.tables import read_table
 

@@ -21,9 +21,14 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def read_partition(spark: SparkSession, path: str, partition_col: str, value: str,
-                   columns: list[str] | None = None) -> DataFrame:
-    """One day (or other partition value) of a partitioned table."""
-    df = spark.read.parquet(path).filter(F.col(partition_col) == F.lit(value))
+                   columns: list[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """One day (or other partition value) of a partitioned table.
+
+    With ``schema`` the partition columns keep their declared types (without
+    it, partition discovery would type a day such as 20240101 as a number).
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path).filter(F.col(partition_col) == F.lit(value))
     return df.select(*columns) if columns else df
 
 
