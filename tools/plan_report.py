@@ -11,6 +11,8 @@ full run (``noop`` sink), so AQE's final choices are what is reported.
 from __future__ import annotations
 
 import argparse
+import contextlib
+import io
 import os
 import re
 import sys
@@ -60,6 +62,15 @@ def main() -> None:
         lines.append(f"| `{name}` | {c['shuffles']} | {c['broadcasts']} | {c['reused']} | {c['smj']} | {c['bhj']} | "
                      f"{c['shj']} | {c['windows']} | {c['wgl_partial']} | {c['sort_agg']} | {c['scans']} | "
                      f"{c['pushed']} | {c['python']} |")
+    lines += ["", "## Operator trees of key queries (final adaptive plans)", ""]
+    for name in ("pair_count_latest", "total_msgs_per_user", "resolve_messages", "region_lookup"):
+        df = QUERIES[name](spark, args.sf)
+        df.write.format("noop").mode("overwrite").save()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        tree = buf.getvalue().split("\n\n\n")[0].strip()
+        lines += [f"### `{name}`", "", "```", tree, "```", ""]
     with open(args.out, "w") as f:
         f.write("\n".join(lines) + "\n")
     print(f"wrote {args.out} ({len(QUERIES)} queries)")
