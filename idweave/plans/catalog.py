@@ -394,6 +394,11 @@ def _stored_incoming(spark, base) -> tuple[DataFrame, DataFrame]:
                .agg(F.max((F.col("timesent") < STORED_BEFORE).cast("int")).alias("st"),
                     F.max((F.col("timesent") >= INCOMING_FROM).cast("int")).alias("inc"))
                .withColumn("ev", F.struct(F.col("platform").alias("platform"))))
+    # Both sides and every later use read this frame; written once (checkpoint)
+    # it is not recomputed from the messages for each of them.
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    flagged = flagged.checkpoint()
     cols = ["rowkey", "attr", "value", "ev"]
     return flagged.filter(F.col("st") == 1).select(*cols), flagged.filter(F.col("inc") == 1).select(*cols)
 
