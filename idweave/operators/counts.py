@@ -18,10 +18,6 @@ from ..functions.cleaners import signin_filter
 from ..functions.ids import day_to_epoch_millis, join_key
 from .latest import latest_with_count
 
-PAIR_OUT = ["uuid", "user", "count", "content", "timesent", "platform_msg_id", "partyuid", "party", "platform"]
-GROUP_OUT = ["uuid", "sender", "count", "content", "timesent", "media", "platform_msg_id", "platform", "guid"]
-
-
 def pair_count_latest(messages: DataFrame, msgtype: int = 0, join_back: bool = False,
                       null_token: str = "null") -> DataFrame:
     """T14 part 1 (A1 + J5 + F11 + P9): per (user, party), the number of
