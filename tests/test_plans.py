@@ -26,6 +26,15 @@ def test_flagship_window_group_limit(spark):
     assert "WindowGroupLimit" in text
 
 
+def test_flagship_final_adaptive_plan(spark):
+    df = QUERIES["pair_count_latest"](spark, SF)
+    df._jdf.queryExecution().toRdd().count()          # run this plan itself so AQE finalises it
+    text = plan_text(df)
+    assert "isFinalPlan=true" in text
+    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
 def test_column_pruning_and_pushdown(spark):
     from pyspark.sql import functions as F
 
