@@ -118,6 +118,8 @@ FANOUT_EXPRS = {
 
 
 def users(spark: SparkSession, base: str) -> DataFrame:
+    """People of two platforms: customers (``cust``) and suppliers (``supp``)
+    with their row keys ``md5(id)-platform``."""
     cust = read_table(spark, base, "customer").select(
         F.col("c_custkey").cast("string").alias("userid"), F.expr(CUST_ROWKEY).alias("rowkey"),
         F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("nation"),
@@ -130,6 +132,8 @@ def users(spark: SparkSession, base: str) -> DataFrame:
 
 
 def dirty(spark: SparkSession, base: str) -> DataFrame:
+    """Customers with raw phone, mail, name, gender, birthday and platform
+    text spelled out from their columns (``DIRTY_EXPRS``)."""
     c = read_table(spark, base, "customer")
     return c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal",
                     F.expr(CUST_ROWKEY).alias("rowkey"),
