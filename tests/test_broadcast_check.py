@@ -1,0 +1,17 @@
+"""Broadcast only behind a proven size bound; beyond it the join stays shuffled."""
+
+from idweave.operators.enrich import broadcast_if_small
+
+
+def test_broadcast_only_within_bound(spark):
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(3).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # only explicit hints may broadcast
+    try:
+        within = big.join(broadcast_if_small(small, 10), "k")._jdf.queryExecution().executedPlan().toString()
+        beyond = big.join(broadcast_if_small(small, 2), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" in within
+        assert "BroadcastExchange" not in beyond
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
