@@ -19,6 +19,8 @@ def test_no_python_in_plan(spark, name):
     text = plan_text(QUERIES[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
         assert node not in text, f"{name} runs Python: {node}"
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text, f"{name} has a cross / nested-loop join: {node}"
 
 
 def test_flagship_window_group_limit(spark):
