@@ -67,12 +67,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create our own
-    scratch folder, and register it so ``DataFrame.checkpoint()`` works.
+    Unset, a local master (tests, the bench) gets a scratch folder of its own;
+    any other master raises, since executors could not share such a folder.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
@@ -80,7 +79,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="idweave-ckpt-")
     sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    return sc.getCheckpointDir() or path
