@@ -9,8 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import scratch, table
 from .exact_dedup import exact_dedup
+from .mixing import mixed_sizes
+from .warc import archive_report, read_warc, write_warc
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +21,23 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splitting-tree mixture of all documents: words of each document that the mix takes."""
+    return mixed_sizes(table(spark, sf_dir, "documents")).selectExpr(
+        "id AS doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records (repeats as revisits, long ones in segments) and read back."""
+    path = scratch(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return archive_report(read_warc(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_source_mixing": op8_source_mixing,
+    "op10_warc": op10_warc,
 }
 
 SQL: dict[str, str] = {
@@ -30,5 +47,14 @@ WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS points,
      r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id,
                   count(*) OVER (PARTITION BY norm) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r
+""",
+    "op10_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+     r AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY body) ELSE page_id END AS held
+           FROM p)
+SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN held = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN held <> page_id THEN held END AS refers_to, true AS ok
+FROM r
 """,
 }
