@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import scratch, table
 from .exact_dedup import exact_dedup
 from .mixing import mixed_sizes
+from .packing import packed_documents
 from .warc import archive_report, read_warc, write_warc
 
 
@@ -27,6 +29,12 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best-two-fit packing of all documents' tokens into sequences of 4096."""
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed(
+        "id", "doc_id")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records (repeats as revisits, long ones in segments) and read back."""
     path = scratch(spark, "warc")
@@ -37,6 +45,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
 }
 
