@@ -9,11 +9,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import scratch, table
 from .exact_dedup import exact_dedup
 from .mixing import mixed_sizes
 from .packing import packed_documents
+from .quality import fit_quality, held_out, scored
 from .warc import archive_report, read_warc, write_warc
 
 
@@ -23,6 +25,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression classifier over all documents, learned from a bounded sample of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return scored(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), F.col("quality_score").alias("score"),
+        F.col("quality_pass").cast("int").alias("predicted"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Splitting-tree mixture of all documents: words of each document that the mix takes."""
     return mixed_sizes(table(spark, sf_dir, "documents")).selectExpr(
@@ -44,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,

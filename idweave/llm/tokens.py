@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import cache
 
-import numpy as np
 import regex
 
 CACHE_WORDS = 500_000
 
 #: Characters that no normaliser changes beyond lower case and no pattern treats as space.
-_PLAIN = regex.compile("[\x21-\x7e¡-įı-ɏ]+")
+_OTHER = regex.compile("[^\x21-\x7e¡-įı-ɏ]")
+#: Ends a word in a run of ids: no id is so large, and no two neighbours hold these bytes (ids are below 2**24).
+_LINE = b"\xff\xff\xff\xff"
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -40,33 +42,38 @@ class WordIds:
             rules = json.load(f)
         split = rules["pre_tokenizer"]["pretokenizers"][0]
         assert split["type"] == "Split" and split["behavior"] == "Removed" and split["invert"], "unknown pattern kind"
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.pattern = regex.compile(split["pattern"]["Regex"] + "|\n")  # and the end of a line
         self.marks = tuple({t["content"][:2].encode() for t in rules["added_tokens"]})
         self.alphabet, self.model = byte_alphabet(), self.tokenizer.model
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of one piece of the pattern."""
-        if (ids := self.pieces.get(piece)) is None:
-            if len(self.pieces) >= self.limit:
-                self.pieces.clear()
-            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u4").tobytes()
-            self.pieces[piece] = ids
-        return ids
+    def pieces_ids(self, found: set[str]) -> None:
+        """Hold the ids of every piece in ``found``."""
+        new = found - self.pieces.keys()
+        if len(self.pieces) + len(new) > self.limit:
+            self.pieces.clear()
+            new = found
+        tokenize, table = self.model.tokenize, self.alphabet
+        for p in new:
+            mapped = p if p.isascii() else p.encode().decode("latin-1").translate(table)
+            self.pieces[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
 
     def learn(self, new: list[bytes]) -> None:
-        """Encode words that are not held yet."""
-        odd = []
-        for w in new:
-            text = w.decode()
-            if _PLAIN.fullmatch(text) and not any(m in w for m in self.marks):
-                self.words[w] = b"".join(map(self.piece, self.pattern.findall(text.lower())))
-            else:
-                odd.append((w, text))
-        for (w, _), e in zip(odd, self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
+        """Encode words that are not held yet: all plain ones as the lines of one text."""
+        lines = b"\n".join(new).decode().split("\n") if new else []
+        odd = {i for i, t in enumerate(lines) if _OTHER.search(t)} if _OTHER.search("".join(lines)) else set()
+        odd |= {i for i, w in enumerate(new) if any(m in w for m in self.marks)} if any(
+            m in b"\n".join(new) for m in self.marks) else set()
+        plain = [i for i in range(len(new)) if i not in odd]
+        found = self.pattern.findall("\n".join([lines[i] for i in plain]).lower())
+        self.pieces_ids(set(found) - {"\n"})
+        self.pieces["\n"] = _LINE
+        get = self.pieces.__getitem__
+        self.words.update(zip([new[i] for i in plain], b"".join(map(get, found)).split(_LINE)))
+        rest = [lines[i] for i in sorted(odd)]
+        for i, e in zip(sorted(odd), self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.words[new[i]] = array("I", e.ids).tobytes()
 
     def encode(self, values: list[bytes]) -> list[bytes]:
         """The ids of each text, as bytes."""
@@ -75,7 +82,8 @@ class WordIds:
         if len(self.words) + len(new) > self.limit:
             self.words.clear()
             new = set().union(*split)
-        self.learn(list(new))
+        if new:
+            self.learn(list(new))
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
