@@ -7,7 +7,8 @@ turns it into a calibrated chance of label 1.
 
 Learning is the only bounded part: at most ``per_class`` labelled rows of each
 class (those with the smallest hash of the id, of at most ``MOST_BYTES``
-each), half for the dictionaries and half for the curve. Every document is
+each), the first ``DICTIONARY_ROWS`` (half, if that is less) for the
+dictionaries and the others for the curve. Every document is
 scored, whole.
 
 Defined results: null text is empty and gets the score of an empty text;
@@ -27,7 +28,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PER_CLASS, MOST_BYTES, DICTIONARY_BYTES, PIECE_BYTES, LEVEL, FOLDS, THRESHOLD = 4_000, 65_536, 112_640, 2_048, 3, 5, 0.3
+PER_CLASS, DICTIONARY_ROWS, MOST_BYTES, DICTIONARY_BYTES, LEVEL, FOLDS, THRESHOLD = 4_000, 600, 65_536, 112_640, 3, 5, 0.3
+#: A dictionary learns from so many pieces of this size of a text, evenly spread, so that long texts do not crowd it.
+PIECES, PIECE_BYTES = 2, 4_096
 #: Weight of the penalty on the curve's coefficients.
 RIDGE = 1.0
 
@@ -78,8 +81,9 @@ def features(texts: list[bytes], good: bytes, bad: bytes, level: int = LEVEL) ->
 
 
 def dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A zstandard dictionary of the texts, cut into pieces; raw content where there is too little to train on."""
-    pieces = [t[i:i + PIECE_BYTES] for t in texts for i in range(0, len(t), PIECE_BYTES)]
+    """A zstandard dictionary of pieces of the texts; raw content where there is too little to train on."""
+    starts = [range(0, len(t), PIECE_BYTES) for t in texts]
+    pieces = [t[i:i + PIECE_BYTES] for t, at in zip(texts, starts) for i in at[::-(-len(at) // PIECES)][:PIECES]]
     try:
         return zstandard.train_dictionary(size, [p for p in pieces if len(p) > 7]).as_bytes()
     except zstandard.ZstdError:
@@ -116,7 +120,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.encode(F.col(text_col), "UTF-8").alias("text")).filter(
         F.length("text").between(1, MOST_BYTES)).join(sample, "id").select("label", "rank", "text").collect()
     rows = sorted({(r.rank, r.label, bytes(r.text)) for r in rows})
-    halves = [[[t for _, c, t in rows if c == label][half::2] for half in (0, 1)] for label in (0, 1)]
+    halves = []
+    for label in (0, 1):
+        own = [t for _, c, t in rows if c == label]
+        cut = min(DICTIONARY_ROWS, len(own) // 2)
+        halves.append((own[:cut], own[cut:]))
     if min(len(part) for label in halves for part in label) == 0:
         return QualityModel(b"", b"", (), (), (), prior)
     bad, good = (dictionary(halves[label][0]) for label in (0, 1))
