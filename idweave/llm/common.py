@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.session import checkpoint_dir
+from idweave.sources.scratch import scratch, store  # noqa: F401  (for the operators)
 
 #: Fixed value: the white space of every word and line rule, ``[\x20\x09-\x0D]``.
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
@@ -28,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder (``spark.checkpoint.dir``)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/idweave-{uuid.uuid4().hex}/{name}"
-
-
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and read it back: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def numbered(docs: DataFrame, name: str = "row_no") -> DataFrame:
     """Add a row number that is equal in every evaluation of the same table scan.
 

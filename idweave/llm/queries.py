@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import scratch, table
 from .exact_dedup import exact_dedup
 from .mixing import mixed_sizes
+from .ngram_join import ngram_join
 from .packing import packed_documents
 from .quality import fit_quality, held_out, scored
 from .warc import archive_report, read_warc, write_warc
@@ -34,6 +35,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_pass").cast("int").alias("predicted"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PartEnum join of all documents' 3-word shingle sets at a Jaccard similarity of 0.9."""
+    return ngram_join(table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "n_shingles", "component_id")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Splitting-tree mixture of all documents: words of each document that the mix takes."""
     return mixed_sizes(table(spark, sf_dir, "documents")).selectExpr(
@@ -56,6 +62,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
