@@ -15,6 +15,7 @@ from .common import scratch, table
 from .exact_dedup import exact_dedup
 from .mixing import mixed_sizes
 from .ngram_join import ngram_join
+from .outliers import BASE, robust_outliers
 from .packing import packed_documents
 from .quality import fit_quality, held_out, scored
 from .warc import archive_report, read_warc, write_warc
@@ -26,6 +27,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust multivariate outliers per language and source, over all documents."""
+    return robust_outliers(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), *BASE, "base_failed", "kept")
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression classifier over all documents, learned from a bounded sample of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_quality_outliers": op4_quality_outliers,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
