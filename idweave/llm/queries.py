@@ -18,6 +18,8 @@ from .ngram_join import ngram_join
 from .outliers import BASE, robust_outliers
 from .packing import packed_documents
 from .quality import fit_quality, held_out, scored
+from .token_count import token_counts
+from .token_output import matrix_report, packed_matrix
 from .warc import archive_report, read_warc, write_warc
 
 
@@ -27,6 +29,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids packed best fit decreasing into a written matrix of 4096 ids a row, and read back."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return matrix_report(packed_matrix(table(spark, sf_dir, "documents"), path, 49_408))
+
+
 def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and robust multivariate outliers per language and source, over all documents."""
     return robust_outliers(table(spark, sf_dir, "documents")).select(
@@ -42,6 +50,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_pass").cast("int").alias("predicted"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count-only Viterbi over all documents with the 32k piece vocabulary."""
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).withColumnRenamed(
+        "id", "doc_id")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PartEnum join of all documents' 3-word shingle sets at a Jaccard similarity of 0.9."""
     return ngram_join(table(spark, sf_dir, "documents")).selectExpr("id AS doc_id", "n_shingles", "component_id")
@@ -68,8 +82,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_token_matrix": op3_token_matrix,
     "op4_quality_outliers": op4_quality_outliers,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_token_counts": op6_token_counts,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
