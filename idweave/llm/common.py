@@ -35,6 +35,21 @@ def numbered(docs: DataFrame, name: str = "row_no") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores in front until no column of ``df`` has that name (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (a table just read) that ``decided`` (row_no, kept) keeps, with all their columns."""
+    name = free_name(docs, "llm_row_no")
+    dropped = store(decided.filter("NOT kept").select(F.col("row_no").alias(name)), "dropped")
+    return anti_join_rows(numbered(docs, name), dropped, name).select(*docs.columns)
+
+
 def anti_join_rows(left: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose ``key`` is not in ``dropped``.
 

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WORD, numbered, store
+from .common import BROADCAST_ROWS, WORD, free_name, numbered, store
 
 WEIGHTS, SHARE, MOST, BLOCKS, SHARDS, SEED = (3, 1, 2), Fraction(3, 2), 2, 256, 64, 17
 
@@ -130,9 +130,9 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
 def mixture(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
     """The mixed rows of ``docs`` (repeats included), one partition run per shard, shuffled within it."""
     _, draws = mix(docs, shards=shards, **options)
-    draws = store(draws.select("row_no", "shard", "epoch", "order_key"), "draws")
+    row, shard, order = (free_name(docs, n) for n in ("llm_row_no", "llm_shard", "llm_order"))
+    draws = store(draws.select(F.col("row_no").alias(row), F.col("shard").alias(shard),
+                               F.xxhash64("order_key", "epoch").alias(order)), "draws")
     chosen = F.broadcast(draws) if draws.count() <= BROADCAST_ROWS else draws
-    mixed = numbered(docs, "mix_row_no").join(chosen.withColumnRenamed("row_no", "mix_row_no").select(
-        "mix_row_no", F.col("shard").alias("mix_shard"), F.xxhash64("order_key", "epoch").alias("mix_order")), "mix_row_no")
-    return mixed.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_order").drop(
-        "mix_row_no", "mix_shard", "mix_order")
+    mixed = numbered(docs, row).join(chosen, row)
+    return mixed.repartition(shards, shard).sortWithinPartitions(shard, order).select(*docs.columns)

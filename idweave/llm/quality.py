@@ -28,6 +28,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 PER_CLASS, DICTIONARY_ROWS, MOST_BYTES, DICTIONARY_BYTES, LEVEL, FOLDS, THRESHOLD = 4_000, 600, 65_536, 112_640, 3, 5, 0.3
 #: A dictionary learns from so many pieces of this size of a text, evenly spread, so that long texts do not crowd it.
 PIECES, PIECE_BYTES = 2, 4_096
@@ -147,8 +149,12 @@ def quality_score(model: QualityModel, text_col: str = "text") -> Column:
     return score(F.col(text_col).cast("string"))
 
 
-def scored(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text",
-           threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with quality_score and quality_pass (a score of at least ``threshold``)."""
-    return docs.withColumn("quality_score", quality_score(model, text_col)).withColumn(
-        "quality_pass", F.col("quality_score") >= threshold)
+def scored(docs: DataFrame, model: QualityModel, text_col: str = "text", name: str = "quality_score") -> DataFrame:
+    """``docs`` with the score in the column ``name``."""
+    return docs.withColumn(name, quality_score(model, text_col))
+
+
+def good_documents(docs: DataFrame, model: QualityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``, with all their columns."""
+    name = free_name(docs, "llm_score")
+    return scored(docs, model, text_col, name).filter(F.col(name) >= threshold).select(*docs.columns)

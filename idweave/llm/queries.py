@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from .mixing import mixed_sizes
 from .ngram_join import ngram_join
 from .outliers import BASE, robust_outliers
 from .packing import packed_documents
-from .quality import fit_quality, held_out, scored
+from .quality import THRESHOLD, fit_quality, held_out, scored
 from .token_count import token_counts
 from .token_output import matrix_report, packed_matrix
 from .warc import archive_report, read_warc, write_warc
@@ -47,7 +48,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return scored(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out().alias("held_out"), F.col("quality_score").alias("score"),
-        F.col("quality_pass").cast("int").alias("predicted"))
+        (F.col("quality_score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +81,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(read_warc(spark, path))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline`` over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_token_matrix": op3_token_matrix,
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {
