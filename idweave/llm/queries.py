@@ -19,6 +19,7 @@ from .ngram_join import ngram_join
 from .outliers import BASE, robust_outliers
 from .packing import packed_documents
 from .quality import THRESHOLD, fit_quality, held_out, scored
+from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
 from .token_output import matrix_report, packed_matrix
 from .warc import archive_report, read_warc, write_warc
@@ -30,6 +31,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id AS doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that strings of 200 bytes found twice or more cover."""
+    return suffix_dedup(table(spark, sf_dir, "documents")).selectExpr(
+        "id AS doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids packed best fit decreasing into a written matrix of 4096 ids a row, and read back."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -88,6 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_matrix": op3_token_matrix,
     "op4_quality_outliers": op4_quality_outliers,
     "op5_quality_classifier": op5_quality_classifier,
