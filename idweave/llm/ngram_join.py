@@ -10,11 +10,10 @@ signatures of fewer than ``WEAK`` elements, which unrelated sets share, unless
 it has too many of them.
 
 Equal sets are one class and only classes are joined. Classes that share a
-signature are a bucket; a bucket is resolved in rounds: its most connected
-members are compared with the members of other components, links merge
-components, and a bucket closes when all its members are in one or every
-member has been compared. No bucket is expanded into all its pairs, and no
-link between components is lost.
+signature are a bucket; all members of connected buckets are compared with one
+pivot, and those that do not link with it meet others only where they share
+what the pivot has not (``class_links``). No bucket is expanded into all its
+pairs, and no link between components is lost.
 
 Defined results: a text without words has no shingle, links with nothing and
 is its own class; a null text likewise; equal rows are one class; a null id is
@@ -27,6 +26,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -39,6 +39,8 @@ from .common import Bounded, numbered, semi_join_rows, slices, store, texts
 WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 2, 1
 #: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones; elements of a weak signature.
 BAND, SLACK, WEAK = 1.25, 0.1, 3
+#: Members of a sub-bucket whose pairs are compared at once.
+PAIRED = 32
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -148,54 +150,128 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int)
     return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, grams binary")
 
 
-def verified(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+def compared(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
+    """Sets against others: pivot, rep, linked, added, missing, n, elements.
+
+    ``added`` and ``missing`` count the elements of ``rep`` that ``pivot`` has
+    not, and the reverse; ``elements`` are the added ones.
+    """
+    types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = ["linked", "added", "missing", "n", "elements"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            rows = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(den * shared >= num * (len(both) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(grams.select(F.col("rep").alias("b"), F.col("grams").alias("y")), "b").join(
-        grams.select(F.col("rep").alias("a"), F.col("grams").alias("x")), "a")
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
-
-
-def class_links(shared: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame | None:
-    """(node, label) of the classes in ``shared`` (sig, rep, n, score) that have a link; None without links."""
-    links = tested = labels = None
-    pivots, rows = 1, shared
+                pivot, own = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
+                more = own[pivot[at] != own]
+                shared = len(own) - len(more)
+                linked = den * shared >= num * (len(pivot) + len(more))
+                rows.append((linked, len(more), len(pivot) - shared, len(own), more.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("pivot"), batch.column("rep"), *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                names=["pivot", "rep", *names])
+
+    joined = pairs.join(grams.select("rep", F.col("grams").alias("y")), "rep").join(
+        grams.select(F.col("rep").alias("pivot"), F.col("grams").alias("x")), "pivot")
+    return joined.select("pivot", "rep", "x", "y").mapInArrow(
+        run, "pivot bigint, rep bigint, linked boolean, added bigint, missing bigint, n bigint, elements array<bigint>")
+
+
+def close_profiles(profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Profiles (pivot, added, missing, n, members, foreign) that can link without sharing an added element.
+
+    Two members can only if ``added`` of both and the difference of their
+    ``missing`` are together at most the elements they may differ in. There is
+    one row a profile, so a pivot's rows are bounded by set sizes. Pairs with
+    no member outside the pivot's links need no comparison.
+    """
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["added", "missing"], ignore_index=True)
+        added, missing, n, foreign = (rows[c].to_numpy() for c in ("added", "missing", "n", "foreign"))
+        keep = np.zeros(len(rows), dtype=bool)
+        for i in np.flatnonzero(foreign):
+            near = added[i] + added + np.abs(missing[i] - missing) <= (n[i] + n) * (den - num) // (den + num)
+            near[i] &= rows["members"][i] > 1
+            keep |= near
+            keep[i] |= near.any()
+        return rows.loc[keep, ["pivot", "added", "missing"]]
+
+    return profiles.groupBy("pivot").applyInPandas(run, "pivot bigint, added bigint, missing bigint")
+
+
+def rare_elements(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(bucket, rep, linked, n): members by the rare added elements that they share with others of their pivot.
+
+    A member that links with another must share more than ``added`` less
+    ``most_apart`` of its added elements, so one of its ``most_apart + 1``
+    rarest is among the other's; elements of one member only are counted but
+    make no bucket.
+    """
+    each = members.select("pivot", "rep", "linked", "n", "added", F.explode("elements").alias("element"))
+    held = store(each.groupBy("pivot", "element").agg(F.count("*").alias("rows"), F.min("linked").alias("inside")).filter(
+        "rows > 1 AND NOT inside").select("pivot", "element", "rows"), "held")
+    common = each.groupBy("pivot", "element").agg(F.count("*").alias("rows")).filter("rows > 1").select("pivot", "element", "rows")
+    ranked = each.join(store(common, "common"), ["pivot", "element"])
+    own = Window.partitionBy("pivot", "rep")
+    apart = F.floor((F.col("n") + F.floor(F.col("n") * den / num)) * (den - num) / (den + num))
+    place = F.col("added") - F.count("*").over(own) + F.row_number().over(own.orderBy("rows", "element"))
+    first = ranked.withColumn("place", place).filter(F.col("place") <= apart + 1)
+    return first.join(held.select("pivot", "element"), ["pivot", "element"], "left_semi").select(
+        F.xxhash64("pivot", "element").alias("bucket"), "rep", "linked", "n")
+
+
+def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame | None:
+    """(node, label) of the classes in ``buckets`` (bucket, rep) that have a link; None without links.
+
+    Buckets that share members are a family. All members of a family are
+    compared with its pivot, the member in the most and largest buckets. Two
+    members that link must share an element that the pivot has not, unless
+    their counts of added and missing elements are close; so members not
+    linked with the pivot meet others only in sub-buckets of rare shared
+    elements and of close counts. Pairs of a sub-bucket of up to ``PAIRED``
+    members are compared; larger ones are the buckets of another round, in
+    which the pivots are no more.
+    """
+    links = None
     while True:
-        if labels is not None:
-            rows = store(rows.drop("label").join(labels.withColumnRenamed("node", "rep"), "rep", "left"), "open")
-        else:
-            rows = rows.withColumn("label", F.lit(None).cast("bigint"))
-        own = F.coalesce("label", "rep")
-        open_ = rows.groupBy("sig").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).filter("lo != hi").select("sig")
-        open_ = store(open_, "open_buckets")
-        if open_.isEmpty():
-            return labels
-        rows = store(rows.join(open_, "sig", "left_semi"), "open_rows")
-        order = Window.partitionBy("sig").orderBy(F.col("score").desc(), "rep")
-        chosen = store(rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= pivots).select(
-            "sig", F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), own.alias("pivot_label")), "pivots")
-        least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
-        pairs = rows.join(chosen, "sig").filter((own != F.col("pivot_label")) & (den * least >= num * most)).select(
-            F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        found = store(verified(pairs, grams, num, den), "links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not found.isEmpty():
-            labels = connected(links)
-        rows = rows.join(chosen.select("sig", F.col("pivot").alias("rep")), ["sig", "rep"], "left_anti")
-        pivots *= 4
+        buckets = store(buckets, "members")
+        sizes = store(buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("head")).filter(
+            "members > 1"), "sizes")
+        if sizes.isEmpty():
+            break
+        rows = store(buckets.join(sizes, "bucket").select("rep", "head", "members"), "rows")
+        family = connected(rows.select("rep", "head").distinct(), "rep", "head")
+        score = rows.groupBy("rep").agg(F.sum("members").alias("score"))
+        scored = store(family.join(score, F.col("node") == F.col("rep")).select("rep", "label", "score"), "families")
+        best = F.max(F.struct("score", (-F.col("rep")).alias("least")))
+        pivots = store(scored.groupBy("label").agg(best.alias("best")).select("label", (-F.col("best.least")).alias("pivot")), "pivots")
+        pairs = store(scored.join(pivots, "label").filter("rep != pivot").select("pivot", "rep"), "pairs")
+        found = store(compared(pairs, grams, num, den), "compared")
+        new = found.filter("linked").select("pivot", "rep")
+        links = new if links is None else links.unionByName(new)
+        open_ = store(found.groupBy("pivot").agg(F.count("*").alias("members"), F.min("linked").alias("all")).filter(
+            "members > 1 AND NOT all").select("pivot"), "open")
+        members = store(found.join(open_, "pivot"), "open_members")
+        profiles = members.groupBy("pivot", "added", "missing", "n").agg(
+            F.count("*").alias("members"), F.max(~F.col("linked")).alias("foreign"))
+        close = store(close_profiles(profiles, num, den), "close")
+        by_counts = members.join(close, ["pivot", "added", "missing"]).select(
+            F.xxhash64("pivot").alias("bucket"), "rep", "linked", "n")
+        sub = store(rare_elements(members, num, den).unionByName(by_counts), "sub_buckets")
+        sizes = store(sub.groupBy("bucket").agg(F.count("*").alias("members"), F.min("linked").alias("all")).filter(
+            "members > 1 AND NOT all").select("bucket", "members"), "sub_sizes")
+        sub = store(sub.join(sizes, "bucket"), "sub_members")
+        few = sub.filter(F.col("members") <= PAIRED)
+        other = few.select("bucket", F.col("rep").alias("pivot"), F.col("linked").alias("other_linked"), F.col("n").alias("m"))
+        fits = (den * F.least("n", "m") >= num * F.greatest("n", "m")) & ~(F.col("linked") & F.col("other_linked"))
+        pairs = store(few.join(other, "bucket").filter((F.col("pivot") < F.col("rep")) & fits).select("pivot", "rep").distinct(),
+                      "sub_pairs")
+        found = store(compared(pairs, grams, num, den).filter("linked").select("pivot", "rep"), "sub_links")
+        links = links.unionByName(found)
+        buckets = sub.filter(F.col("members") > PAIRED).select("bucket", "rep")
+    return None if links is None or links.isEmpty() else connected(links, "pivot", "rep")
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM,
@@ -209,13 +285,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = store(shingle_rows(docs, id_col, text_col, words, options), "sets")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no")).alias("first")
     classes = store(rows.filter("n > 0").groupBy("set_key").agg(F.min("row_no").alias("rep"), first), "classes")
-    reps = semi_join_rows(rows.select(F.col("row_no").alias("rep"), "n", "sigs"), classes.select("rep"), "rep")
-    postings = reps.select("rep", "n", F.explode("sigs").alias("sig"))
+    reps = semi_join_rows(rows.select(F.col("row_no").alias("rep"), "sigs"), classes.select("rep"), "rep")
+    postings = reps.select("rep", F.explode("sigs").alias("sig"))
     buckets = store(postings.groupBy("sig").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
-    shared = store(postings.join(buckets, "sig"), "shared")
-    score = store(shared.groupBy("rep").agg(F.sum("members").alias("score")), "scores")
-    grams = store(shingle_sets(docs, score.select("rep"), text_col, words), "grams")
-    shared = store(shared.join(score, "rep").select("sig", "rep", "n", "score"), "scored")
+    shared = store(postings.join(buckets, "sig").select(F.col("sig").alias("bucket"), "rep"), "shared")
+    grams = store(shingle_sets(docs, store(shared.select("rep").distinct(), "reps"), text_col, words), "grams")
     labels = class_links(shared, grams, num, den)
     if labels is None:
         named = classes.withColumn("label", F.col("rep"))
