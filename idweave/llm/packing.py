@@ -19,6 +19,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,12 +32,15 @@ CAPACITY, END_ID, GROUP_PIECES = 4096, 1, 8192
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """Pieces of at most ``capacity`` tokens: row_no, id, piece, start, length, ids_crc32 (and ids, little-endian)."""
+                 capacity: int = CAPACITY, end_id: int = END_ID, id_type: str = "") -> DataFrame:
+    """Pieces of at most ``capacity`` tokens: row_no, id, piece, start, length, ids_crc32.
+
+    With ``id_type`` (a numpy type, as ``<u2``) also ids, in that type.
+    """
     end = end_id.to_bytes(4, "little")
-    names = ["row_no", "id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    names = ["row_no", "id", "piece", "start", "length", "ids_crc32"] + ["ids"] * bool(id_type)
     schema = "row_no bigint, id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + \
-        ", ids binary" * with_ids
+        ", ids binary" * bool(id_type)
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,7 +53,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                     ids += end
                     for k, at in enumerate(range(0, len(ids), step)):
                         piece = ids[at:at + step]
-                        rows.append((row, doc, k, at // 4, len(piece) // 4, zlib.crc32(piece), piece)[:len(names)])
+                        crc = zlib.crc32(piece)
+                        if id_type:
+                            piece = np.frombuffer(piece, "<u4").astype(id_type).tobytes()
+                        rows.append((row, doc, k, at // 4, len(ids[at:at + step]) // 4, crc, piece)[:len(names)])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return numbered(docs).select("row_no", F.col(id_col).cast("bigint").alias("id"),

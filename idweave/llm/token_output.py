@@ -14,19 +14,17 @@ null; repeated rows are separate documents; no rows give an empty table.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
 from .packing import CAPACITY, END_ID, token_pieces
 
-#: Pieces of a packing group: about 16 MB of 16-bit ids at most.
-GROUP_PIECES, PAD_ID = 2048, 0
+#: Pieces of a packing group: 8 MB of 16-bit ids at most.
+GROUP_PIECES, PAD_ID = 1024, 0
 
 
 class Room:
@@ -90,15 +88,7 @@ def packed_matrix(docs: DataFrame, tokenizer: str, vocabulary_size: int, id_col:
     with the input.
     """
     kind = np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
-    pieces = token_pieces(docs, tokenizer, id_col, text_col, capacity, end_id, with_ids=True)
-
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(v, "<u4").astype(kind).tobytes() for v in batch.column("ids").to_pylist()]
-            i = batch.schema.get_field_index("ids")
-            yield batch.set_column(i, "ids", pa.array(ids, pa.binary()))
-
-    pieces = store(pieces.mapInArrow(narrow, pieces.schema).drop("ids_crc32"), "pieces")
+    pieces = store(token_pieces(docs, tokenizer, id_col, text_col, capacity, end_id, kind.str).drop("ids_crc32"), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

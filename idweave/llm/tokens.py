@@ -16,7 +16,7 @@ from functools import cache
 
 import regex
 
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_PIECES = 200_000, 600_000
 
 #: Characters that no normaliser changes beyond lower case and no pattern treats as space.
 _OTHER = regex.compile("[^\x21-\x7e¡-įı-ɏ]")
@@ -32,12 +32,12 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordIds:
-    """Little-endian unsigned 32-bit ids of texts; holds at most about ``limit`` words and as many pieces."""
+    """Little-endian unsigned 32-bit ids of texts; holds at most about ``limit`` words and ``piece_limit`` pieces."""
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
+    def __init__(self, path: str, limit: int = CACHE_WORDS, piece_limit: int = CACHE_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.piece_limit = Tokenizer.from_file(path), limit, piece_limit
         with open(path) as f:
             rules = json.load(f)
         split = rules["pre_tokenizer"]["pretokenizers"][0]
@@ -51,7 +51,7 @@ class WordIds:
     def pieces_ids(self, found: set[str]) -> None:
         """Hold the ids of every piece in ``found``."""
         new = found - self.pieces.keys()
-        if len(self.pieces) + len(new) > self.limit:
+        if len(self.pieces) + len(new) > self.piece_limit:
             self.pieces.clear()
             new = found
         tokenize, table = self.model.tokenize, self.alphabet
