@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from idweave.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -36,11 +37,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(E.oracle_sql())
     assert not missing, f"queries without oracle SQL: {sorted(missing)}"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     cols = sorted(sdf.columns)
