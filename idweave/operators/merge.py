@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import join_key, stable_group_id
 from ..functions.packed import ENTRY_SEP, NAME_ENTRY_RE, entries
-from ..session import checkpoint_dir
+from ..sources.scratch import store
+from .components import connected
 from .lists import bounded_concat
 from .resolve import resolve_column
 
@@ -80,15 +81,18 @@ def _remap_bar_entries(e: DataFrame, links: DataFrame) -> DataFrame:
     return res.select("org_id", "connect_id", "field", "pos", F.concat("eid", "rest").alias("entry"))
 
 
-def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int] | None = None) -> DataFrame:
+def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int] | None = None,
+                   rekey: DataFrame | None = None) -> DataFrame:
     """Merge the packed profiles of all linked ids into their canonical id.
 
+    ``rekey`` maps the ids inside entries (default: ``links``).
+
     ``profiles``: (rowkey, field, value) cells. Returns long rows
     (connect_id, field, org_id, pos, entry): one per concatenated or
     remapped entry, in (org_id, pos) order, and one per summed field with
     ``org_id`` NULL. Fields without a policy are dropped.
     """
-    policy = policy or MERGE_POLICY
+    policy, rekey = policy or MERGE_POLICY, links if rekey is None else rekey
     lk = links.select("org_id", "connect_id")
     members = profiles.join(lk, profiles["rowkey"] == lk["org_id"], "inner").drop("rowkey")
     concat_fields = [f for f, p in policy.items() if p == 0]
@@ -100,8 +104,8 @@ def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int]
 
     exploded = cells.filter(F.col("field").isin(list(REMAP_HANDLED))).select(
         "org_id", "connect_id", "field", F.posexplode(entries("value")).alias("pos", "entry"))
-    names = _remap_name_entries(exploded.filter(F.col("field") == "NAME"), links)
-    bars = _remap_bar_entries(exploded.filter(F.col("field").isin("CONTACT", "BE_CONTACT")), links)
+    names = _remap_name_entries(exploded.filter(F.col("field") == "NAME"), rekey)
+    bars = _remap_bar_entries(exploded.filter(F.col("field").isin("CONTACT", "BE_CONTACT")), rekey)
     remapped = names.unionByName(bars).select("connect_id", "field", "org_id", "pos", "entry")
 
     sums = (cells.filter(F.col("field").isin(sum_fields))
@@ -155,34 +159,38 @@ def packed_contacts(edges: DataFrame, reverse: bool = False, max_entries: int =
     return cells.select("rowkey", F.lit(field).alias("field"), "value")
 
 
-def flatten_links(stored: DataFrame, new: DataFrame, max_rounds: int = 32) -> tuple[DataFrame, DataFrame]:
-    """Add ``new`` links to ``stored`` ones and re-point chains.
+def close_links(stored: DataFrame, new: DataFrame) -> dict[str, DataFrame]:
+    """``links``, ``cycles`` and ``rekey`` after adding ``new`` links to ``stored`` ones.
+
+    Connected components of all links, to a true fixed point. A stored link
+    whose original is linked anew is superseded; several new links of one
+    original are all kept, so they join their groups. The canonical id of a
+    component is its end (an id that is not linked onward; the smallest of
+    several). A component without an end holds a cycle of some length: its
+    ids are in ``cycles``, linked to themselves, and nothing else has them.
 
-    A canonical id that is itself linked (C1 -> C2) hands its originals to
-    the new canonical id (a -> C2) and disappears from the stored table.
-    Chains of any depth are followed by pointer jumping (the chain length
-    halves each round); lineage is cut every round with ``checkpoint()`` in
-    the cluster's checkpoint folder. Returns (links, cycles): ids that end
-    on themselves through a cycle go to ``cycles``.
+    ``rekey`` maps every id to its canonical id; ``links`` is the stored form
+    of it, without the old canonical ids. A link to itself says nothing and is
+    left out.
     """
-    checkpoint_dir(stored.sparkSession)
-    cur = (stored.select("org_id", "connect_id").join(new.select("org_id"), on="org_id", how="left_anti")
-           .unionByName(new.select("org_id", "connect_id")).distinct())
-    cur = cur.groupBy("org_id").agg(F.min("connect_id").alias("connect_id"))
-    for _ in range(max_rounds):
-        nxt = (cur.alias("x").join(cur.alias("y"), F.col("x.connect_id") == F.col("y.org_id"), "left")
-               .select(F.col("x.org_id").alias("org_id"),
-                       F.coalesce(F.col("y.connect_id"), F.col("x.connect_id")).alias("connect_id")))
-        nxt = nxt.checkpoint()
-        changed = nxt.join(cur, on=["org_id", "connect_id"], how="left_anti").limit(1).count()
-        cur = nxt
-        if changed == 0:
-            break
+    cur = (stored.select("org_id", "connect_id").join(new.select("org_id").distinct(), on="org_id", how="left_anti")
+           .unionByName(new.select("org_id", "connect_id")).filter("org_id != connect_id").distinct())
+    cur = store(cur, "links")
+    nodes = connected(cur, "org_id", "connect_id")
+    ends = nodes.join(cur.select(F.col("org_id").alias("node")).distinct(), "node", "left_anti")
+    canonical = store(ends.groupBy("label").agg(F.min("node").alias("connect_id")), "canonical")
+    named = store(nodes.join(canonical, "label", "left").select(F.col("node").alias("org_id"), "connect_id"), "named")
+    rekey = named.filter("org_id != connect_id")
     # Old canonical ids that were linked again are no longer originals.
     canon_old = stored.select(F.col("connect_id").alias("org_id")).distinct()
-    out = cur.join(canon_old, on="org_id", how="left_anti")
-    cycles = out.filter(F.col("org_id") == F.col("connect_id"))
-    return out.filter(F.col("org_id") != F.col("connect_id")), cycles
+    cycles = named.filter("connect_id IS NULL").select("org_id", F.col("org_id").alias("connect_id"))
+    return {"links": rekey.join(canon_old, on="org_id", how="left_anti"), "cycles": cycles, "rekey": rekey}
+
+
+def flatten_links(stored: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, cycles) of ``close_links``."""
+    closed = close_links(stored, new)
+    return closed["links"], closed["cycles"]
 
 
 def connect_to_orgs(links: DataFrame, sep: str = "\t", max_entries: int = 100_000) -> DataFrame:

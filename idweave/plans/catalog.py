@@ -792,26 +792,119 @@ def q_platform_day_users(spark, base):
     return out["users"]
 
 
-def _merge_job(spark, base):
+def _merge_requests(spark, base):
+    """Every canonical id of a customer asks to be merged into its nation's id; half of them later."""
     c = views.read_table(spark, base, "customer")
-    requests = c.select(F.expr(views.LINK_CONNECT).alias("org_id"),
-                        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("connect_id"),
-                        F.lit(1).alias("status"), F.lit("20240101").alias("insert_time")).distinct()
-    return pipelines.identity_merge_job(views.packed_profiles(spark, base), messages(spark, base),
-                                        group_messages(spark, base), views.contacts(spark, base),
-                                        views.links(spark, base), requests, "20240101")
+    return c.select(F.expr(views.LINK_CONNECT).alias("org_id"), F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias(
+        "connect_id"), F.lit(1).alias("status"), F.lit("20240101").alias("insert_time")).distinct()
+
+
+def _canonical_cells(spark, base):
+    """Profile cells under canonical ids (a count and a region), and under the originals merged into them earlier."""
+    c = views.read_table(spark, base, "customer").select(F.expr(views.CUST_ROWKEY).alias("own"), F.expr(
+        views.LINK_CONNECT).alias("canon"), "c_mktsegment")
+    return (c.groupBy(F.col("canon").alias("rowkey")).agg(F.count("*").cast("string").alias("value"))
+            .select("rowkey", F.lit("MSG_COUNT").alias("field"), "value")
+            .unionByName(c.select(F.col("canon").alias("rowkey"), F.lit("REGION").alias("field"),
+                                  F.col("c_mktsegment").alias("value")).distinct())
+            .unionByName(c.select(F.col("own").alias("rowkey"), F.lit("MSG_COUNT").alias("field"), F.lit("1").alias("value"))))
+
+
+def _merge_job(spark, base, part, cells=None, second=False):
+    """One output of the job; ``second``: messages, groups and edges carry canonical ids of the first generation."""
+    links = views.links(spark, base)
+    msgs, groups, edges = messages(spark, base), group_messages(spark, base), views.contacts(spark, base)
+    if second:
+        msgs, groups, edges = merge.rekey_messages(msgs, links), merge.rekey_group_messages(groups, links), \
+            merge.rekey_edges(edges, links)
+    cells = views.packed_profiles(spark, base) if cells is None else cells
+    return pipelines.identity_merge_job(cells, msgs, groups, edges, links, _merge_requests(spark, base), "20240101")[part]
 
 
 @query("merge_job_links")
 def q_merge_job_links(spark, base):
     """Stored links after merging every canonical id into its nation id."""
-    return _merge_job(spark, base)["links"]
+    return _merge_job(spark, base, "links")
 
 
 @query("merge_job_messages")
 def q_merge_job_messages(spark, base):
-    """Messages re-keyed with the flattened links of the job."""
-    return _merge_job(spark, base)["messages"]
+    """Messages re-keyed with the closure of the job."""
+    return _merge_job(spark, base, "messages")
+
+
+@query("merge_job_messages_second")
+def q_merge_job_messages_second(spark, base):
+    """Messages that already carry a first-generation canonical id move on to the second."""
+    return _merge_job(spark, base, "messages", second=True)
+
+
+@query("merge_job_group_messages")
+def q_merge_job_group_messages(spark, base):
+    """Group messages re-keyed by the job."""
+    return _merge_job(spark, base, "group_messages")
+
+
+@query("merge_job_edges")
+def q_merge_job_edges(spark, base):
+    """Edges of first-generation canonical ids re-keyed to the second; equal edges collapse."""
+    return _merge_job(spark, base, "edges", second=True)
+
+
+@query("merge_job_profiles")
+def q_merge_job_profiles(spark, base):
+    """Cells gathered under old canonical ids move on; originals merged earlier are not counted again."""
+    return _merge_job(spark, base, "profiles", cells=_canonical_cells(spark, base))
+
+
+@query("merge_job_archive")
+def q_merge_job_archive(spark, base):
+    """Originals named by pending requests are archived (customers into their canonical id, none stored yet)."""
+    c = views.read_table(spark, base, "customer")
+    requests = c.select(F.expr(views.CUST_ROWKEY).alias("org_id"), F.expr(views.LINK_CONNECT).alias("connect_id"), F.when(
+        F.col("c_acctbal") >= 0, 1).otherwise(0).alias("status"), F.lit("20240101").alias("insert_time"))
+    cells = _canonical_cells(spark, base)
+    links = views.links(spark, base).limit(0)
+    msgs, groups, edges = messages(spark, base), group_messages(spark, base), views.contacts(spark, base)
+    return pipelines.identity_merge_job(cells, msgs, groups, edges, links, requests, "20240101")["archive"]
+
+
+@query("merge_job_requests")
+def q_merge_job_requests(spark, base):
+    """The request table without the processed rows."""
+    c = views.read_table(spark, base, "customer")
+    more = c.select(F.expr(views.CUST_ROWKEY).alias("org_id"), F.expr(views.LINK_CONNECT).alias("connect_id"),
+                    F.lit(0).alias("status"), F.lit("20240101").alias("insert_time"))
+    return pipelines.identity_merge_job(
+        views.packed_profiles(spark, base), messages(spark, base), group_messages(spark, base), views.contacts(spark, base),
+        views.links(spark, base), _merge_requests(spark, base).unionByName(more), "20240101")["requests"]
+
+
+def _tangled_links(spark, base):
+    """Orders as link requests: per seven neighbouring keys a 3-cycle with a tail and a chain of two hops, and
+    every order of two canonical ids of its last digit."""
+    k = views.read_table(spark, base, "orders").select(F.col("o_orderkey").alias("k"))
+    at, to = F.col("k") % 7, F.when(F.col("k") % 7 == 2, F.col("k") - 2).when(F.col("k") % 7 == 3, F.col("k") - 3).otherwise(
+        F.col("k") + 1)
+    ring = k.select((F.col("k") - at).alias("g")).distinct().select(F.explode(F.sequence("g", F.col("g") + 5)).alias("k"))
+    ring = ring.select(F.concat(F.lit("k"), "k").alias("org_id"), F.concat(F.lit("k"), to.cast("string")).alias("connect_id"))
+    both = k.select(F.concat(F.lit("o"), "k").alias("org_id"), F.explode(F.array(
+        *(F.concat(F.lit(x), (F.col("k") % 10).cast("string")) for x in "AB"))).alias("connect_id"))
+    return ring.unionByName(both)
+
+
+@query("link_tangles")
+def q_link_tangles(spark, base):
+    """Chains followed and conflicting requests joined, beside cycles."""
+    new = _tangled_links(spark, base)
+    return merge.flatten_links(new.limit(0), new)[0]
+
+
+@query("link_cycles")
+def q_link_cycles(spark, base):
+    """Every id of a component that ends in a cycle."""
+    new = _tangled_links(spark, base)
+    return merge.flatten_links(new.limit(0), new)[1]
 
 
 @query("daily_counters_one_day")

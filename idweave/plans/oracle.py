@@ -592,6 +592,33 @@ SELECT CASE WHEN l1.connect_id IS NOT NULL AND l1.connect_id <> m."user"
        m.content, m.platform_msg_id, m.partyuid, m.useruid, coalesce(l2.connect_id, m.party) AS party,
        coalesce(l1.connect_id, m."user") AS "user", m.timesent, m.media, m.direction, m.msgtype, m.name, m.platform
 FROM msg m LEFT JOIN job_links l1 ON l1.org_id = m."user" LEFT JOIN job_links l2 ON l2.org_id = m.party""")
+SECOND_MESSAGES = """
+SELECT CASE WHEN l1.connect_id IS NOT NULL THEN l1.connect_id || '-' || CAST(m.timesent AS VARCHAR) || '-' || m.platform_msg_id
+            ELSE m.mid END AS mid,
+       m.content, m.platform_msg_id, m.partyuid, m.useruid, m.party, coalesce(l1.connect_id, m."user") AS "user", m.timesent,
+       m.media, m.direction, m.msgtype, m.name, m.platform
+FROM (SELECT msg.* REPLACE (coalesce(f.connect_id, "user") AS "user") FROM msg LEFT JOIN links f ON f.org_id = "user") m
+LEFT JOIN (SELECT DISTINCT l.connect_id AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id
+           FROM customer JOIN links l ON l.org_id = """ + CUST_KEY + """) l1 ON l1.org_id = m."user\""""
+sql("merge_job_messages_second", with_(RAW_MSG, LINKS) + SECOND_MESSAGES)
+sql("merge_job_group_messages", with_(RAW_GMSG, JOB_LINKS) + "SELECT * FROM " + resolved("gmsg", "sender", GMSG_COLS, "job_links"))
+sql("merge_job_edges", with_(CONTACTS, JOB_LINKS) + "SELECT DISTINCT * FROM " + resolved("contacts", "u_uid", EDGE_COLS, "job_links"))
+sql("merge_job_profiles", f"""
+SELECT 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id, 'MSG_COUNT' AS field, CAST(NULL AS VARCHAR) AS org_id,
+       CAST(0 AS INTEGER) AS pos, CAST(count(*) AS VARCHAR) AS entry FROM customer GROUP BY c_nationkey
+UNION ALL
+SELECT DISTINCT 'N' || CAST(c_nationkey AS VARCHAR), 'REGION', {LINK_CONNECT}, CAST(0 AS INTEGER), c_mktsegment FROM customer""")
+sql("merge_job_archive", f"SELECT {CUST_KEY} AS rowkey, 'MSG_COUNT' AS field, '1' AS value FROM customer WHERE c_acctbal >= 0")
+sql("merge_job_requests", f"""SELECT {CUST_KEY} AS org_id, {LINK_CONNECT} AS connect_id, CAST(0 AS INTEGER) AS status,
+       '20240101' AS insert_time FROM customer""")
+sql("link_tangles", """
+SELECT 'k' || CAST(g + x AS VARCHAR) AS org_id, 'k' || CAST(g + 6 AS VARCHAR) AS connect_id
+FROM (SELECT DISTINCT o_orderkey - o_orderkey % 7 AS g FROM orders), (VALUES (4), (5)) v(x)
+UNION ALL SELECT 'o' || CAST(o_orderkey AS VARCHAR), 'A' || CAST(o_orderkey % 10 AS VARCHAR) FROM orders
+UNION ALL SELECT DISTINCT 'B' || CAST(o_orderkey % 10 AS VARCHAR), 'A' || CAST(o_orderkey % 10 AS VARCHAR) FROM orders""")
+sql("link_cycles", """
+SELECT 'k' || CAST(g + x AS VARCHAR) AS org_id, 'k' || CAST(g + x AS VARCHAR) AS connect_id
+FROM (SELECT DISTINCT o_orderkey - o_orderkey % 7 AS g FROM orders), (VALUES (0), (1), (2), (3)) v(x)""")
 sql("daily_counters_one_day", with_(
     "ev AS (SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE strftime(ts, '%Y%m%d%H%M%S') LIKE '20240105%')",
     daily("all")) + "SELECT * FROM daily_all")

@@ -143,25 +143,30 @@ def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links:
 def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_messages: DataFrame,
                        edges: DataFrame, stored_links: DataFrame, link_requests: DataFrame,
                        insert_time: str) -> dict[str, DataFrame]:
-    """T26 (I5-I12, K7): process every pending link of ``insert_time`` in one
-    plan. Returns the merged profiles (long form), re-keyed messages, group
-    messages and edges, the new stored links (flattened) and the link
-    request table without the processed rows. Re-keying uses the full
-    closure of old and new links, so ids carried by old canonical ids move
-    too.
+    """T26 (I5-I12, K7): process every pending link of ``insert_time`` in one plan.
+
+    Only ids that a pending link names give up their profile: an original its
+    own cells, an old canonical id (C1 in C1 -> C2) the cells gathered under it
+    since its merge; originals merged earlier are not merged twice. Messages,
+    group messages, edges and ids inside entries are re-keyed with the whole
+    closure, old canonical ids included. Originals are archived, old canonical
+    ids are not.
     """
     from ..operators import merge as M
 
     pending = M.pending_links(link_requests, insert_time)
-    links, cycles = M.flatten_links(stored_links, pending)
+    closed = M.close_links(stored_links, pending)
+    rekey, named = closed["rekey"], pending.select("org_id").distinct()
+    moved = rekey.join(named, on="org_id", how="left_semi")
+    originals = named.join(stored_links.select(F.col("connect_id").alias("org_id")), on="org_id", how="left_anti")
     return {
-        "profiles": M.merge_profiles(profiles_cells, links),
-        "archive": M.archive_originals(profiles_cells, pending),
-        "messages": M.rekey_messages(messages, links),
-        "group_messages": M.rekey_group_messages(group_messages, links),
-        "edges": M.rekey_edges(edges, links),
-        "links": links,
-        "link_cycles": cycles,
+        "profiles": M.merge_profiles(profiles_cells, moved, rekey=rekey),
+        "archive": M.archive_originals(profiles_cells, originals),
+        "messages": M.rekey_messages(messages, rekey),
+        "group_messages": M.rekey_group_messages(group_messages, rekey),
+        "edges": M.rekey_edges(edges, rekey),
+        "links": closed["links"],
+        "link_cycles": closed["cycles"],
         "requests": M.clear_pending(link_requests, insert_time),
     }
 
