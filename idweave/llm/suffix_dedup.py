@@ -22,6 +22,7 @@ null; no rows give no rows.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +36,9 @@ from .suffix_groups import lockstep, single
 
 WIDTH, GRAM, MOST_RUNS = 200, 24, 4096
 #: Bytes hashed in one step, and bytes of the texts that are sorted in one step.
-STEP_BYTES, SORT_BYTES = 1 << 22, 1 << 21
-#: With fewer texts than this a step of all of them costs more than sorting them one by one.
-LOCKSTEP_TEXTS = 24
+STEP_BYTES, SORT_BYTES = 1 << 22, 1 << 22
+#: Microseconds: a symbol of a text sorted alone; a step of many texts, and each symbol of theirs.
+SINGLE_COST, STEP_COST, TOGETHER_COST = 1.2, 80, 0.2
 
 _RNG = np.random.default_rng(20240611)
 _BYTES = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,7 +82,10 @@ def window_minima(values: np.ndarray, w: int) -> np.ndarray:
 
 
 def window_runs(data: bytes, bounds: np.ndarray, width: int, gram: int) -> list[tuple]:
-    """(text, start, windows, key, content hash) of the runs of the texts that ``bounds`` cuts ``data`` into."""
+    """(text, start, windows, key, content hash, gram) of the runs of the texts that ``bounds`` cuts ``data`` into.
+
+    ``gram`` is the minimizer's place in the run.
+    """
     out, total = [], len(data)
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     for base in range(0, total, STEP_BYTES):
@@ -100,42 +104,44 @@ def window_runs(data: bytes, bounds: np.ndarray, width: int, gram: int) -> list[
         count = np.diff(np.append(new, len(at)))
         first = at[new] + base
         content = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(first.tolist(), (first + count + width - 1).tolist())]
-        out.append((text[new], first - bounds[text[new]], count, h[place[new]], np.array(content, dtype=np.uint64)))
-    return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, dtype=np.int64)] * 3 + [np.empty(0, np.uint64)] * 2
+        out.append((text[new], first - bounds[text[new]], count, h[place[new]], np.array(content, dtype=np.uint64),
+                    place[new] + base - first))
+    return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, dtype=np.int64)] * 3 + [
+        np.empty(0, np.uint64)] * 2 + [np.empty(0, dtype=np.int64)]
 
 
 def run_rows(docs: DataFrame, text_col: str, width: int, gram: int) -> DataFrame:
-    """(row_no, start, windows, key, content) of every run of every text."""
+    """(row_no, start, windows, key, content, gram) of every run of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 data = texts(part)
-                text, start, count, key, content = window_runs(
+                text, start, count, key, content, place = window_runs(
                     b"".join(data), np.cumsum([0, *map(len, data)]), width, gram)
                 yield pa.RecordBatch.from_arrays([
                     part.column("row_no").take(pa.array(text)), pa.array(start.astype(np.int64)),
-                    pa.array(count.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(content.view(np.int64))],
-                    names=["row_no", "start", "windows", "key", "content"])
+                    pa.array(count.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(content.view(np.int64)),
+                    pa.array(place.astype(np.int32))], names=["row_no", "start", "windows", "key", "content", "gram"])
 
     rows = numbered(docs).select("row_no", F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "row_no bigint, start bigint, windows int, key bigint, content bigint")
+    return rows.mapInArrow(run, "row_no bigint, start bigint, windows int, key bigint, content bigint, gram int")
 
 
 def run_contents(docs: DataFrame, contents: DataFrame, text_col: str, width: int) -> DataFrame:
-    """(key, content, bytes) of ``contents`` (key, content, windows, row_no, start), cut from one text that holds each."""
-    wanted = contents.groupBy("row_no").agg(F.collect_list(F.struct("key", "content", "start", "windows")).alias("runs"))
+    """(key, content, gram, bytes) of ``contents`` (and windows, row_no, start), cut from one text that holds each."""
+    wanted = contents.groupBy("row_no").agg(F.collect_list(F.struct("key", "content", "start", "windows", "gram")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                rows = [(r["key"], r["content"], t[r["start"]:r["start"] + r["windows"] + width - 1])
+                rows = [(r["key"], r["content"], r["gram"], t[r["start"]:r["start"] + r["windows"] + width - 1])
                         for t, runs in zip(texts(part), part.column("runs").to_pylist()) for r in runs]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))],
-                    names=["key", "content", "bytes"])
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    names=["key", "content", "gram", "bytes"])
 
     rows = numbered(docs).select("row_no", F.col(text_col).alias("text")).join(wanted, "row_no")
-    return rows.select("text", "runs").mapInArrow(run, "key bigint, content bigint, bytes binary")
+    return rows.select("text", "runs").mapInArrow(run, "key bigint, content bigint, gram int, bytes binary")
 
 
 def words8(data: np.ndarray) -> np.ndarray:
@@ -157,10 +163,12 @@ def repeated_windows(buckets: list[list[bytes]], width: int) -> list[np.ndarray]
     run_len = np.array([n for s in sizes for n in s])
     begin = np.concatenate([np.cumsum([e - n, *(x + 1 for x in s[:-1])]) for e, n, s in zip(end.tolist(), lengths.tolist(), sizes)])
     symbols[begin + run_len], symbols[end - 1] = 1, 0  # the end of a run; the end of the text
-    if len(order) >= LOCKSTEP_TEXTS:
-        sa = lockstep(symbols, lengths)
-    else:
-        sa = np.concatenate([np.array(single(symbols[e - n:e].tolist())) + (e - n) for e, n in zip(end.tolist(), lengths.tolist())])
+    alone = longest_alone(lengths)
+    cut = int(end[alone - 1]) if alone else 0
+    sa = [np.array(single(symbols[e - n:e].tolist())) + (e - n) for e, n in zip(end[:alone].tolist(), lengths[:alone].tolist())]
+    if alone < len(order):
+        sa.append(lockstep(symbols[cut:], lengths[alone:]).astype(np.int64) + cut)
+    sa = np.concatenate(sa)
     valid = np.zeros(len(symbols), dtype=bool)
     whole = np.repeat(begin, run_len - width + 1)
     at = whole + np.arange(len(whole)) - np.repeat(np.cumsum(run_len - width + 1) - (run_len - width + 1), run_len - width + 1)
@@ -182,6 +190,13 @@ def repeated_windows(buckets: list[list[bytes]], width: int) -> list[np.ndarray]
     return [f for fs in back for f in fs]
 
 
+def longest_alone(lengths: np.ndarray) -> int:
+    """How many of the texts, longest first, are sorted one by one; the others go in step (measured costs decide)."""
+    before = np.concatenate([[0], np.cumsum(lengths)])
+    step = np.append(lengths, 0) * STEP_COST
+    return int(np.argmin(before * SINGLE_COST + step + (before[-1] - before) * TOGETHER_COST))
+
+
 def spans(mask: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of true values as (first, after last)."""
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
@@ -191,31 +206,50 @@ def spans(mask: np.ndarray) -> list[tuple[int, int]]:
 _SPANS = "key bigint, content bigint, spans array<struct<lo:int,hi:int>>"
 
 
-def sorted_buckets(contents: DataFrame, width: int) -> DataFrame:
-    """(key, content, spans): repeated windows of the runs (key, content, bytes), bucket by bucket."""
+def with_partners(runs: list[tuple[int, int, bytes]], width: int, gram: int) -> list[tuple[int, int, bytes]]:
+    """The runs (content, gram place, bytes) of a bucket that another run can share a window with.
+
+    A window holds either the gram and half of its other bytes before it, or
+    the gram and the other half after it; one of the two must occur in another run.
+    """
+    half = (width - gram + 1) // 2
+    after = width - half + 1
+    parts = [(d[g - half:g + gram] if g >= half else None, d[g:g + after] if g + after <= len(d) else None) for _, g, d in runs]
+    seen = [Counter(p[side] for p in parts if p[side] is not None) for side in (0, 1)]
+    return [r for r, p in zip(runs, parts) if any(p[side] is not None and seen[side][p[side]] > 1 for side in (0, 1))]
+
+
+def sorted_buckets(contents: DataFrame, width: int, gram: int) -> DataFrame:
+    """(key, content, spans): repeated windows of the runs (key, content, gram, bytes), bucket by bucket."""
     kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 
-    def solve(held: list[tuple[int, list[int], list[bytes]]]) -> pa.RecordBatch:
-        marks = repeated_windows([runs for _, _, runs in held], width)
-        names = [(key, c) for key, cs, _ in held for c in cs]
+    def solve(buckets: list[tuple[int, list]]) -> pa.RecordBatch:
+        marks = repeated_windows([[d for _, _, d in runs] for _, runs in buckets], width) if buckets else []
+        names = [(key, c) for key, runs in buckets for c, _, _ in runs]
         rows = [(k, c, [{"lo": lo, "hi": hi} for lo, hi in spans(m)]) for (k, c), m in zip(names, marks) if m.any()]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                                            pa.array([r[2] for r in rows], kind)], names=["key", "content", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, key, runs = [], 0, None, []
+
+        def close() -> int:
+            kept = with_partners(runs, width, gram) if len(runs) > 1 else []
+            if kept:
+                held.append((key, kept))
+            return sum(len(d) for _, _, d in kept)
+
         for batch in batches:
-            for key, content, data in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "bytes"))):
-                if not held or held[-1][0] != key:
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "gram", "bytes"))):
+                if k != key:
+                    size += close()
+                    key, runs = k, []
                     if size > SORT_BYTES:
                         yield solve(held)
                         held, size = [], 0
-                    held.append((key, [], []))
-                held[-1][1].append(content)
-                held[-1][2].append(data)
-                size += len(data)
-        if held:
-            yield solve(held)
+                runs.append(tuple(row))
+        close()
+        yield solve(held)
 
     return contents.repartition("key").sortWithinPartitions("key").mapInArrow(run, _SPANS)
 
@@ -250,13 +284,13 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
     shared = store(runs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "keys")
     runs = store(semi_join_rows(runs, shared, "key"), "runs")
     contents = store(runs.groupBy("key", "content").agg(
-        F.count("*").alias("n"), F.max("windows").alias("windows"), F.min(F.struct("row_no", "start")).alias("at")).select(
-        "key", "content", "n", "windows", "at.row_no", "at.start"), "contents")
+        F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("gram").alias("gram"), F.min(F.struct("row_no", "start")).alias("at")).select(
+        "key", "content", "n", "windows", "gram", "at.row_no", "at.start"), "contents")
     sizes = store(contents.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
-    compared = contents.join(sizes, "key").select("key", "content", "members", "windows", "row_no", "start")
+    compared = contents.join(sizes, "key").select("key", "content", "gram", "windows", "row_no", "start")
     data = store(run_contents(docs, compared, text_col, width), "contents")
     large = store(sizes.filter(F.col("members") > most_runs).select("key"), "large")
-    found = sorted_buckets(data.join(large, "key", "left_anti"), width)
+    found = sorted_buckets(data.join(large, "key", "left_anti"), width, gram)
     if not large.isEmpty():
         found = found.unionByName(counted_windows(data.join(large, "key", "left_semi"), width).select("key", "content", "spans"))
     whole = contents.filter("n > 1").select("key", "content", F.array(F.struct(

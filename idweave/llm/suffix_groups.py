@@ -24,12 +24,12 @@ import numpy as np
 def _initial(symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes by (text, first symbol), the group start of each suffix, and group sizes at the starts."""
     key = owner * (int(symbols.max()) + 1) + symbols
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key, kind="stable").astype(np.int32)
     ordered = key[sa]
     new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    size = np.zeros(len(sa) + 1, dtype=np.int64)
+    size = np.zeros(len(sa) + 1, dtype=np.int32)
     size[new] = np.diff(np.append(new, len(sa)))
-    group = np.empty(len(sa) + 1, dtype=np.int64)
+    group = np.empty(len(sa) + 1, dtype=np.int32)
     group[sa] = np.repeat(new, size[new])
     group[-1] = -1
     return sa, group, size
@@ -44,11 +44,11 @@ def lockstep(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     end = np.cumsum(lengths)
     start = end - lengths
     sa, group, size = _initial(symbols, np.repeat(np.arange(len(lengths)), lengths))
-    isa = np.empty(total, dtype=np.int64)
-    isa[sa] = np.arange(total)
+    isa = np.empty(total, dtype=np.int32)
+    isa[sa] = np.arange(total, dtype=np.int32)
     first = np.zeros(total, dtype=bool)
     first[start] = True
-    before = np.full(total + 1, none)  # previous-smaller pointers
+    before = np.full(total + 1, none, dtype=np.int32)  # previous-smaller pointers
     moving = np.zeros(total, dtype=bool)
     top = end.copy()
     active = np.flatnonzero(top > start + 1)
@@ -100,8 +100,8 @@ def lockstep(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         top[active] = lo
         active = active[lo > start[active] + 1]
     # second phase
-    out = np.empty(total, dtype=np.int64)
-    slot, placed = np.arange(total + 1), np.zeros(total + 1, dtype=bool)
+    out = np.empty(total, dtype=np.int32)
+    slot, placed = np.arange(total + 1, dtype=np.int32), np.zeros(total + 1, dtype=bool)
     out[start], placed[end - 1], placed[none] = end - 1, True, True
     fewer = np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0))  # texts longer than t
     for t, k in enumerate(fewer.tolist()):

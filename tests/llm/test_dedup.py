@@ -118,7 +118,7 @@ def test_suffix_dedup_edges(spark):
 def test_runs_hold_every_window_once():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(3000)) + b"c" * 500
-    text, start, count, _, _ = window_runs(data, np.array([0, 1200, 1200, len(data)]), 50, 8)
+    text, start, count, _, _, place = window_runs(data, np.array([0, 1200, 1200, len(data)]), 50, 8)
     found = sorted((t, s + i) for t, s, c in zip(text.tolist(), start.tolist(), count.tolist()) for i in range(c))
     assert found == [(0, i) for i in range(1200 - 49)] + [(2, i) for i in range(len(data) - 1200 - 49)]
 
