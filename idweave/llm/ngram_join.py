@@ -39,8 +39,8 @@ from .common import Bounded, numbered, semi_join_rows, slices, store, texts
 WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 2, 1
 #: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones; elements of a weak signature.
 BAND, SLACK, WEAK = 1.25, 0.1, 3
-#: Members of a sub-bucket whose pairs are compared at once.
-PAIRED = 32
+#: Members of a sub-bucket whose pairs are compared at once, in the first round; four times as many in each later one.
+PAIRED = 256
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -232,9 +232,10 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
     linked with the pivot meet others only in sub-buckets of rare shared
     elements and of close counts. Pairs of a sub-bucket of up to ``PAIRED``
     members are compared; larger ones are the buckets of another round, in
-    which the pivots are no more.
+    which the pivots are no more and four times as many members are paired,
+    so the rounds are few.
     """
-    links = None
+    links, paired = None, PAIRED
     while True:
         buckets = store(buckets, "members")
         sizes = store(buckets.groupBy("bucket").agg(F.count("*").alias("members"), F.min("rep").alias("head")).filter(
@@ -263,14 +264,15 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
         sizes = store(sub.groupBy("bucket").agg(F.count("*").alias("members"), F.min("linked").alias("all")).filter(
             "members > 1 AND NOT all").select("bucket", "members"), "sub_sizes")
         sub = store(sub.join(sizes, "bucket"), "sub_members")
-        few = sub.filter(F.col("members") <= PAIRED)
+        few = sub.filter(F.col("members") <= paired)
         other = few.select("bucket", F.col("rep").alias("pivot"), F.col("linked").alias("other_linked"), F.col("n").alias("m"))
         fits = (den * F.least("n", "m") >= num * F.greatest("n", "m")) & ~(F.col("linked") & F.col("other_linked"))
         pairs = store(few.join(other, "bucket").filter((F.col("pivot") < F.col("rep")) & fits).select("pivot", "rep").distinct(),
                       "sub_pairs")
         found = store(compared(pairs, grams, num, den).filter("linked").select("pivot", "rep"), "sub_links")
         links = links.unionByName(found)
-        buckets = sub.filter(F.col("members") > PAIRED).select("bucket", "rep")
+        buckets = sub.filter(F.col("members") > paired).select("bucket", "rep")
+        paired *= 4
     return None if links is None or links.isEmpty() else connected(links, "pivot", "rep")
 
 
