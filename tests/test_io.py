@@ -1,4 +1,4 @@
-"""Sources, sinks, cells and the streaming merge."""
+"""Sources, sinks and cells."""
 
 import os
 import tempfile
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from idweave.operators import profiles
 from idweave.schemas import USER_SCHEMA, Catalog
 from idweave.sources import cells, sinks, tables
-from idweave.streaming import profile_stream
 
 from .conftest import rows
 
@@ -76,45 +75,9 @@ def test_csv_json_with_schema(spark):
                   key=str) == [(1, "a"), (2, None)]
 
 
-def test_streaming_merge_equals_batch_merge(spark):
-    d = _tmp()
-    src, store, ckpt = (os.path.join(d, x) for x in ("src", "store", "ckpt"))
-    cols = [f.name for f in USER_SCHEMA.fields]
-
-    def user(rowkey, mail, phone, platform, name):
-        r = dict.fromkeys(cols)
-        r.update(rowkey=rowkey, mail=mail, phone=phone, platform=platform, name=name, name_source="s", is_user=1)
-        return tuple(r[c] for c in cols)
-
-    b1 = spark.createDataFrame([user("r1", "a@x", "1", "pa", "Ann"), user("r2", "b@x", "null", "pc", "Bo")],
-                               USER_SCHEMA)
-    b2 = spark.createDataFrame([user("r1", "a@x", "2", "pc", "Ann"), user("r3", None, "3", "pa", "null")],
-                               USER_SCHEMA)
-    b1.write.mode("append").parquet(src)
-    q = profile_stream.start_profile_merge(profile_stream.user_rows_stream(spark, src), store, ckpt,
-                                           available_now=True)
-    q.awaitTermination()
-    b2.write.mode("append").parquet(src)
-    q = profile_stream.start_profile_merge(profile_stream.user_rows_stream(spark, src), store, ckpt,
-                                           available_now=True)
-    q.awaitTermination()
-    streamed = profile_stream.read_profiles(spark, store)
-    both = b1.unionByName(b2)
-    batch = profiles.score(profile_stream.batch_evidence(both).distinct())
-    key = ["rowkey", "attr", "value", "ev", "score"]
-    assert sorted(rows(streamed, *key)) == sorted(rows(batch, *key))
-    assert ("r1", "mail", "a@x", 2) in {(r.rowkey, r.attr, r.value, r.score) for r in streamed.collect()}
-
-
-def test_stream_compaction_and_import_table(spark):
-    d = _tmp()
-    store = os.path.join(d, "store")
-    ev = spark.createDataFrame([("r1", "mail", "a@x", "{}", 0), ("r1", "mail", "a@x", "{}", 1)],
-                               "rowkey string, attr string, value string, ev string, epoch int")
-    ev.write.partitionBy("epoch").parquet(store)
-    profile_stream.compact(spark, store, os.path.join(d, "compact"))
-    assert spark.read.parquet(os.path.join(d, "compact")).count() == 1
-    tables.import_table(spark, ev.drop("epoch"), "idweave_test_db", "ev", path=os.path.join(d, "tbl"))
+def test_import_table(spark):
+    ev = spark.createDataFrame([("r1", "mail"), ("r1", "mail")], "rowkey string, attr string")
+    tables.import_table(spark, ev, "idweave_test_db", "ev", path=os.path.join(_tmp(), "tbl"))
     assert spark.table("idweave_test_db.ev").count() == 2
 
 
@@ -152,22 +115,6 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_streaming_daily_counts_equal_batch(spark):
-    from idweave.streaming.counters import daily_id_counts, start_daily_counts
-    base = "/root/testdata/sf0.001/events.parquet"
-    src = os.path.join(_tmp(), "events")
-    spark.read.parquet(base).write.parquet(src)              # a file stream reads a directory
-    schema = spark.read.parquet(base).schema
-    q = start_daily_counts(spark.readStream.schema(schema).parquet(src), "idweave_daily_counts",
-                           os.path.join(_tmp(), "ckpt"), output_mode="update", available_now=True)
-    q.awaitTermination()
-    streamed = spark.sql("SELECT day, event_type, max(count) AS count FROM idweave_daily_counts GROUP BY 1, 2")
-    batch = (spark.read.parquet(base).groupBy(F.date_format("ts", "yyyyMMdd").alias("day"), "event_type")
-             .agg(F.countDistinct("event_id").alias("count")))
-    assert sorted(rows(streamed)) == sorted(rows(batch))
-    assert sorted(rows(daily_id_counts(spark.read.parquet(base)))) == sorted(rows(batch))
-
-
 def test_jobs_end_to_end(spark):
     from idweave import jobs
     from idweave.operators.conform import spec_basic

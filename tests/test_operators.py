@@ -214,6 +214,38 @@ def test_link_flatten_long_chain(spark):
     assert sorted(rows(out)) == sorted((f"c{i}", "c12") for i in range(12)) and rows(cycles) == []
 
 
+def test_link_cycles_and_conflicts(spark):
+    schema = "org_id string, connect_id string"
+    none = spark.createDataFrame([], schema)
+    for n in (2, 3, 5, 7):  # cycles of any length, with a tail
+        ring = [(f"r{i}", f"r{(i + 1) % n}") for i in range(n)] + [("tail", "r0"), ("x", "Y"), ("s", "s")]
+        out, cycles = merge.flatten_links(none, spark.createDataFrame(ring, schema))
+        assert rows(out) == [("x", "Y")]
+        assert sorted(r.org_id for r in cycles.collect()) == sorted(["tail", *(f"r{i}" for i in range(n))])
+    both = spark.createDataFrame([("a", "C1"), ("a", "C2"), ("b", "C2")], schema)  # two requests join their groups
+    assert sorted(rows(merge.flatten_links(none, both)[0])) == [("C2", "C1"), ("a", "C1"), ("b", "C1")]
+
+
+def test_second_generation_merge(spark):
+    from idweave.plans import pipelines
+    schema = "org_id string, connect_id string"
+    stored = spark.createDataFrame([("a", "C1"), ("b", "C1")], schema)
+    requests = spark.createDataFrame([("C1", "C2", 1, "t"), ("n", "C2", 1, "t")], schema + ", status int, insert_time string")
+    cells = spark.createDataFrame([("a", "MSG_COUNT", "1"), ("b", "MSG_COUNT", "2"), ("C1", "MSG_COUNT", "10"), ("n", "MSG_COUNT", "5")],
+                                  "rowkey string, field string, value string")
+    msgs = spark.createDataFrame([("C1-5-9", "C1", "z", 5, "9"), ("a-6-8", "a", "C1", 6, "8")],
+                                 "mid string, user string, party string, timesent long, platform_msg_id string")
+    groups = spark.createDataFrame([("C1", "t")], "sender string, text string")
+    edges = spark.createDataFrame([("C1", "n", "x"), ("a", "C1", "x")], "u_uid string, c_uid string, name string")
+    out = pipelines.identity_merge_job(cells, msgs, groups, edges, stored, requests, "t")
+    assert rows(out["profiles"], "connect_id", "entry") == [("C2", "15")]  # C1's own cells and n's, not a's and b's again
+    assert sorted(rows(out["messages"], "mid", "user", "party")) == [("C2-5-9", "C2", "z"), ("C2-6-8", "C2", "C2")]
+    assert rows(out["group_messages"], "sender") == [("C2",)]
+    assert sorted(rows(out["edges"])) == [("C2", "C2", "x")]
+    assert sorted(rows(out["links"])) == [("a", "C2"), ("b", "C2"), ("n", "C2")]
+    assert {r.rowkey for r in out["archive"].collect()} == {"n"}
+
+
 def test_remap_in_array(spark):
     links = spark.createDataFrame([("a", "C")], "org_id string, connect_id string")
     df = spark.createDataFrame([("k", ["a", "b", "a"])], "key string, ids array<string>")

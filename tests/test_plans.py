@@ -47,6 +47,11 @@ def test_column_pruning_and_pushdown(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in text
 
 
-def test_region_lookup_broadcasts_checked_lookup(spark):
-    text = plan_text(QUERIES["region_lookup"](spark, SF))
-    assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
+def test_region_lookup_has_no_length_cap(spark):
+    from idweave.operators.enrich import region_lookup
+    long = "8613" + "5" * 40
+    users = spark.createDataFrame([("r", long + "9", "pa"), ("s", "7", "pa")], "rowkey string, phone string, platform string")
+    prefixes = spark.createDataFrame([(long, "C", "P", "Q", "1"), ("86", "D", "P", "Q", "2")],
+                                     "prefix string, country string, province string, city string, code string")
+    got = {r.rowkey: r.country for r in region_lookup(users, prefixes).collect()}
+    assert got == {"r": "C", "s": "Unknown"}
