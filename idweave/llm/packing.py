@@ -19,7 +19,6 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,16 +34,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                  capacity: int = CAPACITY, end_id: int = END_ID, id_type: str = "") -> DataFrame:
     """Pieces of at most ``capacity`` tokens: row_no, id, piece, start, length, ids_crc32.
 
-    With ``id_type`` (a numpy type, as ``<u2``) also ids, in that type.
+    With ``id_type`` (``<u2`` or ``<u4``) also ids, in that type, which the checksum then covers.
     """
-    end = end_id.to_bytes(4, "little")
+    size = 2 if id_type == "<u2" else 4
+    end = end_id.to_bytes(size, "little")
     names = ["row_no", "id", "piece", "start", "length", "ids_crc32"] + ["ids"] * bool(id_type)
     schema = "row_no bigint, id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + \
         ", ids binary" * bool(id_type)
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, step = word_ids(tokenizer), 4 * capacity
+        encoder, step = word_ids(tokenizer, "H" if size == 2 else "I"), size * capacity
         for batch in batches:
             for part in slices(batch):
                 rows = []
@@ -53,10 +53,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                     ids += end
                     for k, at in enumerate(range(0, len(ids), step)):
                         piece = ids[at:at + step]
-                        crc = zlib.crc32(piece)
-                        if id_type:
-                            piece = np.frombuffer(piece, "<u4").astype(id_type).tobytes()
-                        rows.append((row, doc, k, at // 4, len(ids[at:at + step]) // 4, crc, piece)[:len(names)])
+                        rows.append((row, doc, k, at // size, len(piece) // size, zlib.crc32(piece), piece)[:len(names)])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     return numbered(docs).select("row_no", F.col(id_col).cast("bigint").alias("id"),

@@ -93,14 +93,16 @@ def packed_matrix(docs: DataFrame, tokenizer: str, vocabulary_size: int, id_col:
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "row_no", "piece"], ascending=[False, True, True], ignore_index=True)
-        lengths, out = rows["length"].tolist(), []
-        pad = np.array(pad_id, kind).tobytes()
+        lengths, ids, piece, start = (rows[c].tolist() for c in ("length", "ids", "piece", "start"))
+        doc = [None if pd.isna(d) else int(d) for d in rows["id"]]
+        pad, out = np.array(pad_id, kind).tobytes(), []
         for k, bin_ in enumerate(best_fit_decreasing(lengths, capacity)):
-            own = rows.iloc[bin_]
-            n = int(own["length"].sum())
-            cu = [0, *np.cumsum(own["length"]).tolist()]
-            out.append(((int(key[0]) << 32) + k, n, b"".join(own["ids"]) + pad * (capacity - n), kind.itemsize, cu, cu[:-1],
-                        [None if pd.isna(d) else int(d) for d in own["id"]], own["piece"].tolist(), own["start"].tolist()))
+            cu = [0]
+            for i in bin_:
+                cu.append(cu[-1] + lengths[i])
+            row = b"".join([ids[i] for i in bin_]) + pad * (capacity - cu[-1])
+            out.append(((int(key[0]) << 32) + k, cu[-1], row, kind.itemsize, cu, cu[:-1], [doc[i] for i in bin_],
+                        [piece[i] for i in bin_], [start[i] for i in bin_]))
         return pd.DataFrame(out, columns=["sequence_id", "n_tokens", "ids", "id_bytes", "cu_seqlens", "resets", "doc_ids",
                                           "pieces", "starts"])
 

@@ -1,4 +1,4 @@
-"""Token ids of texts, word by word with bounded caches.
+"""Token ids of texts, word by word with bounded caches, as bytes of 2 or 4 an id.
 
 For BPE tokenizers that split at white space before their model runs (the one
 with word ends does): a text's ids are the ids of its words, in order. A word
@@ -20,8 +20,8 @@ CACHE_WORDS, CACHE_PIECES = 200_000, 600_000
 
 #: Characters that no normaliser changes beyond lower case and no pattern treats as space.
 _OTHER = regex.compile("[^\x21-\x7e¡-įı-ɏ]")
-#: Ends a word in a run of ids: no id is so large, and no two neighbours hold these bytes (ids are below 2**24).
-_LINE = b"\xff\xff\xff\xff"
+#: Ends a word in a run of ids, by bytes of an id: no id's high byte is 255, so no neighbours hold these bytes.
+_LINE = {"H": b"\xff\xff", "I": b"\xff\xff\xff\xff"}
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -32,12 +32,14 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class WordIds:
-    """Little-endian unsigned 32-bit ids of texts; holds at most about ``limit`` words and ``piece_limit`` pieces."""
+    """Little-endian ids of texts, unsigned 32-bit ("I") or 16-bit ("H"); holds about ``limit`` words, ``piece_limit`` pieces."""
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS, piece_limit: int = CACHE_PIECES):
+    def __init__(self, path: str, limit: int = CACHE_WORDS, piece_limit: int = CACHE_PIECES, kind: str = "I"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer, self.limit, self.piece_limit = Tokenizer.from_file(path), limit, piece_limit
+        self.kind, self.line = kind, _LINE[kind]
+        assert kind == "I" or self.tokenizer.get_vocab_size() < 0xFF00, "ids need 32 bits"
         with open(path) as f:
             rules = json.load(f)
         split = rules["pre_tokenizer"]["pretokenizers"][0]
@@ -57,7 +59,7 @@ class WordIds:
         tokenize, table = self.model.tokenize, self.alphabet
         for p in new:
             mapped = p if p.isascii() else p.encode().decode("latin-1").translate(table)
-            self.pieces[p] = array("I", [t.id for t in tokenize(mapped)]).tobytes()
+            self.pieces[p] = array(self.kind, [t.id for t in tokenize(mapped)]).tobytes()
 
     def learn(self, new: list[bytes]) -> None:
         """Encode words that are not held yet: all plain ones as the lines of one text."""
@@ -68,12 +70,12 @@ class WordIds:
         plain = [i for i in range(len(new)) if i not in odd]
         found = self.pattern.findall("\n".join([lines[i] for i in plain]).lower())
         self.pieces_ids(set(found) - {"\n"})
-        self.pieces["\n"] = _LINE
+        self.pieces["\n"] = self.line
         get = self.pieces.__getitem__
-        self.words.update(zip([new[i] for i in plain], b"".join(map(get, found)).split(_LINE)))
+        self.words.update(zip([new[i] for i in plain], b"".join(map(get, found)).split(self.line)))
         rest = [lines[i] for i in sorted(odd)]
         for i, e in zip(sorted(odd), self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.words[new[i]] = array("I", e.ids).tobytes()
+            self.words[new[i]] = array(self.kind, e.ids).tobytes()
 
     def encode(self, values: list[bytes]) -> list[bytes]:
         """The ids of each text, as bytes."""
@@ -89,6 +91,6 @@ class WordIds:
 
 
 @cache
-def word_ids(path: str) -> WordIds:
-    """One encoder for each worker process and vocabulary file."""
-    return WordIds(path)
+def word_ids(path: str, kind: str = "I") -> WordIds:
+    """One encoder for each worker process, vocabulary file and kind."""
+    return WordIds(path, kind=kind)
