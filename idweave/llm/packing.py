@@ -128,8 +128,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     stored = store(pieces, "pieces")
     groups = max(1, -(-stored.count() // group_pieces))
     columns = [f.name for f in stored.schema if f.name != "ids"]
-    dealt = stored.select(*columns).withColumn("pack_group", F.pmod(F.xxhash64("row_no", "piece"), F.lit(groups)))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored.schema if f.name != "ids") + \
+    dealt = stored.select(*columns).withColumn("id", F.col("id").cast("string")).withColumn("pack_group", F.pmod(F.xxhash64("row_no", "piece"), F.lit(groups)))
+    # ids travel as text: pandas would hold whole numbers beside nulls as inexact floats
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.drop("pack_group").schema) + \
         ", sequence_id bigint, offset bigint"
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +145,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
                 at += lengths[i]
         return rows.assign(sequence_id=sequence, offset=offset)
 
-    return dealt.repartition(groups, "pack_group").groupBy("pack_group").applyInPandas(run, schema)
+    packed = dealt.repartition(groups, "pack_group").groupBy("pack_group").applyInPandas(run, schema)
+    return packed.withColumn("id", F.col("id").cast("bigint"))
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",

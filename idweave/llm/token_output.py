@@ -108,7 +108,7 @@ def packed_matrix(docs: DataFrame, tokenizer: str, vocabulary_size: int, id_col:
 
     schema = ("sequence_id bigint, n_tokens bigint, ids binary, id_bytes int, cu_seqlens array<int>, resets array<int>, "
               "doc_ids array<bigint>, pieces array<int>, starts array<bigint>")
-    dealt = pieces.withColumn("pack_group", F.pmod(F.xxhash64("row_no", "piece"), F.lit(groups)))
+    dealt = pieces.withColumn("id", F.col("id").cast("string")).withColumn("pack_group", F.pmod(F.xxhash64("row_no", "piece"), F.lit(groups)))
     return store(dealt.repartition(groups, "pack_group").groupBy("pack_group").applyInPandas(run, schema), "matrix")
 
 

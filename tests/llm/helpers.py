@@ -14,7 +14,7 @@ def edge_rows():
     return [(1, "The cat sat on the mat today, and the dog ran off.", "en", "a", 10), (2, None, "en", "a", None),
             (3, "", None, "b", 0), (4, " \t\n\x0b\x0c\r ", "de", None, 7), (5, "The cat sat on\tthe mat today,\nand the dog ran off.", None, None, 10),
             (6, "The  cat sat on the mat today, and the dog ran off.", "en", "a", 11), (6, "The  cat sat on the mat today, and the dog ran off.", "en", "a", 11),
-            (None, "no id here", "en", "b", 3), (None, None, None, None, None), (8, "one", "fr", "b", 1), (9, "two words", "fr", "b", 2),
+            (None, "no id here", "en", "b", 3), (None, None, None, None, None), (8, "one", "fr", "b", 1), (9, "two words", "fr", "b", 2), (9_007_199_254_740_993, "an id that no float holds", "fr", "b", 2),
             (10, long, "en", "c", len(long)), (11, long + " end", "en", "c", len(long) + 4), (12, "é x́ 汉字 😀 ßtraße ÄÖÜ", "de", "c", 20),
             (13, "aaaa " * 300, "en", "a", 1500), (14, "WARC/1.1\r\nContent-Length: 5\r\n\r\nab", "en", "a", 30)]
 
