@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import join_key, stable_group_id
-from ..functions.packed import ENTRY_SEP, NAME_ENTRY_RE, entries
+from ..functions.packed import ENTRY_SEP, NAME_ENTRY_RE, SOURCE_RE, entries
 from ..sources.scratch import store
 from .components import connected
 from .lists import bounded_concat
@@ -60,8 +60,8 @@ def _remap_name_entries(e: DataFrame, links: DataFrame) -> DataFrame:
                       F.regexp_extract("entry", NAME_ENTRY_RE, 3).alias("sc"))
     src = parsed.select("org_id", "connect_id", "field", "pos", "nm", "sc",
                         F.posexplode(F.split("plats", ",", -1)).alias("spos", "s"))
-    src = src.select("*", F.regexp_extract("s", "^(.*)-([^-]*)$", 1).alias("sid"),
-                     F.regexp_extract("s", "^(.*)-([^-]*)$", 2).alias("spl"))
+    src = src.select("*", F.regexp_extract("s", SOURCE_RE, 1).alias("sid"),
+                     F.regexp_extract("s", SOURCE_RE, 2).alias("spl"))
     res = resolve_column(src, links, "sid")
     regrouped = (res.groupBy("org_id", "connect_id", "field", "pos", "nm", "sc")
                  .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("spos", "sid", "spl"))),

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaners import is_present, signin_name
-from ..functions.ids import rowkey
-from ..functions.ids import key_part
+from ..functions.ids import join_key, key_part, rowkey
 from ..operators.conform import to_user_model
 from ..operators.dedup import dedup_keep_min, distinct_rows
 from ..schemas import GROUP_MESSAGE_COLUMNS, MESSAGE_COLUMNS
@@ -27,10 +26,11 @@ SOURCE_DEDUP_BY = ["useruid", "partyuid", "timesent", "mtext", "media", "directi
 def message_rows(src: DataFrame, user_platform: str, party_platform: str, platform: str,
                  null_token: str = "null") -> DataFrame:
     """T8 map step: source rows -> message rows with hashed ends, the message
-    id ``user-timesent-token`` and the sign-in name."""
+    id ``user-timesent-token`` (NULL where the sender is, never a shifted id)
+    and the sign-in name."""
     user = rowkey("useruid", user_platform)
     return src.select(
-        F.concat_ws("-", user, F.col("timesent").cast("string"), "messagetoken").alias("mid"),
+        join_key(user, "timesent", "messagetoken").alias("mid"),
         F.col("mtext").alias("content"), "partyuid", "useruid",
         rowkey("partyuid", party_platform).alias("party"), user.alias("user"), "timesent", "media",
         "direction", "msgtype", signin_name("mtext", null_token).alias("name"), F.lit(platform).alias("platform"))

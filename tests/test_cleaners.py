@@ -124,3 +124,14 @@ def test_weighted_jaccard(spark, a, b, expected):
     df = spark.createDataFrame([tuple(a[k] for k in a) + tuple(b[k] for k in b)], schema)
     score = df.select(weighted_jaccard({k: (f"a_{k}", f"b_{k}") for k in a}).alias("s")).first().s
     assert round(score, 6) == expected
+
+
+def test_dashed_ids_and_null_senders(spark):
+    from idweave.plans.pipelines import message_rows
+    df = spark.createDataFrame([("name:Ann|platforms:ab-cust-cust,x-pa|score:2",)], "e string")
+    p = df.select(packed.parse_name_entry("e").alias("p")).first().p
+    assert [(s.source_id, s.platform) for s in p.sources] == [("ab-cust", "cust"), ("x", "pa")]
+    src = spark.createDataFrame([(None, "2", 5, "tok", "t", "m", "d", 0)],
+                                "useruid string, partyuid string, timesent long, messagetoken string, mtext string, "
+                                "media string, direction string, msgtype int")
+    assert message_rows(src, "pa", "pa", "pa").first().mid is None
