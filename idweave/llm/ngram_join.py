@@ -40,7 +40,7 @@ WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 2, 1
 #: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones; elements of a weak signature.
 BAND, SLACK, WEAK = 1.25, 0.1, 3
 #: Members of a sub-bucket whose pairs are compared at once, in the first round; four times as many in each later one.
-PAIRED = 256
+PAIRED = 32
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
