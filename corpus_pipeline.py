@@ -29,8 +29,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar shingle sets."""
-    return keep_rows(docs, ngram_join(docs))
+    """One document of each component of five-word shingle sets of a similarity of 0.8 or more."""
+    return keep_rows(docs, ngram_join(docs, words=5, num=80, den=100))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,9 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from idweave.llm import queries
 from idweave.llm.common import store
+from idweave.llm.ngram_join import ngram_join
 
-from .helpers import edge_docs, edge_rows, empty_docs
+from .helpers import edge_docs, edge_rows, empty_docs, random_docs
 from .test_dedup import components, norm
 
 
@@ -45,6 +46,15 @@ def test_stages_take_effect_and_keep_the_columns(spark, edge_dir):
     assert packed.filter("piece = 0").count() == mixed.count()
 
 
+def test_near_copies_between_the_thresholds_of_op7_and_the_stage(spark):
+    text = [f"w{i}" for i in range(102)]
+    other = ["x" if i in (30, 70) else w for i, w in enumerate(text)]  # 5 words: 88 / 108; 3 words: 94 / 106
+    apart = ["y" if i in (20, 50, 80) else w for i, w in enumerate(text)]  # 5 words: 83 / 113 to the first, under 0.8
+    docs = store(random_docs(spark, [" ".join(t) for t in (text, other, apart)]), "docs")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2]
+    assert {r.component_id for r in ngram_join(docs).collect()} == {0, 1, 2}
+
+
 def test_run_on_edge_and_empty_tables(spark, edge_dir):
     path, empty = edge_dir
     assert corpus_pipeline.run(spark, path).count() > 0
