@@ -27,11 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Let all later scans of the session cut a table alike.
+
+    Without ``minPartitionNum`` each scan is cut by the number of cores alive
+    when it is planned, which changes as executors come and go.
+    """
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+
+
 def numbered(docs: DataFrame, name: str = "row_no") -> DataFrame:
-    """Add a row number that is equal in every evaluation of the same table scan.
+    """Add a row number that is equal in every scan of the same table, as the session's splits are pinned.
 
     ``docs`` is a table just read; anything computed is stored first.
     """
+    pin_splits(docs.sparkSession)
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from idweave.llm import queries
-from idweave.llm.common import store
+from idweave.llm.common import keep_rows, numbered, store
 from idweave.llm.ngram_join import ngram_join
 
 from .helpers import edge_docs, edge_rows, empty_docs, random_docs
@@ -55,6 +55,29 @@ def test_near_copies_between_the_thresholds_of_op7_and_the_stage(spark):
     assert {r.component_id for r in ngram_join(docs).collect()} == {0, 1, 2}
 
 
+def test_row_numbers_outlive_a_change_of_cores(spark):
+    """Cores come and go between two scans of a query; small files are packed by the number of cores."""
+    pinned, cost, cores = (f"spark.sql.{k}" for k in ("files.minPartitionNum", "files.openCostInBytes", "leafNodeDefaultParallelism"))
+    before = {k: spark.conf.get(k, None) for k in (pinned, cost, cores)}
+    try:
+        spark.conf.unset(pinned)
+        spark.conf.set(cost, "1")
+        docs = store(spark.range(60).selectExpr("id AS doc_id", "CAST(id AS string) AS text").repartition(6), "docs")
+        seen = []
+        for n in (1, 6, 3):
+            spark.conf.set(cores, str(n))
+            seen.append({r.doc_id: r.row_no for r in numbered(docs).collect()})
+        assert len(set(seen[0].values())) == 60 and seen[0] == seen[1] == seen[2]
+        spark.conf.set(cores, "1")
+        spark.conf.unset(pinned)
+        decided = store(numbered(docs).selectExpr("row_no", "doc_id % 2 = 0 AS kept"), "decided")
+        spark.conf.set(cores, "6")
+        assert sorted(r.doc_id for r in keep_rows(docs, decided).collect()) == list(range(0, 60, 2))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_run_on_edge_and_empty_tables(spark, edge_dir):
     path, empty = edge_dir
     assert corpus_pipeline.run(spark, path).count() > 0
