@@ -2,15 +2,17 @@
 
 A document belongs to a block of its source (a hash of its id). A source's
 draw list is its blocks in a random order, once per epoch; its quota is the
-number of whole blocks that fit its target. A tree halves the output shards
+number of whole blocks that fit its target, where one that does not fit the
+rest is passed over. A tree halves the output shards
 again and again and gives each half a multivariate-hypergeometric draw of the
 quotas, so every shard holds an exact, random share of every source's blocks;
-shards take disjoint runs of the draw list and shuffle locally. The block at
-the end of a source's quota is taken document by document, and one more
-document, the nearest in size, closes the gap to the target.
+shards take disjoint runs of the draw list and shuffle locally. The documents
+of blocks passed over are taken one by one in random order, as far as each
+fits the rest, before the next epoch begins. At last one more document, the
+nearest in size, closes the gap to the target.
 
-Only block totals (sources x ``blocks`` rows) and quotas (sources x shards)
-reach the driver; their number does not depend on the number of documents.
+Block totals (sources x ``blocks`` rows), quotas (sources x shards) and, at a
+time, the sizes of ``AT_ONCE`` documents or one block of a source reach the driver.
 
 Defined results: null text has size 0, a null source is a source of its own
 (last), a null id is placed by its row; repeated ids are separate documents;
@@ -22,12 +24,14 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, WORD, free_name, numbered, store
 
 WEIGHTS, SHARE, MOST, BLOCKS, SHARDS, SEED = (3, 1, 2), Fraction(3, 2), 2, 256, 64, 17
+#: Documents of a source that are looked at together where blocks do not fit, unless one block has more.
+AT_ONCE = 4096
 
 
 def targets(sizes: list[int], weights: list[int], total: Fraction, most: int = MOST) -> list[Fraction]:
@@ -62,60 +66,93 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks:
         F.xxhash64(key, F.lit(seed + 1)).alias("order_key")), "sized")
 
 
+def fill(rows: DataFrame, held: list[dict], want: list[Fraction], most: int, seed: int) -> tuple[list, list, list]:
+    """Per source its whole blocks (epoch, block); single copies (row_no, source_no, size, epoch, order_key); open gaps.
+
+    ``held`` has per source and block the size, the documents with words and
+    the least of their sizes. A gap is (source_no, epoch of the first block
+    passed over, words). What does not fit the rest of a target never will, as
+    the rest only shrinks; so each document is looked at once an epoch.
+    """
+    spark = rows.sparkSession
+    taken, drawn, singles, ends = [0] * len(held), [[] for _ in held], [], {}
+    rngs = [np.random.default_rng([seed, i]) for i in range(len(held))]
+    for e in range(most):
+        left: dict[int, list[int]] = {}
+        for i, by_block in enumerate(held):
+            for b in rngs[i].permutation(sorted(by_block)).tolist():
+                size = by_block[b].size
+                if size and taken[i] + size <= want[i]:
+                    drawn[i].append((e, b))
+                    taken[i] += size
+                elif size:
+                    left.setdefault(i, []).append(b)
+                    ends.setdefault(i, e)
+        while True:
+            asked = []
+            for i, open_ in left.items():
+                gap, n, count = int(want[i] - taken[i]), 0, 0
+                open_ = [b for b in open_ if held[i][b].least <= gap]
+                while n < len(open_) and (not n or count + held[i][open_[n]].docs <= AT_ONCE):
+                    count += held[i][open_[n]].docs
+                    n += 1
+                asked += [(i, b, gap) for b in open_[:n]]
+                left[i] = open_[n:]
+            if not asked:
+                break
+            wanted = spark.createDataFrame(asked, "source_no int, block int, gap bigint")
+            wanted = F.broadcast(wanted) if len(asked) <= BROADCAST_ROWS else wanted
+            fit = rows.join(wanted, ["source_no", "block"]).filter("size BETWEEN 1 AND gap").select(
+                "row_no", "source_no", "size", "order_key").collect()
+            for r in sorted(fit, key=lambda r: (r.order_key, r.row_no)):
+                if taken[r.source_no] + r.size <= want[r.source_no]:
+                    singles.append((r.row_no, r.source_no, r.size, e, r.order_key))
+                    taken[r.source_no] += r.size
+    return drawn, singles, [(i, e, float(want[i] - taken[i])) for i, e in ends.items()]
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST, blocks: int = BLOCKS,
         shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(rows, draws): per row its source's target and size; per taken copy row_no, epoch, shard and order_key."""
     spark = docs.sparkSession
     rows = sized(docs, id_col, text_col, source_col, blocks, seed)
-    totals = rows.groupBy("source", "block").agg(F.sum("size").alias("size")).collect()  # sources x blocks
+    totals = rows.groupBy("source", "block").agg(
+        F.sum("size").alias("size"), F.count(F.when(F.col("size") > 0, 1)).alias("docs"),
+        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")).collect()  # sources x blocks
     names = sorted({t.source for t in totals}, key=lambda s: (s is None, (s or "").encode()))
     at = {s: i for i, s in enumerate(names)}
-    held: list[dict[int, int]] = [{} for _ in names]
+    held: list[dict] = [{} for _ in names]
     for t in totals:
-        held[at[t.source]][t.block] = t.size
-    sizes = [sum(b.values()) for b in held]
+        held[at[t.source]][t.block] = t
+    sizes = [sum(t.size for t in b.values()) for b in held]
     want = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share * sum(sizes), most)
-    drawn, ends = [], []
-    for i, by_block in enumerate(held):
-        rng, taken, order = np.random.default_rng([seed, i]), 0, []
-        listed = [(e, b) for e in range(most) for b in rng.permutation(sorted(by_block)).tolist() if by_block[b]]
-        for e, b in listed:
-            if taken + by_block[b] > want[i]:
-                ends.append((i, e, b, float(want[i] - taken)))
-                break
-            order.append((e, b))
-            taken += by_block[b]
-        drawn.append(order)
+    info = spark.createDataFrame([(s, i, sizes[i], float(want[i])) for s, i in at.items()],
+                                 "source string, source_no int, source_size bigint, target double")
+    info = F.broadcast(info) if len(names) <= BROADCAST_ROWS else info
+    rows = rows.join(info, rows.source.eqNullSafe(info.source)).drop(info.source)
+    drawn, singles, ends = fill(rows, held, want, most, seed)
     quotas = split_quotas(np.array([len(d) for d in drawn], dtype=np.int64), shards, np.random.default_rng([seed, 1 << 20]))
     plan = [(i, b, e, int(k)) for i, order in enumerate(drawn)
             for (e, b), k in zip(order, np.repeat(np.arange(shards), quotas[:, i]))]
-    info = spark.createDataFrame([(s, i, sizes[i], float(want[i])) for s, i in at.items()],
-                                 "source string, source_no int, source_size bigint, target double")
     plan_df = spark.createDataFrame(plan, "source_no int, block int, epoch int, shard int")
-    ends_df = spark.createDataFrame(ends, "source_no int, epoch int, block int, gap double")
-    small = F.broadcast if len(plan) <= BROADCAST_ROWS else (lambda df: df)
-    rows = rows.join(small(info), rows.source.eqNullSafe(info.source)).drop(info.source)
+    ends_df = spark.createDataFrame(ends, "source_no int, epoch int, gap double")
+    singles_df = spark.createDataFrame(singles, "row_no bigint, source_no int, size bigint, epoch int, order_key bigint")
+    small = F.broadcast if len(plan) + len(singles) <= BROADCAST_ROWS else (lambda df: df)
     whole = rows.join(small(plan_df), ["source_no", "block"]).select("row_no", "source_no", "size", "epoch", "shard",
                                                                      "order_key")
-    # the last block of each source, document by document; then the nearest document closes the gap
-    run = Window.partitionBy("source_no", "block").orderBy("order_key", "row_no")
-    last = rows.join(small(ends_df), ["source_no", "block"]).withColumn("sum", F.sum("size").over(run)).filter(
-        "sum <= gap").select("row_no", "source_no", "size", "epoch", F.pmod("order_key", F.lit(shards)).cast("int").alias(
-            "shard"), "order_key", "gap")
-    last = store(last, "last")
-    left = small(ends_df).join(last.groupBy("source_no").agg(F.sum("size").alias("got")), "source_no", "left").select(
-        "source_no", "epoch", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap"))
-    later = small(plan_df.select("source_no", "block", "epoch"))
-    spare = rows.join(small(left), "source_no").join(later, ["source_no", "block", "epoch"], "left_anti").join(
-        last.select("row_no"), "row_no", "left_anti")
+    own_shard = F.pmod("order_key", F.lit(shards)).cast("int").alias("shard")
+    single = singles_df.select("row_no", "source_no", "size", "epoch", own_shard, "order_key")
+    # the nearest of the documents not taken in the epoch closes the gap
+    spare = rows.join(small(ends_df), "source_no").join(
+        small(plan_df.select("source_no", "block", "epoch")), ["source_no", "block", "epoch"], "left_anti").join(
+        small(singles_df.select("row_no", "epoch")), ["row_no", "epoch"], "left_anti")
     miss = F.abs(F.col("size") - F.col("gap"))
     near = spare.filter((miss < F.col("gap")) & (F.col("size") > 0)).groupBy("source_no", "epoch").agg(
         F.min(F.struct(miss.alias("miss"), "order_key", "row_no", "size")).alias("b"))
-    closing = near.select(F.col("b.row_no").alias("row_no"), "source_no", F.col("b.size").alias("size"), "epoch",
-                          F.pmod("b.order_key", F.lit(shards)).cast("int").alias("shard"),
-                          F.col("b.order_key").alias("order_key"))
-    draws = whole.unionByName(last.drop("gap")).unionByName(closing)
+    closing = near.select("b.row_no", "source_no", "b.size", "epoch", "b.order_key").select(
+        "row_no", "source_no", "size", "epoch", own_shard, "order_key")
+    draws = whole.unionByName(single).unionByName(closing)
     return rows, draws
 
 

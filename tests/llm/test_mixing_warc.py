@@ -45,6 +45,15 @@ def test_mixture_meets_targets(spark):
     assert all(mixed[i] * by_id[i].size == by_id[i].taken for i in by_id)
 
 
+def test_a_long_document_leaves_no_gap(spark):
+    """One document holds a third of the source's words; the others can fill any rest."""
+    rows = [(i, "w " * (250_000 if i == 1000 else 500), "en", "a", 0) for i in range(1001)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    for seed in range(4):
+        got = mixed_sizes(docs, share=Fraction(7, 10), seed=seed, blocks=16).collect()
+        assert abs(sum(r.taken for r in got) - 525_000) <= 250 and all(r.taken <= 2 * r.size for r in got)
+
+
 def test_mixing_edges(spark):
     docs = stored(edge_docs(spark))
     got = mixed_sizes(docs).collect()
