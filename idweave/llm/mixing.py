@@ -11,7 +11,7 @@ of blocks passed over are taken one by one in random order, as far as each
 fits the rest, before the next epoch begins. At last one more document, the
 nearest in size, closes the gap to the target.
 
-Block totals (sources x ``blocks`` rows), quotas (sources x shards) and, at a
+Block totals, quotas (sources x shards) and, at a
 time, the sizes of ``AT_ONCE`` documents or one block of a source reach the driver.
 
 Defined results: null text has size 0, a null source is a source of its own
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, WORD, free_name, numbered, store
 
-WEIGHTS, SHARE, MOST, BLOCKS, SHARDS, SEED = (3, 1, 2), Fraction(3, 2), 2, 256, 64, 17
+WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), Fraction(3, 2), 2, 17
+#: At least so many blocks a source and shards; more keep a block's mean rows and a shard's mean bytes of text within bounds.
+BLOCKS, SHARDS, BLOCK_ROWS, SHARD_BYTES = 256, 64, 1 << 16, 1 << 30
 #: Documents of a source that are looked at together where blocks do not fit, unless one block has more.
 AT_ONCE = 4096
 
@@ -56,14 +58,24 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
     return np.vstack([split_quotas(drawn, left, rng), split_quotas(quotas - drawn, shards - left, rng)])
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, blocks: int, seed: int) -> DataFrame:
-    """Rows of ``docs`` (a table just read) with size, block and a random order key; stored once."""
+def parts(rows: list[int], sizes: list[int], most: int) -> tuple[list[int], int]:
+    """Number of blocks of each source and of shards, for the counted rows and bytes of the sources.
+
+    Four blocks of a like size to a shard let the shards be nearly alike.
+    """
+    total = sum(sizes)
+    shards = max(SHARDS, -(-most * total // SHARD_BYTES))
+    return [max(BLOCKS, -(-4 * shards * b // max(1, total)), -(-n // BLOCK_ROWS)) for n, b in zip(rows, sizes)], shards
+
+
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """Rows of ``docs`` (a table just read) with size, bytes, a block hash and a random order key; stored once."""
     key = F.coalesce(F.col(id_col).cast("bigint"), F.col("row_no"))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
     return store(numbered(docs).select(
         "row_no", F.col(id_col).cast("bigint").alias("id"), F.col(source_col).cast("string").alias("source"),
-        size.alias("size"), F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(blocks)).cast("int").alias("block"),
-        F.xxhash64(key, F.lit(seed + 1)).alias("order_key")), "sized")
+        size.alias("size"), F.coalesce(F.octet_length(text_col), F.lit(0)).alias("bytes"),
+        F.xxhash64(key, F.lit(seed)).alias("block_key"), F.xxhash64(key, F.lit(seed + 1)).alias("order_key")), "sized")
 
 
 def fill(rows: DataFrame, held: list[dict], want: list[Fraction], most: int, seed: int) -> tuple[list, list, list]:
@@ -112,25 +124,34 @@ def fill(rows: DataFrame, held: list[dict], want: list[Fraction], most: int, see
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST, blocks: int = BLOCKS,
-        shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(rows, draws): per row its source's target and size; per taken copy row_no, epoch, shard and order_key."""
+        weights: tuple[int, ...] = WEIGHTS, share: Fraction = SHARE, most: int = MOST, blocks: int | None = None,
+        shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame, int]:
+    """(rows, draws, shards): per row its source's target and size; per taken copy row_no, epoch, shard and order_key.
+
+    The numbers of blocks and shards follow from the counted input unless they are given.
+    """
     spark = docs.sparkSession
-    rows = sized(docs, id_col, text_col, source_col, blocks, seed)
-    totals = rows.groupBy("source", "block").agg(
+    rows = sized(docs, id_col, text_col, source_col, seed)
+    counted = {c.source: c for c in rows.groupBy("source").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    names = sorted(counted, key=lambda s: (s is None, (s or "").encode()))
+    each, most_shards = parts([counted[s].n for s in names], [counted[s].bytes for s in names], most)
+    shards = shards or most_shards
+    small = F.broadcast if len(names) <= BROADCAST_ROWS else (lambda df: df)
+    cut = small(spark.createDataFrame([(s, i, blocks or each[i]) for i, s in enumerate(names)],
+                                      "source string, source_no int, blocks int"))
+    rows = rows.join(cut, rows.source.eqNullSafe(cut.source)).drop(cut.source).withColumn(
+        "block", F.pmod("block_key", "blocks").cast("int")).drop("block_key", "blocks", "bytes")
+    totals = rows.groupBy("source_no", "block").agg(
         F.sum("size").alias("size"), F.count(F.when(F.col("size") > 0, 1)).alias("docs"),
-        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")).collect()  # sources x blocks
-    names = sorted({t.source for t in totals}, key=lambda s: (s is None, (s or "").encode()))
-    at = {s: i for i, s in enumerate(names)}
+        F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")).collect()  # the blocks of all sources
     held: list[dict] = [{} for _ in names]
     for t in totals:
-        held[at[t.source]][t.block] = t
+        held[t.source_no][t.block] = t
     sizes = [sum(t.size for t in b.values()) for b in held]
     want = targets(sizes, [weights[i % len(weights)] for i in range(len(names))], share * sum(sizes), most)
-    info = spark.createDataFrame([(s, i, sizes[i], float(want[i])) for s, i in at.items()],
-                                 "source string, source_no int, source_size bigint, target double")
-    info = F.broadcast(info) if len(names) <= BROADCAST_ROWS else info
-    rows = rows.join(info, rows.source.eqNullSafe(info.source)).drop(info.source)
+    info = spark.createDataFrame([(i, sizes[i], float(want[i])) for i in range(len(names))],
+                                 "source_no int, source_size bigint, target double")
+    rows = rows.join(small(info), "source_no")
     drawn, singles, ends = fill(rows, held, want, most, seed)
     quotas = split_quotas(np.array([len(d) for d in drawn], dtype=np.int64), shards, np.random.default_rng([seed, 1 << 20]))
     plan = [(i, b, e, int(k)) for i, order in enumerate(drawn)
@@ -153,20 +174,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     closing = near.select("b.row_no", "source_no", "b.size", "epoch", "b.order_key").select(
         "row_no", "source_no", "size", "epoch", own_shard, "order_key")
     draws = whole.unionByName(single).unionByName(closing)
-    return rows, draws
+    return rows, draws, shards
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """Per row of ``docs``: row_no, id, size, source_size, target and taken (words taken, repeats counted)."""
-    rows, draws = mix(docs, **options)
+    rows, draws, _ = mix(docs, **options)
     taken = store(draws.groupBy("row_no").agg(F.sum("size").alias("taken")), "taken")
     return rows.join(taken, "row_no", "left").select("row_no", "id", "size", "source_size", "target",
                                                      F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
-def mixture(docs: DataFrame, shards: int = SHARDS, **options) -> DataFrame:
+def mixture(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows of ``docs`` (repeats included), one partition run per shard, shuffled within it."""
-    _, draws = mix(docs, shards=shards, **options)
+    _, draws, shards = mix(docs, **options)
     row, shard, order = (free_name(docs, n) for n in ("llm_row_no", "llm_shard", "llm_order"))
     draws = store(draws.select(F.col("row_no").alias(row), F.col("shard").alias(shard),
                                F.xxhash64("order_key", "epoch").alias(order)), "draws")

@@ -6,7 +6,9 @@ import hashlib
 from fractions import Fraction
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from idweave.llm import mixing
 from idweave.llm.common import scratch
 from idweave.llm.mixing import mixed_sizes, mixture, split_quotas, targets
 from idweave.llm.warc import (archive_report, chunked, dechunked, parse_warc, read_warc, reassembled, record, records,
@@ -54,6 +56,20 @@ def test_a_long_document_leaves_no_gap(spark):
         assert abs(sum(r.taken for r in got) - 525_000) <= 250 and all(r.taken <= 2 * r.size for r in got)
 
 
+def test_blocks_and_shards_grow_with_the_input(spark, monkeypatch):
+    assert mixing.parts([], [], 2) == ([], 64) and mixing.parts([5, 5], [0, 0], 2) == ([256, 256], 64)
+    assert mixing.parts([1 << 30, 1 << 34], [1 << 46, 0], 2) == ([1 << 19, 1 << 18], 1 << 17)
+    monkeypatch.setattr(mixing, "SHARDS", 2)
+    monkeypatch.setattr(mixing, "SHARD_BYTES", 5_000)
+    rows = [(i, f"{i} " * 5, "en", "a", 0) for i in range(2_000)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    mixed = mixture(docs)
+    held = collections.Counter()
+    for r in mixed.withColumn("part", F.spark_partition_id()).collect():
+        held[r.part] += len(r.text)
+    assert mixed.count() > 2_900 and max(held.values()) <= 4 * 5_000
+
+
 def test_mixing_edges(spark):
     docs = stored(edge_docs(spark))
     got = mixed_sizes(docs).collect()
