@@ -23,6 +23,7 @@ from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
 from .token_output import matrix_report, packed_matrix
 from .warc import archive_report, read_warc, write_warc
+from .whitening import whitened_vectors
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +89,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(read_warc(spark, path))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four leading components of the distinct vectors, whitened; null deviation beyond 64 bits."""
+    return whitened_vectors(table(spark, sf_dir, "embeddings")).select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened",
+        "explained", "identity_error")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -104,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
+    "op11_whitening": op11_whitening,
     "pipeline": pipeline,
 }
 
