@@ -18,6 +18,7 @@ from .mixing import mixed_sizes
 from .ngram_join import ngram_join
 from .outliers import BASE, robust_outliers
 from .packing import packed_documents
+from .phrases import collocations
 from .quality import THRESHOLD, fit_quality, held_out, scored
 from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
@@ -96,6 +97,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         "explained", "identity_error")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of two and three words of each language, over all documents."""
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }
 
@@ -123,6 +130,32 @@ WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS points,
      r AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id,
                   count(*) OVER (PARTITION BY norm) AS group_size FROM n)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM r
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, w, size, unnest(range(1, CAST(len(w) AS BIGINT) - size + 2)) AS i FROM lists, (VALUES (1), (2), (3)) s(size)),
+f AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, CAST(count(*) AS HUGEINT) AS f
+      FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cuts AS (SELECT lang, size, phrase, a, unnest(range(1, size)) AS k, w FROM cand),
+scored AS (SELECT c.lang, c.size, c.phrase, c.a, c.k, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+                       JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, max(a) AS a FROM (
+               SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE size = 3
+               UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN longer g ON g.lang = low.lang AND g.phrase = low.phrase
+         WHERE g.a IS NULL OR 100 * g.a < 50 * low.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, CAST(r.a AS BIGINT) AS a, CAST(r.l AS BIGINT) AS l, CAST(r.r AS BIGINT) AS r,
+       CAST(t.n AS BIGINT) AS n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
 """,
     "op10_warc": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
