@@ -6,16 +6,21 @@ and their negative border: the phrases that are not proposed though all their
 shorter parts are. A border phrase that turns out frequent is a failure; the
 failures join the proposed phrases and the next full pass counts what that
 adds to the border, until no failure can add anything. A phrase is no more
-frequent than its parts, so all frequent phrases have then been counted, and
-the counts do not depend on the sample.
-
-Passes share one vectorised routine (``count_phrases``): a slice of texts is
-cut into words, words are numbered by an Arrow dictionary, and longer phrases
-by the number of their first words and their last word, so counting is exact.
-Which phrases a pass counts is decided by ``Marks``, a bitmap of fixed size
-over 64-bit phrase hashes: a wrong hit only counts a phrase too many, and all
-counts are of words, never of hashes. Only the bitmaps are sent to the tasks.
-Counts are added up a slice, then a task, then by a shuffle.
+frequent than its parts, so nothing frequent is missed, and the result does not
+depend on the sample.
+
+The border holds nearly all pairs of frequent words, most of them rare, so
+these passes exchange 64-bit phrase hashes and not texts (``bounds``). Two
+phrases with one hash only raise the bound. A last pass (``exact_counts``)
+counts the phrases whose bounds reach the threshold by their words, exactly.
+Which phrases a pass looks at is decided by ``Marks``, a bitmap of fixed size
+over the hashes: a wrong hit only counts a phrase too many. Only bitmaps are
+sent to the tasks and come back to the driver.
+
+All passes cut a slice of texts into words by array operations, number the
+words by an Arrow dictionary, and longer phrases by the number of their first
+words and their last word (``Slice``). Counts are added up a slice, then a
+task, then by a shuffle.
 
 Scores compare decimals of 38 digits. A language's ranks are cut in hashed parts
 first, so the last sort of a language sees ``RANK_PARTS`` times ``top`` rows at most.
@@ -51,17 +56,14 @@ MARK_BITS = 1 << 27
 #: Parts of a language whose best rows are found apart.
 RANK_PARTS = 32
 #: Text bytes that are cut and counted at a time.
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 #: Fixed value: what ends a piece, ``[.,;:!?\x0A-\x0D]``, and what parts words inside one, ``[\x20\x09]``.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
-_KIND = np.zeros(256, dtype=np.uint8)  # 0 in a word, 1 blank, 2 end of a piece
-_KIND[list(BLANKS)] = 1
-_KIND[list(PIECE_ENDS)] = 2
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_KIND = bytes(2 if c in PIECE_ENDS else 1 if c in BLANKS else 0 for c in range(256))  # 0 in a word, 1 blank, 2 end of a piece
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -116,112 +118,145 @@ def numbered_rows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, number
 
 
-def slice_counts(texts: list[bytes], langs: np.ndarray, names: list[str], most: int, now: Marks | None, before: Marks | None):
-    """Counts of one slice: for each number of words (lang, phrase, hash, count) as Arrow and numpy columns.
+class Slice:
+    """Phrases of a slice of texts, counted size by size up to ``most`` words.
 
-    ``now`` and ``before`` as in ``count_phrases``; ``langs`` holds each
-    text's place in ``names``.
+    ``now``: a longer phrase is looked at only where its first and its last words
+    (all but one of them) are marked; without it all phrases are. ``langs``
+    holds each text's place in ``names``.
     """
-    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    raw = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)]
-    kind = _KIND[raw]
-    inside = np.concatenate(([False], kind == 0))
-    start = np.flatnonzero(inside[1:] & ~inside[:-1])
-    if not len(start):
-        return
-    end = np.flatnonzero(inside[:-1] & ~inside[1:])
-    offsets = np.concatenate(([0], np.cumsum(end - start))).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(raw[kind == 0])]).dictionary_encode()
-    lang = np.repeat(langs, sizes)[start]
-    piece = np.cumsum(kind == 2)[start]
-    seeds = np.array([xxhash.xxh64_intdigest(name) for name in names], dtype=np.uint64)
-    plain = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
-    # a language's words are numbered; for each number: language, text, hash
-    index = words.indices.to_numpy().astype(np.int64)
-    first, word = numbered_rows(index + lang * len(plain))
-    by_lang, hashes = lang[first], scrambled(plain[index[first]] ^ seeds[lang[first]])
-    text = words.dictionary.take(pa.array(index[first]))
-    word_text, word_hash = text, hashes
-    if before is None:
-        yield 1, by_lang, text, hashes, np.bincount(word)
-    counted = np.full(len(hashes), before is not None)  # by the pass before
-    at, number = np.arange(len(word)), word  # where the phrases of the size before begin, and their numbers
-    for size in range(2, most + 1):
-        marked = np.ones(len(hashes), bool) if now is None else now.has(hashes)
-        counted &= False if before is None else before.has(hashes)
-        here = np.full(len(word) + 1, -1, dtype=np.int64)
-        here[at] = number
-        keep = at[at + size - 1 < len(word)]
-        keep = keep[(piece[keep] == piece[keep + size - 1]) & (here[keep + 1] >= 0)]
-        keep = keep[marked[here[keep]] & marked[here[keep + 1]]]
-        if not len(keep):
-            return
-        last = word[keep + size - 1]
-        first, number = numbered_rows(here[keep] * len(word_hash) + last)
-        head, tail, last = here[keep[first]], here[keep[first] + 1], last[first]
-        at, by_lang, counted = keep, by_lang[head], counted[head] & counted[tail]
-        text = pc.binary_join_element_wise(text.take(pa.array(head)), word_text.take(pa.array(last)), b" ")
-        hashes = scrambled(hashes[head] * _ODD + word_hash[last])
-        new = ~counted
-        yield size, by_lang[new], text.filter(pa.array(new)), hashes[new], np.bincount(number)[new]
-
-
-def count_phrases(docs: DataFrame, most: int, now: Marks | None = None, before: Marks | None = None) -> DataFrame:
-    """Counts (lang, phrase, words, hash, f) of phrases of up to ``most`` words in ``docs`` (text, lang).
+
+    def __init__(self, texts: list[bytes], langs: np.ndarray, names: list[str], now: Marks | None):
+        self.now, self.size = now, 1
+        joined = b"\n".join([*texts, b""])
+        raw, kind = (np.frombuffer(joined.translate(t), dtype=np.uint8) for t in (_LOWER, _KIND))
+        inside = np.concatenate(([False], kind == 0))
+        step = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = step[::2], step[1::2]
+        offsets = np.concatenate(([0], np.cumsum(end - start))).astype(np.int32)
+        words = pa.Array.from_buffers(pa.binary(), len(start),
+                                      [None, pa.py_buffer(offsets), pa.py_buffer(raw[kind == 0])]).dictionary_encode()
+        breaks = np.flatnonzero(kind == 2)
+        piece = np.searchsorted(breaks, start)
+        lang = langs[np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")]
+        seeds = np.array([xxhash.xxh64_intdigest(name) for name in names], dtype=np.uint64)
+        plain = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+        index = words.indices.to_numpy().astype(np.int64)
+        # a language's words are numbered; the arrays by number: language, hash, where the phrase was first seen
+        self.dictionary, self.index = words.dictionary, index
+        self.first, self.word = numbered_rows(index + lang * len(plain))
+        self.lang, self.hash = lang[self.first], scrambled(plain[index[self.first]] ^ seeds[lang[self.first]])
+        self.word_hash = self.hash
+        self.piece, self.number, self.at = piece, self.word, np.arange(len(start))
+        self.total = np.bincount(lang, minlength=len(names))
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.number, minlength=len(self.hash))
+
+    def marked(self, marks: Marks | None) -> np.ndarray:
+        return np.ones(len(self.hash), bool) if marks is None else marks.has(self.hash)
+
+    def phrases(self, which: np.ndarray) -> pa.Array:
+        """Texts of the phrases with these numbers."""
+        at = self.first[which]
+        words = [self.dictionary.take(pa.array(self.index[at + k])) for k in range(self.size)]
+        return (words[0] if self.size == 1 else pc.binary_join_element_wise(*words, b" ")).cast(pa.string())
+
+    def longer(self) -> np.ndarray | None:
+        """Go on to phrases of one word more: for each its (head, tail), the numbers of its parts; None if there are none."""
+        fits, size = self.marked(self.now), self.size
+        here = np.full(len(self.word) + 1, -1, dtype=np.int64)
+        at = self.at[fits[self.number]]
+        here[at] = self.number[fits[self.number]]
+        at = at[at + size < len(self.word)]
+        at = at[(here[at + 1] >= 0) & (self.piece[at] == self.piece[np.minimum(at + size, len(self.piece) - 1)])]
+        if not len(at):
+            return None
+        first, number = numbered_rows(here[at] * len(self.word_hash) + self.word[at + size])
+        first_at = at[first]
+        head, tail = here[first_at], here[first_at + 1]
+        self.hash = scrambled(self.hash[head] * _ODD + self.word_hash[self.word[first_at + size]])
+        self.lang, self.first, self.number, self.at, self.size = self.lang[head], first_at, number, at, size + 1
+        return np.stack([head, tail])
+
+
+def sliced(batches: Iterator[pa.RecordBatch], now: Marks | None) -> Iterator[tuple[Slice, list[str]]]:
+    """The texts of ``batches`` (text, lang) in slices of about ``SLICE`` bytes, and the names of their languages."""
+    def made(held, langs):
+        names = sorted(set(langs))
+        place = {name: k for k, name in enumerate(names)}
+        return Slice(held, np.array([place[x] for x in langs], dtype=np.int64), names, now), names
+    held, langs, total = [], [], 0
+    for batch in batches:
+        for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+            for part in runs_of_pieces(text.as_buffer().to_pybytes() if text.is_valid else b"", SLICE):
+                if total and total + len(part) > SLICE:
+                    yield made(held, langs)
+                    held, langs, total = [], [], 0
+                held.append(part)
+                langs.append(lang)
+                total += len(part) + 1
+    if held:
+        yield made(held, langs)
+
+
+def bounds(docs: DataFrame, most: int, now: Marks | None = None, before: Marks | None = None) -> DataFrame:
+    """(hash, f): how often phrases of up to ``most`` words with this hash occur in ``docs`` (text, lang).
 
     With ``now`` only phrases whose shorter parts are all marked in it are
-    counted (every single word is), and of these only the ones that ``before``,
-    the marks of the pass before, did not have counted already.
+    counted (every single word is), and of these only those that ``before``,
+    the marks of the pass before, did not have counted already. Different
+    phrases may share a hash, so f bounds the count of each from above.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(texts, langs):
-            names = sorted(set(langs))
-            place = {name: k for k, name in enumerate(names)}
-            at = np.array([place[x] for x in langs], dtype=np.int64)
-            for size, lang, text, h, n in slice_counts(texts, at, names, most, now, before):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names).take(pa.array(lang)), text.cast(pa.string()), pa.array(np.full(len(n), size, dtype=np.int32)),
-                     pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "phrase", "words", "hash", "f"])
-        held, langs, total = [], [], 0
-        for batch in batches:
-            for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
-                for part in runs_of_pieces(text.as_buffer().to_pybytes() if text.is_valid else b"", SLICE):
-                    if total and total + len(part) > SLICE:
-                        yield from counted(held, langs)
-                        held, langs, total = [], [], 0
-                    held.append(part)
-                    langs.append(lang)
-                    total += len(part) + 1
-        if held:
-            yield from counted(held, langs)
-    parts = docs.mapInArrow(run, "lang string, phrase string, words int, hash bigint, f bigint")
-    return parts.groupBy("lang", "phrase", "words", "hash").agg(F.sum("f").alias("f"))
+        for part, _ in sliced(batches, now):
+            counted = np.full(len(part.hash), before is not None)  # by the pass before
+            while True:
+                new = ~counted
+                yield pa.RecordBatch.from_arrays([pa.array(part.hash[new].view(np.int64)), pa.array(part.counts()[new])], ["hash", "f"])
+                if before is not None:
+                    counted &= part.marked(before)
+                if part.size == most or (parts := part.longer()) is None:
+                    break
+                counted = counted[parts[0]] & counted[parts[1]]
+    return docs.mapInArrow(run, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
+
+
+def exact_counts(docs: DataFrame, most: int, marks: Marks | None) -> DataFrame:
+    """(lang, phrase, words, f) of the phrases that are marked with all their parts; n of a language as f where words = 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(names, lang, phrases, size, f):
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(lang)), phrases,
+                                               pa.array(np.full(len(f), size, dtype=np.int32)), pa.array(f)], ["lang", "phrase", "words", "f"])
+        for part, names in sliced(batches, marks):
+            yield rows(names, np.arange(len(names)), pa.nulls(len(names), pa.string()), 0, part.total)
+            while True:
+                which = np.flatnonzero(part.marked(marks))
+                yield rows(names, part.lang[which], part.phrases(which), part.size, part.counts()[which])
+                if part.size == most or part.longer() is None:
+                    break
+    return docs.mapInArrow(run, "lang string, phrase string, words int, f bigint").groupBy("lang", "phrase", "words").agg(
+        F.sum("f").alias("f"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS, sample: float = SAMPLE, seed: int = 12,
                      least_in_sample: int = LEAST_IN_SAMPLE, bits: int = MARK_BITS) -> tuple[DataFrame, DataFrame]:
-    """All phrases of up to ``most`` words found ``least`` times or more, (lang, phrase, words, hash, f), and (lang, n).
+    """All phrases of up to ``most`` words found ``least`` times or more, (lang, phrase, words, f), and (lang, n).
 
     n counts all words of a language. ``docs`` holds text and lang; it is read
-    once for the sample and once for every pass (at most ``most`` of them).
+    once for the sample, once for every pass (at most ``most`` of them) and
+    once for the exact counts.
     """
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
-    proposed = count_phrases(rows.sample(sample, seed), most).filter((F.col("f") >= least_in_sample) & (F.col("words") < most))
-    marks, before, found = Marks(bits).add(proposed), None, None
+    proposed, before = Marks(bits).add(bounds(rows.sample(sample, seed), most).filter(F.col("f") >= least_in_sample)), None
+    frequent = Marks(bits)
     while True:
-        passed = store(count_phrases(rows, most, marks, before).transform(merge_rare, least), "frequent_phrases")
-        found = passed if found is None else found.unionByName(passed)
-        before, marks = marks, marks.add(passed.filter((F.col("words") < most) & F.col("phrase").isNotNull()))
-        if np.array_equal(marks.words, before.words):  # no border phrase failed
+        often = store(bounds(rows, most, proposed, before).filter(F.col("f") >= least).select("hash"), "frequent_hashes")
+        frequent, before, proposed = frequent.add(often), proposed, proposed.add(often)
+        if np.array_equal(proposed.words, before.words):  # no border phrase failed
             break
-    return found.filter("phrase IS NOT NULL"), found.filter("words = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-
-
-def merge_rare(counts: DataFrame, least: int) -> DataFrame:
-    """Counts with one row (null phrase) for all phrases of a language and size that are rarer than ``least``."""
-    often = F.col("f") >= least
-    return counts.groupBy("lang", "words", F.when(often, F.col("phrase")).alias("phrase"), F.when(often, F.col("hash")).alias("hash")).agg(
-        F.sum("f").alias("f"))
+    counts = store(exact_counts(rows, most, frequent).filter((F.col("f") >= least) | (F.col("words") == 0)), "frequent_phrases")
+    return counts.filter("words > 0"), counts.filter("words = 0 AND f > 0").select("lang", F.col("f").alias("n"))
 
 
 def cut_scores(frequent: DataFrame, candidates: DataFrame, most: int) -> DataFrame:
