@@ -201,7 +201,9 @@ def sliced(batches: Iterator[pa.RecordBatch], now: Marks | None) -> Iterator[tup
 
 
 def bounds(docs: DataFrame, most: int, now: Marks | None = None, before: Marks | None = None) -> DataFrame:
-    """(hash, f): how often phrases of up to ``most`` words with this hash occur in ``docs`` (text, lang).
+    """(hash, longest, f): how often phrases of up to ``most`` words with this hash occur in ``docs`` (text, lang).
+
+    ``longest``: they have ``most`` words.
 
     With ``now`` only phrases whose shorter parts are all marked in it are
     counted (every single word is), and of these only those that ``before``,
@@ -213,13 +215,14 @@ def bounds(docs: DataFrame, most: int, now: Marks | None = None, before: Marks |
             counted = np.full(len(part.hash), before is not None)  # by the pass before
             while True:
                 new = ~counted
-                yield pa.RecordBatch.from_arrays([pa.array(part.hash[new].view(np.int64)), pa.array(part.counts()[new])], ["hash", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(part.hash[new].view(np.int64)), pa.array(np.full(new.sum(), part.size == most)),
+                                                  pa.array(part.counts()[new])], ["hash", "longest", "f"])
                 if before is not None:
                     counted &= part.marked(before)
                 if part.size == most or (parts := part.longer()) is None:
                     break
                 counted = counted[parts[0]] & counted[parts[1]]
-    return docs.mapInArrow(run, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(run, "hash bigint, longest boolean, f bigint").groupBy("hash", "longest").agg(F.sum("f").alias("f"))
 
 
 def exact_counts(docs: DataFrame, most: int, marks: Marks | None) -> DataFrame:
@@ -251,8 +254,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     proposed, before = Marks(bits).add(bounds(rows.sample(sample, seed), most).filter(F.col("f") >= least_in_sample)), None
     frequent = Marks(bits)
     while True:
-        often = store(bounds(rows, most, proposed, before).filter(F.col("f") >= least).select("hash"), "frequent_hashes")
-        frequent, before, proposed = frequent.add(often), proposed, proposed.add(often)
+        often = store(bounds(rows, most, proposed, before).filter(F.col("f") >= least), "frequent_hashes")
+        frequent, before, proposed = frequent.add(often), proposed, proposed.add(often.filter("NOT longest"))
         if np.array_equal(proposed.words, before.words):  # no border phrase failed
             break
     counts = store(exact_counts(rows, most, frequent).filter((F.col("f") >= least) | (F.col("words") == 0)), "frequent_phrases")
