@@ -20,6 +20,7 @@ from .outliers import BASE, robust_outliers
 from .packing import packed_documents
 from .phrases import collocations
 from .quality import THRESHOLD, fit_quality, held_out, scored
+from .shards import shard_report
 from .suffix_dedup import suffix_dedup
 from .token_count import token_counts
 from .token_output import matrix_report, packed_matrix
@@ -102,6 +103,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 16 written shards of equal row counts, read back."""
+    return shard_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline`` over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -120,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_whitening": op11_whitening,
     "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
     "pipeline": pipeline,
 }
 
