@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import join_key, stable_group_id
-from ..functions.packed import ENTRY_SEP, NAME_ENTRY_RE, SOURCE_RE, entries
+from ..functions.packed import CELL_ENTRIES, ENTRY_SEP, NAME_ENTRY_RE, SOURCE_RE, entries, list_field, list_position, part_field
 from ..sources.scratch import store
 from .components import connected
-from .lists import bounded_concat
+from .lists import ordered_cells
 from .resolve import resolve_column
 
 # Merge policy per packed profile field.
@@ -45,8 +45,9 @@ def clear_pending(link_requests: DataFrame, insert_time: str) -> DataFrame:
 
 
 def explode_cells(profiles: DataFrame) -> DataFrame:
-    """Packed cells (rowkey, field, value) -> entries (rowkey, field, pos, entry)."""
-    return profiles.select("rowkey", "field", F.posexplode(entries("value")).alias("pos", "entry"))
+    """Packed cells (rowkey, field, value) -> entries (rowkey, field, pos, entry); ``pos`` runs on over a list's cells."""
+    return profiles.select("rowkey", "field", F.posexplode(entries("value")).alias("pos", "entry")).select(
+        "rowkey", list_field("field").alias("field"), list_position("field", "pos").alias("pos"), "entry")
 
 
 def _remap_name_entries(e: DataFrame, links: DataFrame) -> DataFrame:
@@ -97,13 +98,16 @@ def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int]
     members = profiles.join(lk, profiles["rowkey"] == lk["org_id"], "inner").drop("rowkey")
     concat_fields = [f for f, p in policy.items() if p == 0]
     sum_fields = [f for f, p in policy.items() if p == 1]
-    cells = members.select("org_id", "connect_id", "field", "value")
+    cells = members.select("org_id", "connect_id", F.col("field").alias("cell"), list_field("field").alias("field"), "value")
+    at = list_position("cell", "pos").alias("pos")
 
     plain = cells.filter(F.col("field").isin(concat_fields)).select(
-        "connect_id", "field", "org_id", F.posexplode(entries("value")).alias("pos", "entry"))
+        "connect_id", "field", "cell", "org_id", F.posexplode(entries("value")).alias("pos", "entry")).select(
+        "connect_id", "field", "org_id", at, "entry")
 
     exploded = cells.filter(F.col("field").isin(list(REMAP_HANDLED))).select(
-        "org_id", "connect_id", "field", F.posexplode(entries("value")).alias("pos", "entry"))
+        "org_id", "connect_id", "field", "cell", F.posexplode(entries("value")).alias("pos", "entry")).select(
+        "org_id", "connect_id", "field", at, "entry")
     names = _remap_name_entries(exploded.filter(F.col("field") == "NAME"), rekey)
     bars = _remap_bar_entries(exploded.filter(F.col("field").isin("CONTACT", "BE_CONTACT")), rekey)
     remapped = names.unionByName(bars).select("connect_id", "field", "org_id", "pos", "entry")
@@ -116,13 +120,12 @@ def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int]
     return plain.unionByName(remapped).unionByName(sums)
 
 
-def pack_entries(merged: DataFrame, max_entries: int = 100_000) -> DataFrame:
-    """Output edge: long merged rows -> packed cells per (connect_id, field),
-    entries in (org_id, pos) order joined by \\x02. A cell with more than
-    ``max_entries`` entries is split into parts (all entries of one original
-    id stay in one part, in order)."""
-    return bounded_concat(merged, ["connect_id", "field"], "entry", ENTRY_SEP, max_entries,
-                          order=["org_id", "pos"], part_by="org_id", out="value")
+def pack_entries(merged: DataFrame, max_entries: int = CELL_ENTRIES) -> DataFrame:
+    """A25, output edge: long merged rows -> packed cells (connect_id, field,
+    value), entries in (org_id, pos) order joined by \\x02. What a list has
+    beyond ``max_entries`` goes on in the fields ``<field>#1``, ``<field>#2``, ..."""
+    cells = ordered_cells(merged, ["connect_id", "field"], "entry", ENTRY_SEP, max_entries, order=["org_id", "pos"])
+    return cells.select("connect_id", part_field("field", "part").alias("field"), "value")
 
 
 def rekey_messages(messages: DataFrame, links: DataFrame) -> DataFrame:
@@ -151,12 +154,12 @@ def rekey_edges(edges: DataFrame, links: DataFrame, drop_self: bool = False) ->
     return r.filter(F.col("u_uid") != F.col("c_uid")) if drop_self else r
 
 
-def packed_contacts(edges: DataFrame, reverse: bool = False, max_entries: int = 100_000) -> DataFrame:
-    """Derive CONTACT (or BE_CONTACT) cells from edges: ``id|platform`` entries."""
+def packed_contacts(edges: DataFrame, reverse: bool = False, max_entries: int = CELL_ENTRIES) -> DataFrame:
+    """Derive CONTACT (or BE_CONTACT) cells from edges: ``id|platform`` entries, in parts as ``pack_entries`` writes them."""
     own, other, field = ("c_uid", "u_uid", "BE_CONTACT") if reverse else ("u_uid", "c_uid", "CONTACT")
     e = edges.select(F.col(own).alias("rowkey"), F.concat(F.col(other), F.lit("|"), F.col("platform")).alias("entry"))
-    cells = bounded_concat(e.distinct(), ["rowkey"], "entry", ENTRY_SEP, max_entries)
-    return cells.select("rowkey", F.lit(field).alias("field"), "value")
+    cells = ordered_cells(e.distinct(), ["rowkey"], "entry", ENTRY_SEP, max_entries)
+    return cells.select("rowkey", part_field(F.lit(field), "part").alias("field"), "value")
 
 
 def close_links(stored: DataFrame, new: DataFrame) -> dict[str, DataFrame]:
@@ -193,13 +196,12 @@ def flatten_links(stored: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFra
     return closed["links"], closed["cycles"]
 
 
-def connect_to_orgs(links: DataFrame, sep: str = "\t", max_entries: int = 100_000) -> DataFrame:
+def connect_to_orgs(links: DataFrame, sep: str = "\t", max_entries: int = CELL_ENTRIES) -> DataFrame:
     """A23 / I12 output edge: canonical id -> its originals as sorted text.
 
     The long (connect_id, org_id) link table is what every join uses; this
-    text form is only the stored cell format. A canonical id with more than
-    ``max_entries`` originals gets several parts instead of one cell."""
-    return bounded_concat(links.select("connect_id", "org_id").distinct(), ["connect_id"], "org_id", sep,
+    text form is only the stored cell format, ``max_entries`` originals to a part."""
+    return ordered_cells(links.select("connect_id", "org_id").distinct(), ["connect_id"], "org_id", sep,
                           max_entries, out="org_ids")
 
 

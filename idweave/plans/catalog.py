@@ -17,7 +17,7 @@ from ..functions import cleaners as C
 from ..functions import ids as I
 from ..functions.codec import decode_value, encode_value
 from ..operators import conform, counts, dedup, enrich, match, merge, profiles, resolve, setops
-from ..operators.lists import bounded_concat
+from ..operators.lists import ordered_cells
 from ..schemas import Catalog, CellColumn
 from ..sources import cells as cellio
 from . import pipelines, views
@@ -45,7 +45,11 @@ def group_messages(spark: SparkSession, base: str) -> DataFrame:
 
 def conformed_users(spark: SparkSession, base: str) -> DataFrame:
     """T1 + T2 + T3 + T4 specs applied to the dirty customer view."""
-    d = views.dirty(spark, base)
+    return conformed(views.dirty(spark, base))
+
+
+def conformed(d: DataFrame) -> DataFrame:
+    """T1 + T2 + T3 + T4 specs applied to rows of the dirty customer view."""
     a = conform.conform_users(d, conform.spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail"))
     c = conform.conform_users(d, conform.spec_profile(
         "pc", "c_custkey", "raw_name", "raw_phone", "raw_mail", "raw_gender", "raw_birth",
@@ -417,6 +421,27 @@ def q_profile_snapshot(spark, base):
     return _flat(profiles.merge_evidence(stored, incoming, snapshot=True), ["platform"])
 
 
+#: Buckets of the stored evidence in ``load_job_snapshot``.
+EVIDENCE_BUCKETS = 16
+
+
+@query("load_job_snapshot")
+def q_load_job_snapshot(spark, base):
+    """Two load jobs into one evidence store, with the batch that first brought a row.
+
+    A third of the customers (and the evidence of their contacts) comes with
+    the first job only, a third with the second only, a third with both.
+    """
+    from ..sources.evidence_store import EvidenceStore
+    store = EvidenceStore(spark, _scratch(spark, "evidence"), EVIDENCE_BUCKETS)
+    for batch, absent in (("day1", 2), ("day2", 0)):
+        d = views.dirty(spark, base).filter(F.col("c_custkey") % 3 != absent)
+        u = conformed(d)
+        e = views.contacts(spark, base).join(d.select(F.col("rowkey").alias("u_uid")), "u_uid", "left_semi")
+        out = pipelines.load_job(store, u, e, enrich.region_lookup(u, views.prefixes(spark, base)), views.links(spark, base), batch)
+    return out
+
+
 @query("profile_merge_maps")
 def q_profile_merge_maps(spark, base):
     """N2 + N3 + N4 on the map form, flattened back to rows for comparison.
@@ -476,6 +501,12 @@ def q_merge_profiles(spark, base):
     return merge.merge_profiles(views.packed_profiles(spark, base), views.links_nation(spark, base))
 
 
+@query("packed_profile_cells")
+def q_packed_profile_cells(spark, base):
+    """The merged profiles of every nation id as packed cells, entries in the order of original id and position."""
+    return merge.pack_entries(merge.merge_profiles(views.packed_profiles(spark, base), views.links_nation(spark, base)))
+
+
 @query("rekey_messages")
 def q_rekey_messages(spark, base):
     """Messages of linked senders / receivers re-keyed."""
@@ -526,7 +557,7 @@ def q_id_list_concat(spark, base):
 def q_phone_platform_lists(spark, base):
     """Per id, the sorted list of (phone, platform) entries as text."""
     u = conformed_users(spark, base).filter(C.is_present("phone"))
-    return bounded_concat(u, ["userid"], F.concat_ws(":", "phone", "platform"), ",", out="phones")
+    return ordered_cells(u, ["userid"], F.concat_ws(":", "phone", "platform"), ",", out="phones")
 
 
 # ==================================================================== counters

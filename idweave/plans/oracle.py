@@ -365,6 +365,36 @@ SELECT rowkey, coalesce(a.contact_count, 0) AS contact_count, coalesce(b.be_cont
 FROM (SELECT u_uid AS rowkey, count(DISTINCT c_uid) AS contact_count FROM res_edges GROUP BY 1) a
 FULL JOIN (SELECT c_uid AS rowkey, count(DISTINCT u_uid) AS be_contact_count FROM res_edges GROUP BY 1) b USING (rowkey)""")
 
+
+
+def json_sql(*cols: str) -> str:
+    """A struct as JSON text, without the fields that are NULL."""
+    parts = ", ".join(f"'\"{c}\":\"' || {c} || '\"'" for c in cols)
+    return "'{' || concat_ws(',', " + parts + ") || '}'"
+
+
+def load_sql(batch: str, absent: int) -> str:
+    """Evidence of one load job: the customers that come with it and their contacts."""
+    some = DIRTY.replace("FROM customer)", f"FROM customer WHERE c_custkey % 3 <> {absent})")
+    known = ("day_contacts AS (SELECT * FROM contacts WHERE u_uid IN (SELECT rowkey FROM dirty))")
+    edges = "res_edges AS (SELECT * FROM " + resolved(resolved("day_contacts", "u_uid", EDGE_COLS), "c_uid", EDGE_COLS) + ")"
+    ctes = with_(some, *CONF_CTES[1:], LINKS, RUSERS, GEN_EV, PREFIXES, REGION, CONTACTS, known, edges)
+    regions = resolved('region', 'rowkey', ['rowkey', 'country', 'province', 'city', 'code', 'phone', 'platform'])
+    return f"""SELECT '{batch}' AS batch, rowkey, attr, value, ev FROM ({ctes}
+  SELECT rowkey, attr, value, {json_sql('platform')} AS ev FROM gen_ev
+  UNION SELECT rowkey, 'name', name, '{{' || concat_ws(',', '"source_id":"' || name_source || '"', '"platform":"' || platform || '"') || '}}'
+        FROM rusers WHERE name IS NOT NULL AND name <> 'null'
+  UNION SELECT rowkey, 'platform', platform, {json_sql('userid', 'reg_time')} FROM rusers WHERE platform <> 'null'
+  UNION SELECT rowkey, 'region', phone, {json_sql('country', 'province', 'city', 'code', 'platform')} FROM {regions}
+        WHERE phone <> 'null'
+  UNION SELECT u_uid, 'contacts', c_uid, {json_sql('name', 'platform')} FROM res_edges
+  UNION SELECT c_uid, 'be_contacts', u_uid, {json_sql('name', 'platform')} FROM res_edges)
+WHERE rowkey IS NOT NULL AND value IS NOT NULL"""
+
+
+sql("load_job_snapshot", f"""
+SELECT *, {SCORE} FROM (SELECT rowkey, attr, value, ev, min(batch) AS batch
+                        FROM ({load_sql('day1', 2)} UNION ALL {load_sql('day2', 0)}) GROUP BY rowkey, attr, value, ev)""")
 MSG_EV = """msg_ev_src AS (SELECT "user" AS rowkey, direction AS platform, media, partyuid AS partner, timesent FROM msg),
 stored AS (SELECT DISTINCT * FROM (SELECT rowkey, 'media' AS attr, media AS value, platform FROM msg_ev_src WHERE timesent < 883612800
            UNION ALL SELECT rowkey, 'partner', partner, platform FROM msg_ev_src WHERE timesent < 883612800)
@@ -473,12 +503,20 @@ sql("split_identity", with_(DIRTY, RAW_MSG, CONTACTS, CUST_CELLS, LINKS, SPLIT_T
 SELECT * FROM cust_cells WHERE rowkey IN (SELECT org_id FROM links WHERE connect_id IN (SELECT connect_id FROM targets))""")
 sql("split_identity_links", with_(LINKS, SPLIT_TARGETS) + """
 SELECT * FROM links WHERE connect_id NOT IN (SELECT connect_id FROM targets)""")
-sql("id_list_concat", with_(LINKS) + """
-SELECT connect_id, CAST(0 AS INTEGER) AS part, string_agg(org_id, chr(9) ORDER BY org_id) AS org_ids
-FROM (SELECT DISTINCT * FROM links) GROUP BY connect_id""")
-sql("phone_platform_lists", with_(*CONF_CTES) + """
-SELECT userid, CAST(0 AS INTEGER) AS part, string_agg(phone || ':' || platform, ',' ORDER BY phone || ':' || platform) AS phones
-FROM conformed WHERE phone IS NOT NULL AND phone <> 'null' GROUP BY userid""")
+def cells_sql(rows: str, keys: str, value: str, sep: str, order: str, out: str = "value") -> str:
+    """Ordered lists of ``rows`` per ``keys``, 100000 values to a part."""
+    return f"""SELECT {keys}, part, string_agg({value}, {sep} ORDER BY rn) AS {out}
+FROM (SELECT *, CAST((rn - 1) // 100000 AS INTEGER) AS part
+      FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM ({rows})))
+GROUP BY {keys}, part"""
+
+
+sql("id_list_concat", with_(LINKS) + cells_sql("SELECT DISTINCT * FROM links", "connect_id", "org_id", "chr(9)", "org_id", "org_ids"))
+sql("phone_platform_lists", with_(*CONF_CTES) + cells_sql(
+    "SELECT userid, phone || ':' || platform AS entry FROM conformed WHERE phone IS NOT NULL AND phone <> 'null'",
+    "userid", "entry", "','", "entry", "phones"))
+sql("packed_profile_cells", "SELECT connect_id, CASE WHEN part = 0 THEN field ELSE field || '#' || CAST(part AS VARCHAR) END AS field, value FROM ("
+    + cells_sql(SQL["merge_profiles"], "connect_id, field", "entry", "chr(2)", "org_id, pos, entry") + ")")
 
 # ---- counters -------------------------------------------------------------------
 DAILY = """daily_{n} AS (

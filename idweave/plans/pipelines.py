@@ -114,13 +114,10 @@ def platform_day(users_src: DataFrame, spec, contacts_src: DataFrame | None = No
     return out
 
 
-def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links: DataFrame,
-                  stored: DataFrame | None = None, null_token: str = "null") -> DataFrame:
-    """T16-T18 + T22: resolve ids (J1, J2), build all evidence (A17-A22) and,
-    given the stored evidence, merge into the new stored state (N5).
+def load_evidence(users: DataFrame, edges: DataFrame, regions: DataFrame, links: DataFrame, null_token: str = "null") -> DataFrame:
+    """Resolve ids (J1, J2) and build all evidence (A17-A22): distinct long rows (rowkey, attr, value, ev).
 
-    Returns scored long evidence (rowkey, attr, value, ev, score) where ``ev``
-    is JSON text, so every attribute shares one schema.
+    ``ev`` is JSON text, so every attribute shares one schema.
     """
     from ..operators import profiles as P
     from ..operators.resolve import resolve_column, resolve_columns
@@ -134,7 +131,22 @@ def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links:
     ev = parts[0].select("rowkey", "attr", "value", F.to_json("ev").alias("ev"))
     for p in parts[1:]:
         ev = ev.unionByName(p.select("rowkey", "attr", "value", F.to_json("ev").alias("ev")))
-    ev = ev.distinct()
+    return ev.distinct()
+
+
+def load_job(store, users: DataFrame, edges: DataFrame, regions: DataFrame, links: DataFrame, batch: str,
+             null_token: str = "null") -> DataFrame:
+    """Add one batch's evidence to an ``EvidenceStore``; the scored new state."""
+    store.add(load_evidence(users, edges, regions, links, null_token), batch)
+    return store.scored()
+
+
+def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links: DataFrame,
+                  stored: DataFrame | None = None, null_token: str = "null") -> DataFrame:
+    """T16-T18 and, given the stored evidence, the new stored state (N5) as one snapshot: scored long evidence."""
+    from ..operators import profiles as P
+
+    ev = load_evidence(users, edges, regions, links, null_token)
     if stored is not None:
         ev = P.merge_evidence(stored.select("rowkey", "attr", "value", "ev"), ev, snapshot=True)
     return P.score(ev)

@@ -196,16 +196,16 @@ def test_load_profiles_composition(spark):
     assert {(r.rowkey, r.attr, r.value, r.score) for r in again.collect()} == got
 
 
-def test_bounded_concat_splits_hot_keys(spark):
-    from idweave.operators.lists import bounded_concat
+def test_ordered_cells_of_hot_keys(spark):
+    from idweave.operators.lists import ordered_cells
     df = spark.createDataFrame([("hot", f"v{i:03d}") for i in range(250)] + [("cold", "b"), ("cold", "a")],
                                "k string, v string")
-    out = bounded_concat(df, ["k"], "v", ",", max_entries=100).collect()
+    out = ordered_cells(df.repartition(5), ["k"], "v", ",", max_entries=100).collect()
     cold = [r for r in out if r.k == "cold"]
     assert [(r.part, r.value) for r in cold] == [(0, "a,b")]
-    hot = [r for r in out if r.k == "hot"]
-    assert len(hot) == 3 and all(len(r.value.split(",")) < 200 for r in hot)
-    assert sorted(x for r in hot for x in r.value.split(",")) == [f"v{i:03d}" for i in range(250)]
+    hot = sorted((r.part, r.value.split(",")) for r in out if r.k == "hot")
+    assert [len(v) for _, v in hot] == [100, 100, 50] and [p for p, _ in hot] == [0, 1, 2]
+    assert [x for _, v in hot for x in v] == [f"v{i:03d}" for i in range(250)]
 
 
 def test_link_flatten_long_chain(spark):
