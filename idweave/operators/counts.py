@@ -80,19 +80,47 @@ def daily_counters(user_sources: list[DataFrame], contacts: DataFrame, messages:
     distinct contact rows, distinct message ids and group-message ids.
 
     Inputs carry a ``day`` column (yyyyMMdd); user sources a ``uid`` column;
-    message sources a ``mid`` column. All days are computed in one plan.
+    message sources a ``mid`` column. All days are computed in one pass: the
+    distinct ids of all kinds together, then one count per day.
     """
-    users = reduce(DataFrame.unionByName, [s.select(day, "uid") for s in user_sources])
-    parts = [
-        count_distinct_with_null(users, [day], "uid", "user_count"),
-        contacts.distinct().groupBy(day).agg(F.count(F.lit(1)).alias("contact_count")),
-        count_distinct_with_null(messages, [day], "mid", "message_count"),
-        count_distinct_with_null(group_messages, [day], "mid", "groupmessage_count"),
-    ]
-    joined = reduce(lambda a, b: a.join(b, on=day, how="full_outer"), parts)
-    cols = ["user_count", "contact_count", "message_count", "groupmessage_count"]
-    return joined.select(day, day_to_epoch_millis(day).alias("time"),
-                         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
+    return counters_of(counter_state(user_sources, contacts, messages, group_messages, day), day)
+
+
+#: Kinds of ids in the counter state and the counters that they feed.
+KINDS = {"user": "user_count", "contact": "contact_count", "message": "message_count", "groupmessage": "groupmessage_count"}
+STATE_SCHEMA = "kind string, id string, day string"
+
+
+def counter_state(user_sources: list[DataFrame], contacts: DataFrame, messages: DataFrame, group_messages: DataFrame,
+                  day: str = "day") -> DataFrame:
+    """The distinct (kind, id, day) behind the daily counters; a NULL id is one id (D8), a contact's id its whole row."""
+    def of(kind, df, value):
+        return df.select(F.lit(kind).alias("kind"), value.cast("string").alias("id"), F.col(day).cast("string").alias(day))
+    row = F.to_json(F.struct(*[c for c in contacts.columns if c != day]), {"ignoreNullFields": "false"})
+    parts = [*(of("user", s, F.col("uid")) for s in user_sources), of("contact", contacts, row),
+             of("message", messages, F.col("mid")), of("groupmessage", group_messages, F.col("mid"))]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def counters_of(state: DataFrame, day: str = "day") -> DataFrame:
+    """Daily counters from the distinct ids: a partial count in every task, one row a day and task after it."""
+    counted = state.groupBy(day).agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(name) for k, name in KINDS.items()])
+    return counted.select(day, day_to_epoch_millis(day).alias("time"), *KINDS.values())
+
+
+def extend_state(table, more: DataFrame, batch: str) -> None:
+    """Add a late batch's (kind, id, day) to the state kept in a ``VersionedTable`` partitioned by day.
+
+    Only the days that the batch has rows of are read and written again; a
+    batch that was applied before changes nothing.
+    """
+    if table.applied(batch):
+        return
+    days = [r.day for r in more.select("day").distinct().collect()]  # a calendar's worth
+    mine = F.lit(False)
+    for d in days:
+        mine = mine | F.col("day").eqNullSafe(F.lit(d))
+    table.replace(table.current().filter(mine).unionByName(more.select("kind", "id", "day")).distinct(), batch)
 
 
 def cumulative_counters(daily: DataFrame, since_millis: str, base_users: int, base_contacts: int,

@@ -141,6 +141,29 @@ def rekey_messages(messages: DataFrame, links: DataFrame) -> DataFrame:
     return r.select(*cols)
 
 
+def rekey_changes(messages: DataFrame, links: DataFrame, seq: int) -> DataFrame:
+    """I7 as a change set for the message store (K6): a message whose sender
+    moved is deleted under its old mid and put under the new one, one whose
+    receiver moved is put again. Two messages that get one mid leave one row
+    (``changes.merged`` with ties by ``replaces``, the old mid). Rows without a
+    mid are not in the store."""
+    from ..sources.changes import change_set, puts, tombstones
+    old = messages.filter("mid IS NOT NULL").withColumns({"replaces": F.col("mid"), "__user": F.col("user"), "__party": F.col("party")})
+    new = rekey_messages(old, links).filter("NOT (user <=> __user AND party <=> __party)").drop("__user", "__party")
+    gone = new.filter("mid != replaces").select(F.col("replaces").alias("mid"))
+    return change_set(puts(new, seq), tombstones(gone, ["mid"], seq))
+
+
+def profile_changes(profiles: DataFrame, moved: DataFrame, merged: DataFrame, seq: int) -> DataFrame:
+    """I6 with I15's ``drop_sources`` as a change set for the cell store: the
+    merged cells are put under their canonical id, the cells of the ids that
+    moved are deleted."""
+    from ..sources.changes import change_set, puts, tombstones
+    cells = pack_entries(merged).withColumnRenamed("connect_id", "rowkey")
+    gone = profiles.join(moved.select(F.col("org_id").alias("rowkey")).distinct(), "rowkey", "left_semi")
+    return change_set(puts(cells, seq), tombstones(gone, ["rowkey", "field"], seq))
+
+
 def rekey_group_messages(group_messages: DataFrame, links: DataFrame) -> DataFrame:
     """I8: group-message sender -> canonical id."""
     return resolve_column(group_messages, links, "sender")
@@ -206,7 +229,8 @@ def connect_to_orgs(links: DataFrame, sep: str = "\t", max_entries: int = CELL_E
 
 
 def merge_ids(spark, ids: list[str]) -> DataFrame:
-    """Links for merging an explicit id list under a repeatable new id."""
+    """Links for merging a short id list given by hand under a repeatable
+    new id; ``forest.merge_groups`` takes the groups as a table."""
     df = spark.createDataFrame([(i,) for i in ids], "org_id string")
     gid = stable_group_id(F.array(*[F.lit(i) for i in ids]))
     return df.select("org_id", gid.alias("connect_id"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaners as C
 from ..functions import ids as I
 from ..functions.codec import decode_value, encode_value
-from ..operators import conform, counts, dedup, enrich, match, merge, profiles, resolve, setops
+from ..operators import conform, counts, dedup, enrich, forest, match, merge, profiles, resolve, setops
 from ..operators.lists import ordered_cells
 from ..schemas import Catalog, CellColumn
 from ..sources import cells as cellio
@@ -513,6 +513,14 @@ def q_rekey_messages(spark, base):
     return merge.rekey_messages(messages(spark, base), views.links(spark, base))
 
 
+@query("rekey_store_after_delete")
+def q_rekey_store_after_delete(spark, base):
+    """K6: the message store after the re-keying's puts and deletes are merged on read."""
+    from ..sources.changes import merged
+    m = messages(spark, base)
+    return merged(m, merge.rekey_changes(m, views.links(spark, base), 1), ["mid"], ["replaces"])
+
+
 @query("rekey_edges")
 def q_rekey_edges(spark, base):
     """I10 + I11: both edge directions re-keyed at once."""
@@ -547,6 +555,24 @@ def q_split_identity_links(spark, base):
     return merge.split_identity(links.select(F.col("org_id").alias("rowkey")), links, targets)[1]
 
 
+@query("split_second_generation")
+def q_split_second_generation(spark, base):
+    """I14 over generations: the nation ids of even nations are split back to the first generation of merges."""
+    log = forest.grown(forest.grown(spark.createDataFrame([], "generation bigint, org_id string, connect_id string"),
+                                    views.links(spark, base), 1), views.links_next(spark, base), 2)
+    targets = views.read_table(spark, base, "nation").filter("n_nationkey % 2 = 0").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("connect_id"))
+    return forest.split_to(log, targets, 1, 2)
+
+
+@query("merge_id_groups")
+def q_merge_id_groups(spark, base):
+    """Customers in debt of one nation and segment merged under a new id a group."""
+    c = views.read_table(spark, base, "customer").filter("c_acctbal < 0")
+    return forest.merge_groups(c.select(F.concat_ws("/", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("group"),
+                                        F.expr(views.CUST_ROWKEY).alias("id")))
+
+
 @query("id_list_concat")
 def q_id_list_concat(spark, base):
     """Canonical id -> its original ids, sorted and tab-joined."""
@@ -625,6 +651,41 @@ def q_counter_upsert(spark, base):
     return upsert(stored, incoming, ["time"])
 
 
+@query("counter_targets")
+def q_counter_targets(spark, base):
+    """K5: one batch of counters upserted into three targets, each exactly once though the first run stops after one."""
+    from ..sources.versioned import VersionedTable, apply_to_all
+    e = views.events_by_day(spark, base)
+    stored, incoming = _daily(e.filter(F.col("day") < "20240116")), _daily(e.filter(F.col("day") >= "20240110"))
+    targets = {n: VersionedTable(spark, _scratch(spark, n), stored.schema) for n in ("main", "dev", "test")}
+    for t in targets.values():
+        t.replace(stored, "stored")
+    apply_to_all([targets["main"]], "batch", incoming, ["time"])
+    apply_to_all(list(targets.values()), "batch", incoming, ["time"])
+    parts = [t.current().withColumn("target", F.lit(n)) for n, t in targets.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _state(e: DataFrame) -> DataFrame:
+    return counts.counter_state(*_counter_inputs(e))
+
+
+@query("daily_counters_late_batch")
+def q_daily_counters_late_batch(spark, base):
+    """T23 with late data: a fifth of the events of the first days comes late and extends the state of those days only.
+
+    Users whose id is a multiple of 97 have none: NULL is one user a day.
+    """
+    from ..sources.versioned import VersionedTable
+    e = views.events_by_day(spark, base).withColumn("user_id", F.when(F.col("user_id") % 97 != 0, F.col("user_id")))
+    late = (F.col("event_id") % 5 == 0) & (F.col("day") < "20240112")
+    table = VersionedTable(spark, _scratch(spark, "counter_state"), spark.createDataFrame([], counts.STATE_SCHEMA).schema, ("day",))
+    counts.extend_state(table, _state(e.filter(~late)), "first")
+    counts.extend_state(table, _state(e.filter(late)), "late")
+    counts.extend_state(table, _state(e.filter(late)), "late")  # a repeated run changes nothing
+    return counts.counters_of(table.current())
+
+
 # ==================================================================== sources
 CELL_CATALOG = Catalog.for_columns("USER", "rowkey", "INFO",
                                    ["rowkey", "userid", "name", "mail", "phone", "gender", "birthday", "is_user"],
@@ -633,15 +694,17 @@ CELL_CATALOG = Catalog.for_columns("USER", "rowkey", "INFO",
 
 @query("to_cells")
 def q_to_cells(spark, base):
-    """K4 (N8 + F17): wide user rows -> (rowkey, family, qualifier, value) cells."""
-    u = conformed_users(spark, base).filter(F.col("platform") == "pc")
-    return cellio.to_cells(u, CELL_CATALOG)
+    """K4 (N8 + F17): wide user rows of all platforms -> (rowkey, family, qualifier, value) cells."""
+    return cellio.to_cells(conformed_users(spark, base), CELL_CATALOG)
 
 
 @query("from_cells")
 def q_from_cells(spark, base):
-    """S3 (N8 + N9 + F18 + P7): cells -> typed wide rows, domain filter applied."""
-    u = conformed_users(spark, base).filter(F.col("platform") == "pc")
+    """S3 (N8 + N9 + F18 + P7): cells of all platforms -> typed wide rows, domain filter applied.
+
+    Customers with one phone share a row of platform pd; of their cells the largest value stays.
+    """
+    u = conformed_users(spark, base)
     cat = Catalog(CELL_CATALOG.table, "rowkey", dict(CELL_CATALOG.columns), domain="is_user = 1")
     return cellio.from_cells(cellio.to_cells(u, cat), cat)
 
@@ -717,6 +780,30 @@ def q_partition_roundtrip(spark, base):
     return read_partition(spark, path, "platform", "pc", schema=schema).filter(F.col("time") == "20240101")
 
 
+@query("partition_commit")
+def q_partition_commit(spark, base):
+    """K1 + K2 + D9: two days of four platforms through staged commits, read back.
+
+    The first day gathers conformed users and contact fan-out users, then one
+    of its platforms is replaced; the others survive. A run that stops before
+    its commit leaves nothing.
+    """
+    from pyspark.sql import types as T
+
+    from ..schemas import USER_SCHEMA
+    from ..sources.versioned import VersionedTable
+    schema = T.StructType(USER_SCHEMA.fields + [T.StructField("time", T.StringType())])
+    table = VersionedTable(spark, _scratch(spark, "users"), schema, ("time", "platform"))
+    users = conformed_users(spark, base)
+    fan = conform.contact_fanout(views.fanout_source(spark, base), "pc")[1]
+    table.replace(users.unionByName(fan).withColumn("time", F.lit("20240101")), "day1")
+    table.replace(users.withColumn("time", F.lit("20240102")), "day2")
+    table.stage(users.filter("platform = 'pb'").limit(0).withColumn("time", F.lit("20240102")), "stopped", (("20240102", "pb"),))
+    again = users.filter((F.col("platform") == "pa") & C.is_present("mail"))
+    table.replace(again.withColumn("time", F.lit("20240101")), "day1-pa-again")
+    return table.current()
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, base):
     """CSV with header read back with a fixed schema (bad lines kept aside)."""
@@ -823,6 +910,30 @@ def q_platform_day_users(spark, base):
     return out["users"]
 
 
+def _platform_day(spark, base) -> dict[str, DataFrame]:
+    spec = conform.spec_basic("pa", "c_custkey", "raw_name", "raw_phone", "raw_mail")
+    return pipelines.platform_day(views.dirty(spark, base), spec, views.fanout_source(spark, base),
+                                  views.message_source(spark, base), views.prefixes(spark, base), time="20240101")
+
+
+@query("platform_day_contacts")
+def q_platform_day_contacts(spark, base):
+    """All contact edges of one platform-day (fan-out rows and message ends)."""
+    return _platform_day(spark, base)["contacts"]
+
+
+@query("platform_day_messages")
+def q_platform_day_messages(spark, base):
+    """The cleaned messages of one platform-day."""
+    return _platform_day(spark, base)["messages"]
+
+
+@query("platform_day_region")
+def q_platform_day_region(spark, base):
+    """The regions of all users of one platform-day."""
+    return _platform_day(spark, base)["region"]
+
+
 def _merge_requests(spark, base):
     """Every canonical id of a customer asks to be merged into its nation's id; half of them later."""
     c = views.read_table(spark, base, "customer")
@@ -888,6 +999,16 @@ def q_merge_job_profiles(spark, base):
     return _merge_job(spark, base, "profiles", cells=_canonical_cells(spark, base))
 
 
+@query("merge_job_drop_sources")
+def q_merge_job_drop_sources(spark, base):
+    """T26 + I15: the cell store after the job, cells of the ids that moved deleted."""
+    from ..sources.changes import merged
+    cells = _canonical_cells(spark, base)
+    out = pipelines.identity_merge_job(cells, messages(spark, base), group_messages(spark, base), views.contacts(spark, base),
+                                       views.links(spark, base), _merge_requests(spark, base), "20240101", drop_sources=True)
+    return merged(cells, out["profile_changes"], ["rowkey", "field"])
+
+
 @query("merge_job_archive")
 def q_merge_job_archive(spark, base):
     """Originals named by pending requests are archived (customers into their canonical id, none stored yet)."""

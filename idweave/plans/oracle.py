@@ -556,13 +556,12 @@ sql("counter_upsert", with_(EV, daily("old", "day < '20240116'"), daily("new", "
 SELECT * FROM daily_old WHERE time NOT IN (SELECT time FROM daily_new) UNION ALL SELECT * FROM daily_new""")
 
 # ---- sources --------------------------------------------------------------------
-PC = "pc AS (SELECT * FROM conformed WHERE platform = 'pc')"
 CELL_COLS = ["userid", "name", "mail", "phone", "gender", "birthday", "is_user"]
-sql("to_cells", with_(*CONF_CTES, PC) + "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT rowkey, 'INFO' AS family, '{c.upper()}' AS qualifier, CAST({c} AS VARCHAR) AS value FROM pc"
-    for c in CELL_COLS) + ") WHERE value IS NOT NULL")
-sql("from_cells", with_(*CONF_CTES, PC) +
-    "SELECT rowkey, " + ", ".join(CELL_COLS) + " FROM pc WHERE is_user = 1")
+sql("to_cells", with_(*CONF_CTES) + "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT rowkey, 'INFO' AS family, '{c.upper()}' AS qualifier, CAST({c} AS VARCHAR) AS value FROM conformed"
+    for c in CELL_COLS) + ") WHERE value IS NOT NULL AND rowkey IS NOT NULL")
+sql("from_cells", with_(*CONF_CTES) + "SELECT * FROM (SELECT rowkey, " + ", ".join(f"max({c}) AS {c}" for c in CELL_COLS) +
+    " FROM conformed WHERE rowkey IS NOT NULL GROUP BY rowkey) WHERE is_user = 1")
 sql("cell_records", with_(USERS) + "SELECT rowkey, upper(name) AS name, CAST(nation AS INTEGER) AS nation FROM users")
 sql("lines_to_cells", with_(USERS) + "SELECT rowkey, 'INFO' AS family, 'name' AS qualifier, name AS value FROM users")
 sql("subtract_by_key", with_(USERS, LINKS) + "SELECT * FROM users WHERE rowkey NOT IN (SELECT org_id FROM links)")
@@ -660,3 +659,40 @@ FROM (SELECT DISTINCT o_orderkey - o_orderkey % 7 AS g FROM orders), (VALUES (0)
 sql("daily_counters_one_day", with_(
     "ev AS (SELECT *, strftime(ts, '%Y%m%d') AS day FROM events WHERE strftime(ts, '%Y%m%d%H%M%S') LIKE '20240105%')",
     daily("all")) + "SELECT * FROM daily_all")
+FAN_USERS = SQL["contact_fanout_users"].split("SELECT DISTINCT * FROM", 1)[1]
+sql("partition_commit", with_(*CONF_CTES, FAN, FAN_ROWS) + f"""
+SELECT *, '20240101' AS time FROM conformed WHERE platform <> 'pa' OR (mail IS NOT NULL AND mail <> 'null')
+UNION ALL SELECT *, '20240101' FROM (SELECT DISTINCT * FROM {FAN_USERS})
+UNION ALL SELECT *, '20240102' FROM conformed""")
+sql("counter_targets", f"SELECT c.*, target FROM ({SQL['counter_upsert']}) c, (VALUES ('main'), ('dev'), ('test')) t(target)")
+sql("daily_counters_late_batch", with_(
+    "ev AS (SELECT * REPLACE (CASE WHEN user_id % 97 <> 0 THEN user_id END AS user_id), strftime(ts, '%Y%m%d') AS day FROM events)",
+    daily("all")) + "SELECT * FROM daily_all")
+sql("split_second_generation", f"""
+SELECT {CUST_KEY} AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS was, {LINK_CONNECT} AS connect_id FROM customer
+WHERE c_nationkey % 2 = 0
+UNION ALL SELECT DISTINCT {LINK_CONNECT}, 'N' || CAST(c_nationkey AS VARCHAR), {LINK_CONNECT} FROM customer WHERE c_nationkey % 2 = 0
+UNION ALL SELECT {SUPP_KEY}, 'N' || CAST(s_nationkey AS VARCHAR), {SUPP_KEY} FROM supplier WHERE s_nationkey % 2 = 0""")
+sql("merge_id_groups", f"""
+SELECT org_id, md5(min(org_id) OVER g) || '-group' AS connect_id
+FROM (SELECT {CUST_KEY} AS org_id, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0)
+WINDOW g AS (PARTITION BY c_nationkey, c_mktsegment) QUALIFY count(*) OVER g > 1""")
+sql("rekey_store_after_delete", with_(RAW_MSG, LINKS) + """
+SELECT * EXCLUDE (old, is_put) FROM (
+  SELECT CASE WHEN l1.connect_id IS NOT NULL AND l1.connect_id <> m."user"
+              THEN l1.connect_id || '-' || CAST(m.timesent AS VARCHAR) || '-' || m.platform_msg_id ELSE m.mid END AS mid,
+         m.content, m.platform_msg_id, m.partyuid, m.useruid, coalesce(l2.connect_id, m.party) AS party,
+         coalesce(l1.connect_id, m."user") AS "user", m.timesent, m.media, m.direction, m.msgtype, m.name, m.platform,
+         m.mid AS old, l1.connect_id IS NOT NULL OR l2.connect_id IS NOT NULL AS is_put
+  FROM msg m LEFT JOIN links l1 ON l1.org_id = m."user" LEFT JOIN links l2 ON l2.org_id = m.party)
+QUALIFY row_number() OVER (PARTITION BY mid ORDER BY is_put DESC, old) = 1""")
+sql("merge_job_drop_sources", f"""
+SELECT {CUST_KEY} AS rowkey, 'MSG_COUNT' AS field, '1' AS value FROM customer
+UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR), 'MSG_COUNT', CAST(count(*) AS VARCHAR) FROM customer GROUP BY c_nationkey
+UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR), 'REGION', string_agg(c_mktsegment, chr(2) ORDER BY org)
+FROM (SELECT DISTINCT c_nationkey, c_mktsegment, {LINK_CONNECT} AS org FROM customer) GROUP BY c_nationkey""")
+sql("platform_day_contacts", with_(PA_MSG, FAN, PA_FAN) + """
+SELECT u_key AS u_uid, c_key AS c_uid, name, '20240101' AS time FROM fanrows
+UNION SELECT party, "user", name, '20240101' FROM msg""")
+sql("platform_day_messages", with_(PA_MSG) + "SELECT *, '20240101' AS time FROM msg")
+sql("platform_day_region", with_("conformed AS (" + SQL["platform_day_users"] + ")", PREFIXES, REGION) + "SELECT *, '20240101' AS time FROM region")

@@ -154,7 +154,7 @@ def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links:
 
 def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_messages: DataFrame,
                        edges: DataFrame, stored_links: DataFrame, link_requests: DataFrame,
-                       insert_time: str) -> dict[str, DataFrame]:
+                       insert_time: str, drop_sources: bool = False) -> dict[str, DataFrame]:
     """T26 (I5-I12, K7): process every pending link of ``insert_time`` in one plan.
 
     Only ids that a pending link names give up their profile: an original its
@@ -162,7 +162,9 @@ def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_mes
     since its merge; originals merged earlier are not merged twice. Messages,
     group messages, edges and ids inside entries are re-keyed with the whole
     closure, old canonical ids included. Originals are archived, old canonical
-    ids are not.
+    ids are not. Merged rows stay in the profile table (I15); with
+    ``drop_sources`` the output ``profile_changes`` is a change set for it that
+    also deletes them.
     """
     from ..operators import merge as M
 
@@ -171,8 +173,10 @@ def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_mes
     rekey, named = closed["rekey"], pending.select("org_id").distinct()
     moved = rekey.join(named, on="org_id", how="left_semi")
     originals = named.join(stored_links.select(F.col("connect_id").alias("org_id")), on="org_id", how="left_anti")
+    profiles = M.merge_profiles(profiles_cells, moved, rekey=rekey)
     return {
-        "profiles": M.merge_profiles(profiles_cells, moved, rekey=rekey),
+        "profiles": profiles,
+        **({"profile_changes": M.profile_changes(profiles_cells, moved, profiles, 1)} if drop_sources else {}),
         "archive": M.archive_originals(profiles_cells, originals),
         "messages": M.rekey_messages(messages, rekey),
         "group_messages": M.rekey_group_messages(group_messages, rekey),

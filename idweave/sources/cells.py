@@ -19,14 +19,14 @@ CELL_JSON_SCHEMA = "columnFamily string, qualifier string, value string"
 
 
 def to_cells(df: DataFrame, catalog: Catalog, legacy_falsy: bool = False) -> DataFrame:
-    """K4: wide DataFrame -> cells; NULL values are not written."""
+    """K4: wide DataFrame -> cells; NULL values and rows without a row key are not written."""
     cols = [(name, spec) for name, spec in catalog.columns.items() if name in df.columns]
     stack = [
         F.struct(F.lit(spec.family).alias("family"), F.lit(spec.qualifier).alias("qualifier"),
                  encode_value(F.col(name), spec.type, legacy_falsy).alias("value"))
         for name, spec in cols
     ]
-    return (df.select(F.col(catalog.rowkey).cast("string").alias("rowkey"),
+    return (df.filter(F.col(catalog.rowkey).isNotNull()).select(F.col(catalog.rowkey).cast("string").alias("rowkey"),
                       F.explode(F.array(*stack)).alias("cell"))
               .select("rowkey", "cell.family", "cell.qualifier", "cell.value")
               .filter(F.col("value").isNotNull()))
@@ -36,15 +36,15 @@ def from_cells(cells: DataFrame, catalog: Catalog, seq_col: str | None = None) -
     """Cells -> typed wide DataFrame; filter by the catalog domain.
 
     When a (rowkey, family, qualifier) occurs twice, the cell with the
-    highest ``seq_col`` wins (the later write); without a sequence column an
-    arbitrary one is kept. Key-only domains are applied before the pivot.
+    highest ``seq_col`` wins (the later write; of equal ones and without a
+    sequence column the largest value). Key-only domains are applied before the pivot.
     """
     wanted = {(s.family, s.qualifier): n for n, s in catalog.columns.items()}
     fq = F.concat_ws(":", "family", "qualifier")
     keys = [f"{f}:{q}" for (f, q) in wanted]
     picked = cells.withColumn("fq", fq).filter(F.col("fq").isin(keys))
-    agg = F.max_by("value", seq_col) if seq_col else F.first("value", ignorenulls=True)
-    wide = picked.groupBy("rowkey").pivot("fq", keys).agg(agg)
+    best = F.max(F.when(F.col("value").isNotNull(), F.struct(*([seq_col] if seq_col else []), "value")))["value"]
+    wide = picked.groupBy("rowkey").pivot("fq", keys).agg(best)
     out = wide.select(
         F.col("rowkey").alias(catalog.rowkey),
         *[decode_value(F.col(f"`{f}:{q}`"), catalog.columns[n].type).alias(n)
