@@ -1065,3 +1065,6 @@ def q_daily_counters_one_day(spark, base):
     from ..sources.tables import day_prefix
     e = views.events_by_day(spark, base).withColumn("tstext", F.date_format("ts", "yyyyMMddHHmmss"))
     return _daily(e.filter(day_prefix("tstext", "20240105")))
+
+
+from . import branches  # noqa: E402,F401  registers its queries

@@ -696,3 +696,61 @@ SELECT u_key AS u_uid, c_key AS c_uid, name, '20240101' AS time FROM fanrows
 UNION SELECT party, "user", name, '20240101' FROM msg""")
 sql("platform_day_messages", with_(PA_MSG) + "SELECT *, '20240101' AS time FROM msg")
 sql("platform_day_region", with_("conformed AS (" + SQL["platform_day_users"] + ")", PREFIXES, REGION) + "SELECT *, '20240101' AS time FROM region")
+
+# ---- rows that the plain views lack (``branches``) --------------------------------
+sql("msg_dedup_copies", with_(RAW_MSG.replace("AS name FROM raw_msg)", """AS name FROM (
+  SELECT * FROM raw_msg UNION ALL SELECT * REPLACE (mid || 'z' AS mid) FROM raw_msg WHERE mid LIKE '%.1'))""")) + "SELECT * FROM msg")
+sql("gmsg_dedup_copies", with_(RAW_GMSG.replace("FROM raw_gmsg GROUP BY", """FROM (
+  SELECT * FROM raw_gmsg UNION ALL SELECT * REPLACE (mid || 'z' AS mid) FROM raw_gmsg WHERE media = 'user') GROUP BY""")) + "SELECT * FROM gmsg")
+HALF_LINKS = f"""links AS (
+  SELECT {CUST_KEY} AS org_id, 'N' || CAST(c_nationkey AS VARCHAR) AS connect_id FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL SELECT {SUPP_KEY}, 'N' || CAST(s_nationkey AS VARCHAR) FROM supplier)"""
+for _name in ("resolve_edges", "resolve_messages", "rekey_messages"):
+    sql(f"{_name}_both_ends", SQL[_name].replace(LINKS, HALF_LINKS))
+sql("pair_with_user_fanout", with_(RAW_MSG, PAIR_LATEST) + f"""
+SELECT pl.*, u.name, u.phone, u.mail FROM pl LEFT JOIN (
+  SELECT {SUPP_KEY} AS rowkey, s_name AS name, '9' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS phone, {NULLS} AS mail FROM supplier
+  UNION ALL SELECT {SUPP_KEY}, s_name, {NULLS}, s_name || '@x.org' FROM supplier WHERE s_suppkey % 2 = 0) u ON u.rowkey = pl.party""")
+THIRDS = """flat AS (
+  SELECT "user" AS rowkey, 'media' AS attr, media AS value, direction AS platform, CAST(useruid AS BIGINT) % 3 AS third, msgtype FROM msg
+  UNION ALL SELECT "user", 'partner', partyuid, direction, CAST(useruid AS BIGINT) % 3, msgtype FROM msg),
+stored AS (SELECT rowkey, attr, value, platform FROM flat WHERE value <> 'null' AND (third = 0 OR third = 1 AND msgtype = 0)),
+incoming AS (SELECT rowkey, attr, value, platform FROM flat WHERE value <> 'null' AND (third = 2 OR third = 1 AND msgtype = 1)),
+merged AS (SELECT * FROM stored UNION SELECT * FROM incoming)"""
+sql("profile_merge_thirds", with_(RAW_MSG, THIRDS) + f"SELECT *, {SCORE} FROM merged WHERE rowkey IN (SELECT rowkey FROM incoming)")
+sql("profile_snapshot_thirds", with_(RAW_MSG, THIRDS) + f"SELECT *, {SCORE} FROM merged")
+sql("contact_fanout_phone_id_users", with_(FAN) + f"""
+SELECT DISTINCT * FROM (
+  SELECT {user_row(rowkey=f"md5({phone_sql('u_phone', 'NULL')}) || '-pd'", userid=phone_sql('u_phone', 'NULL'),
+                   phone=phone_sql('u_phone'), is_user='1', platform="'pd'")} FROM fan
+  UNION ALL
+  SELECT {user_row(rowkey=f"md5({phone_sql('c_phone', 'NULL')}) || '-pd'", userid=phone_sql('c_phone', 'NULL'),
+                   phone=phone_sql('c_phone'), is_user='0', name=name_sql('c_name'),
+                   name_source=f"md5({phone_sql('u_phone', 'NULL')}) || '-pd'", platform="'pd'")} FROM fan)""")
+INFO = """info AS (
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS groupuid, CAST(conv_id AS VARCHAR) AS groupid,
+         'group ' || CAST(conv_id AS VARCHAR) AS groupname, role || '@' || CAST(conv_id AS VARCHAR) AS createruid,
+         CAST(turn AS VARCHAR) AS created, 'conv' AS grouptype,
+         md5(role || '@' || CAST(conv_id AS VARCHAR)) || '-conv' AS createruuid, 'conv' AS platform
+  FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1)"""
+sql("resolve_group_info", with_(INFO, LINKS) + "SELECT * FROM " + resolved("info", "createruuid", [
+    "groupuid", "groupid", "groupname", "createruid", "created", "grouptype", "createruuid", "platform"]))
+sql("resolve_group_statistics", with_(RAW_GMSG, GROUP_LATEST, LINKS) + "SELECT * FROM " + resolved("gl", "sender", [
+    "uuid", "sender", "count", "content", "timesent", "media", "platform_msg_id", "platform", "guid"]))
+sql("csv_bad_lines", """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_nationkey AS BIGINT) END AS n,
+       CASE WHEN c_custkey % 7 = 0 THEN CAST(c_custkey AS VARCHAR) || ',many' END AS _corrupt_record FROM customer""")
+REJECTS = f"""people AS (
+  SELECT 'people' AS source, CAST(c_custkey AS VARCHAR) AS id, concat_ws(',',
+         CASE WHEN coalesce(raw_phone, '') = '' THEN 'no_phone' END,
+         CASE WHEN raw_phone <> '' AND {phone_sql('raw_phone', 'NULL')} IS NULL THEN 'bad_phone' END,
+         CASE WHEN {name_sql('raw_name', 'NULL')} IS NULL THEN 'no_name' END) AS reasons FROM dirty),
+mails AS (
+  SELECT 'messages' AS source, CAST(l_orderkey AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS id, concat_ws(',',
+         CASE WHEN o_custkey % 11 = 0 THEN 'no_sender' END, CASE WHEN l_suppkey % 13 = 0 THEN 'no_receiver' END) AS reasons
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+flagged AS (SELECT * FROM people UNION ALL SELECT * FROM mails)"""
+sql("rejected_rows", with_(DIRTY, REJECTS) + "SELECT * FROM flagged WHERE reasons <> ''")
+sql("reject_accounting", with_(DIRTY, REJECTS) + """
+SELECT source, count(*) AS rows, count(*) FILTER (reasons = '') AS accepted, count(*) FILTER (reasons <> '') AS rejected,
+       count(*) FILTER (reasons = '') AS written FROM flagged GROUP BY source""")

@@ -8,7 +8,7 @@ from idweave.plans.catalog import QUERIES
 SF = "/root/testdata/sf0.001"
 # Queries whose plans write or checkpoint while being built are checked separately.
 WRITE_QUERIES = {"partition_roundtrip", "csv_roundtrip", "json_roundtrip", "partition_commit", "counter_targets",
-                 "daily_counters_late_batch"}
+                 "daily_counters_late_batch", "csv_bad_lines", "rejected_rows", "reject_accounting"}
 
 
 def plan_text(df) -> str:
