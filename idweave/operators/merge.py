@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import join_key, stable_group_id
-from ..functions.packed import CELL_ENTRIES, ENTRY_SEP, NAME_ENTRY_RE, SOURCE_RE, entries, list_field, list_position, part_field
+from ..functions.packed import (CELL_ENTRIES, ENTRY_SEP, entries, format_name_entry, list_field, list_position, parse_name_entry,
+                                part_field, split_contact_entry)
 from ..sources.scratch import store
 from .components import connected
 from .lists import ordered_cells
@@ -51,35 +52,28 @@ def explode_cells(profiles: DataFrame) -> DataFrame:
 
 
 def _remap_name_entries(e: DataFrame, links: DataFrame) -> DataFrame:
-    """NAME entries: every ``source_id-platform`` source gets its canonical id.
+    """NAME entries (F23): every ``source_id-platform`` source gets its canonical id.
 
     Sources are split at the last dash, so a dashed row key works as a
     source id; the reference's ids have exactly one dash, where both agree.
+    An entry lists at most ``CELL_ENTRIES`` sources (a longer list is several
+    entries of the name), so its sources are gathered again by entry.
     """
-    parsed = e.select("*", F.regexp_extract("entry", NAME_ENTRY_RE, 1).alias("nm"),
-                      F.regexp_extract("entry", NAME_ENTRY_RE, 2).alias("plats"),
-                      F.regexp_extract("entry", NAME_ENTRY_RE, 3).alias("sc"))
-    src = parsed.select("org_id", "connect_id", "field", "pos", "nm", "sc",
-                        F.posexplode(F.split("plats", ",", -1)).alias("spos", "s"))
-    src = src.select("*", F.regexp_extract("s", SOURCE_RE, 1).alias("sid"),
-                     F.regexp_extract("s", SOURCE_RE, 2).alias("spl"))
-    res = resolve_column(src, links, "sid")
-    regrouped = (res.groupBy("org_id", "connect_id", "field", "pos", "nm", "sc")
-                 .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("spos", "sid", "spl"))),
-                                               lambda x: F.concat(x["sid"], F.lit("-"), x["spl"])), ",")
-                      .alias("plats")))
-    return regrouped.select("org_id", "connect_id", "field", "pos",
-                            F.concat(F.lit("name:"), "nm", F.lit("|platforms:"), "plats", F.lit("|score:"), "sc")
-                            .alias("entry"))
+    at = ["org_id", "connect_id", "field", "pos"]
+    parsed = e.select(*at, parse_name_entry("entry").alias("p")).select(*at, "p.name", "p.score", F.posexplode("p.sources").alias("spos", "s"))
+    res = resolve_column(parsed.select(*at, "name", "score", "spos", "s.source_id", "s.platform"), links, "source_id")
+    listed = F.array_sort(F.collect_list(F.struct("spos", "source_id", "platform")))
+    return res.groupBy(*at, "name", "score").agg(listed.alias("sources")).select(
+        *at, format_name_entry("name", "sources", "score").alias("entry"))
 
 
 def _remap_bar_entries(e: DataFrame, links: DataFrame) -> DataFrame:
-    """CONTACT / BE_CONTACT entries ``id|rest``: the id gets its canonical id."""
-    parts = e.select("*", F.substring_index("entry", "|", 1).alias("eid"),
-                     F.when(F.instr("entry", "|") > 0, F.regexp_extract("entry", "(?s)^[^|]*(\\|.*)$", 1))
-                     .otherwise(F.lit("")).alias("rest"))
+    """CONTACT / BE_CONTACT entries ``id|rest`` (F24): the id gets its canonical id."""
+    parts = e.select("org_id", "connect_id", "field", "pos", split_contact_entry("entry").alias("p")).select(
+        "org_id", "connect_id", "field", "pos", F.col("p.id").alias("eid"), "p.rest")
     res = resolve_column(parts, links, "eid")
-    return res.select("org_id", "connect_id", "field", "pos", F.concat("eid", "rest").alias("entry"))
+    return res.select("org_id", "connect_id", "field", "pos",
+                      F.concat("eid", F.coalesce(F.concat(F.lit("|"), "rest"), F.lit(""))).alias("entry"))
 
 
 def merge_profiles(profiles: DataFrame, links: DataFrame, policy: dict[str, int] | None = None,
@@ -177,12 +171,29 @@ def rekey_edges(edges: DataFrame, links: DataFrame, drop_self: bool = False) ->
     return r.filter(F.col("u_uid") != F.col("c_uid")) if drop_self else r
 
 
-def packed_contacts(edges: DataFrame, reverse: bool = False, max_entries: int = CELL_ENTRIES) -> DataFrame:
-    """Derive CONTACT (or BE_CONTACT) cells from edges: ``id|platform`` entries, in parts as ``pack_entries`` writes them."""
-    own, other, field = ("c_uid", "u_uid", "BE_CONTACT") if reverse else ("u_uid", "c_uid", "CONTACT")
-    e = edges.select(F.col(own).alias("rowkey"), F.concat(F.col(other), F.lit("|"), F.col("platform")).alias("entry"))
-    cells = ordered_cells(e.distinct(), ["rowkey"], "entry", ENTRY_SEP, max_entries)
-    return cells.select("rowkey", part_field(F.lit(field), "part").alias("field"), "value")
+def packed_contacts(edges: DataFrame, reverse: bool | None = False, max_entries: int = CELL_ENTRIES) -> DataFrame:
+    """Derive CONTACT (``reverse``: BE_CONTACT, None: both) cells from edges: ``id|platform`` entries, in parts as
+    ``pack_entries`` writes them."""
+    def entry(own, other, field):
+        return edges.select(F.col(own).alias("rowkey"), F.lit(field).alias("field"),
+                            F.concat(F.col(other), F.lit("|"), F.col("platform")).alias("entry"))
+    sides = [entry("c_uid", "u_uid", "BE_CONTACT")] * (reverse is not False) + [entry("u_uid", "c_uid", "CONTACT")] * (not reverse)
+    e = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
+    cells = ordered_cells(e.distinct(), ["rowkey", "field"], "entry", ENTRY_SEP, max_entries)
+    return cells.select("rowkey", part_field("field", "part").alias("field"), "value")
+
+
+def packed_names(sources: DataFrame, max_entries: int = CELL_ENTRIES) -> DataFrame:
+    """NAME cells (rowkey, field, value) from distinct (rowkey, name, source), where a source is ``id-platform`` and the
+    score the number of a name's sources. A name with more than ``max_entries`` sources has several entries."""
+    key = ["rowkey", "name"]
+    score = sources.groupBy(*key).agg(F.count(F.lit(1)).cast("string").alias("score"))
+    lists = ordered_cells(sources, key, "source", ",", max_entries, out="platforms").join(score, key)
+    named = lists.select("rowkey", "part", F.col("name"), F.concat(
+        F.lit("name:"), "name", F.lit("|platforms:"), "platforms", F.lit("|score:"), "score").alias("entry"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("name", "part", "entry"))), lambda x: x["entry"])
+    return named.groupBy("rowkey").agg(F.array_join(listed, ENTRY_SEP).alias("value")).select(
+        "rowkey", F.lit("NAME").alias("field"), "value")
 
 
 def close_links(stored: DataFrame, new: DataFrame) -> dict[str, DataFrame]:

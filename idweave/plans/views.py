@@ -273,7 +273,7 @@ def packed_profiles(spark: SparkSession, base: str) -> DataFrame:
     sources), BE_CONTACT, BE_CONTACT_COUNT, MSG_COUNT, NOTE.
     """
     from ..functions.cleaners import clean_mail, clean_phone
-    from ..operators.merge import packed_contacts
+    from ..operators.merge import packed_contacts, packed_names
 
     d = dirty(spark, base)
     edges = contacts(spark, base)
@@ -286,17 +286,11 @@ def packed_profiles(spark: SparkSession, base: str) -> DataFrame:
                           F.lit("-cust|score:1")).alias("value")),
         F.struct(F.lit("RELATION").alias("field"), F.col("c_mktsegment").alias("value")),
     )).alias("c")).select("rowkey", "c.field", "c.value")
-    sources = (edges.select(F.col("c_uid").alias("rowkey"), F.concat(F.col("u_uid"), F.lit("-cust")).alias("s"))
-               .distinct().groupBy("rowkey")
-               .agg(F.array_join(F.array_sort(F.collect_list("s")), ",").alias("plats"),
-                    F.count(F.lit(1)).alias("n")))
     s = read_table(spark, base, "supplier").select(F.expr(SUPP_ROWKEY).alias("rowkey"), "s_name")
-    supp_names = s.join(sources, "rowkey").select(
-        "rowkey", F.lit("NAME").alias("field"),
-        F.concat(F.lit("name:"), F.col("s_name"), F.lit("|platforms:"), F.col("plats"), F.lit("|score:"),
-                 F.col("n").cast("string")).alias("value"))
+    knows = edges.select(F.col("c_uid").alias("rowkey"), F.concat(F.col("u_uid"), F.lit("-cust")).alias("source")).distinct()
+    supp_names = packed_names(knows.join(s, "rowkey").select("rowkey", F.col("s_name").alias("name"), "source"))
     notes = s.select("rowkey", F.lit("NOTE").alias("field"), F.col("s_name").alias("value"))
-    contact_cells = packed_contacts(edges).unionByName(packed_contacts(edges, reverse=True))
+    contact_cells = packed_contacts(edges, reverse=None)
     counts_c = (edges.groupBy("u_uid").agg(F.countDistinct("c_uid").cast("string").alias("value"))
                 .select(F.col("u_uid").alias("rowkey"), F.lit("CONTACT_COUNT").alias("field"), "value"))
     counts_b = (edges.groupBy("c_uid").agg(F.countDistinct("u_uid").cast("string").alias("value"))

@@ -24,6 +24,19 @@ def test_global_positions(spark):
         assert [v for _, v in mine] == sorted(v for x, v in data if x == k)
 
 
+def test_a_name_with_many_sources_is_several_entries(spark):
+    from idweave.operators import merge
+    rows = [("r", "n", f"s{i}-p") for i in range(7)] + [("r", "m", "a-b-q")]
+    cells = merge.packed_names(spark.createDataFrame(rows, "rowkey string, name string, source string"), max_entries=3)
+    assert [tuple(r) for r in cells.collect()] == [("r", "NAME", "\x02".join([
+        "name:m|platforms:a-b-q|score:1", "name:n|platforms:s0-p,s1-p,s2-p|score:7", "name:n|platforms:s3-p,s4-p,s5-p|score:7",
+        "name:n|platforms:s6-p|score:7"]))]
+    links = spark.createDataFrame([("r", "C"), ("s4", "C"), ("a-b", "D")], "org_id string, connect_id string")
+    got = {r.pos: r.entry for r in merge.merge_profiles(cells, links).collect()}
+    assert got == {0: "name:m|platforms:D-q|score:1", 1: "name:n|platforms:s0-p,s1-p,s2-p|score:7",
+                   2: "name:n|platforms:s3-p,C-p,s5-p|score:7", 3: "name:n|platforms:s6-p|score:7"}
+
+
 def test_a_list_of_over_100000_entries(spark):
     """One shape at every size: parts in order are the whole list, and merging numbers its entries on."""
     from idweave.operators import merge
