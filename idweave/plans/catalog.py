@@ -433,11 +433,13 @@ def q_load_job_snapshot(spark, base):
     the first job only, a third with the second only, a third with both.
     """
     from ..sources.evidence_store import EvidenceStore
+    from ..sources.scratch import store as stored
     store = EvidenceStore(spark, _scratch(spark, "evidence"), EVIDENCE_BUCKETS)
+    contacts = stored(views.contacts(spark, base), "contacts")
     for batch, absent in (("day1", 2), ("day2", 0)):
         d = views.dirty(spark, base).filter(F.col("c_custkey") % 3 != absent)
         u = conformed(d)
-        e = views.contacts(spark, base).join(d.select(F.col("rowkey").alias("u_uid")), "u_uid", "left_semi")
+        e = contacts.join(d.select(F.col("rowkey").alias("u_uid")), "u_uid", "left_semi")
         out = pipelines.load_job(store, u, e, enrich.region_lookup(u, views.prefixes(spark, base)), views.links(spark, base), batch)
     return out
 

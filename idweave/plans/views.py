@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import epoch_seconds
+from ..sources.scratch import store
 from ..sources.tables import read_table
 
 # Raw text columns of the dirty customer view (SQL understood by Spark and DuckDB).
@@ -276,7 +277,7 @@ def packed_profiles(spark: SparkSession, base: str) -> DataFrame:
     from ..operators.merge import packed_contacts, packed_names
 
     d = dirty(spark, base)
-    edges = contacts(spark, base)
+    edges = store(contacts(spark, base), "contacts")  # a table of its own where these views come from; read many times below
     msgs = raw_messages(spark, base)
     cust_cells = d.select("rowkey", F.explode(F.array(
         F.struct(F.lit("PHONE").alias("field"), clean_phone("raw_phone").alias("value")),
