@@ -685,7 +685,8 @@ SELECT * EXCLUDE (old, is_put) FROM (
          coalesce(l1.connect_id, m."user") AS "user", m.timesent, m.media, m.direction, m.msgtype, m.name, m.platform,
          m.mid AS old, l1.connect_id IS NOT NULL OR l2.connect_id IS NOT NULL AS is_put
   FROM msg m LEFT JOIN links l1 ON l1.org_id = m."user" LEFT JOIN links l2 ON l2.org_id = m.party)
-QUALIFY row_number() OVER (PARTITION BY mid ORDER BY is_put DESC, old) = 1""")
+QUALIFY row_number() OVER (PARTITION BY mid ORDER BY is_put DESC, old, content, platform_msg_id, partyuid, useruid, party, "user",
+                           timesent, media, direction, msgtype, name, platform) = 1""")
 sql("merge_job_drop_sources", f"""
 SELECT {CUST_KEY} AS rowkey, 'MSG_COUNT' AS field, '1' AS value FROM customer
 UNION ALL SELECT 'N' || CAST(c_nationkey AS VARCHAR), 'MSG_COUNT', CAST(count(*) AS VARCHAR) FROM customer GROUP BY c_nationkey

@@ -86,6 +86,8 @@ def test_change_sets_equal_a_dictionary(spark):
     every = change_set(*changes)
     assert dict(map(tuple, merged(df, every, ["k"]).collect())) == state
     assert dict(map(tuple, compact(df, every, ["k"], scratch(spark, "compact")).collect())) == state
+    tied = change_set(puts(spark.createDataFrame([("k1", 5), ("k1", 3), ("k1", 4)], "k string, v int"), 9), tombstones(df.limit(0), ["k"], 9))
+    assert dict(map(tuple, merged(df, tied, ["k"]).collect())) == base | {"k1": 3}
     none = change_set(puts(df.limit(0), 1), tombstones(df.limit(0), ["k"], 1))
     assert dict(map(tuple, merged(df, none, ["k"]).collect())) == base
 
