@@ -3,11 +3,18 @@
 Sets within the similarity differ in at most k elements, and k follows from
 their sizes. For each band of sizes the feature domain (hashes) is cut into
 ``n1`` partitions of ``n2`` cells; a signature is the content of ``n2 - k2``
-cells of a partition. Similar sets agree in at least one of them, because k
-differing elements cannot spoil more than ``k // (k2 + 1)`` partitions beyond
-``k2`` cells each. ``SLACK`` more partitions than needed let a set keep back
-signatures of fewer than ``WEAK`` elements, which unrelated sets share, unless
-it has too many of them.
+cells of a partition, for every such subset of its cells. The differing
+elements cannot spoil more than ``spoiled = k // (k2 + 1)`` partitions beyond
+``k2`` cells each, so similar sets agree in a signature of each of the other
+``n1 - spoiled``. Sets with ``k`` up to ``SHORT`` have one partition and all
+subsets that leave out ``k`` cells.
+
+Signatures of few or no elements are shared by unrelated sets. ``SLACK`` more
+partitions than needed let each set keep back its weakest ones: of its
+partitions, all but ``n1 - spoiled - 1`` keep every signature. Two similar sets
+still share one: equal signatures have equal counts, so what either keeps back
+of those they share is what the one with the higher limit does, and lies in at
+most ``n1 - spoiled - 1`` of the ``n1 - spoiled`` partitions.
 
 Equal sets are one class and only classes are joined. Classes that share a
 signature are a bucket; all members of connected buckets are compared with one
@@ -36,9 +43,13 @@ from idweave.operators.components import connected
 
 from .common import Bounded, numbered, semi_join_rows, slices, store, texts
 
-WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 2, 1
-#: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones; elements of a weak signature.
-BAND, SLACK, WEAK = 1.25, 0.1, 3
+WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 3, 1
+#: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones.
+BAND, SLACK = 1.25, 0.2
+#: Sets that may differ in so many elements have one partition, of three cells more.
+SHORT = 5
+#: Bits of a signature. Different ones that clash only make a bucket larger.
+BITS = 48
 #: Members of a sub-bucket whose pairs are compared at once, in the first round; four times as many in each later one.
 PAIRED = 32
 
@@ -66,9 +77,8 @@ def shingle_set(words: np.ndarray, n: int = WORDS) -> np.ndarray:
 class Signatures:
     """PartEnum signatures of sets of sorted 64-bit hashes at a Jaccard similarity of ``num / den``."""
 
-    def __init__(self, num: int = NUM, den: int = DEN, n2: int = N2, k2: int = K2, weak: int = WEAK):
-        self.num, self.den, self.n2, self.k2, self.weak = num, den, n2, k2, weak
-        self.subsets = [list(s) for s in combinations(range(n2), n2 - k2)]
+    def __init__(self, num: int = NUM, den: int = DEN, n2: int = N2, k2: int = K2):
+        self.num, self.den, self.n2, self.k2 = num, den, n2, k2
         self.tops = [1]  # largest size of each band
         self.plans: dict[int, tuple] = {}
 
@@ -78,14 +88,16 @@ class Signatures:
             self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * BAND)))
         return int(np.searchsorted(self.tops, size))
 
-    def plan(self, band: int) -> tuple[int, int, np.ndarray]:
-        """Partitions of a band, those that k elements may spoil, and where its cells begin in the domain."""
+    def plan(self, band: int) -> tuple[int, int, int, list[list[int]], np.ndarray]:
+        """Partitions of a band, those kept back at most, cells of each, their subsets, and where cells begin in the domain."""
         if band not in self.plans:
             k = 2 * self.tops[band] * (self.den - self.num) // (self.den + self.num)
-            spoiled = k // (self.k2 + 1)
-            n1 = 0 if k == 0 else spoiled + 1 + int(np.ceil(SLACK * (spoiled + 1)))
-            edges = np.array([(i << 64) // max(1, n1 * self.n2) for i in range(1, n1 * self.n2)], dtype=np.uint64)
-            self.plans[band] = n1, spoiled, edges
+            n2, k2 = (k + 3, k) if k <= SHORT else (self.n2, self.k2)
+            spoiled = k // (k2 + 1)
+            back = int(np.ceil(SLACK * (spoiled + 1))) if k > SHORT else 0
+            n1 = spoiled + 1 + back if k else 0
+            edges = np.array([(i << 64) // max(1, n1 * n2) for i in range(1, n1 * n2)], dtype=np.uint64)
+            self.plans[band] = n1, back, n2, [list(c) for c in combinations(range(n2), n2 - k2)], edges
         return self.plans[band]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
@@ -95,17 +107,16 @@ class Signatures:
             return np.empty(0, dtype=np.uint64)
         total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         for band in range(self.band(size), self.band(size * self.den // self.num) + 1):
-            n1, spoiled, edges = self.plan(band)
+            n1, back, n2, subsets, edges = self.plan(band)
             if not n1:
                 continue
             at = np.concatenate([[0], np.searchsorted(hashes, edges), [size]])
-            cell, count = (total[at[1:]] - total[at[:-1]]).reshape(n1, self.n2), np.diff(at).reshape(n1, self.n2)
-            held = np.stack([count[:, s].sum(axis=1) for s in self.subsets], axis=1)
-            sums = np.stack([cell[:, s].sum(axis=1, dtype=np.uint64) for s in self.subsets], axis=1)
-            place = (np.arange(n1 * len(self.subsets), dtype=np.uint64) + np.uint64((band + 1) << 32)).reshape(sums.shape)
-            signature = mixed(sums + mixed(place))
-            strong = held >= self.weak
-            out.append(signature[strong] if (~strong).sum() < n1 - spoiled else signature.ravel())
+            cell, count = (total[at[1:]] - total[at[:-1]]).reshape(n1, n2), np.diff(at).reshape(n1, n2)
+            held = np.stack([count[:, s].sum(axis=1) for s in subsets], axis=1)
+            sums = np.stack([cell[:, s].sum(axis=1, dtype=np.uint64) for s in subsets], axis=1)
+            place = (np.arange(n1 * len(subsets), dtype=np.uint64) + np.uint64((band + 1) << 32)).reshape(sums.shape)
+            least = np.sort(held.min(axis=1))[back]  # at most ``back`` partitions have a signature of fewer elements
+            out.append(mixed(sums + mixed(place))[held >= least] >> np.uint64(64 - BITS))
         return np.unique(np.concatenate(out)) if out else np.empty(0, dtype=np.uint64)
 
 
@@ -120,21 +131,38 @@ def text_set(text: bytes, hashes: Bounded, n: int) -> np.ndarray:
     return shingle_set(np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words)), n)
 
 
-def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int, options: dict) -> DataFrame:
-    """Per row: row_no, id, n (set size), set_key (128-bit, null for an empty set) and sigs."""
+def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """Per row: row_no, id, n (set size) and set_key (128-bit, null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, signatures = word_hashes(), Signatures(**options)
+        hashes = word_hashes()
         for batch in batches:
             for part in slices(batch):
                 sets = [text_set(t, hashes, words) for t in texts(part)]
                 yield pa.RecordBatch.from_arrays([
                     part.column("row_no"), part.column("id"), pa.array(map(len, sets), pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signatures.of(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ], names=["row_no", "id", "n", "set_key", "sigs"])
+                ], names=["row_no", "id", "n", "set_key"])
 
     rows = numbered(docs).select("row_no", F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "row_no bigint, id bigint, n bigint, set_key binary, sigs array<bigint>")
+    return rows.mapInArrow(run, "row_no bigint, id bigint, n bigint, set_key binary")
+
+
+def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int, options: dict) -> DataFrame:
+    """(rep, sig): the signatures of the rows in ``wanted`` (rep).
+
+    They are made again from the texts, as they are larger than these: storing them would take more disk than the input.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, signatures = word_hashes(), Signatures(**options)
+        for batch in batches:
+            for part in slices(batch):
+                sigs = [signatures.of(text_set(t, hashes, words)) for t in texts(part)]
+                rep = np.repeat(part.column("rep").to_numpy(), list(map(len, sigs)))
+                yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(np.concatenate(sigs).view(np.int64))],
+                                                 names=["rep", "sig"])
+
+    rows = numbered(docs, "rep").select("rep", F.col(text_col).alias("text"))
+    return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, sig bigint")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
@@ -277,20 +305,20 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM,
-               den: int = DEN, n2: int = N2, k2: int = K2, weak: int = WEAK) -> DataFrame:
+               den: int = DEN, n2: int = N2, k2: int = K2) -> DataFrame:
     """Per row of ``docs`` (a table just read): row_no, id, n_shingles, component_id (smallest id reachable), kept.
 
     Two rows link when ``den * intersection >= num * union`` of their shingle
     sets. ``kept`` marks the row of the smallest id of each component.
     """
-    options = {"num": num, "den": den, "n2": n2, "k2": k2, "weak": weak}
-    rows = store(shingle_rows(docs, id_col, text_col, words, options), "sets")
+    options = {"num": num, "den": den, "n2": n2, "k2": k2}
+    rows = store(shingle_rows(docs, id_col, text_col, words), "sets")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no")).alias("first")
     classes = store(rows.filter("n > 0").groupBy("set_key").agg(F.min("row_no").alias("rep"), first), "classes")
-    reps = semi_join_rows(rows.select(F.col("row_no").alias("rep"), "sigs"), classes.select("rep"), "rep")
-    postings = reps.select("rep", F.explode("sigs").alias("sig"))
-    buckets = store(postings.groupBy("sig").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
-    shared = store(postings.join(buckets, "sig").select(F.col("sig").alias("bucket"), "rep"), "shared")
+    postings = signature_rows(docs, classes.select("rep"), text_col, words, options)
+    bucket = Window.partitionBy("sig")  # one exchange; a group is streamed, with spill
+    held = postings.withColumns({"low": F.min("rep").over(bucket), "high": F.max("rep").over(bucket)}).filter("low < high")
+    shared = store(held.select(F.col("sig").alias("bucket"), "rep"), "shared")
     grams = store(shingle_sets(docs, store(shared.select("rep").distinct(), "reps"), text_col, words), "grams")
     labels = class_links(shared, grams, num, den)
     if labels is None:

@@ -123,13 +123,13 @@ def test_runs_hold_every_window_once():
     assert found == [(0, i) for i in range(1200 - 49)] + [(2, i) for i in range(len(data) - 1200 - 49)]
 
 
-def shingles(text):
+def shingles(text, n=3):
     w = [x.lower() if x.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(text)]
-    return {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def components(texts):
-    sets, parent = [shingles(t) for t in texts], list(range(len(texts)))
+def components(texts, n=3, num=90):
+    sets, parent = [shingles(t, n) for t in texts], list(range(len(texts)))
 
     def find(x):
         while parent[x] != x:
@@ -137,7 +137,7 @@ def components(texts):
         return x
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= num * len(a | b):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return sets, [find(i) for i in range(len(texts))]
@@ -151,8 +151,8 @@ def edited(rng, text, edits):
     return " ".join(w)
 
 
-@pytest.mark.parametrize("n2,k2,weak,paired", [(2, 1, 3, 32), (3, 1, 3, 2), (4, 2, 1, 4)])
-def test_ngram_join_against_brute_force(spark, monkeypatch, n2, k2, weak, paired):
+@pytest.mark.parametrize("n2,k2,gram,num,paired", [(2, 1, 3, 90, 32), (3, 1, 3, 90, 2), (4, 2, 3, 90, 4), (3, 1, 5, 80, 32)])
+def test_ngram_join_against_brute_force(spark, monkeypatch, n2, k2, gram, num, paired):
     monkeypatch.setattr(ngram, "PAIRED", paired)  # small: more rounds
     rng = random.Random(n2)
     texts = []
@@ -166,13 +166,32 @@ def test_ngram_join_against_brute_force(spark, monkeypatch, n2, k2, weak, paired
         texts.append(chain)
     texts += ["", None, "one", "One", "one two", "  one\ttwo ", "a b c", "a b c d"]
     docs = stored(random_docs(spark, texts))
-    got = {r.id: r for r in ngram.ngram_join(docs, n2=n2, k2=k2, weak=weak).collect()}
-    sets, want = components(texts)
+    got = {r.id: r for r in ngram.ngram_join(docs, words=gram, num=num, n2=n2, k2=k2).collect()}
+    sets, want = components(texts, gram, num)
     assert [got[i].n_shingles for i in range(len(texts))] == [len(s) for s in sets]
     assert [got[i].component_id for i in range(len(texts))] == want
     assert sorted(i for i in got if got[i].kept) == sorted(set(want))
 
 
+@pytest.mark.parametrize("num", [80, 90])
+def test_similar_sets_share_a_signature_and_others_few(num):
+    rng = np.random.default_rng(num)
+    signatures = ngram.Signatures(num, 100)
+
+    def some(n):
+        return rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    shared = 0
+    for size in [*range(1, 60), 100, 300, 1000] * 6:
+        own = some(size)
+        apart = [(a, b) for a in range(size) for b in range(size) if 100 * (size - a) >= num * (size + b)][-40:]
+        a, b = apart[rng.integers(len(apart))]
+        other = np.concatenate([rng.permutation(own)[a:], some(b)])
+        one, two = signatures.of(np.unique(own)), signatures.of(np.unique(other))
+        assert np.intersect1d(one, two).size or not (a or b), (size, a, b)
+        shared += np.intersect1d(one, signatures.of(np.unique(some(size)))).size if size > 8 else 0
+    assert shared <= 30  # of 324 unrelated pairs: only signatures without elements
+
+
 def test_ngram_join_edges(spark):
     assert ngram.ngram_join(empty_docs(spark)).count() == 0
     docs = stored(edge_docs(spark))
