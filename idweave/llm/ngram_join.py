@@ -30,6 +30,7 @@ never a component's id unless all ids there are null; no rows give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from idweave.operators.components import connected
 
-from .common import Bounded, numbered, semi_join_rows, slices, store, texts
+from .common import numbered, semi_join_rows, slices, store, texts
 
 WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 3, 1
 #: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones.
@@ -71,7 +72,8 @@ def shingle_set(words: np.ndarray, n: int = WORDS) -> np.ndarray:
     h = np.full(len(words) - n + 1, n, dtype=np.uint64)
     for i in range(n):
         h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + words[i:len(words) - n + 1 + i])
-    return np.unique(h)
+    h.sort()
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
 class Signatures:
@@ -88,8 +90,9 @@ class Signatures:
             self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * BAND)))
         return int(np.searchsorted(self.tops, size))
 
-    def plan(self, band: int) -> tuple[int, int, int, list[list[int]], np.ndarray]:
-        """Partitions of a band, those kept back at most, cells of each, their subsets, and where cells begin in the domain."""
+    def plan(self, band: int) -> tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]:
+        """Partitions of a band, those kept back at most, cells of each; a column of ones and zeros for each subset of
+        the cells; where cells begin in the domain; a value for each partition and subset."""
         if band not in self.plans:
             k = 2 * self.tops[band] * (self.den - self.num) // (self.den + self.num)
             n2, k2 = (k + 3, k) if k <= SHORT else (self.n2, self.k2)
@@ -97,7 +100,9 @@ class Signatures:
             back = int(np.ceil(SLACK * (spoiled + 1))) if k > SHORT else 0
             n1 = spoiled + 1 + back if k else 0
             edges = np.array([(i << 64) // max(1, n1 * n2) for i in range(1, n1 * n2)], dtype=np.uint64)
-            self.plans[band] = n1, back, n2, [list(c) for c in combinations(range(n2), n2 - k2)], edges
+            subsets = np.array([[i in c for i in range(n2)] for c in combinations(range(n2), n2 - k2)], dtype=np.int64).T
+            place = np.arange(n1 * subsets.shape[1], dtype=np.uint64) + np.uint64((band + 1) << 32)
+            self.plans[band] = n1, back, n2, subsets, edges, mixed(place).reshape(n1, subsets.shape[1])
         return self.plans[band]
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
@@ -107,37 +112,78 @@ class Signatures:
             return np.empty(0, dtype=np.uint64)
         total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)])
         for band in range(self.band(size), self.band(size * self.den // self.num) + 1):
-            n1, back, n2, subsets, edges = self.plan(band)
+            n1, back, n2, subsets, edges, place = self.plan(band)
             if not n1:
                 continue
             at = np.concatenate([[0], np.searchsorted(hashes, edges), [size]])
             cell, count = (total[at[1:]] - total[at[:-1]]).reshape(n1, n2), np.diff(at).reshape(n1, n2)
-            held = np.stack([count[:, s].sum(axis=1) for s in subsets], axis=1)
-            sums = np.stack([cell[:, s].sum(axis=1, dtype=np.uint64) for s in subsets], axis=1)
-            place = (np.arange(n1 * len(subsets), dtype=np.uint64) + np.uint64((band + 1) << 32)).reshape(sums.shape)
+            held, sums = count @ subsets, cell @ subsets.astype(np.uint64)
             least = np.sort(held.min(axis=1))[back]  # at most ``back`` partitions have a signature of fewer elements
-            out.append(mixed(sums + mixed(place))[held >= least] >> np.uint64(64 - BITS))
+            out.append(mixed(sums[held >= least] + place[held >= least]) >> np.uint64(64 - BITS))
         return np.unique(np.concatenate(out)) if out else np.empty(0, dtype=np.uint64)
 
 
-def word_hashes(limit: int = 300_000) -> Bounded:
-    """Word to 64-bit hash, cached."""
-    return Bounded(xxhash.xxh3_64_intdigest, limit)
+#: Bytes whose sums are made at once, and the odd base of the sums.
+_BLOCK, _BASE = 1 << 18, 0x9E3779B97F4A7C15
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LETTER = mixed(np.arange(256, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(1))
+_LETTER[65:91] = _LETTER[97:123]  # A-Z as a-z
 
 
-def text_set(text: bytes, hashes: Bounded, n: int) -> np.ndarray:
-    """The shingle set of a text: A-Z lowered, words between ASCII white space."""
-    words = text.lower().split()
-    return shingle_set(np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words)), n)
+@cache
+def _powers(base: int) -> np.ndarray:
+    """``base`` to the power of 0, 1, ... ``_BLOCK``, modulo 2 ** 64."""
+    return np.cumprod(np.array([1] + [base] * _BLOCK, dtype=np.uint64), dtype=np.uint64)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Place and 64-bit hash of each word between ASCII white space, A-Z as a-z.
+
+    A word's hash is the sum of its letters' values times powers of a base, by
+    place; with running sums over the bytes it is one difference, whatever the
+    word's length, so no word is ever cut out or held.
+    """
+    inverse, text = pow(_BASE, -1, 1 << 64), np.frombuffer(data, np.uint8)
+    total, scale, back, inside = np.uint64(0), 1, 1, False
+    places, sums, shifts = [], [], []
+    for at in range(0, len(text), _BLOCK):
+        part = text[at:at + _BLOCK]
+        before = np.empty(len(part) + 1, dtype=np.uint64)
+        before[0] = 0
+        np.cumsum(_LETTER[part] * _powers(_BASE)[:len(part)], out=before[1:])
+        before = before * np.uint64(scale) + total
+        letters = ~_SPACE[part]
+        edges = np.flatnonzero(letters != np.concatenate([[inside], letters[:-1]]))
+        places.append(edges + at)
+        sums.append(before[edges])
+        shifts.append(_powers(inverse)[edges] * np.uint64(back))
+        total, inside = before[-1], bool(letters[-1])
+        scale, back = scale * pow(_BASE, len(part), 1 << 64) % (1 << 64), back * pow(inverse, len(part), 1 << 64) % (1 << 64)
+    if inside:
+        places.append([len(text)])
+        sums.append(np.array([total]))
+        shifts.append(np.zeros(1, np.uint64))
+    if not sums:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    place, run = np.concatenate(places), np.concatenate(sums)
+    shift = np.concatenate(shifts)[::2]
+    length = (place[1::2] - place[::2]).astype(np.uint64)
+    return place[::2], mixed((run[1::2] - run[::2]) * shift + length)
+
+
+def text_sets(values: list[bytes], n: int) -> list[np.ndarray]:
+    """The shingle set of each text."""
+    place, hashes = word_hashes(b"\n".join(values))
+    ends = np.searchsorted(place, np.cumsum([len(v) + 1 for v in values])).tolist()
+    return [shingle_set(hashes[a:b], n) for a, b in zip([0, *ends], ends)]
 
 
 def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """Per row: row_no, id, n (set size) and set_key (128-bit, null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
         for batch in batches:
             for part in slices(batch):
-                sets = [text_set(t, hashes, words) for t in texts(part)]
+                sets = text_sets(texts(part), words)
                 yield pa.RecordBatch.from_arrays([
                     part.column("row_no"), part.column("id"), pa.array(map(len, sets), pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
@@ -153,10 +199,10 @@ def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int
     They are made again from the texts, as they are larger than these: storing them would take more disk than the input.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, signatures = word_hashes(), Signatures(**options)
+        signatures = Signatures(**options)
         for batch in batches:
             for part in slices(batch):
-                sigs = [signatures.of(text_set(t, hashes, words)) for t in texts(part)]
+                sigs = list(map(signatures.of, text_sets(texts(part), words)))
                 rep = np.repeat(part.column("rep").to_numpy(), list(map(len, sigs)))
                 yield pa.RecordBatch.from_arrays([pa.array(rep, pa.int64()), pa.array(np.concatenate(sigs).view(np.int64))],
                                                  names=["rep", "sig"])
@@ -168,11 +214,10 @@ def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
     """(rep, grams): the sets of the rows in ``wanted`` (rep), as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
         for batch in batches:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array(
-                    [text_set(t, hashes, words).tobytes() for t in texts(part)], pa.binary())], names=["rep", "grams"])
+                    [s.tobytes() for s in text_sets(texts(part), words)], pa.binary())], names=["rep", "grams"])
 
     rows = numbered(docs, "rep").select("rep", F.col(text_col).alias("text"))
     return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, grams binary")

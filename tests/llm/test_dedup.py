@@ -151,6 +151,28 @@ def edited(rng, text, edits):
     return " ".join(w)
 
 
+def test_word_hashes_tell_words_apart_across_blocks(monkeypatch):
+    monkeypatch.setattr(ngram, "_BLOCK", 7)  # words begin, end and go on where a block does
+    ngram._powers.cache_clear()
+    rng = random.Random(4)
+    for _ in range(200):
+        text = bytes(rng.choice(b"abAB \t\n\x0b\x1c\xc3") for _ in range(rng.randint(0, 60)))
+        place, got = ngram.word_hashes(text)
+        w = text.lower().split()
+        assert [text[a:a + len(x)].lower() for a, x in zip(place, w)] == w and len(got) == len(w)
+        alone = [int(ngram.word_hashes(x)[1][0]) for x in w]
+        assert alone == got.tolist()
+        assert len({*zip(w, alone)}) == len(set(w)) == len(set(alone))
+    ngram._powers.cache_clear()
+
+
+def test_text_sets_keep_texts_apart():
+    texts = [b"", b"a b c d", b"  ", b"One two", b"one TWO ", b"a b c"]
+    sets = [s.tolist() for s in ngram.text_sets(texts, 3)]
+    assert [len(s) for s in sets] == [0, 2, 0, 1, 1, 1] and sets[3] == sets[4] and sets[5][0] in sets[1]
+    assert ngram.text_sets([], 3) == [] and ngram.text_sets([b""], 3)[0].size == 0
+
+
 @pytest.mark.parametrize("n2,k2,gram,num,paired", [(2, 1, 3, 90, 32), (3, 1, 3, 90, 2), (4, 2, 3, 90, 4), (3, 1, 5, 80, 32)])
 def test_ngram_join_against_brute_force(spark, monkeypatch, n2, k2, gram, num, paired):
     monkeypatch.setattr(ngram, "PAIRED", paired)  # small: more rounds
