@@ -316,7 +316,10 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
         if sizes.isEmpty():
             break
         rows = store(buckets.join(sizes, "bucket").select("rep", "head", "members"), "rows")
-        family = connected(rows.select("rep", "head").distinct(), "rep", "head")
+        # a member names its least head, and that one the other heads: near copies share these, so edges are few
+        least = rows.withColumn("least", F.min("head").over(Window.partitionBy("rep")))
+        edges = least.select("rep", "least").unionByName(least.select(F.col("head").alias("rep"), "least")).distinct()
+        family = connected(edges, "rep", "least")
         score = rows.groupBy("rep").agg(F.sum("members").alias("score"))
         scored = store(family.join(score, F.col("node") == F.col("rep")).select("rep", "label", "score"), "families")
         best = F.max(F.struct("score", (-F.col("rep")).alias("least")))
