@@ -44,7 +44,9 @@ def from_cells(cells: DataFrame, catalog: Catalog, seq_col: str | None = None) -
     keys = [f"{f}:{q}" for (f, q) in wanted]
     picked = cells.withColumn("fq", fq).filter(F.col("fq").isin(keys))
     best = F.max(F.when(F.col("value").isNotNull(), F.struct(*([seq_col] if seq_col else []), "value")))["value"]
-    wide = picked.groupBy("rowkey").pivot("fq", keys).agg(best)
+    # Cells are exchanged before they are compared: few tasks may make all of them, and each would sort its own.
+    one = picked.repartition("rowkey", "fq").groupBy("rowkey", "fq").agg(best.alias("value"))
+    wide = one.groupBy("rowkey").pivot("fq", keys).agg(F.max("value"))
     out = wide.select(
         F.col("rowkey").alias(catalog.rowkey),
         *[decode_value(F.col(f"`{f}:{q}`"), catalog.columns[n].type).alias(n)
