@@ -962,7 +962,7 @@ def _merge_job(spark, base, part, cells=None, second=False):
     if second:
         msgs, groups, edges = merge.rekey_messages(msgs, links), merge.rekey_group_messages(groups, links), \
             merge.rekey_edges(edges, links)
-    cells = views.packed_profiles(spark, base) if cells is None else cells
+    cells = (lambda: views.packed_profiles(spark, base)) if cells is None else cells
     return pipelines.identity_merge_job(cells, msgs, groups, edges, links, _merge_requests(spark, base), "20240101")[part]
 
 
@@ -1031,7 +1031,7 @@ def q_merge_job_requests(spark, base):
     more = c.select(F.expr(views.CUST_ROWKEY).alias("org_id"), F.expr(views.LINK_CONNECT).alias("connect_id"),
                     F.lit(0).alias("status"), F.lit("20240101").alias("insert_time"))
     return pipelines.identity_merge_job(
-        views.packed_profiles(spark, base), messages(spark, base), group_messages(spark, base), views.contacts(spark, base),
+        lambda: views.packed_profiles(spark, base), messages(spark, base), group_messages(spark, base), views.contacts(spark, base),
         views.links(spark, base), _merge_requests(spark, base).unionByName(more), "20240101")["requests"]
 
 

@@ -6,13 +6,16 @@ Each returns DataFrames; writing them is the caller's choice (see
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import cache
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaners import is_present, signin_name
 from ..functions.ids import join_key, key_part, rowkey
 from ..operators.conform import to_user_model
-from ..operators.dedup import dedup_keep_min, distinct_rows
+from ..operators.dedup import dedup_keep_min, distinct_rows, spread_distinct
 from ..schemas import GROUP_MESSAGE_COLUMNS, MESSAGE_COLUMNS
 
 MSG_DEDUP_BY = ["content", "platform", "partyuid", "useruid", "user", "party", "media", "direction",
@@ -104,7 +107,7 @@ def platform_day(users_src: DataFrame, spec, contacts_src: DataFrame | None = No
         users = users.unionByName(message_named_users(msgs, spec.platform + "_message", null_token))
         mc = message_contacts(msgs).select("u_uid", "c_uid", "name")
         contacts = mc if contacts is None else contacts.unionByName(mc)
-    out["users"] = users.distinct()
+    out["users"] = spread_distinct(users)
     if contacts is not None:
         out["contacts"] = contacts.distinct()
     if prefixes is not None:
@@ -152,9 +155,27 @@ def load_profiles(users: DataFrame, edges: DataFrame, regions: DataFrame, links:
     return P.score(ev)
 
 
-def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_messages: DataFrame,
+class Outputs(Mapping):
+    """Outputs by name, each built when it is first asked for."""
+
+    def __init__(self, **build: Callable[[], DataFrame]):
+        self._build, self._built = build, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)
+
+
+def identity_merge_job(profiles_cells: DataFrame | Callable[[], DataFrame], messages: DataFrame, group_messages: DataFrame,
                        edges: DataFrame, stored_links: DataFrame, link_requests: DataFrame,
-                       insert_time: str, drop_sources: bool = False) -> dict[str, DataFrame]:
+                       insert_time: str, drop_sources: bool = False) -> Mapping[str, DataFrame]:
     """T26 (I5-I12, K7): process every pending link of ``insert_time`` in one plan.
 
     Only ids that a pending link names give up their profile: an original its
@@ -165,6 +186,9 @@ def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_mes
     ids are not. Merged rows stay in the profile table (I15); with
     ``drop_sources`` the output ``profile_changes`` is a change set for it that
     also deletes them.
+
+    Each output is built when it is asked for; ``profiles_cells`` may be a function, called by the outputs that read
+    the cells, so that the others do not wait for a derived cell table.
     """
     from ..operators import merge as M
 
@@ -173,18 +197,23 @@ def identity_merge_job(profiles_cells: DataFrame, messages: DataFrame, group_mes
     rekey, named = closed["rekey"], pending.select("org_id").distinct()
     moved = rekey.join(named, on="org_id", how="left_semi")
     originals = named.join(stored_links.select(F.col("connect_id").alias("org_id")), on="org_id", how="left_anti")
-    profiles = M.merge_profiles(profiles_cells, moved, rekey=rekey)
-    return {
-        "profiles": profiles,
-        **({"profile_changes": M.profile_changes(profiles_cells, moved, profiles, 1)} if drop_sources else {}),
-        "archive": M.archive_originals(profiles_cells, originals),
-        "messages": M.rekey_messages(messages, rekey),
-        "group_messages": M.rekey_group_messages(group_messages, rekey),
-        "edges": M.rekey_edges(edges, rekey),
-        "links": closed["links"],
-        "link_cycles": closed["cycles"],
-        "requests": M.clear_pending(link_requests, insert_time),
-    }
+    @cache
+    def cells() -> DataFrame:
+        return profiles_cells() if callable(profiles_cells) else profiles_cells
+
+    @cache
+    def profiles() -> DataFrame:
+        return M.merge_profiles(cells(), moved, rekey=rekey)
+    changes = {"profile_changes": lambda: M.profile_changes(cells(), moved, profiles(), 1)} if drop_sources else {}
+    return Outputs(
+        profiles=profiles, **changes,
+        archive=lambda: M.archive_originals(cells(), originals),
+        messages=lambda: M.rekey_messages(messages, rekey),
+        group_messages=lambda: M.rekey_group_messages(group_messages, rekey),
+        edges=lambda: M.rekey_edges(edges, rekey),
+        links=lambda: closed["links"],
+        link_cycles=lambda: closed["cycles"],
+        requests=lambda: M.clear_pending(link_requests, insert_time))
 
 
 def clean_group_messages(raw: DataFrame) -> DataFrame:
