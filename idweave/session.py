@@ -30,10 +30,14 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+#: For the identity jobs, which join long tables with link tables: a link table that adaptive execution has measured to
+#: be this small (about a million links) is broadcast, and the long table is not exchanged.
+LINK_JOINS = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "96m"}
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULTS where the session has no value of its own."""
-    for key, value in DEFAULTS.items():
+
+def configure(spark: SparkSession, more: dict[str, str] | None = None) -> SparkSession:
+    """Apply DEFAULTS (and ``more``) where the session has no value of its own."""
+    for key, value in {**DEFAULTS, **(more or {})}.items():
         try:
             current = spark.conf.get(key, None)
         except Exception:  # pragma: no cover - conf not readable
