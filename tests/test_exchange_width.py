@@ -5,7 +5,8 @@ import re
 import pytest
 
 from idweave.functions.ids import packed_id, unpacked_id
-from idweave.operators import conform, merge, resolve
+from idweave.operators import conform, merge, profiles, resolve
+from idweave.operators.lists import ordered_cells
 from idweave.plans import pipelines, views
 from idweave.schemas import Catalog
 from idweave.sources import cells as cellio
@@ -88,3 +89,28 @@ def test_merge_outputs_do_not_build_the_cells_they_do_not_read(spark):
     for name in ("profiles", "archive"):
         with pytest.raises(AssertionError, match="cells are read"):
             out[name]
+
+
+def test_distinct_lists_drop_copies_at_every_size(spark):
+    df = spark.createDataFrame([("a", v) for v in (3, 1, 2, 3, None, None)] + [("b", 1), ("b", 1), (None, 5), (None, 5)], "k string, v int")
+    text = df.withColumn("v", df.v.cast("string"))
+    for size in (100, 2):
+        got = ordered_cells(text, ["k"], "v", ",", size, distinct=True)
+        want = ordered_cells(text.distinct(), ["k"], "v", ",", size)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_profiles_are_merged_and_scored_on_bytes(spark):
+    ev = spark.createDataFrame([(f"{H}-a", "x", "1", "p"), (f"{H}-a", "x", "1", "q"), ("C", "x", "1", "p")],
+                               "rowkey string, attr string, value string, ev string")
+    out = profiles.score(profiles.merge_evidence(ev.filter("ev = 'p'"), ev.filter("ev = 'q'"), snapshot=False))
+    assert out.columns == ["rowkey", "attr", "value", "ev", "score"] and "unhex" in _plan(out, "optimizedPlan")
+    assert sorted(map(tuple, out.collect())) == [(f"{H}-a", "x", "1", "p", 2), (f"{H}-a", "x", "1", "q", 2)]
+
+
+def test_merged_cells_are_written_once(spark):
+    cells = spark.createDataFrame([("a", "PHONE", "1"), ("a", "MSG_COUNT", "2")], "rowkey string, field string, value string")
+    links = spark.createDataFrame([("a", "C")], "org_id string, connect_id string")
+    out = merge.merge_profiles(cells, links)
+    assert "LogicalRDD [rowkey" not in _plan(out, "optimizedPlan")
+    assert sorted((r.field, r.entry) for r in out.collect()) == [("MSG_COUNT", "2"), ("PHONE", "1")]
