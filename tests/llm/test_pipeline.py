@@ -94,7 +94,7 @@ def test_first_stage_keeps_clean_documents(spark):
 
 
 def test_every_query_is_registered_once():
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")} == set(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES) <= set(entry.queries())
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in queries.QUERIES
 
