@@ -28,6 +28,8 @@ from .common import numbered, slices, store, texts
 from .tokens import word_ids
 
 CAPACITY, END_ID, GROUP_PIECES = 4096, 1, 8192
+#: Text bytes whose distinct words and pieces are found at once.
+ENCODED_BYTES = 1 << 23
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -46,7 +48,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, step = word_ids(tokenizer, "H" if size == 2 else "I"), size * capacity
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=ENCODED_BYTES):
                 rows = []
                 for row, doc, ids in zip(part.column("row_no").to_pylist(), part.column("id").to_pylist(),
                                          encoder.encode(texts(part))):

@@ -42,6 +42,26 @@ def test_word_ids_equal_the_tokenizer(tokenizer, spark):
                 tokenizer.encode(t, add_special_tokens=False).ids for t in part]
 
 
+def test_plain_words_are_cut_without_a_word_cache(tokenizer):
+    rng = random.Random(9)
+    signs = list("abcXYZ019'!.<|>-_ \t\n\r\x0b\x0c\x1c\x85\xa0éÉßÿ×÷ªº²½ĀāİıŸſŉȺÀẞΣσς汉😀\u0301\u200b\x00\x7f")
+    for kind in "IH":
+        encoder = WordIds(WORD_BPE, kind=kind)
+        for _ in range(40):
+            part = ["".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(rng.randint(0, 20))]
+            got = [np.frombuffer(g, "<u4" if kind == "I" else "<u2").tolist() for g in encoder.encode([t.encode() for t in part])]
+            assert got == [[i for w in t.encode().split() for i in tokenizer.encode(w.decode(), add_special_tokens=False).ids]
+                           for t in part]
+    encoder, asked = WordIds(WORD_BPE), []
+    encoder.learn, made = lambda new: asked.extend(new), encoder.model_ids
+    calls = collections.Counter()
+    encoder.model_ids = lambda piece: calls.update([piece]) or made(piece)
+    text = "Der Fluß, 12.5% größer: (größer)"
+    got = encoder.encode([text.encode(), text.lower().encode(), text.encode()])
+    assert np.frombuffer(got[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not asked and set(calls.values()) == {1}
+
+
 def test_best_two_fit_and_best_fit_decreasing():
     rng = random.Random(4)
     for _ in range(60):
