@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, numbered, semi_join_rows, slices, store, texts
+from .common import numbered, slices, store, texts
 from .suffix_groups import lockstep, single
 
 WIDTH, GRAM, MOST_RUNS = 200, 24, 4096
@@ -140,7 +140,7 @@ def run_contents(docs: DataFrame, contents: DataFrame, text_col: str, width: int
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
                     names=["key", "content", "gram", "bytes"])
 
-    rows = numbered(docs).select("row_no", F.col(text_col).alias("text")).join(wanted, "row_no")
+    rows = numbered(docs).select("row_no", F.col(text_col).alias("text")).join(wanted.hint("merge"), "row_no")
     return rows.select("text", "runs").mapInArrow(run, "key bigint, content bigint, gram int, bytes binary")
 
 
@@ -278,11 +278,12 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", width: int = WIDTH,
     """(row_no, spans): byte ranges covered by strings of ``width`` bytes that begin at two places or more.
 
     Ranges may overlap. ``docs`` is a table just read; its texts are read
-    again where runs are cut from them.
+    again where runs are cut from them. Joins with it and with the runs are
+    merge joins at every size, as the other side grows with the texts.
     """
-    runs = run_rows(docs, text_col, width, gram)
-    shared = store(runs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "keys")
-    runs = store(semi_join_rows(runs, shared, "key"), "runs")
+    runs = store(run_rows(docs, text_col, width, gram), "all_runs")
+    shared = runs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    runs = store(runs.join(shared.hint("merge"), "key", "left_semi"), "runs")
     contents = store(runs.groupBy("key", "content").agg(
         F.count("*").alias("n"), F.max("windows").alias("windows"), F.max("gram").alias("gram"), F.min(F.struct("row_no", "start")).alias("at")).select(
         "key", "content", "n", "windows", "gram", "at.row_no", "at.start"), "contents")
@@ -336,7 +337,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     names=["row_no", "id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
     rows = numbered(docs).select("row_no", F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    small = ranges.select(F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("n")).first().n <= BROADCAST_ROWS
-    return rows.join(F.broadcast(ranges) if small else ranges, "row_no", "left").mapInArrow(
+    return rows.join(ranges.hint("merge"), "row_no", "left").mapInArrow(
         run, "row_no bigint, id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
              "spans array<struct<lo:bigint,hi:bigint>>, kept binary")

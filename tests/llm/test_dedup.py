@@ -115,6 +115,13 @@ def test_suffix_dedup_edges(spark):
     assert by_id[13].n_removed == 1500 and by_id[2].n_bytes == 0
 
 
+def test_suffix_dedup_broadcasts_nothing_that_grows_with_the_texts(spark):
+    passage = prose(random.Random(2), 20)
+    docs = stored(random_docs(spark, [passage + f" {i} " + passage for i in range(8)]))
+    plan = suffix_dedup(docs, width=20, gram=8)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan and "strategy=broadcast" not in plan
+
+
 def test_runs_hold_every_window_once():
     rng = random.Random(2)
     data = bytes(rng.choice(b"ab") for _ in range(3000)) + b"c" * 500
