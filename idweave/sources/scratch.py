@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,8 +16,27 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/idweave-{uuid.uuid4().hex}/{name}"
 
 
+#: Spark's own switch: a query's shuffle files go when it ends, not when the driver collects garbage.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files; for those whose rows are written, so that nothing reads the files again."""
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE)
+        else:
+            spark.conf.set(_FREE, before)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
