@@ -17,10 +17,15 @@ of those they share is what the one with the higher limit does, and lies in at
 most ``n1 - spoiled - 1`` of the ``n1 - spoiled`` partitions.
 
 Equal sets are one class and only classes are joined. Classes that share a
-signature are a bucket; all members of connected buckets are compared with one
-pivot, and those that do not link with it meet others only where they share
-what the pivot has not (``class_links``). No bucket is expanded into all its
-pairs, and no link between components is lost.
+signature are a bucket. Buckets of up to ``SMALL`` members give their pairs,
+each once. Most of them are of unrelated sets, which their sketches tell:
+two sets differ in at least as many elements as their sketches differ in bits
+(``sketch``), so pairs beyond what similar sets may differ in are dropped
+before any set is moved (``near_pairs``). The members of larger buckets are
+compared with one pivot of all connected ones, and those that do not link with
+it meet others only where they share what the pivot has not (``class_links``).
+No larger bucket is expanded into all its pairs, and no link between components
+is lost.
 
 Defined results: a text without words has no shingle, links with nothing and
 is its own class; a null text likewise; equal rows are one class; a null id is
@@ -31,7 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -51,6 +56,8 @@ BAND, SLACK = 1.25, 0.2
 SHORT = 5
 #: Bits of a signature. Different ones that clash only make a bucket larger.
 BITS = 48
+#: Members of a bucket whose pairs are looked at by their sketches; pairs that a task holds before it sends them.
+SMALL, HELD_PAIRS = 64, 1 << 20
 #: Members of a sub-bucket whose pairs are compared at once, in the first round; four times as many in each later one.
 PAIRED = 32
 
@@ -76,6 +83,26 @@ def shingle_set(words: np.ndarray, n: int = WORDS) -> np.ndarray:
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """One bit for each of 64 or more cells of the hashes, a power of two no less than the set: is their number odd?
+
+    An element that only one of two sets has changes one bit, so two sets differ in no fewer elements than bits.
+    """
+    cells = 1 << max(6, (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded, which gives the sketch of fewer cells."""
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        half = len(a) // 2
+        a = (int.from_bytes(a[:half]) ^ int.from_bytes(a[half:])).to_bytes(half)
+    return (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+
+
 class Signatures:
     """PartEnum signatures of sets of sorted 64-bit hashes at a Jaccard similarity of ``num / den``."""
 
@@ -179,7 +206,7 @@ def text_sets(values: list[bytes], n: int) -> list[np.ndarray]:
 
 
 def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Per row: row_no, id, n (set size) and set_key (128-bit, null for an empty set)."""
+    """Per row: row_no, id, n (set size), set_key (128-bit, null for an empty set) and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -187,10 +214,11 @@ def shingle_rows(docs: DataFrame, id_col: str, text_col: str, words: int) -> Dat
                 yield pa.RecordBatch.from_arrays([
                     part.column("row_no"), part.column("id"), pa.array(map(len, sets), pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                ], names=["row_no", "id", "n", "set_key"])
+                    pa.array(map(sketch, sets), pa.binary()),
+                ], names=["row_no", "id", "n", "set_key", "sketch"])
 
     rows = numbered(docs).select("row_no", F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "row_no bigint, id bigint, n bigint, set_key binary")
+    return rows.mapInArrow(run, "row_no bigint, id bigint, n bigint, set_key binary, sketch binary")
 
 
 def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int, options: dict) -> DataFrame:
@@ -211,6 +239,74 @@ def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int
     return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, sig bigint")
 
 
+def bucket_pairs(postings: DataFrame, small: int) -> DataFrame:
+    """(bucket, rep, other) from (rep, sig): the pairs of the buckets of 2 to ``small`` members, once a task, and the
+    members of the larger ones, where ``other`` is null.
+
+    A bucket's rows come one after another, so a task holds ``small`` rows of one at most.
+    """
+    def rows(bucket: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(rep), pa.nulls(len(rep), pa.int64())],
+                                          names=["bucket", "rep", "other"])
+
+    def distinct(pairs: list) -> Iterator[pa.RecordBatch]:
+        if pairs:
+            a, b = (np.concatenate(c) for c in zip(*pairs))
+            table = pa.table({"rep": np.minimum(a, b), "other": np.maximum(a, b)}).group_by(["rep", "other"]).aggregate([])
+            table = table.add_column(0, "bucket", pa.nulls(len(table), pa.int64())).select(["bucket", "rep", "other"])
+            yield from table.to_batches(max_chunksize=1 << 16)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sig, rep, large, pairs, held = np.empty(0, np.int64), np.empty(0, np.int64), None, [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                sig = np.concatenate([sig, batch.column("sig").to_numpy()])
+                rep = np.concatenate([rep, batch.column("rep").to_numpy()])
+            if not len(sig):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            ends = np.append(first[1:], len(sig))
+            size = ends - first
+            over = (size > small) | (sig[first] == large if large is not None else False)
+            done = len(first) if batch is None or over[-1] else len(first) - 1  # the last bucket may go on
+            large = int(sig[-1]) if over[-1] else None
+            cut = ends[done - 1] if done else 0
+            wide = np.repeat(over[:done], size[:done])
+            if wide.any():
+                yield rows(sig[:cut][wide], rep[:cut][wide])
+            left, at = np.repeat(ends[:done], size[:done]) - np.arange(cut), np.flatnonzero(~wide)
+            for step in range(1, small):
+                at = at[left[at] > step]
+                if not len(at):
+                    break
+                pairs.append((rep[at], rep[at + step]))
+                held += len(at)
+            sig, rep = sig[cut:], rep[cut:]
+            if held > HELD_PAIRS:
+                yield from distinct(pairs)
+                pairs, held = [], 0
+        yield from distinct(pairs)
+
+    bucket = Window.partitionBy("sig")  # one exchange; a group is streamed, with spill
+    shared = postings.withColumns({"low": F.min("rep").over(bucket), "high": F.max("rep").over(bucket)}).filter("low < high")
+    return shared.select("rep", "sig").sortWithinPartitions("sig").mapInArrow(run, "bucket bigint, rep bigint, other bigint")
+
+
+def near_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (pivot, rep) whose sizes and sketches do not rule a link out; ``sketches``: rep, n, sketch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("n").to_pylist(), batch.column("m").to_pylist()
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            keep = [bits_apart(a, b) <= (i + j) * (den - num) // (den + num) for a, b, i, j in zip(x, y, n, m)]
+            yield batch.select(["pivot", "rep"]).filter(pa.array(keep, pa.bool_()))
+
+    one = sketches.select("rep", F.col("n").alias("m"), F.col("sketch").alias("y"))
+    two = sketches.select(F.col("rep").alias("pivot"), "n", F.col("sketch").alias("x"))
+    sized = pairs.join(one, "rep").join(two, "pivot").filter(den * F.least("n", "m") >= num * F.greatest("n", "m"))
+    return sized.select("pivot", "rep", "n", "m", "x", "y").mapInArrow(run, "pivot bigint, rep bigint")
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
     """(rep, grams): the sets of the rows in ``wanted`` (rep), as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,11 +319,11 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int)
     return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, grams binary")
 
 
-def compared(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
+def compared(pairs: DataFrame, grams: DataFrame, num: int, den: int, listed: bool = True) -> DataFrame:
     """Sets against others: pivot, rep, linked, added, missing, n, elements.
 
     ``added`` and ``missing`` count the elements of ``rep`` that ``pivot`` has
-    not, and the reverse; ``elements`` are the added ones.
+    not, and the reverse; ``elements`` are the added ones (null unless ``listed``).
     """
     types = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     names = ["linked", "added", "missing", "n", "elements"]
@@ -241,7 +337,7 @@ def compared(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFram
                 more = own[pivot[at] != own]
                 shared = len(own) - len(more)
                 linked = den * shared >= num * (len(pivot) + len(more))
-                rows.append((linked, len(more), len(pivot) - shared, len(own), more.view(np.int64)))
+                rows.append((linked, len(more), len(pivot) - shared, len(own), more.view(np.int64) if listed else None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("pivot"), batch.column("rep"), *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
                 names=["pivot", "rep", *names])
@@ -252,6 +348,29 @@ def compared(pairs: DataFrame, grams: DataFrame, num: int, den: int) -> DataFram
         run, "pivot bigint, rep bigint, linked boolean, added bigint, missing bigint, n bigint, elements array<bigint>")
 
 
+def pair_links(near: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (pivot, rep) that connect what those among the pairs ``near`` connect: each class with the least of its component.
+
+    Each set is compared with its least partner first, then with four times as many at once; pairs whose ends are in one
+    component by then are not compared, so a group of near copies is not expanded into all its links.
+    """
+    order, least, links = Window.partitionBy("rep").orderBy("pivot"), 1, None
+    rest = store(near.withColumn("place", F.row_number().over(order)), "placed_pairs")
+    while True:
+        first = store(rest.filter(F.col("place") <= least).select("pivot", "rep"), "first_pairs")
+        found = store(compared(first, grams, num, den, False).filter("linked").select("pivot", "rep"), "first_links")
+        labels = connected(found if links is None else links.unionByName(found), "pivot", "rep")
+        links = labels.filter("label != node").select(F.col("label").alias("pivot"), F.col("node").alias("rep"))
+        rest = rest.filter(F.col("place") > least)
+        for end in ("pivot", "rep"):
+            rest = rest.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left")
+        apart = ~F.coalesce(F.col("pivot_label") == F.col("rep_label"), F.lit(False))
+        rest = store(rest.filter(apart).select("pivot", "rep", "place"), "other_pairs")
+        if rest.isEmpty():
+            return links
+        least *= 4
+
+
 def close_profiles(profiles: DataFrame, num: int, den: int) -> DataFrame:
     """Profiles (pivot, added, missing, n, members, foreign) that can link without sharing an added element.
 
@@ -283,20 +402,19 @@ def rare_elements(members: DataFrame, num: int, den: int) -> DataFrame:
     make no bucket.
     """
     each = members.select("pivot", "rep", "linked", "n", "added", F.explode("elements").alias("element"))
-    held = store(each.groupBy("pivot", "element").agg(F.count("*").alias("rows"), F.min("linked").alias("inside")).filter(
-        "rows > 1 AND NOT inside").select("pivot", "element", "rows"), "held")
-    common = each.groupBy("pivot", "element").agg(F.count("*").alias("rows")).filter("rows > 1").select("pivot", "element", "rows")
-    ranked = each.join(store(common, "common"), ["pivot", "element"])
+    common = store(each.groupBy("pivot", "element").agg(F.count("*").alias("rows"), F.min("linked").alias("inside")).filter(
+        "rows > 1"), "common")
+    ranked = each.join(common, ["pivot", "element"])
     own = Window.partitionBy("pivot", "rep")
     apart = F.floor((F.col("n") + F.floor(F.col("n") * den / num)) * (den - num) / (den + num))
     place = F.col("added") - F.count("*").over(own) + F.row_number().over(own.orderBy("rows", "element"))
     first = ranked.withColumn("place", place).filter(F.col("place") <= apart + 1)
-    return first.join(held.select("pivot", "element"), ["pivot", "element"], "left_semi").select(
+    return first.filter("NOT inside").select(
         F.xxhash64("pivot", "element").alias("bucket"), "rep", "linked", "n")
 
 
 def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> DataFrame | None:
-    """(node, label) of the classes in ``buckets`` (bucket, rep) that have a link; None without links.
+    """Links (pivot, rep) that connect all classes in ``buckets`` (bucket, rep) that links connect; None without buckets.
 
     Buckets that share members are a family. All members of a family are
     compared with its pivot, the member in the most and largest buckets. Two
@@ -330,7 +448,7 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
         links = new if links is None else links.unionByName(new)
         open_ = store(found.groupBy("pivot").agg(F.count("*").alias("members"), F.min("linked").alias("all")).filter(
             "members > 1 AND NOT all").select("pivot"), "open")
-        members = store(found.join(open_, "pivot"), "open_members")
+        members = semi_join_rows(found, open_, "pivot")
         profiles = members.groupBy("pivot", "added", "missing", "n").agg(
             F.count("*").alias("members"), F.max(~F.col("linked")).alias("foreign"))
         close = store(close_profiles(profiles, num, den), "close")
@@ -345,11 +463,11 @@ def class_links(buckets: DataFrame, grams: DataFrame, num: int, den: int) -> Dat
         fits = (den * F.least("n", "m") >= num * F.greatest("n", "m")) & ~(F.col("linked") & F.col("other_linked"))
         pairs = store(few.join(other, "bucket").filter((F.col("pivot") < F.col("rep")) & fits).select("pivot", "rep").distinct(),
                       "sub_pairs")
-        found = store(compared(pairs, grams, num, den).filter("linked").select("pivot", "rep"), "sub_links")
+        found = store(compared(pairs, grams, num, den, False).filter("linked").select("pivot", "rep"), "sub_links")
         links = links.unionByName(found)
         buckets = sub.filter(F.col("members") > paired).select("bucket", "rep")
         paired *= 4
-    return None if links is None or links.isEmpty() else connected(links, "pivot", "rep")
+    return links
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, num: int = NUM,
@@ -364,16 +482,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no")).alias("first")
     classes = store(rows.filter("n > 0").groupBy("set_key").agg(F.min("row_no").alias("rep"), first), "classes")
     postings = signature_rows(docs, classes.select("rep"), text_col, words, options)
-    bucket = Window.partitionBy("sig")  # one exchange; a group is streamed, with spill
-    held = postings.withColumns({"low": F.min("rep").over(bucket), "high": F.max("rep").over(bucket)}).filter("low < high")
-    shared = store(held.select(F.col("sig").alias("bucket"), "rep"), "shared")
-    grams = store(shingle_sets(docs, store(shared.select("rep").distinct(), "reps"), text_col, words), "grams")
-    labels = class_links(shared, grams, num, den)
-    if labels is None:
-        named = classes.withColumn("label", F.col("rep"))
-    else:
-        named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "label", F.coalesce("label", "rep"))
+    shared = store(bucket_pairs(postings, SMALL), "shared")
+    pairs = store(shared.filter("other IS NOT NULL").select(F.col("rep").alias("pivot"), F.col("other").alias("rep")).distinct(), "pairs")
+    near = store(near_pairs(pairs, rows.select(F.col("row_no").alias("rep"), "n", "sketch"), num, den), "near")
+    large = shared.filter("other IS NULL").select("bucket", "rep")
+    reps = near.select("rep").unionByName(near.select(F.col("pivot").alias("rep"))).unionByName(large.select("rep")).distinct()
+    grams = store(shingle_sets(docs, store(reps, "reps"), text_col, words), "grams")
+    links, more = pair_links(near, grams, num, den), class_links(large, grams, num, den)
+    labels = connected(links if more is None else links.unionByName(more), "pivot", "rep")
+    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = store(named, "named")
     heads = store(named.groupBy("label").agg(F.min("first").alias("head")), "heads")
     home = store(named.join(heads, "label").select("set_key", "head"), "homes")

@@ -232,3 +232,58 @@ def test_ngram_join_edges(spark):
     assert {r.component_id for i in (1, 5, 6) for r in by_id[i]} == {1} and by_id[11][0].component_id == 10
     assert all(r.kept and r.component_id == r.id for i in (2, 3, 4) for r in by_id[i])
     assert keep_rows(docs, ngram.ngram_join(docs)).columns == docs.columns
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(5)
+    for n, m in [(0, 0), (1, 1), (1, 70), (60, 64), (64, 65), (500, 520), (300, 1100)]:
+        common = rng.integers(0, 1 << 64, min(n, m), dtype=np.uint64)
+        for kept in {0, len(common) // 2, len(common)}:
+            a = np.unique(np.concatenate([common[:kept], rng.integers(0, 1 << 64, n - kept, dtype=np.uint64)]))
+            b = np.unique(np.concatenate([common[:kept], rng.integers(0, 1 << 64, m - kept, dtype=np.uint64)]))
+            apart = ngram.bits_apart(ngram.sketch(a), ngram.sketch(b))
+            assert apart == ngram.bits_apart(ngram.sketch(b), ngram.sketch(a)) <= len(np.setxor1d(a, b))
+            assert apart % 2 == len(np.setxor1d(a, b)) % 2
+    a, b = (np.unique(rng.integers(0, 1 << 64, 600, dtype=np.uint64)) for _ in range(2))
+    assert ngram.bits_apart(ngram.sketch(a), ngram.sketch(b)) > 1200 * 20 // 180  # unrelated sets are told apart
+
+
+def test_bucket_pairs_are_those_of_small_buckets(spark):
+    rng = random.Random(8)
+    sizes = [1, 2, 3, 5, 6, 7, 40, 2, 1, 5]
+    rows = [(rep, sig) for sig, n in enumerate(sizes) for rep in rng.sample(range(100), n)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for batch in ("3", "10000"):  # buckets go on in the next batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            got = [tuple(r) for r in ngram.bucket_pairs(spark.createDataFrame(rows, "rep bigint, sig bigint").repartition(2), 5).collect()]
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        assert sorted((s, r) for s, r, o in got if o is None) == sorted((s, r) for r, s in rows if sizes[s] > 5)
+        want = {(a, b) for a, s in rows for b, t in rows if s == t and a < b and sizes[s] <= 5}
+        assert {(r, o) for _, r, o in got if o is not None} == want
+
+
+@pytest.mark.parametrize("small,paired", [(1, 2), (4, 32), (9, 4)])
+def test_ngram_join_with_buckets_small_and_large(spark, monkeypatch, small, paired):
+    monkeypatch.setattr(ngram, "SMALL", small)
+    monkeypatch.setattr(ngram, "PAIRED", paired)
+    rng = random.Random(small)
+    texts = []
+    for size in (20, 60, 150):
+        base = prose(rng, size)
+        texts += [edited(rng, base, rng.randint(0, max(1, size // 25))) for _ in range(12)]
+    docs = stored(random_docs(spark, texts))
+    got = {r.id: r for r in ngram.ngram_join(docs, words=3, num=80).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == components(texts, 3, 80)[1]
+
+
+def test_unrelated_texts_of_one_passage_are_not_moved(spark, monkeypatch):
+    """They share signatures by the passage; their sketches tell them apart, so their sets go nowhere."""
+    kept, store = {}, ngram.store
+    monkeypatch.setattr(ngram, "store", lambda df, name: kept.setdefault(name, store(df, name)))
+    rng = random.Random(3)
+    passage = prose(rng, 120)
+    docs = stored(random_docs(spark, [prose(rng, 60, 9999) + " " + passage + " " + prose(rng, 60, 9999) for _ in range(30)]))
+    got = ngram.ngram_join(docs, words=5, num=80).collect()
+    assert {r.component_id for r in got} == set(range(30)) and kept["shared"].count() > 0 and kept["grams"].count() == 0
