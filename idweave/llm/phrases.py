@@ -5,14 +5,16 @@ frequent in the sample at a lowered threshold). A full pass then counts them
 and their negative border: the phrases that are not proposed though all their
 shorter parts are. A border phrase that turns out frequent is a failure; the
 failures join the proposed phrases and the next full pass counts what that
-adds to the border, until no failure can add anything. A phrase is no more
-frequent than its parts, so nothing frequent is missed, and the result does not
-depend on the sample.
+adds to the border, until no failure can add anything but phrases of the most
+words; these few are left to the last pass. A phrase is no more frequent than
+its parts, so nothing frequent is missed, and the result does not depend on the
+sample.
 
 The border holds nearly all pairs of frequent words, most of them rare, so
 these passes exchange 64-bit phrase hashes and not texts (``bounds``). Two
 phrases with one hash only raise the bound. A last pass (``exact_counts``)
-counts the phrases whose bounds reach the threshold by their words, exactly.
+counts the phrases whose bounds reach the threshold, or that have none, by
+their words, exactly.
 Which phrases a pass looks at is decided by ``Marks``, a bitmap of fixed size
 over the hashes: a wrong hit only counts a phrase too many. Only bitmaps are
 sent to the tasks and come back to the driver.
@@ -65,6 +67,7 @@ BLANKS = b" \t"
 _KIND = bytes(2 if c in PIECE_ENDS else 1 if c in BLANKS else 0 for c in range(256))  # 0 in a word, 1 blank, 2 end of a piece
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_SIGN = np.uint64(1 << 63)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -203,7 +206,7 @@ def sliced(batches: Iterator[pa.RecordBatch], now: Marks | None) -> Iterator[tup
 def bounds(docs: DataFrame, most: int, now: Marks | None = None, before: Marks | None = None) -> DataFrame:
     """(hash, longest, f): how often phrases of up to ``most`` words with this hash occur in ``docs`` (text, lang).
 
-    ``longest``: they have ``most`` words.
+    ``longest``: they have ``most`` words. It is the hash's sign, so one number is the whole key; marks use the low bits.
 
     With ``now`` only phrases whose shorter parts are all marked in it are
     counted (every single word is), and of these only those that ``before``,
@@ -215,29 +218,36 @@ def bounds(docs: DataFrame, most: int, now: Marks | None = None, before: Marks |
             counted = np.full(len(part.hash), before is not None)  # by the pass before
             while True:
                 new = ~counted
-                yield pa.RecordBatch.from_arrays([pa.array(part.hash[new].view(np.int64)), pa.array(np.full(new.sum(), part.size == most)),
-                                                  pa.array(part.counts()[new])], ["hash", "longest", "f"])
+                key = part.hash[new] & ~_SIGN | (_SIGN if part.size == most else np.uint64(0))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part.counts()[new])], ["hash", "f"])
                 if before is not None:
                     counted &= part.marked(before)
                 if part.size == most or (parts := part.longer()) is None:
                     break
                 counted = counted[parts[0]] & counted[parts[1]]
-    return docs.mapInArrow(run, "hash bigint, longest boolean, f bigint").groupBy("hash", "longest").agg(F.sum("f").alias("f"))
+    counts = docs.mapInArrow(run, "hash bigint, f bigint").groupBy("hash").agg(F.sum("f").alias("f"))
+    return counts.select("hash", (F.col("hash") < 0).alias("longest"), "f")
 
 
-def exact_counts(docs: DataFrame, most: int, marks: Marks | None) -> DataFrame:
-    """(lang, phrase, words, f) of the phrases that are marked with all their parts; n of a language as f where words = 0."""
+def exact_counts(docs: DataFrame, most: int, marks: Marks | None, before: Marks | None = None) -> DataFrame:
+    """(lang, phrase, words, f) of the phrases that are marked with all their parts; n of a language as f where words = 0.
+
+    With ``before``, the marks of the last pass of ``bounds``, also of those that have marked parts but that no pass has counted.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(names, lang, phrases, size, f):
             return pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(lang)), phrases,
                                                pa.array(np.full(len(f), size, dtype=np.int32)), pa.array(f)], ["lang", "phrase", "words", "f"])
         for part, names in sliced(batches, marks):
             yield rows(names, np.arange(len(names)), pa.nulls(len(names), pa.string()), 0, part.total)
+            counted = np.ones(len(part.hash), bool)
             while True:
-                which = np.flatnonzero(part.marked(marks))
+                which = np.flatnonzero(part.marked(marks) | ~counted)
                 yield rows(names, part.lang[which], part.phrases(which), part.size, part.counts()[which])
-                if part.size == most or part.longer() is None:
+                counted &= part.marked(before)
+                if part.size == most or (parts := part.longer()) is None:
                     break
+                counted = counted[parts[0]] & counted[parts[1]]
     return docs.mapInArrow(run, "lang string, phrase string, words int, f bigint").groupBy("lang", "phrase", "words").agg(
         F.sum("f").alias("f"))
 
@@ -247,18 +257,20 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most: int = MOST_WORDS
     """All phrases of up to ``most`` words found ``least`` times or more, (lang, phrase, words, f), and (lang, n).
 
     n counts all words of a language. ``docs`` holds text and lang; it is read
-    once for the sample, once for every pass (at most ``most`` of them) and
-    once for the exact counts.
+    once for the sample, once for every pass (at most ``most - 1`` of them, and
+    one at least) and once for the exact counts. What a pass adds to the border
+    has a part that failed in the pass before, and so a word more than that
+    pass's shortest: after ``most - 1`` passes all that is left has ``most`` words.
     """
     rows = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     proposed, before = Marks(bits).add(bounds(rows.sample(sample, seed), most).filter(F.col("f") >= least_in_sample)), None
     frequent = Marks(bits)
-    while True:
+    for _ in range(max(1, most - 1)):
         often = store(bounds(rows, most, proposed, before).filter(F.col("f") >= least), "frequent_hashes")
         frequent, before, proposed = frequent.add(often), proposed, proposed.add(often.filter("NOT longest"))
         if np.array_equal(proposed.words, before.words):  # no border phrase failed
             break
-    counts = store(exact_counts(rows, most, frequent).filter((F.col("f") >= least) | (F.col("words") == 0)), "frequent_phrases")
+    counts = store(exact_counts(rows, most, frequent, before).filter((F.col("f") >= least) | (F.col("words") == 0)), "frequent_phrases")
     return counts.filter("words > 0"), counts.filter("words = 0 AND f > 0").select("lang", F.col("f").alias("n"))
 
 

@@ -107,3 +107,14 @@ def test_query_equals_its_sql(spark):
     want = con.sql(SQL["op12_collocations"]).select(", ".join(got.columns)).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
     assert sorted(want) == plain(con.sql("SELECT text, lang FROM documents").fetchall())
+
+
+@pytest.mark.parametrize("most", [2, 3, 4])
+def test_the_longest_phrases_need_no_pass_of_their_own(spark, monkeypatch, most):
+    """Without proposals each pass fails by phrases of one word more; the last ones go to the exact counts."""
+    from idweave.llm import phrases
+    made, plain_bounds = [], phrases.bounds
+    monkeypatch.setattr(phrases, "bounds", lambda *a: made.append(a) or plain_bounds(*a))
+    rows = texts(11)
+    check(spark.createDataFrame(rows, "text string, lang string").repartition(3), rows, sample=0.0, most=most)
+    assert len(made) - 1 <= most - 1  # one more is the sample's
