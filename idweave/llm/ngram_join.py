@@ -41,6 +41,7 @@ from itertools import chain, combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,12 +53,20 @@ from .common import numbered, semi_join_rows, slices, store, texts
 WORDS, NUM, DEN, N2, K2 = 3, 90, 100, 3, 1
 #: Sizes of a band grow by at most this ratio; share of partitions beyond the needed ones.
 BAND, SLACK = 1.25, 0.2
+#: Share of what is kept back that goes by the elements of a signature; the rest goes by the members of its bucket.
+FEW = 0.25
 #: Sets that may differ in so many elements have one partition, of three cells more.
 SHORT = 5
-#: Bits of a signature. Different ones that clash only make a bucket larger.
-BITS = 48
-#: Members of a bucket whose pairs are looked at by their sketches; pairs that a task holds before it sends them.
-SMALL, HELD_PAIRS = 64, 1 << 20
+#: Bits of a signature's content, and of its partition and band, which follow. Contents that clash only make a bucket larger.
+BITS, PART_BITS, BAND_BITS = 40, 16, 6
+#: Stands for all bands from it on; their large buckets are not kept back.
+LAST_BAND = (1 << BAND_BITS) - 1
+#: Members of a bucket whose pairs all become rows; members of one whose pairs are looked at by their sketches in its task.
+FEW_MEMBERS, SMALL = 4, 2048
+#: Closest others of a member of a bucket with which it is compared; the buckets of those with more go to the pivots.
+CLOSEST = 1
+#: Pairs that a task holds before it sends them.
+HELD_PAIRS = 1 << 20
 #: Members of a sub-bucket whose pairs are compared at once, in the first round; four times as many in each later one.
 PAIRED = 32
 
@@ -117,15 +126,27 @@ class Signatures:
             self.tops.append(max(self.tops[-1] + 1, int(self.tops[-1] * BAND)))
         return int(np.searchsorted(self.tops, size))
 
+    def partitions(self, band: int) -> tuple[int, int, int, int, int]:
+        """Partitions of a band, those kept back at most for few elements and for large buckets, cells of each, those left out."""
+        k = 2 * self.tops[band] * (self.den - self.num) // (self.den + self.num)
+        n2, k2 = (k + 3, k) if k <= SHORT else (self.n2, self.k2)
+        spoiled = k // (k2 + 1)
+        back = int(np.ceil(SLACK * (spoiled + 1))) if k > SHORT else 0
+        n1 = spoiled + 1 + back if k else 0
+        large = back - int(np.ceil(FEW * back)) if band < LAST_BAND and n1 <= 1 << PART_BITS else 0
+        return n1, back - large, large, n2, k2
+
+    def spare(self) -> list[int]:
+        """Per band that a signature names: partitions that are kept back at most for large buckets."""
+        while len(self.tops) <= LAST_BAND:
+            self.band(self.tops[-1] + 1)
+        return [self.partitions(band)[2] for band in range(LAST_BAND + 1)]
+
     def plan(self, band: int) -> tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]:
-        """Partitions of a band, those kept back at most, cells of each; a column of ones and zeros for each subset of
-        the cells; where cells begin in the domain; a value for each partition and subset."""
+        """Partitions of a band, those kept back at most for few elements, cells of each; a column of ones and zeros for
+        each subset of the cells; where cells begin in the domain; a value for each partition and subset."""
         if band not in self.plans:
-            k = 2 * self.tops[band] * (self.den - self.num) // (self.den + self.num)
-            n2, k2 = (k + 3, k) if k <= SHORT else (self.n2, self.k2)
-            spoiled = k // (k2 + 1)
-            back = int(np.ceil(SLACK * (spoiled + 1))) if k > SHORT else 0
-            n1 = spoiled + 1 + back if k else 0
+            n1, back, _, n2, k2 = self.partitions(band)
             edges = np.array([(i << 64) // max(1, n1 * n2) for i in range(1, n1 * n2)], dtype=np.uint64)
             subsets = np.array([[i in c for i in range(n2)] for c in combinations(range(n2), n2 - k2)], dtype=np.int64).T
             place = np.arange(n1 * subsets.shape[1], dtype=np.uint64) + np.uint64((band + 1) << 32)
@@ -146,7 +167,10 @@ class Signatures:
             cell, count = (total[at[1:]] - total[at[:-1]]).reshape(n1, n2), np.diff(at).reshape(n1, n2)
             held, sums = count @ subsets, cell @ subsets.astype(np.uint64)
             least = np.sort(held.min(axis=1))[back]  # at most ``back`` partitions have a signature of fewer elements
-            out.append(mixed(sums[held >= least] + place[held >= least]) >> np.uint64(64 - BITS))
+            keep = held >= least
+            home = np.minimum(np.nonzero(keep)[0], (1 << PART_BITS) - 1) << BAND_BITS | min(band, LAST_BAND)
+            value = mixed(sums[keep] + place[keep]) >> np.uint64(64 - BITS)
+            out.append(value << np.uint64(PART_BITS + BAND_BITS) | home.astype(np.uint64))
         return np.unique(np.concatenate(out)) if out else np.empty(0, dtype=np.uint64)
 
 
@@ -239,10 +263,29 @@ def signature_rows(docs: DataFrame, wanted: DataFrame, text_col: str, words: int
     return semi_join_rows(rows, wanted, "rep").mapInArrow(run, "rep bigint, sig bigint")
 
 
-def bucket_pairs(postings: DataFrame, small: int) -> DataFrame:
+def kept_signatures(shared: DataFrame, spare: list[int]) -> DataFrame:
+    """(rep, sig) of ``shared`` (rep, sig, members) without those in the largest buckets.
+
+    A set keeps back the signatures of more members than a limit of its own, the least one that leaves those in
+    ``spare`` partitions of a band; one with signatures in no more partitions shares too few to link.
+    """
+    part = F.col("sig").bitwiseAND((1 << PART_BITS + BAND_BITS) - 1)
+    rows = shared.repartition("rep").withColumns({"part": part, "band": F.col("sig").bitwiseAND(LAST_BAND).cast("int")})
+    own = Window.partitionBy("rep", "band")
+    most = F.max("members").over(Window.partitionBy("rep", "band", "part"))
+    place = F.dense_rank().over(own.orderBy(F.desc("most"), "part"))
+    counted = F.col("place") > F.get(F.array(*map(F.lit, spare)), F.col("band"))
+    limit = F.max(F.when(counted, F.col("most"))).over(own)
+    ranked = rows.withColumn("most", most).withColumn("place", place).withColumn("limit", limit)
+    return ranked.filter("members <= limit").select("rep", "sig")
+
+
+def bucket_pairs(postings: DataFrame, small: int, least: int = 1) -> DataFrame:
     """(bucket, rep, other) from (rep, sig): the pairs of the buckets of 2 to ``small`` members, once a task, and the
     members of the larger ones, where ``other`` is null.
 
+    With a column ``label``, pairs of one label and buckets of one label only are left out. Pairs less than ``least``
+    places apart, by rep, are left out too.
     A bucket's rows come one after another, so a task holds ``small`` rows of one at most.
     """
     def rows(bucket: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
@@ -257,11 +300,12 @@ def bucket_pairs(postings: DataFrame, small: int) -> DataFrame:
             yield from table.to_batches(max_chunksize=1 << 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, rep, large, pairs, held = np.empty(0, np.int64), np.empty(0, np.int64), None, [], 0
+        (sig, rep, label), large, pairs, held = [np.empty(0, np.int64)] * 3, None, [], 0
         for batch in chain(batches, [None]):
             if batch is not None:
                 sig = np.concatenate([sig, batch.column("sig").to_numpy()])
                 rep = np.concatenate([rep, batch.column("rep").to_numpy()])
+                label = np.concatenate([label, batch.column("label").to_numpy()])
             if not len(sig):
                 continue
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -275,21 +319,24 @@ def bucket_pairs(postings: DataFrame, small: int) -> DataFrame:
             if wide.any():
                 yield rows(sig[:cut][wide], rep[:cut][wide])
             left, at = np.repeat(ends[:done], size[:done]) - np.arange(cut), np.flatnonzero(~wide)
-            for step in range(1, small):
+            for step in range(least, small):
                 at = at[left[at] > step]
                 if not len(at):
                     break
-                pairs.append((rep[at], rep[at + step]))
-                held += len(at)
-            sig, rep = sig[cut:], rep[cut:]
+                apart = at[label[at] != label[at + step]]
+                pairs.append((rep[apart], rep[apart + step]))
+                held += len(apart)
+            sig, rep, label = sig[cut:], rep[cut:], label[cut:]
             if held > HELD_PAIRS:
                 yield from distinct(pairs)
                 pairs, held = [], 0
         yield from distinct(pairs)
 
     bucket = Window.partitionBy("sig")  # one exchange; a group is streamed, with spill
-    shared = postings.withColumns({"low": F.min("rep").over(bucket), "high": F.max("rep").over(bucket)}).filter("low < high")
-    return shared.select("rep", "sig").sortWithinPartitions("sig").mapInArrow(run, "bucket bigint, rep bigint, other bigint")
+    named = postings if "label" in postings.columns else postings.withColumn("label", F.col("rep"))
+    shared = named.withColumns({"low": F.min("label").over(bucket), "high": F.max("label").over(bucket)}).filter("low < high")
+    return shared.select("rep", "sig", "label").sortWithinPartitions("sig", "rep").mapInArrow(
+        run, "bucket bigint, rep bigint, other bigint")
 
 
 def near_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
@@ -307,6 +354,104 @@ def near_pairs(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> Dat
     return sized.select("pivot", "rep", "n", "m", "x", "y").mapInArrow(run, "pivot bigint, rep bigint")
 
 
+def folded(sketches: pa.Array, width: int) -> np.ndarray:
+    """Sketches of ``width`` bytes or more as rows of 64-bit words, longer ones folded (``bits_apart``)."""
+    length = pc.binary_length(sketches).to_numpy()
+    starts = np.frombuffer(sketches.buffers()[1], np.int32)[sketches.offset:sketches.offset + len(sketches)]
+    data, out = np.frombuffer(sketches.buffers()[2], np.uint8), np.empty((len(sketches), width // 8), np.uint64)
+    for size in np.unique(length).tolist():
+        at = np.flatnonzero(length == size)
+        part = data[starts[at][:, None] + np.arange(size)]
+        while part.shape[1] > width:
+            part = part[:, :part.shape[1] // 2] ^ part[:, part.shape[1] // 2:]
+        out[at] = np.ascontiguousarray(part).view(np.uint64)
+    return out
+
+
+def closest(pairs: list[tuple[np.ndarray, ...]], most: int) -> tuple[np.ndarray, ...]:
+    """Of pairs (one, other, apart) those that are among the ``most`` closest of one of their two ends."""
+    one, other, apart = (np.concatenate(c) for c in zip(*pairs))
+    ends, twice = np.concatenate([one, other]), np.concatenate([apart, apart])
+    order = np.lexsort((twice, ends))
+    place = np.arange(len(ends)) - np.searchsorted(ends[order], ends[order])
+    keep = np.zeros(len(one), dtype=bool)
+    keep[order[place < most] % len(one)] = True
+    return one[keep], other[keep], apart[keep]
+
+
+def close_pairs(members: DataFrame, sketches: DataFrame, small: int, num: int, den: int, most: int) -> DataFrame:
+    """(bucket, rep, other) from (bucket, rep): pairs of buckets of up to ``small`` members as in ``near_pairs``, the
+    ``most`` closest of each member; a row of the bucket alone, if it has more; and the members of larger buckets, where
+    ``other`` is null. ``sketches``: rep, n, sketch, label; pairs and buckets of one label are left out.
+
+    Members bring their sketches, so that only pairs that may link become rows. A task holds one bucket at most beside
+    a batch, and a member is told apart from ``small`` others at most in a bucket.
+    """
+    names = ["bucket", "rep", "other"]
+
+    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, rep, label, n = (rows.column(c).to_numpy() for c in ("bucket", "rep", "label", "n"))
+        sketch = rows.column("sketch").combine_chunks()
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        size = np.diff(np.append(first, len(bucket)))
+        least = np.repeat(np.minimum.reduceat(pc.binary_length(sketch).to_numpy(), first), size)
+        left = np.repeat(first + size, size) - np.arange(len(bucket))
+        near, held, more = [], 0, []
+        for width in np.unique(least).tolist():
+            of = np.flatnonzero(least == width)  # whole buckets
+            words = folded(sketch.take(pa.array(of)), width)
+            at = np.arange(len(of))
+            for step in range(1, small):
+                at = at[left[of[at]] > step]
+                if not len(at):
+                    break
+                i, j = of[at], of[at] + step
+                fits = (label[i] != label[j]) & (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j]))
+                one, i, j = at[fits], i[fits], j[fits]
+                apart = np.bitwise_count(words[one] ^ words[one + step]).sum(axis=1, dtype=np.int64)
+                fits = apart <= (n[i] + n[j]) * (den - num) // (den + num)
+                near.append((i[fits], j[fits], apart[fits]))
+                held += len(near[-1][0])
+                if held > HELD_PAIRS:
+                    near, held = [chosen(near, bucket, more)], 0
+        if near:
+            i, j, _ = chosen(near, bucket, more)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[i]), pa.array(np.minimum(rep[i], rep[j])),
+                                              pa.array(np.maximum(rep[i], rep[j]))], names=names)
+            again = np.unique(np.concatenate(more))
+            yield pa.RecordBatch.from_arrays([pa.array(again), *[pa.nulls(len(again), pa.int64())] * 2], names=names)
+
+    def chosen(near: list, bucket: np.ndarray, more: list) -> tuple[np.ndarray, ...]:
+        kept = closest(near, most)
+        before, after = (np.unique(bucket[i], return_counts=True) for i in (np.concatenate([i for i, _, _ in near]), kept[0]))
+        more.append(before[0][before[1] > after[1]])
+        return kept
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                large = batch.filter(pc.greater(batch.column("members"), small))
+                if len(large):
+                    yield pa.RecordBatch.from_arrays([large.column("bucket"), large.column("rep"), pa.nulls(len(large), pa.int64())],
+                                                     names=names)
+                few = pa.Table.from_batches([batch.filter(pc.less_equal(batch.column("members"), small))])
+                rest = few if rest is None else pa.concat_tables([rest, few])
+            if rest is None or not len(rest):
+                continue
+            bucket = rest.column("bucket").to_numpy()
+            cut = len(bucket) if batch is None else int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on
+            if cut:
+                yield from found(rest.slice(0, cut))
+                rest = rest.slice(cut).combine_chunks()
+
+    bucket = Window.partitionBy("bucket")
+    counted = members.join(sketches, "rep").withColumns({
+        "members": F.count("*").over(bucket), "low": F.min("label").over(bucket), "high": F.max("label").over(bucket)})
+    rows = counted.filter("low < high").select("bucket", "rep", "label", "n", "sketch", "members").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, "bucket bigint, rep bigint, other bigint")
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, words: int) -> DataFrame:
     """(rep, grams): the sets of the rows in ``wanted`` (rep), as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,14 +626,39 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = store(shingle_rows(docs, id_col, text_col, words), "sets")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_no")).alias("first")
     classes = store(rows.filter("n > 0").groupBy("set_key").agg(F.min("row_no").alias("rep"), first), "classes")
-    postings = signature_rows(docs, classes.select("rep"), text_col, words, options)
-    shared = store(bucket_pairs(postings, SMALL), "shared")
-    pairs = store(shared.filter("other IS NOT NULL").select(F.col("rep").alias("pivot"), F.col("other").alias("rep")).distinct(), "pairs")
-    near = store(near_pairs(pairs, rows.select(F.col("row_no").alias("rep"), "n", "sketch"), num, den), "near")
-    large = shared.filter("other IS NULL").select("bucket", "rep")
-    reps = near.select("rep").unionByName(near.select(F.col("pivot").alias("rep"))).unionByName(large.select("rep")).distinct()
-    grams = store(shingle_sets(docs, store(reps, "reps"), text_col, words), "grams")
-    links, more = pair_links(near, grams, num, den), class_links(large, grams, num, den)
+    sketches = rows.select(F.col("row_no").alias("rep"), "n", "sketch")
+
+    def linked(near: DataFrame) -> DataFrame:
+        near = store(near.distinct(), "near")
+        reps = near.select("rep").unionByName(near.select(F.col("pivot").alias("rep"))).distinct()
+        return pair_links(near, store(shingle_sets(docs, store(reps, "reps"), text_col, words), "grams"), num, den)
+
+    postings, bucket = signature_rows(docs, classes.select("rep"), text_col, words, options), Window.partitionBy("sig")
+    members = F.count("*").over(bucket)
+    shared = store(postings.withColumn("members", members).filter("members > 1"), "shared")
+    kept = kept_signatures(shared, Signatures(**options).spare())
+    chained = kept.withColumns({"members": members, "pivot": F.lag("rep").over(bucket.orderBy("rep"))})
+    buckets = store(chained.filter("members > 1"), "buckets")
+    pairs = store(buckets.filter("pivot IS NOT NULL").select("pivot", "rep").distinct(), "pairs")
+    links = linked(near_pairs(pairs, sketches, num, den))
+    labels = store(connected(links, "pivot", "rep").withColumnRenamed("node", "rep"), "names")
+    label = F.coalesce("label", "rep").alias("label")
+    named = buckets.filter("members > 2").join(labels, "rep", "left").select("rep", "sig", label)
+    apart = store(bucket_pairs(named, min(FEW_MEMBERS, SMALL), 2), "apart")
+    pair = F.col("rep").alias("pivot"), F.col("other").alias("rep")
+    pairs = store(apart.filter("other IS NOT NULL").select(*pair).distinct(), "pairs")
+    members = apart.filter("other IS NULL").select("bucket", "rep")
+    named = sketches.join(labels, "rep", "left").select("rep", "n", "sketch", label)
+    close = store(close_pairs(members, named, SMALL, num, den, CLOSEST), "close_pairs")
+    closer = store(close.filter("other IS NOT NULL").select(*pair).distinct(), "closer")
+    links = links.unionByName(linked(near_pairs(pairs, sketches, num, den).unionByName(closer)))
+    # a member with more close others than were compared is in one of the pairs
+    ends = store(closer.select("rep").unionByName(closer.select(F.col("pivot").alias("rep"))).distinct(), "ends")
+    again = store(close.filter("rep IS NULL").select("bucket").distinct(), "again")
+    rest = semi_join_rows(semi_join_rows(members, again, "bucket"), ends, "rep")
+    large = store(rest.unionByName(close.filter("rep IS NOT NULL AND other IS NULL").select("bucket", "rep")), "large")
+    grams = store(shingle_sets(docs, store(large.select("rep").distinct(), "large_reps"), text_col, words), "large_grams")
+    more = class_links(large, grams, num, den)
     labels = connected(links if more is None else links.unionByName(more), "pivot", "rep")
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = store(named, "named")

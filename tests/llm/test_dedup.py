@@ -287,3 +287,78 @@ def test_unrelated_texts_of_one_passage_are_not_moved(spark, monkeypatch):
     docs = stored(random_docs(spark, [prose(rng, 60, 9999) + " " + passage + " " + prose(rng, 60, 9999) for _ in range(30)]))
     got = ngram.ngram_join(docs, words=5, num=80).collect()
     assert {r.component_id for r in got} == set(range(30)) and kept["shared"].count() > 0 and kept["grams"].count() == 0
+
+
+def test_pairs_of_one_large_group_are_not_its_square(spark, monkeypatch):
+    """Texts of one passage and near copies share many buckets; the rows of pairs grow with the members of the group."""
+    made, store = collections.Counter(), ngram.store
+
+    def counted(df, name):
+        out = store(df, name)
+        made[name] = max(made[name], out.count())
+        return out
+    monkeypatch.setattr(ngram, "store", counted)
+    rng = random.Random(6)
+    passage, base = prose(rng, 120), prose(rng, 150)
+    texts = [prose(rng, 60, 9999) + " " + passage + " " + prose(rng, 60, 9999) for _ in range(60)]
+    texts += [edited(rng, base, 3) for _ in range(60)]
+    got = {r.id: r.component_id for r in ngram.ngram_join(stored(random_docs(spark, texts)), words=5, num=80).collect()}
+    assert [got[i] for i in range(len(texts))] == components(texts, 5, 80)[1]
+    assert 0 < made["pairs"] <= 60 * 59 // 4 and made["near"] <= 60 * 59 // 4
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_similar_sets_share_a_signature_that_neither_keeps_back(spark, num):
+    rng = np.random.default_rng(num)
+    options, sets, pairs = {"num": num, "den": 100}, [], []
+    passage = rng.integers(0, 1 << 64, 150, dtype=np.uint64)
+    for n in (20, 60, 150, 300):
+        for _ in range(12):
+            own = np.concatenate([rng.integers(0, 1 << 64, n, dtype=np.uint64), passage[:n // 2]])
+            most = len(own) * (100 - num) // 100
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [np.unique(own), np.unique(own[most:])]
+    signatures = ngram.Signatures(**options)
+    rows = [(i, int(s)) for i, own in enumerate(sets) for s in signatures.of(own).view(np.int64)]
+    members = collections.Counter(s for _, s in rows)
+    shared = spark.createDataFrame([(i, s, members[s]) for i, s in rows if members[s] > 1], "rep bigint, sig bigint, members bigint")
+    kept = collections.defaultdict(set)
+    for r in ngram.kept_signatures(shared, signatures.spare()).collect():
+        kept[r.rep].add(r.sig)
+    assert all(kept[a] & kept[b] for a, b in pairs)
+    assert sum(map(len, kept.values())) < shared.count()
+
+
+def test_close_pairs_are_the_closest_of_each_member(spark):
+    rng = np.random.default_rng(3)
+    base = [rng.integers(0, 1 << 64, n, dtype=np.uint64) for n in (60, 70, 130)]
+    sets = [np.unique(np.concatenate([b[rng.integers(0, 8):], rng.integers(0, 1 << 64, rng.integers(0, 5), dtype=np.uint64)]))
+            for b in base for _ in range(8)]
+    label = [i if i % 4 else 0 for i in range(len(sets))]
+    sketches = [ngram.sketch(s) for s in sets]
+    buckets = {1: range(0, 8), 2: range(4, 20), 3: [0, 4], 4: range(24), 5: [1, 9]}
+    named = spark.createDataFrame([(i, len(s), bytearray(k), x) for i, (s, k, x) in enumerate(zip(sets, sketches, label))],
+                                  "rep bigint, n bigint, sketch binary, label bigint")
+    rows = spark.createDataFrame([(b, i) for b, m in buckets.items() for i in m], "bucket bigint, rep bigint").repartition(2)
+
+    def near(a, b):
+        n, m = len(sets[a]), len(sets[b])
+        apart = ngram.bits_apart(sketches[a], sketches[b])
+        return label[a] != label[b] and 100 * min(n, m) >= 80 * max(n, m) and apart <= (n + m) * 20 // 180
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for batch in ("3", "10000"):  # buckets go on in the next batches
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            every = [tuple(r) for r in ngram.close_pairs(rows, named, 20, 80, 100, 99).collect()]
+            one = [tuple(r) for r in ngram.close_pairs(rows, named, 20, 80, 100, 1).collect()]
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        for got in (every, one):
+            assert {(b, r) for b, r, o in got if r is not None and o is None} == {(4, i) for i in range(24)}
+        pairs = {(b, r, o) for b, r, o in every if o is not None}
+        exact = {(b, x, y) for b, m in buckets.items() if b != 4 for x in m for y in m if x < y and near(x, y)}
+        # sketches of several lengths in a bucket are folded to the least, which may let more pairs through
+        assert exact <= pairs and not [r for _, r, o in every if r is None]
+        first = {(b, r, o) for b, r, o in one if o is not None}
+        assert first < pairs and {(b, x) for b, r, o in pairs for x in (r, o)} == {(b, x) for b, r, o in first for x in (r, o)}
+        assert {b for b, r, _ in one if r is None} == {b for b, _, _ in pairs - first}
