@@ -16,16 +16,19 @@ still share one: equal signatures have equal counts, so what either keeps back
 of those they share is what the one with the higher limit does, and lies in at
 most ``n1 - spoiled - 1`` of the ``n1 - spoiled`` partitions.
 
+The same holds for any other order of signatures, so a part of the slack goes
+to those of the largest buckets instead (``kept_signatures``).
+
 Equal sets are one class and only classes are joined. Classes that share a
-signature are a bucket. Buckets of up to ``SMALL`` members give their pairs,
-each once. Most of them are of unrelated sets, which their sketches tell:
-two sets differ in at least as many elements as their sketches differ in bits
-(``sketch``), so pairs beyond what similar sets may differ in are dropped
-before any set is moved (``near_pairs``). The members of larger buckets are
-compared with one pivot of all connected ones, and those that do not link with
-it meet others only where they share what the pivot has not (``class_links``).
-No larger bucket is expanded into all its pairs, and no link between components
-is lost.
+signature are a bucket. Each member is first compared with the one before it
+by number; buckets whose members are connected by then make no more pairs.
+Pairs are told apart by sketches: two sets differ in at least as many elements
+as their sketches differ in bits (``sketch``). In buckets of up to ``SMALL``
+members this is done inside the task, and each member is compared with its
+closest others (``close_pairs``). Members of buckets that have more, and those
+of larger buckets, are compared with one pivot of all connected ones, and those
+that do not link with it meet others only where they share what the pivot has
+not (``class_links``). No link between components is lost.
 
 Defined results: a text without words has no shingle, links with nothing and
 is its own class; a null text likewise; equal rows are one class; a null id is
