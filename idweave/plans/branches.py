@@ -15,7 +15,7 @@ from ..functions import cleaners as C
 from ..operators import conform, counts, merge, profiles, resolve
 from ..sources.quarantine import Sorted, quarantine
 from . import pipelines, views
-from .catalog import _flat, _scratch, group_messages, messages, query
+from .catalog import _flat, _scratch, _two_sides, group_messages, messages, query
 
 
 @query("msg_dedup_copies")
@@ -75,10 +75,7 @@ def _thirds(spark, base) -> tuple[DataFrame, DataFrame]:
     (there with the media of type 0 stored and those of type 1 incoming)."""
     m = messages(spark, base).select(F.col("user").alias("rowkey"), F.col("useruid").cast("bigint").alias("k"), "msgtype",
                                      F.col("direction").alias("platform"), "media", F.col("partyuid").alias("partner"))
-    ev = m.unpivot(["rowkey", "k", "msgtype", "platform"], ["media", "partner"], "attr", "value").filter(
-        C.is_present("value") & F.col("rowkey").isNotNull())
-    row = ["rowkey", "attr", "value", F.struct(F.col("platform").alias("platform")).alias("ev")]
-    return tuple(ev.filter(f"k % 3 = {only} OR k % 3 = 1 AND msgtype = {kind}").select(*row).distinct() for only, kind in ((0, 0), (2, 1)))
+    return _two_sides(m, ["media", "partner"], "k % 3 = 0 OR k % 3 = 1 AND msgtype = 0", "k % 3 = 2 OR k % 3 = 1 AND msgtype = 1")
 
 
 @query("profile_merge_thirds")

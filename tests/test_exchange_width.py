@@ -8,6 +8,7 @@ from idweave.functions.ids import packed_id, unpacked_id
 from idweave.operators import conform, merge, profiles, resolve
 from idweave.operators.lists import ordered_cells
 from idweave.plans import pipelines, views
+from idweave.plans.catalog import QUERIES
 from idweave.schemas import Catalog
 from idweave.sources import cells as cellio
 
@@ -114,3 +115,20 @@ def test_merged_cells_are_written_once(spark):
     out = merge.merge_profiles(cells, links)
     assert "LogicalRDD [rowkey" not in _plan(out, "optimizedPlan")
     assert sorted((r.field, r.entry) for r in out.collect()) == [("MSG_COUNT", "2"), ("PHONE", "1")]
+
+
+@pytest.mark.parametrize("name, exchanges", [("profile_snapshot", 3), ("profile_snapshot_thirds", 3), ("profile_merge", 4),
+                                             ("profile_merge_thirds", 4), ("profile_merge_maps", 6)])
+def test_both_sides_of_a_profile_merge_read_one_exchange(spark, name, exchanges):
+    """Messages, evidence and scores (and row keys, or the maps of both sides) move once; nothing is checkpointed."""
+    df = QUERIES[name](spark, SF)
+    df._jdf.queryExecution().toRdd().count()
+    text = _plan(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in text and "ExistingRDD" not in text
+    assert len(re.findall(r"[+:]- Exchange hashpartitioning", text)) <= exchanges
+
+
+def test_scores_of_repeated_and_null_keys(spark):
+    ev = spark.createDataFrame([("r", "a", "1", "p"), ("r", "a", "1", "q"), ("r", "a", None, "p"), (None, "a", "1", "p"), ("s", "a", "1", "p")],
+                               "rowkey string, attr string, value string, ev string")
+    assert sorted(map(tuple, profiles.score(ev).collect())) == [("r", "a", "1", "p", 2), ("r", "a", "1", "q", 2), ("s", "a", "1", "p", 1)]
