@@ -132,3 +132,30 @@ def test_scores_of_repeated_and_null_keys(spark):
     ev = spark.createDataFrame([("r", "a", "1", "p"), ("r", "a", "1", "q"), ("r", "a", None, "p"), (None, "a", "1", "p"), ("s", "a", "1", "p")],
                                "rowkey string, attr string, value string, ev string")
     assert sorted(map(tuple, profiles.score(ev).collect())) == [("r", "a", "1", "p", 2), ("r", "a", "1", "q", 2), ("s", "a", "1", "p", 1)]
+
+
+def test_a_days_contacts_travel_as_bytes_and_once(spark):
+    df = QUERIES["platform_day_contacts"](spark, SF)
+    assert "unhex" in _plan(df, "optimizedPlan")
+    df._jdf.queryExecution().toRdd().count()
+    text = _plan(df).split("== Initial Plan ==")[0]
+    assert re.search(r"HashAggregate\(keys=\[u_uid[^\n]*\n[ +-:*()\d]*HashAggregate\(keys=\[u_uid[^\n]*\n[ +-:*()\d]*Union", text)   # no exchange above the union
+    assert df.count() == df.distinct().count()
+
+
+def test_a_days_regions_read_three_columns_once(spark):
+    text = _plan(QUERIES["platform_day_region"](spark, SF), "optimizedPlan")
+    assert all(keys.count("#") <= 5 for keys in re.findall(r"RepartitionByExpression \[(.*?)\]", text))
+    assert len(re.findall(r"Relation \[l_orderkey", text)) == 2     # the owners and the contacts of the fan-out
+
+
+def test_region_of_phones_without_match_key_or_platform(spark):
+    from idweave.operators.enrich import region_lookup
+    users = spark.createDataFrame([("r", "0211", "t"), ("r", "0211", "t"), ("r", "99", "t"), (None, "02", "t"), ("s", "02", None), ("q", "", "t"),
+                                   ("q", None, "t")], "rowkey string, phone string, platform string")
+    pre = spark.createDataFrame([("02", "C", "P", None, None), ("021", "", "P", "city", "021"), (None, "x", "x", "x", "x")],
+                                "prefix string, country string, province string, city string, code string")
+    got = sorted((tuple(r) for r in region_lookup(users, pre).select("rowkey", "phone", "platform", "country", "city", "code").collect()), key=str)
+    unknown = ("Unknown", "Unknown", None)
+    assert got == sorted([("r", "0211", "t", "Unknown", "city", "021"), ("r", "99", "t", *unknown), (None, "02", "t", *unknown),
+                          ("s", "02", None, *unknown), ("q", "", "t", *unknown)], key=str)
