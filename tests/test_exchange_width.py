@@ -159,3 +159,23 @@ def test_region_of_phones_without_match_key_or_platform(spark):
     unknown = ("Unknown", "Unknown", None)
     assert got == sorted([("r", "0211", "t", "Unknown", "city", "021"), ("r", "99", "t", *unknown), (None, "02", "t", *unknown),
                           ("s", "02", None, *unknown), ("q", "", "t", *unknown)], key=str)
+
+
+def test_list_cells_travel_as_bytes_and_sort_as_text(spark):
+    values = [H + "|b", H + "|a", "zz", "a", H[:31] + "g", None, H.upper(), H + "|a"]
+    df = spark.createDataFrame([(k, v) for k in (H + "-cust", "plain", None) for v in values], "k string, v string")
+    for size in (100, 3):
+        for distinct in (False, True):
+            out = ordered_cells(df, ["k"], "v", ",", size, distinct=distinct)
+            assert "unhex" in _plan(out, "optimizedPlan")
+            some = [v for v in (dict.fromkeys(values) if distinct else values) if v is not None]
+            want = sorted(some) + [None]        # nulls are last in a sorted array of structs, or first in sorted runs
+            cells = {(r.k, r.part): r.value for r in out.collect()}
+            for k in (H + "-cust", "plain", None):
+                got = [x for p in range(5) if (k, p) in cells for x in cells[k, p].split(",") if x]
+                assert got == want[:-1]
+
+
+def test_counts_and_names_of_packed_profiles_travel_as_bytes(spark):
+    text = _plan(views.packed_profiles(spark, SF), "optimizedPlan")
+    assert text.count("unhex") >= 6
