@@ -92,3 +92,20 @@ def test_no_exchange_of_stored_rows(spark):
     assert exchanged_scans(store.scored()) == 0
     text = store.unseen(evidence(spark, many(10)))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") <= 2  # the batch: distinct, then its buckets
+
+
+def test_the_stored_rows_are_in_no_exchange_when_shuffles_are_wide(spark, tmp_path):
+    """More shuffle partitions than buckets, and a batch that is an aggregate: the anti join used to go below the batch's exchange."""
+    store = EvidenceStore(spark, str(tmp_path / "wide"), 4)
+    rows = spark.range(200).selectExpr("concat('r', id % 50) AS rowkey", "concat('a', id % 2) AS attr", "CAST(id AS STRING) AS value", "concat('{', id % 3, '}') AS ev")
+    store.add(rows.filter("value < '5'"), "one")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        new = store.unseen(rows.unionByName(rows).distinct())
+        assert new.count() == rows.filter("value >= '5'").count() > 0 and new.columns == ["rowkey", "attr", "value", "ev"]
+        assert exchanged_scans(new) == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
